@@ -1,0 +1,38 @@
+"""Top-k / bottom-k reports and their position numbers.
+
+``orderBy(...).limit(k)`` plans as TakeOrderedAndProject: every task keeps
+only its own k best rows and the driver merges k x tasks rows, so a full sort
+of the input never happens.  Bottom-k reverses the **whole** key (so ties
+resolve exactly as in the top-k order) and is re-sorted into report order.
+"""
+
+from __future__ import annotations
+
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+
+def _keys(order: Sequence[tuple[str, bool]], reverse: bool = False) -> list[Column]:
+    out = []
+    for col, desc in order:
+        d = desc != reverse
+        out.append(F.col(col).desc_nulls_last() if d else F.col(col).asc_nulls_first())
+    return out
+
+
+def top_k(df: DataFrame, order: Sequence[tuple[str, bool]], k: int,
+          rank_col: str = "rank") -> DataFrame:
+    """First k rows by ``order`` ([(col, descending)]), numbered 1..k."""
+    top = df.orderBy(*_keys(order)).limit(k)
+    # k rows at most: the global window below runs on k rows only
+    return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*_keys(order))))
+
+
+def bottom_k(df: DataFrame, order: Sequence[tuple[str, bool]], k: int,
+             rank_col: str = "rank") -> DataFrame:
+    """Last k rows of the same order, numbered 1..k in that order."""
+    last = df.orderBy(*_keys(order, reverse=True)).limit(k)
+    return last.withColumn(rank_col, F.row_number().over(Window.orderBy(*_keys(order))))
