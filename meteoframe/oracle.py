@@ -424,3 +424,39 @@ ORACLE = {
     "shape_columns": SHAPE_COLUMNS,
     "preview": PREVIEW,
 }
+
+
+# --------------------------------------------------- round trips / tables
+_OBS_CONV = """
+SELECT timestamp, strftime(strptime(timestamp, '%Y%m%d%H%M'), '%Y-%m-%d %H:%M') AS timestamp_readable,
+       CASE WHEN wind_dir = -9 THEN NULL ELSE wind_dir END AS wind_dir,
+       CASE WHEN wind_speed = -9 THEN NULL ELSE wind_speed END AS wind_speed,
+       CASE WHEN temp = -9 THEN NULL ELSE temp END AS temp,
+       CASE WHEN humidity = -9 THEN NULL ELSE humidity END AS humidity,
+       CASE WHEN precipitation = -9 THEN 0.0 ELSE precipitation END AS precipitation,
+       CASE WHEN ground_temp = -9 THEN NULL ELSE ground_temp END AS ground_temp
+"""
+
+_STATION_TEXT = f"""
+SELECT STN_ID, TM_ED, TM_ST, STN_KO, STN_EN, STN_SP, CAST(LON AS VARCHAR) AS LON, CAST(LAT AS VARCHAR) AS LAT,
+       CAST(HT AS VARCHAR) AS HT, STN_AD, FCT_ID FROM ({S['station_master']}) s
+"""
+
+_KEEP = ", ".join(f"'{x}'" for x in K.STATION_KEEP_IDS)
+
+ORACLE.update({
+    "text_roundtrip": f"SELECT DATE, ORG, STN, PM10 FROM ({S['hourly_dust']}) r",
+    "avg_text_roundtrip": f"SELECT kst, STN_ID, avg FROM ({S['daily_dust_mean']}) m WHERE n NOT IN (0, 1)",
+    "obs_roundtrip": f"{_OBS_CONV} FROM ({S['observations_raw']}) o WHERE event_id % 59 <> 0 AND event_id % 53 <> 0",
+    "fixed_width_roundtrip": f"SELECT {', '.join(K.TYPHOON_COLUMNS)} FROM ({S['raw_typhoon']}) r",
+    "xml_roundtrip": f"""SELECT * REPLACE (replace(replace(reFer, chr(10), ' '), chr(13), ' ') AS reFer)
+                         FROM ({S['raw_eq_world']}) r""",
+    "json_roundtrip": f"""WITH items AS ({S['forecast_items']}), coords AS ({S['coordinates']}), loc AS ({_LOC})
+                          SELECT i.*, loc.LOCATION, loc.BROAD_LOCATION FROM items i
+                          JOIN loc ON i.nx = loc.nx AND i.ny = loc.ny""",
+    "station_scan": _STATION_TEXT,
+    "station_keep": f"SELECT * FROM ({_STATION_TEXT}) s WHERE STN_ID IN ({_KEEP})",
+    "coords_csv": f"SELECT level1, coalesce(level2, '') AS level2, nx, ny FROM ({S['coordinates']}) c",
+    "tables_roundtrip": DUST_CURRENT,
+    "csv_roundtrip": MONTHLY,
+})

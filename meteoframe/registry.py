@@ -309,3 +309,10 @@ QUERIES = {
     "shape_columns": shape_columns,
     "preview": preview,
 }
+
+
+def _all_queries():
+    from meteoframe.landing import ROUNDTRIP_QUERIES
+    out = dict(QUERIES)
+    out.update(ROUNDTRIP_QUERIES)
+    return out
