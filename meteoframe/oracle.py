@@ -194,21 +194,34 @@ _FC_COLS = ["BASE_DATE", "BASE_TIME", "FCST_DATE", "FCST_TIME", "NX", "NY", "LOC
             "WSD", "VEC", "TMP", "POP", "REH", "SKY", "PTY", "STRONG_WIND_ALERT", "DI", "DISCOMFORT_ALERT"]
 _FC_KEYS = ["BASE_DATE", "FCST_DATE", "FCST_TIME", "LOCATION"]
 _FC_REST = [c for c in _FC_COLS if c not in _FC_KEYS and c != "BASE_TIME"]
-FORECAST_UPSERT = f"""
-WITH p AS ({processed('20240101')}),
-t AS (SELECT * FROM p WHERE FCST_DATE <= '20240120'),
-s0 AS (SELECT * REPLACE ('1100' AS BASE_TIME, WSD + 0.5 AS WSD) FROM p WHERE FCST_DATE >= '20240115'),
-s AS (SELECT {', '.join(_FC_COLS)} FROM (
-        SELECT *, row_number() OVER (PARTITION BY {', '.join(_FC_KEYS)}
-               ORDER BY BASE_TIME DESC NULLS LAST, {', '.join(c + ' DESC NULLS LAST' for c in _FC_REST)}) AS rn
-        FROM s0 WHERE {' AND '.join(k + ' IS NOT NULL' for k in _FC_KEYS)}) x WHERE rn = 1
-      UNION ALL SELECT * FROM s0 WHERE {' OR '.join(k + ' IS NULL' for k in _FC_KEYS)}),
-sh AS (SELECT *, true AS hit FROM s),
-m AS (SELECT {', '.join(f'CASE WHEN sh.hit THEN sh.{c} ELSE t.{c} END AS {c}' for c in _FC_COLS)}
-      FROM t FULL OUTER JOIN sh ON {' AND '.join(f't.{k} = sh.{k}' for k in _FC_KEYS)})
-SELECT * REPLACE (round(DI, 6) AS DI) FROM m
+def merge_sql(target: str, source: str, cols, keys, order) -> str:
+    """MERGE as SQL: source deduped per key (order, then every other column
+    descending), then a full outer join taking the source side when matched."""
+    rest = [c for c in cols if c not in keys and c not in order]
+    order_by = ", ".join(c + " DESC NULLS LAST" for c in list(order) + rest)
+    return f"""
+WITH t AS ({target}), s0 AS ({source}),
+s AS (SELECT {', '.join(cols)} FROM (
+        SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order_by}) AS rn
+        FROM s0 WHERE {' AND '.join(k + ' IS NOT NULL' for k in keys)}) x WHERE rn = 1
+      UNION ALL SELECT {', '.join(cols)} FROM s0 WHERE {' OR '.join(k + ' IS NULL' for k in keys)}),
+sh AS (SELECT *, true AS hit FROM s)
+SELECT {', '.join(f'CASE WHEN sh.hit THEN sh.{c} ELSE t.{c} END AS {c}' for c in cols)}
+FROM t FULL OUTER JOIN sh ON {' AND '.join(f't.{k} = sh.{k}' for k in keys)}
 """
 
+
+_FC_P = processed('20240101')
+_FC_T = f"SELECT * FROM ({_FC_P}) p WHERE FCST_DATE <= '20240120'"
+_FC_S = f"SELECT * REPLACE ('1100' AS BASE_TIME, WSD + 0.5 AS WSD) FROM ({_FC_P}) p WHERE FCST_DATE >= '20240115'"
+_FC_MERGE = merge_sql(_FC_T, _FC_S, _FC_COLS, _FC_KEYS, ["BASE_TIME"])
+FORECAST_UPSERT = f"SELECT * REPLACE (round(DI, 6) AS DI) FROM ({_FC_MERGE}) m"
+# streaming: the first run merges into an empty table (its own repeats deduped)
+_EMPTY = f"SELECT * FROM ({_FC_T}) e WHERE false"
+_FC_STREAM = merge_sql(merge_sql(_EMPTY, _FC_T, _FC_COLS, _FC_KEYS, ["BASE_TIME"]), _FC_S,
+                       _FC_COLS, _FC_KEYS, ["BASE_TIME"])
+STREAM_UPSERT = f"SELECT * REPLACE (round(DI, 6) AS DI) FROM ({_FC_STREAM}) m"
+
 FORECAST_RETENTION = f"""
 SELECT * REPLACE (round(DI, 6) AS DI) FROM ({processed('20240101')}) p
 WHERE NOT coalesce(FCST_DATE < '{R.FORECAST_BASE_DATE}', false)
@@ -460,3 +473,10 @@ ORACLE.update({
     "tables_roundtrip": DUST_CURRENT,
     "csv_roundtrip": MONTHLY,
 })
+
+# ------------------------------------------------------------- streaming
+ORACLE.update({
+    "stream_ingest": f"SELECT DATE, ORG, STN, PM10 FROM ({S['hourly_dust']}) r",
+    "stream_dedupe": f"SELECT DATE, ORG, STN, PM10, event_time FROM ({S['hourly_dust']}) r",
+    "stream_upsert": STREAM_UPSERT,
+})

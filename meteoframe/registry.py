@@ -313,6 +313,8 @@ QUERIES = {
 
 def _all_queries():
     from meteoframe.landing import ROUNDTRIP_QUERIES
+    from meteoframe.streaming.queries import STREAM_QUERIES
     out = dict(QUERIES)
     out.update(ROUNDTRIP_QUERIES)
+    out.update(STREAM_QUERIES)
     return out
