@@ -10,6 +10,7 @@ partitions a change touches (dynamic partition overwrite).
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,13 +92,22 @@ def replace_rows(spark: SparkSession, table: str, new_rows: DataFrame, in_range:
 
 def replace_partition(spark: SparkSession, table: str, new_rows: DataFrame,
                       partition_col: str, value) -> None:
-    """Replace one partition (e.g. one event day).  An empty load would leave
-    the old partition in place under dynamic overwrite, so it is dropped
-    explicitly first; rerunning gives the same table."""
-    lit = value if not isinstance(value, str) else f"'{value}'"
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {lit})")
-    rows = new_rows.filter(F.col(partition_col) == F.lit(value))
-    rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=False)
+    """Replace one partition (e.g. one event day) with ``new_rows``.
+
+    A static ``INSERT OVERWRITE ... PARTITION (col = value)`` clears exactly
+    that partition even when the load is empty (a dynamic overwrite would
+    leave the old partition in place); other partitions are not touched and
+    rerunning gives the same table.
+    """
+    lit = value if not isinstance(value, str) else "'" + value.replace("'", "''") + "'"
+    cols = [c for c in spark.table(table).columns if c != partition_col]
+    view = "_replace_" + uuid.uuid4().hex[:12]
+    new_rows.filter(F.col(partition_col) == F.lit(value)).select(*cols).createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col} = {lit}) "
+                  f"SELECT {', '.join(cols)} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def retain_rows(spark: SparkSession, table: str, keep: Column) -> None:
