@@ -1,8 +1,12 @@
 """Safe numeric parsing, sentinels and exact rounding (Column -> Column).
 
-Feed text is checked against a plain decimal pattern before ``try_cast``:
-Spark alone accepts '1d', 'nan' or 'inf' as doubles, and engines differ on
-'3.0' as an integer, so the pattern makes every engine agree.
+Feed text must be a plain decimal number before ``try_cast``: Spark alone
+accepts '1d', 'nan' or 'inf' as doubles, and engines differ on '3.0' as an
+integer, so the guard makes every engine agree.  The guard is a
+``translate`` (text made only of digits, sign, point and exponent) in front
+of ``try_cast``, which rejects every malformed arrangement of those
+characters; this equals the ``DECIMAL_RE`` pattern (used by the SQL oracle)
+without running a regex per value.
 """
 
 from __future__ import annotations
@@ -16,22 +20,31 @@ DECIMAL_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_RE = r"^[+-]?[0-9]+$"
 
 
-def safe_double(c) -> Column:
+def _only(s: Column, chars: str) -> Column:
+    """s is non-empty and made only of ``chars``."""
+    return (F.length(s) > 0) & (F.translate(s, chars, "") == "")
+
+
+def _plain_decimal(s: Column) -> Column:
+    return _only(s, "0123456789+-.eE") & F.substring(s, -1, 1).isin(*"0123456789.")
+
+
+def safe_double(c, stripped: bool = False) -> Column:
     """Numeric text -> double; anything else (incl. '', null, 'nan') -> null."""
-    s = strip(_c(c))
-    return F.when(s.rlike(DECIMAL_RE), s.try_cast("double"))
+    s = _c(c) if stripped else strip(_c(c))
+    return F.when(_plain_decimal(s), s.try_cast("double"))
 
 
 def safe_int(c) -> Column:
     """Integer text -> int; '3.0', 'x', '' -> null (Python int() rules)."""
     s = strip(_c(c))
-    return F.when(s.rlike(INTEGER_RE), s.try_cast("int"))
+    return F.when(_only(s, "0123456789+-"), s.try_cast("int"))
 
 
 def safe_number(c, precision: int = 38, scale: int = 0) -> Column:
     """TRY_CAST(text AS NUMBER(p,s)): rounds half up, bad text -> null."""
     s = strip(_c(c))
-    return F.when(s.rlike(DECIMAL_RE), s.try_cast(f"decimal({precision},{scale})"))
+    return F.when(_plain_decimal(s), s.try_cast(f"decimal({precision},{scale})"))
 
 
 def sentinel_to_null(c, sentinels) -> Column:
@@ -43,8 +56,10 @@ def sentinel_to_null(c, sentinels) -> Column:
     """
     s = strip(_c(c))
     codes = [float(x) for x in sentinels]
-    is_code = (F.coalesce(s.isin(list(sentinels)), F.lit(False))
-               | F.coalesce(safe_double(s).isin(codes), F.lit(False)))
+    # numeric comparison only for text that can equal a code ('-9...')
+    prefix = min(sentinels, key=len)
+    numeric = s.startswith(prefix) & F.coalesce(safe_double(s, stripped=True).isin(codes), F.lit(False))
+    is_code = F.coalesce(s.isin(list(sentinels)), F.lit(False)) | F.coalesce(numeric, F.lit(False))
     return F.when(~is_code, _c(c))
 
 

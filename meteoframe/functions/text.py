@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode-aware whitespace, like Python's str.split()/str.strip().
-_WS = r"(?U)\s+"
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Whitespace as Python's str.split()/str.strip() see it, derived by rule
+# (every code point below U+3001 that str.isspace() accepts).  Stripping uses
+# trim() with this set and splitting a plain character class: both far
+# cheaper per row than a Unicode-aware regex.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+_WS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]+"
 
 
 def _c(c) -> Column:
@@ -20,7 +23,7 @@ def _c(c) -> Column:
 
 def strip(c) -> Column:
     """Trim whitespace at both ends (all Unicode whitespace, not only ' ')."""
-    return F.regexp_replace(_c(c), _EDGE_WS, "")
+    return F.trim(_c(c), F.lit(WHITESPACE))
 
 
 def tokens(c) -> Column:

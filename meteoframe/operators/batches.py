@@ -13,13 +13,14 @@ def drop_bad_batches(df: DataFrame, batch_col: str, bad: Column) -> DataFrame:
 
     The bad batches are found by an aggregate (combined map-side, so a batch
     holding a third of the rows is still spread over many tasks), then
-    removed with an anti join on the batch id; the list of batch ids is
-    broadcast only when a bounded count shows it is small.
+    removed with an anti join on the batch id.  The list of bad ids is
+    computed, so AQE picks the join from its measured size (broadcast when
+    small, shuffled anti join otherwise) without computing it twice.
     """
     bad_ids = (df.groupBy(batch_col)
                .agg(F.max(F.coalesce(bad, F.lit(True)).cast("int")).alias("_bad"))
                .filter(F.col("_bad") == 1).select(batch_col))
-    return join_dimension(df, bad_ids, on=batch_col, how="left_anti")
+    return join_dimension(df, bad_ids, on=batch_col, how="left_anti", adaptive=True)
 
 
 def observe_counts(df: DataFrame, name: str, **conditions: Column):

@@ -6,6 +6,11 @@ count - ``limit(max_rows + 1).count()``, which stops reading after
 ``max_rows + 1`` rows - shows it is small.  Otherwise the join is left to the
 planner (sort-merge / shuffled hash join, with AQE able to switch to a
 broadcast at runtime from real sizes and to split skewed partitions).
+
+For a dimension that is itself computed (an aggregate over a fact table) a
+bounded count would run that computation twice, so ``adaptive=True`` leaves
+the choice to AQE alone: it measures the materialized shuffle output and
+broadcasts only if that is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -26,11 +31,14 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str,
                    how: str = "inner", max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   bounded: bool = False) -> DataFrame:
+                   bounded: bool = False, adaptive: bool = False) -> DataFrame:
     """Join a (possibly huge) fact to a dimension on equal key columns.
 
-    ``bounded=True`` states that the dimension has a fixed size (no check).
+    ``bounded=True`` states that the dimension has a fixed size (no check);
+    ``adaptive=True`` leaves the strategy to AQE's runtime size check.
     """
+    if adaptive:
+        return fact.join(dim, on=on, how=how)
     if bounded or is_small(dim, max_rows):
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)

@@ -25,6 +25,7 @@ BASE_CONF = {
     # Spark 4 refuses for non-standard charsets unless this is on.
     "spark.sql.legacy.javaCharsets": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -21,7 +21,22 @@ from meteoframe import constants as K
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a scan yields fewer splits than there are cores.
+
+    A table stored as one row group scans as one partition, so all parsing
+    would run in a single task.  Then (and only then) rows are dealt round
+    robin over ``defaultParallelism`` partitions.  A large table spread over
+    many files already has enough splits and is left untouched - no extra
+    shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def _dec_text(c: Column, p: int = 12, s: int = 2) -> Column:

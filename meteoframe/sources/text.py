@@ -80,8 +80,8 @@ def parse_stations(lines: DataFrame, keep_ids=None) -> DataFrame:
     is_rule = F.col("value").contains(K.STATION_RULE_MARKER)
     first_rule = (lines.filter(is_rule).groupBy("file")
                   .agg(F.min("pos").alias("_rule_pos")))
-    # one row per file; broadcast only after a bounded size check
-    body = (join_dimension(lines, first_rule, "file")
+    # one row per file, computed: AQE sizes it at runtime
+    body = (join_dimension(lines, first_rule, "file", adaptive=True)
             .filter((F.col("pos") > F.col("_rule_pos")) & ~is_rule
                     & ~is_comment_or_blank(F.col("value")))
             .withColumn("_p", tokens("value")))
