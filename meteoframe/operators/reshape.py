@@ -32,8 +32,22 @@ def pivot_fixed(df: DataFrame, index: Sequence[str], column: str, value: str,
 
 def pivot_checked(df: DataFrame, index: Sequence[str], column: str, value: str,
                   values: Sequence[str]) -> DataFrame:
-    """Pivot, or raise ValueError when an (index, column) pair repeats."""
-    dup = duplicate_keys(df, list(index) + [column])
-    if not dup.isEmpty():
-        raise ValueError("pivot key is not unique: " + repr(dup.limit(5).collect()))
-    return pivot_fixed(df, index, column, value, values)
+    """Pivot that fails when an (index, column) pair repeats.
+
+    The check rides in the same aggregate: each cell also counts its rows and
+    a count above one raises through ``raise_error`` while the job runs - no
+    second pass over the data to look for duplicates first.
+    """
+    aggs = []
+    for c in values:
+        hit = F.col(column) == F.lit(c)
+        aggs += [F.max(F.when(hit, F.col(value))).alias(f"_v_{c}"),
+                 F.count(F.when(hit, F.lit(1))).alias(f"_n_{c}")]
+    g = df.groupBy(*index).agg(*aggs)
+    cells = []
+    for c in values:
+        dup = F.col(f"_n_{c}") > 1
+        msg = F.concat(F.lit(f"pivot key is not unique: {column}={c} at "),
+                       F.to_json(F.struct(*[F.col(i) for i in index])))
+        cells.append(F.when(dup, F.raise_error(msg)).otherwise(F.col(f"_v_{c}")).alias(c))
+    return g.select(*index, *cells)

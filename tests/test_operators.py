@@ -50,8 +50,8 @@ def test_pivot_checked_reports_duplicates(spark):
     assert w.columns == ["i", "TMP", "REH", "VEC"]
     assert rows(w) == [("i1", "1", "2", None), ("i2", "4", None, None)]
     dup = long.unionByName(spark.createDataFrame([("i1", "TMP", "9")], "i string, c string, v string"))
-    with pytest.raises(ValueError):
-        O.pivot_checked(dup, ["i"], "c", "v", ["TMP"])
+    with pytest.raises(Exception, match="pivot key is not unique"):
+        O.pivot_checked(dup, ["i"], "c", "v", ["TMP"]).collect()
 
 
 def test_top_and_bottom_k_ties_and_small_inputs(spark):
