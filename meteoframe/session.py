@@ -45,16 +45,23 @@ def build_session(master: str = "local[*]", app: str = "meteoframe",
     return spark
 
 
+UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply runtime SQL settings that are not set yet (safe on a cluster session)."""
-    for k, v in BASE_CONF.items():
-        if k.startswith("spark.ui") or k == "spark.sql.legacy.javaCharsets":
-            continue
-        try:
-            if spark.conf.get(k, None) is None:
-                spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave it
-            pass
+    """Runtime settings the jobs rely on, applied to an existing session.
+
+    * EUC-KR feeds: ``decode``/``encode`` and the CSV reader accept that
+      charset only with ``spark.sql.legacy.javaCharsets`` on.
+    * Feed times are wall-clock (TIMESTAMP_NTZ); formatting goes through the
+      session zone, so a zone with daylight saving could shift times that
+      fall in a gap.  A non-UTC session is switched to UTC.
+    * The shared checkpoint folder is read from the session (set only when
+      unset, as in tests).
+    """
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    if spark.conf.get("spark.sql.session.timeZone") not in UTC_NAMES:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
     return spark
 

@@ -37,10 +37,24 @@ def text_lines_stream(spark: SparkSession, landing: str, encoding: str = "UTF-8"
     return r.csv(landing)
 
 
-def run_available(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet") -> None:
-    """Append the stream's new rows to ``sink_path`` and stop when drained."""
-    q = (df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(sink_path))
+def run_available(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
+                  state_partitions: int | None = None) -> None:
+    """Append the stream's new rows to ``sink_path`` and stop when drained.
+
+    A stateful stream fixes its number of state partitions at its first
+    start (kept in the checkpoint).  ``state_partitions`` (default: the
+    cluster's cores) is used for that first start only; the session's
+    setting is restored afterwards.
+    """
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = (df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start(sink_path))
+    finally:
+        spark.conf.set(key, prev)
     q.awaitTermination()
 
 
