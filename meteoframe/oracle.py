@@ -480,3 +480,26 @@ ORACLE.update({
     "stream_dedupe": f"SELECT DATE, ORG, STN, PM10, event_time FROM ({S['hourly_dust']}) r",
     "stream_upsert": STREAM_UPSERT,
 })
+
+# ------------------------------------------------------- weekly message
+_RULE = K.REPORT_RULE
+
+
+def _section(ranked_sql: str) -> str:
+    return f"""
+SELECT r.week_start, string_agg(chr(10) || CAST(r.rank AS VARCHAR) || '위: ' || r.region_name || chr(10) || b.message,
+                                chr(10) || '{K.REPORT_DIVIDER}' || chr(10) ORDER BY r.rank) AS sec
+FROM ({ranked_sql}) r JOIN ({SCORE_REPORT}) b ON r.region_code = b.region_code AND r.week_start = b.week_start
+GROUP BY r.week_start"""
+
+
+SCORE_MESSAGE = f"""
+SELECT t.week_start,
+       '📊 주간 날씨 만족도 분석 결과 (' || strftime(t.week_start, '%Y-%m-%d') || ' ~ '
+       || strftime(t.week_start + INTERVAL 6 DAY, '%Y-%m-%d') || ')'
+       || chr(10) || chr(10) || '{_RULE}' || chr(10) || '{K.REPORT_TOP}' || chr(10) || '{_RULE}' || chr(10) || t.sec
+       || chr(10) || chr(10) || '{_RULE}' || chr(10) || '{K.REPORT_BOTTOM}' || chr(10) || '{_RULE}' || chr(10) || b.sec
+       AS message
+FROM ({_section(SCORE_TOP3)}) t JOIN ({_section(SCORE_BOTTOM3)}) b ON t.week_start = b.week_start
+"""
+ORACLE["score_message"] = SCORE_MESSAGE

@@ -127,15 +127,38 @@ def report(scored: DataFrame, lines: DataFrame) -> DataFrame:
     period = F.concat(F.date_format("week_start", "yyyy-MM-dd"), F.lit(" ~ "),
                       F.date_format(F.date_add("week_start", 6), "yyyy-MM-dd"))
     msg = F.format_string(
-        "📆 %s 공휴일/주말 날씨 만족도 분석 결과 (%s)\n\n🌤️ 분석 대상일:\n- %s\n\n"
-        "📊 종합 점수: %s점\n\n📌 요약 지표:\n- 평균 기온: %s°C\n- 풍속: %s m/s\n"
-        "- 강수량: %s mm\n- 습도: %s%%\n- 지면온도: %s°C\n- 풍향: %s°\n",
+        K.REPORT_BLOCK,
         F.col("region_name"), period, F.col("target_days"), _num_text("score"),
         _num_text("avg_temp"), _num_text("wind_speed"), _num_text("precipitation"),
         _num_text("humidity"), _num_text("ground_temp"), _num_text("wind_dir"))
     return j.select("region_code", "week_start", "target_days", msg.alias("message"))
 
 
+def _period(week_start):
+    return F.concat(F.date_format(week_start, "yyyy-MM-dd"), F.lit(" ~ "),
+                    F.date_format(F.date_add(week_start, 6), "yyyy-MM-dd"))
+
+
+def weekly_message(top: DataFrame, bottom: DataFrame, blocks: DataFrame) -> DataFrame:
+    """One report per week: title, the top-k blocks and the bottom-k blocks,
+    each numbered in score order and separated by a divider line.  Each
+    section gathers at most k blocks per week."""
+    def section(ranked: DataFrame, name: str) -> DataFrame:
+        j = ranked.select("week_start", "rank", "region_code", "region_name").join(
+            blocks.select("week_start", "region_code", "message"), ["week_start", "region_code"])
+        piece = F.concat(F.lit("\n"), F.format_string(K.REPORT_RANK, F.col("rank"), F.col("region_name")),
+                         F.lit("\n"), F.col("message"))
+        return (j.groupBy("week_start")
+                .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", piece.alias("p")))),
+                                              lambda x: x["p"]), "\n" + K.REPORT_DIVIDER + "\n").alias(name)))
+    rule = K.REPORT_RULE
+    both = section(top, "top").join(section(bottom, "bottom"), "week_start")
+    msg = F.concat(F.format_string(K.REPORT_TITLE, _period(F.col("week_start"))),
+                   F.lit(f"\n\n{rule}\n{K.REPORT_TOP}\n{rule}\n"), F.col("top"),
+                   F.lit(f"\n\n{rule}\n{K.REPORT_BOTTOM}\n{rule}\n"), F.col("bottom"))
+    return both.select("week_start", msg.alias("message"))
+
+
 def score_table(scored: DataFrame) -> DataFrame:
     return scored.select(*SCORE_COLUMNS)
 

@@ -179,6 +179,13 @@ def score_report(spark, d):
     return score.report(score.scores(score.weekly_summary(f)), score.day_lines(f))
 
 
+def score_message(spark, d):
+    f = _filtered(spark, d)
+    scored = score.scores(score.weekly_summary(f))
+    top, bottom = score.ranked(scored)
+    return score.weekly_message(top, bottom, score.report(scored, score.day_lines(f)))
+
+
 def score_upsert(spark, d):
     table = score.score_table(_scored(spark, d))
     target = table.filter(F.col("date") <= F.lit("2024-01-22").cast("date"))
@@ -295,6 +302,7 @@ QUERIES = {
     "score_top3": score_top3,
     "score_bottom3": score_bottom3,
     "score_report": score_report,
+    "score_message": score_message,
     "score_upsert": score_upsert,
     "dq_empty": dq_empty,
     "time_grid_6h": time_grid_6h,
