@@ -37,7 +37,8 @@ def text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
              .unionByName(days.select("DATE", F.lit(-1).cast("bigint").alias("o"),
                                       F.lit("   ").alias("value"))))
     path = scratch_path(spark, "dust-text")
-    render.write_lines(body.unionByName(extra), path, "EUC-KR", by="DATE", order=["DATE", "o"])
+    # no file-per-day split: a day holding a third of the rows must not land in one task
+    render.write_lines(body.unionByName(extra).select("value"), path, "EUC-KR")
     return text.parse_dust(text.read_lines(spark, path, "EUC-KR")).select(*dust.RAW_COLUMNS)
 
 
@@ -111,10 +112,13 @@ def json_roundtrip(spark, d):
 
 
 # --------------------------------------------------------- S3 station list
+STATION_FILES = 16  # landed station-list files; each has its own preamble and rule line
+
+
 def _station_lines(spark, d) -> DataFrame:
     st = S.station_master(spark, d)
     key = F.col("STN_ID").cast("bigint")
-    f = (key % 4).alias("f")
+    f = (key % STATION_FILES).alias("f")
     txt = [F.col(c).cast("string") if c in ("LON", "LAT", "HT") else F.col(c) for c in K.STATION_COLUMNS]
     body = st.select(f, (key * 2).alias("o"), F.concat_ws(" ", *txt).alias("value"))
     files = st.select(f).distinct()
@@ -133,13 +137,15 @@ def _station_lines(spark, d) -> DataFrame:
 
 def station_scan(spark, d):
     path = scratch_path(spark, "stations")
-    render.write_lines(_station_lines(spark, d), path, "EUC-KR", by="f", order=["f", "o"], partitions=4)
+    render.write_lines(_station_lines(spark, d), path, "EUC-KR", by="f", order=["f", "o"],
+                       partitions=STATION_FILES)
     return text.parse_stations(text.read_lines(spark, path, "EUC-KR"))
 
 
 def station_keep(spark, d):
     path = scratch_path(spark, "stations-keep")
-    render.write_lines(_station_lines(spark, d), path, "EUC-KR", by="f", order=["f", "o"], partitions=4)
+    render.write_lines(_station_lines(spark, d), path, "EUC-KR", by="f", order=["f", "o"],
+                       partitions=STATION_FILES)
     return text.parse_stations(text.read_lines(spark, path, "EUC-KR"), keep_ids=K.STATION_KEEP_IDS)
 
 

@@ -39,6 +39,17 @@ def observations(raw: DataFrame, regions: DataFrame) -> DataFrame:
     return join_dimension(obs, regions, "region_idx", bounded=True)
 
 
+def region_codes(df: DataFrame, regions: DataFrame, name_col: str = "region_name") -> DataFrame:
+    """Attach the station code for each region name (17-row table,
+    broadcast).  An unknown name is an error, raised inside the same job
+    (``raise_error``) instead of a separate anti-join pass."""
+    codes = regions.select(F.col("region_name").alias(name_col), F.col("region_code").alias("_code"))
+    j = join_dimension(df, codes, name_col, how="left", bounded=True)
+    code = F.when(F.col("_code").isNull(),
+                  F.raise_error(F.concat(F.lit("unsupported region: "), F.col(name_col).cast("string"))))
+    return j.withColumn("region_code", code.otherwise(F.col("_code"))).drop("_code")
+
+
 def day_flags(obs: DataFrame, holidays: DataFrame) -> DataFrame:
     """day, weekday (Mon = 0), is_holiday (calendar membership by a
     broadcast left join on the date) and the day tag."""

@@ -18,9 +18,8 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     finds no new file and adds nothing."""
     base = scratch_path(spark, "stream-ingest")
     raw = S.hourly_dust(spark, d, with_arrival=True)
-    lines = raw.select("DATE", F.col("arrival").alias("o"),
-                       F.concat_ws(" ", "DATE", "ORG", "STN", "PM10").alias("value"))
-    render.write_lines(lines, base + "/landing", "EUC-KR", by="DATE", order=["DATE", "o"])
+    lines = raw.select(F.concat_ws(" ", "DATE", "ORG", "STN", "PM10").alias("value"))
+    render.write_lines(lines, base + "/landing", "EUC-KR")
     for _ in range(2):
         parsed = text.parse_dust(jobs.text_lines_stream(spark, base + "/landing", "EUC-KR"))
         jobs.run_available(parsed, base + "/sink", base + "/ckpt")

@@ -158,3 +158,13 @@ def test_score_ranking_partitioned_by_week(spark):
     top, bottom = score.ranked(df)
     assert [r.region_name for r in top.orderBy("rank").collect()] == ["r1", "r0", "r2"]
     assert [r.region_name for r in bottom.orderBy("rank").collect()] == ["r0", "r2", "r4"]
+
+
+def test_region_code_lookup(spark):
+    from meteoframe.sources import standins as S
+    names = spark.createDataFrame([("서울",), ("목포",)], "region_name string")
+    got = score.region_codes(names, S.regions(spark)).collect()
+    assert sorted((r.region_name, r.region_code) for r in got) == [("목포", "165"), ("서울", "108")]
+    bad = spark.createDataFrame([("평양",)], "region_name string")
+    with pytest.raises(Exception, match="unsupported region"):
+        score.region_codes(bad, S.regions(spark)).collect()
