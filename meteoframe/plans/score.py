@@ -69,21 +69,28 @@ def weekend_or_holiday(obs: DataFrame, holidays: DataFrame) -> DataFrame:
     return f.filter((F.col("weekday") >= 5) | F.col("is_holiday"))
 
 
-def weekly_summary(filtered: DataFrame) -> DataFrame:
+def weekly_summary(filtered: DataFrame, with_days: bool = False) -> DataFrame:
     """Per region and week (Monday start): six null-skipping means rounded
     half up to 2 decimals (exact, from hundredths), newest reading time and
-    the row count.  One hash aggregate with map-side combine."""
+    the row count.  One hash aggregate with map-side combine.
+
+    ``with_days`` also gathers the week's distinct analysed days with their
+    tags in the same aggregate (``_days``: at most 7 entries, deduplicated
+    map-side), for the report lines - no second pass over the readings.
+    """
     aggs = []
     for src, out in MEASURES:
         cents = to_cents(F.col(src))
         aggs += [F.sum(cents).alias(f"_s_{out}"), F.count(cents).alias(f"_n_{out}")]
+    if with_days:
+        aggs.append(F.collect_set(F.struct("day", "day_tag")).alias("_days"))
     g = (filtered.withColumn("week_start", D.week_start("ts"))
          .groupBy("region_code", "region_name", "region_idx", "week_start")
          .agg(*aggs, F.max("timestamp_readable").alias("last_updated"),
               F.count(F.lit(1)).alias("n_records")))
     return g.select("region_code", "region_name", "region_idx", "week_start",
                     *[mean_half_up(f"_s_{o}", f"_n_{o}").alias(o) for _, o in MEASURES],
-                    "last_updated", "n_records")
+                    "last_updated", "n_records", *(["_days"] if with_days else []))
 
 
 def scores(summary: DataFrame) -> DataFrame:
@@ -113,18 +120,14 @@ def ranked(scored: DataFrame, k: int = 3) -> tuple[DataFrame, DataFrame]:
     return top.drop("_pos", "_back"), bottom.drop("_pos", "_back")
 
 
-def day_lines(filtered: DataFrame) -> DataFrame:
-    """Per region-week: the analysed days as 'MM-dd (weekday) - tag' lines,
-    sorted and joined with '\\n- '.  Days are made distinct first (at most 7
-    per group), so the ordered list is tiny whatever the row count."""
-    days = (filtered.withColumn("week_start", D.week_start("ts"))
-            .select("region_code", "week_start", "day", "day_tag").distinct())
-    line = F.format_string("%s (%s) - %s", F.date_format("day", "MM-dd"),
-                           D.weekday_label("day"), F.col("day_tag"))
-    return (days.withColumn("line", line)
-            .groupBy("region_code", "week_start")
-            .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("day", "line"))),
-                                          lambda x: x["line"]), "\n- ").alias("target_days")))
+def day_lines(days) -> "Column":
+    """The analysed days ('_days' from ``weekly_summary(with_days=True)``) as
+    'MM-dd (weekday) - tag' lines, sorted by day and joined with '\\n- '."""
+    def line(x):
+        return F.format_string("%s (%s) - %s", F.date_format(x["day"], "MM-dd"),
+                               D.weekday_label(x["day"]), x["day_tag"])
+    return F.array_join(F.transform(F.sort_array(F.col(days) if isinstance(days, str) else days), line),
+                        "\n- ")
 
 
 def _num_text(c):
@@ -132,9 +135,10 @@ def _num_text(c):
     return F.coalesce(F.col(c).cast("string"), F.lit("None"))
 
 
-def report(scored: DataFrame, lines: DataFrame) -> DataFrame:
-    """The per-region message block of the weekly report."""
-    j = scored.join(lines, ["region_code", "week_start"])
+def report(scored: DataFrame) -> DataFrame:
+    """The per-region message block of the weekly report (``scored`` built
+    from ``weekly_summary(with_days=True)``)."""
+    j = scored.withColumn("target_days", day_lines("_days"))
     period = F.concat(F.date_format("week_start", "yyyy-MM-dd"), F.lit(" ~ "),
                       F.date_format(F.date_add("week_start", 6), "yyyy-MM-dd"))
     msg = F.format_string(

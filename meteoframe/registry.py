@@ -175,19 +175,20 @@ def score_bottom3(spark, d):
 
 
 def score_report(spark, d):
-    f = _filtered(spark, d)
-    return score.report(score.scores(score.weekly_summary(f)), score.day_lines(f))
+    return score.report(score.scores(score.weekly_summary(_filtered(spark, d), with_days=True)))
 
 
 def score_message(spark, d):
-    f = _filtered(spark, d)
-    scored = score.scores(score.weekly_summary(f))
+    # one row per region-week, used three times: materialize it once (reliable
+    # checkpoint in the shared folder) instead of recomputing from the readings
+    scored = score.scores(score.weekly_summary(_filtered(spark, d), with_days=True)).checkpoint()
     top, bottom = score.ranked(scored)
-    return score.weekly_message(top, bottom, score.report(scored, score.day_lines(f)))
+    return score.weekly_message(top, bottom, score.report(scored))
 
 
 def score_upsert(spark, d):
-    table = score.score_table(_scored(spark, d))
+    # the region-week table feeds both sides of the merge: materialize it once
+    table = score.score_table(_scored(spark, d)).checkpoint()
     target = table.filter(F.col("date") <= F.lit("2024-01-22").cast("date"))
     source = table.withColumn("region_name", F.concat("region_name", F.lit("*")))
     return score.upsert(target, source)
