@@ -8,10 +8,17 @@ inserted; a null key never matches, so it always inserts.  The source is
 first reduced to one row per key by a stated order (a warehouse MERGE would
 fail or double-insert on duplicate source keys).
 
-Plan: one full outer join of target and deduped source on the keys - a
-single shuffle of both sides.  The source holds at most one row per key, so a
-hot target key never multiplies rows; its matching rows stream through one
-sort-merge group that spills to disk rather than growing in memory.
+Plan, built so that a key holding a third of the target never lands whole in
+one task:
+
+* updated = target LEFT OUTER JOIN deduped source.  The source has at most
+  one row per key, so nothing multiplies; a skewed target partition is split
+  by AQE's skew-join handling (supported for the streamed left side of a
+  left outer join - not for a full outer join, which is why none is used).
+* inserted = deduped source LEFT ANTI JOIN the target's distinct keys.  The
+  distinct is an aggregate combined map-side, so a hot key is one row per
+  map task before the shuffle.
+* result = updated UNION ALL inserted.
 """
 
 from __future__ import annotations
@@ -43,11 +50,11 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """New contents of ``target`` after MERGE ... USING ``source`` ON keys.
 
     The source must carry every target column (extra source columns are
-    dropped).  One full outer join on the keys: a matched target row takes
-    the source values (every target row of a repeated key is updated, as a
-    MERGE updates each matched row), an unmatched target row stays as is, an
-    unmatched source row is inserted.  Equality on null keys is never true,
-    so null-key rows on either side pass through unmatched.
+    dropped).  A matched target row takes the source values (every target
+    row of a repeated key is updated, as a MERGE updates each matched row),
+    an unmatched target row stays as is, an unmatched source row is
+    inserted.  Equality on null keys is never true, so null-key rows on
+    either side pass through unmatched.
     """
     keys = list(keys)
     cols = list(target.columns)
@@ -57,9 +64,17 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
     for k in keys:
         c = F.col(k) == F.col(f"_src_{k}")
         cond = c if cond is None else cond & c
-    j = target.join(s, on=cond, how="full_outer")
     hit = F.col("_src_hit").isNotNull()
-    return j.select(*[F.when(hit, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+    updated = (target.join(s, on=cond, how="left_outer")
+               .select(*[F.when(hit, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c) for c in cols]))
+    target_keys = target.select(*keys).filter(_all_not_null(keys)).distinct()
+    tk = target_keys.select(*[F.col(k).alias(f"_tgt_{k}") for k in keys])
+    cond2 = None
+    for k in keys:
+        c = F.col(k) == F.col(f"_tgt_{k}")
+        cond2 = c if cond2 is None else cond2 & c
+    inserted = src.join(tk, on=cond2, how="left_anti")
+    return updated.unionByName(inserted)
 
 
 def _all_not_null(keys: Sequence[str]) -> Column:

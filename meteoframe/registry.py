@@ -76,7 +76,9 @@ def typhoon_clean(spark, d):
 
 
 def _typhoon_target_source(spark, d):
-    c = typhoon.clean(S.raw_typhoon(spark, d))
+    # the cleaned table is stored once (as RAW_TYPHOON would be) and both the
+    # merge target and the new fetch are read from it
+    c = typhoon.clean(S.raw_typhoon(spark, d)).checkpoint()
     target = c.filter(F.col("TYP_TM") < F.lit("1998-01-01").cast("timestamp_ntz"))
     source = (c.filter(F.col("TYP_TM") >= F.lit("1997-06-01").cast("timestamp_ntz"))
               .withColumn("WS", F.col("WS") + 1))
@@ -119,7 +121,8 @@ def forecast_discomfort(spark, d):
 
 
 def _forecast_target_source(spark, d):
-    p = _processed(spark, d, "20240101")
+    # stored once, as the forecast table would be; target and new run read it
+    p = _processed(spark, d, "20240101").checkpoint()
     target = p.filter(F.col("FCST_DATE") <= "20240120")
     source = (p.filter(F.col("FCST_DATE") >= "20240115")
               .withColumn("BASE_TIME", F.lit("1100"))
