@@ -47,7 +47,7 @@ def avg_text_roundtrip(spark, d):
     m = S.daily_dust_mean(spark, d)
     avg = F.when(F.col("n") == 1, F.lit("x(1)")).otherwise(
         F.concat(_dec("avg"), F.lit("("), F.col("n").cast("string"), F.lit(")")))
-    head = F.concat_ws(" ", F.date_format("kst", "yyyy.MM.dd.HH:mm"), F.lit("KMA"), F.col("STN_ID"), avg)
+    head = F.concat_ws(" ", F.date_format("kst", "yyyy.MM.dd.HH:mm"), F.lit("ORG1"), F.col("STN_ID"), avg)
     line = F.when(F.col("n") == 0, head).otherwise(F.concat(head, F.lit(" 0 0")))
     body = m.select(line.alias("value"))
     months = m.select(F.date_format("kst", "yyyy-MM").alias("mon")).distinct()

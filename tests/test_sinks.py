@@ -74,12 +74,12 @@ def test_stream_load_once_survives_restart(spark, tmp_dir):
     landing, sink, ckpt = tmp_dir + "/landing", tmp_dir + "/sink", tmp_dir + "/ckpt"
     os.makedirs(landing)
     with open(landing + "/h1.txt", "w") as f:
-        f.write("# c\n20240101 kma 108 12\n")
+        f.write("# c\n20240101 org1 108 12\n")
     for _ in range(2):  # second run: same file, nothing new
         jobs.run_available(jobs.text_lines_stream(spark, landing), sink, ckpt)
     assert spark.read.parquet(sink).count() == 2
     with open(landing + "/h2.txt", "w") as f:
-        f.write("20240101 kma 109 13\n")
+        f.write("20240101 org1 109 13\n")
     jobs.run_available(jobs.text_lines_stream(spark, landing), sink, ckpt)  # restart from checkpoint
     assert sorted(r.value for r in spark.read.parquet(sink).collect()) == [
-        "# c", "20240101 kma 108 12", "20240101 kma 109 13"]
+        "# c", "20240101 org1 108 12", "20240101 org1 109 13"]

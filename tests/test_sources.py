@@ -23,8 +23,8 @@ def test_dust_text_euc_kr(spark, tmp_dir):
 
 
 def test_daily_mean_text(spark, tmp_dir):
-    body = ("# header\n-----------\n2024.06.01.00:00 KMA 108 25(12) 1 2\n2024.06.02.00:00 KMA 108 x(1) 1 2\n"
-            "2024.06.03.00:00 KMA 108 30(3) 1\n2024.06.04.24:00 KMA 109 40(2) 1 2\n")
+    body = ("# header\n-----------\n2024.06.01.00:00 ORG1 108 25(12) 1 2\n2024.06.02.00:00 ORG1 108 x(1) 1 2\n"
+            "2024.06.03.00:00 ORG1 108 30(3) 1\n2024.06.04.24:00 ORG1 109 40(2) 1 2\n")
     p = write(tmp_dir + "/avg", "f.txt", body)
     got = text.parse_daily_mean(text.read_lines(spark, p)).collect()
     # bad number and short row dropped; an unparsable time keeps the row with a null time
