@@ -14,11 +14,11 @@ def write(path, name, content, encoding="utf-8"):
 
 
 def test_dust_text_euc_kr(spark, tmp_dir):
-    body = "# 날짜 기관 지점 PM10\n\n202406080100 기상청 108 35\n202406080100 기상청\t109\n   \n202406080100 a 110 12 extra\n"
+    body = "# 날짜 기관 지점 PM10\n\n202406080100 관측소 108 35\n202406080100 관측소\t109\n   \n202406080100 a 110 12 extra\n"
     p = write(tmp_dir + "/dust", "f.txt", body, "euc-kr")
     got = text.parse_dust(text.read_lines(spark, p, "EUC-KR")).orderBy("pos").collect()
     assert [(r.DATE, r.ORG, r.STN, r.PM10) for r in got] == [
-        ("202406080100", "기상청", "108", "35"), ("202406080100", "기상청", "109", ""),
+        ("202406080100", "관측소", "108", "35"), ("202406080100", "관측소", "109", ""),
         ("202406080100", "a", "110", "12")]
 
 
