@@ -39,7 +39,7 @@ def text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "dust-text")
     # no file-per-day split: a day holding a third of the rows must not land in one task
     render.write_lines(body.unionByName(extra).select("value"), path, "EUC-KR")
-    return text.parse_dust(text.read_lines(spark, path, "EUC-KR")).select(*dust.RAW_COLUMNS)
+    return text.parse_dust(text.scan_lines(spark, path, "EUC-KR")).select(*dust.RAW_COLUMNS)
 
 
 # -------------------------------------------------------- S2 daily means text
@@ -55,7 +55,7 @@ def avg_text_roundtrip(spark, d):
         months.select(F.concat(F.lit("# KST ORG STN PM10(N) A B "), F.col("mon")).alias("value")))
     path = scratch_path(spark, "dust-avg-text")
     render.write_lines(body.unionByName(rules), path, "EUC-KR")
-    out = text.parse_daily_mean(text.read_lines(spark, path, "EUC-KR"))
+    out = text.parse_daily_mean(text.scan_lines(spark, path, "EUC-KR"))
     return out.select("kst", "STN_ID", "avg")
 
 
@@ -75,7 +75,7 @@ def obs_roundtrip(spark, d):
         regions.select(F.concat(F.lit(" STN  관측소 "), F.col("region_idx")).alias("value")))
     path = scratch_path(spark, "obs-text")
     render.write_lines(body.unionByName(hdr), path, "EUC-KR")
-    return text.parse_observations(text.read_lines(spark, path, "EUC-KR")).drop("file", "pos")
+    return text.parse_observations(text.scan_lines(spark, path, "EUC-KR")).drop("file")
 
 
 # ------------------------------------------------------- S4 fixed-width text
@@ -83,8 +83,8 @@ def fixed_width_roundtrip(spark, d):
     raw = S.raw_typhoon(spark, d)
     path = scratch_path(spark, "typhoon-fwf")
     render.write_fixed_width(raw, path, header="# FT YY TYP SEQ TMD TYP_TM FT_TM LAT LON ...")
-    lines = text.read_lines(spark, path)
-    return feeds.parse_fixed_width(lines, K.TYPHOON_COLUMNS, feeds.TYPHOON_WIDTHS).drop("file", "pos")
+    lines = text.scan_lines(spark, path)
+    return feeds.parse_fixed_width(lines, K.TYPHOON_COLUMNS, feeds.TYPHOON_WIDTHS).drop("file")
 
 
 # ------------------------------------------------------------------ S5 XML

@@ -40,9 +40,21 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
                        F.posexplode(F.split(text, LINE_BREAK)).alias("pos", "value")))
 
 
-def lines_from_text(spark: SparkSession, path: str) -> DataFrame:
-    """Splittable UTF-8 line scan for large files where positions are not needed."""
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+def scan_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """(file, value) for every non-blank line, in any charset, splittable.
+
+    For parsers that do not need line positions.  Unlike ``read_lines`` a
+    large file is cut into splits read in parallel (no whole-file row).  The
+    CSV source does the decoding, with separator, quoting, comments and
+    trimming switched off so one line is one value; it skips blank lines,
+    which every parser drops anyway.
+    """
+    schema = "value string"
+    df = (spark.read.schema(schema).option("encoding", encoding).option("header", False)
+          .option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+          .option("comment", "\u0002").option("ignoreLeadingWhiteSpace", False)
+          .option("ignoreTrailingWhiteSpace", False).option("mode", "PERMISSIVE").csv(path))
+    return df.select(F.col("_metadata.file_path").alias("file"), "value")
 
 
 # --------------------------------------------------------------- S1 hourly dust
