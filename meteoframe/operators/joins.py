@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows a dimension may have and still be broadcast to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 250_000
 
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:

@@ -54,8 +54,10 @@ def keep_first_rows(raw_with_arrival: DataFrame) -> DataFrame:
 
 def monthly_mean(daily: DataFrame) -> DataFrame:
     """MONTHLY_DUST_AVG_BY_STATION: mean of daily means per station and
-    'yyyy-MM' month (nulls skipped)."""
-    return (daily.withColumn("MONTH", D.month_text("kst"))
+    'yyyy-MM' month (null means skipped; rows whose time did not parse have
+    no month and are left out, as a group-by on a missing key leaves them)."""
+    return (daily.filter(F.col("kst").isNotNull())
+            .withColumn("MONTH", D.month_text("kst"))
             .groupBy("STN_ID", "MONTH")
             .agg(F.round(F.avg("avg"), 6).alias("MONTHLY_AVG")))
 

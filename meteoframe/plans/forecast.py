@@ -12,7 +12,7 @@ from meteoframe.functions.weather import (discomfort_alert, discomfort_index, pt
                                           sky_label, strong_wind_alert)
 from meteoframe.operators.joins import join_dimension
 from meteoframe.operators.merge import retain, upsert_frame
-from meteoframe.operators.reshape import pivot_checked
+from meteoframe.operators.reshape import duplicate_keys, pivot_checked
 
 KEYS = ["BASE_DATE", "FCST_DATE", "FCST_TIME", "LOCATION"]
 WIDE_COLUMNS = ["BASE_DATE", "BASE_TIME", "FCST_DATE", "FCST_TIME", "NX", "NY", "LOCATION",
@@ -32,9 +32,17 @@ def locate(items: DataFrame, coords: DataFrame, bounded: bool = False) -> DataFr
     return join_dimension(items, locations(coords), ["nx", "ny"], bounded=bounded)
 
 
-def wide(long: DataFrame) -> DataFrame:
+def wide(long: DataFrame, on_duplicate: str = "raise") -> DataFrame:
     """Pivot categories into the fixed column list; numeric ones coerced.
-    A repeated (index, category) is an error, as in the feed's contract."""
+
+    A repeated (index, category) breaks the pivot contract.  ``"raise"``
+    (default) fails the job from inside the pivot aggregate; ``"empty"``
+    returns no rows instead, as the original job did when it caught the
+    error (this costs one extra aggregate to look for repeats first).
+    """
+    if on_duplicate == "empty":
+        if not duplicate_keys(long, K.FORECAST_INDEX + ["category"]).isEmpty():
+            long = long.limit(0)
     w = pivot_checked(long, K.FORECAST_INDEX, "category", "fcstValue", K.FORECAST_CATEGORIES)
     for c in K.FORECAST_NUMERIC:
         w = w.withColumn(c, safe_double(c))

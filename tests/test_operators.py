@@ -168,3 +168,16 @@ def test_region_code_lookup(spark):
     bad = spark.createDataFrame([("평양",)], "region_name string")
     with pytest.raises(Exception, match="unsupported region"):
         score.region_codes(bad, S.regions(spark)).collect()
+
+
+def test_forecast_wide_duplicate_policy(spark):
+    from meteoframe.plans import forecast
+    row = ("20240101", "0500", "20240101", "0600", 1, 2, "L", "B", "TMP", "3")
+    schema = ("baseDate string, baseTime string, fcstDate string, fcstTime string, nx int, ny int, "
+              "LOCATION string, BROAD_LOCATION string, category string, fcstValue string")
+    ok = spark.createDataFrame([row], schema)
+    assert forecast.wide(ok).first().TMP == 3.0
+    dup = spark.createDataFrame([row, row[:-1] + ("4",)], schema)
+    assert forecast.wide(dup, on_duplicate="empty").count() == 0
+    with pytest.raises(Exception, match="pivot key is not unique"):
+        forecast.wide(dup).collect()
