@@ -243,7 +243,7 @@ FROM ({S['observations_raw']}) o JOIN ({S['regions']}) r ON o.region_idx = r.reg
 
 FLAGS = f"""
 SELECT o.*, CAST(o.ts AS DATE) AS day, h.holiday IS NOT NULL AS is_holiday,
-       isodow(o.ts) - 1 AS weekday,
+       CAST(isodow(o.ts) - 1 AS INTEGER) AS weekday,
        CASE WHEN h.holiday IS NOT NULL THEN '{K.DAY_TAG_HOLIDAY}' WHEN isodow(o.ts) >= 6 THEN '{K.DAY_TAG_WEEKEND}'
             ELSE '{K.DAY_TAG_WEEKDAY}' END AS day_tag
 FROM ({OBS}) o LEFT JOIN (SELECT DISTINCT holiday FROM ({S['holidays']}) hh) h ON CAST(o.ts AS DATE) = h.holiday
@@ -282,12 +282,12 @@ FROM ({SCORED}) x"""
 
 SCORE_TOP3 = f"""
 SELECT week_start, rank, region_name, region_code, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY week_start ORDER BY score DESC, region_idx ASC) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY week_start ORDER BY score DESC, region_idx ASC) AS INTEGER) AS rank
   FROM ({SCORED}) x WHERE score IS NOT NULL) y WHERE rank <= 3
 """
 
 SCORE_BOTTOM3 = f"""
-SELECT week_start, row_number() OVER (PARTITION BY week_start ORDER BY score DESC, region_idx ASC) AS rank,
+SELECT week_start, CAST(row_number() OVER (PARTITION BY week_start ORDER BY score DESC, region_idx ASC) AS INTEGER) AS rank,
        region_name, region_code, score FROM (
   SELECT *, row_number() OVER (PARTITION BY week_start ORDER BY score ASC, region_idx DESC) AS back
   FROM ({SCORED}) x WHERE score IS NOT NULL) y WHERE back <= 3

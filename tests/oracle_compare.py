@@ -46,6 +46,18 @@ def _norm(v, exact=True):
     return (5, str(v))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diff(sdf, rel):
+    s = {f.name.lower(): SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+         for f in sdf.schema.fields}
+    d = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+    return {k: (s.get(k), d.get(k)) for k in set(s) | set(d) if s.get(k) != d.get(k)}
+
+
 def rows_of(cols, rows, exact=True):
     order = sorted(range(len(cols)), key=lambda i: cols[i].lower())
     return sorted(tuple(_norm(r[i], exact) for i in order) for r in rows)
@@ -70,7 +82,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     out["exact"] = a == b
     out["approx"] = out["exact"] or rows_of(s_cols, s_rows, False) == rows_of(d_cols, d_rows, False)
-    out["ok"] = out["exact"] and len(s_rows) == len(d_rows)
+    types = type_diff(sdf, rel)
+    if types:
+        out["type_diff"] = types
+    out["ok"] = out["exact"] and len(s_rows) == len(d_rows) and not types
     if not out["exact"]:
         sa, sb = set(a), set(b)
         out["only_spark"] = [x for x in a if x not in sb][:3]
