@@ -13,6 +13,8 @@ oracle queries; the two must describe the same rows.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,20 +23,39 @@ from meteoframe import constants as K
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread(spark.read.parquet(path), path)
+
+
+# bytes of compressed input per core below which a round-robin spread costs
+# more than the parallelism it buys
+SPREAD_MIN_BYTES_PER_CORE = 256 * 1024
+_sizes: dict[str, int] = {}
 
 
-def spread(df: DataFrame) -> DataFrame:
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file listing only: the
+    ``binaryFile`` source does not read contents that are not selected)."""
+    if path not in _sizes:
+        row = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("n")).first()
+        _sizes[path] = int(row["n"] or 0)
+    return _sizes[path]
+
+
+def spread(df: DataFrame, path: str | None = None) -> DataFrame:
     """Use every core when a scan yields fewer splits than there are cores.
 
     A table stored as one row group scans as one partition, so all parsing
-    would run in a single task.  Then (and only then) rows are dealt round
-    robin over ``defaultParallelism`` partitions.  A large table spread over
-    many files already has enough splits and is left untouched - no extra
-    shuffle at scale.
+    would run in a single task.  Then - and only when there is enough input
+    to share (``SPREAD_MIN_BYTES_PER_CORE``) - rows are dealt round robin
+    over ``defaultParallelism`` partitions.  A large table spread over many
+    files already has enough splits and is left untouched: no extra shuffle
+    at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if os.environ.get("METEOFRAME_NO_SPREAD") or df.rdd.getNumPartitions() >= cores:
+        return df
+    if path is not None and input_bytes(df.sparkSession, path) < cores * SPREAD_MIN_BYTES_PER_CORE:
         return df
     return df.repartition(cores)
 
