@@ -77,3 +77,8 @@ def previous_month_bounds(run_date) -> tuple[Column, Column]:
     """First and last day of the month before run_date."""
     first_this = F.trunc(_c(run_date), "MM")
     return F.add_months(first_this, -1), F.date_sub(first_this, 1)
+
+
+def ts_text(c) -> Column:
+    """Timestamp as text 'yyyy-MM-dd HH:mm:ss' (null stays null)."""
+    return F.date_format(_c(c), ISO_SECOND)

@@ -6,5 +6,5 @@ from meteoframe.operators.reshape import duplicate_keys, pivot_fixed, pivot_chec
 from meteoframe.operators.ranking import top_k, bottom_k  # noqa: F401
 from meteoframe.operators.merge import dedupe_source, upsert_frame, replace_range, retain  # noqa: F401
 from meteoframe.operators.grids import day_stamps, expand_grid, month_days  # noqa: F401
-from meteoframe.operators.batches import drop_bad_batches, observe_counts  # noqa: F401
+from meteoframe.operators.batches import drop_bad_batches, observe_counts, union_all  # noqa: F401
 from meteoframe.operators import quality  # noqa: F401

@@ -33,3 +33,15 @@ def observe_counts(df: DataFrame, name: str, **conditions: Column):
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.sum(F.when(c, 1).otherwise(0)).alias(k) for k, c in conditions.items()]
     return df.observe(obs, *metrics), obs
+
+
+def union_all(frames) -> DataFrame:
+    """Concatenate frames by column name; columns missing from a frame are
+    null.  Empty frames add nothing, so no emptiness check is needed."""
+    frames = list(frames)
+    if not frames:
+        raise ValueError("no frames to concatenate")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

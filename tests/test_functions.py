@@ -171,3 +171,8 @@ def test_weekday_and_week_window(spark):
     assert tuple(r) == ("202501060000", "202501122300")
     a, b = D.previous_month_bounds(F.lit(dt.date(2024, 7, 1)))
     assert tuple(spark.range(1).select(a, b).first()) == (dt.date(2024, 6, 1), dt.date(2024, 6, 30))
+
+
+def test_ts_text(spark):
+    assert one(spark, D.ts_text(D.parse_ts("v", D.STAMP_MINUTE)), "202401011230") == "2024-01-01 12:30:00"
+    assert one(spark, D.ts_text(D.parse_ts("v", D.STAMP_MINUTE)), None) is None

@@ -181,3 +181,11 @@ def test_forecast_wide_duplicate_policy(spark):
     assert forecast.wide(dup, on_duplicate="empty").count() == 0
     with pytest.raises(Exception, match="pivot key is not unique"):
         forecast.wide(dup).collect()
+
+
+def test_union_all_missing_columns_and_empty(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, s string")
+    b = spark.createDataFrame([(2,)], "id int")
+    e = spark.createDataFrame([], "id int, s string")
+    got = rows(O.union_all([a, e, b]))
+    assert got == [(1, "x"), (2, None)]
