@@ -86,3 +86,24 @@ def test_forecast_and_score_jobs(spark, tmp_dir):
     assert msgs.count() == registry.score_message(spark, SF).count()
     assert _rows(spark.table(f"{db}.weather_score")) == _rows(
         registry.score.score_table(registry._scored(spark, SF)))
+
+
+def test_monthly_and_analytics_jobs(spark, tmp_dir):
+    db = _db(spark, tmp_dir)
+    m = S.daily_dust_mean(spark, SF)
+    lines = m.select(F.concat_ws(" ", F.date_format("kst", "yyyy.MM.dd.HH:mm"), F.lit("ORG1"), "STN_ID",
+                                 F.concat(F.col("avg").cast("decimal(12,2)").cast("string"), F.lit("(24)")),
+                                 F.lit("0"), F.lit("0")).alias("value"))
+    render.write_lines(lines, tmp_dir + "/avg", "EUC-KR")
+    n = tasks.load_monthly_dust_avg(spark, tmp_dir + "/avg", f"{db}.monthly")
+    assert n == registry.dust_monthly_mean(spark, SF).count()
+    assert tasks.load_monthly_dust_avg(spark, tmp_dir + "/avg", f"{db}.monthly") == n  # truncate + load
+    assert spark.table(f"{db}.monthly").count() == n
+    st = f"{db}.stations"
+    S.station_master(spark, SF).write.saveAsTable(st, path=tmp_dir + "/stations")
+    out = tasks.build_monthly_dust_analytics(spark, f"{db}.monthly", st, f"{db}.monthly_analytics")
+    assert _rows(out) == _rows(registry.dust_monthly_dated(spark, SF))
+    raw = f"{db}.hourly"
+    S.hourly_dust(spark, SF).write.saveAsTable(raw, path=tmp_dir + "/hourly")
+    grades = tasks.build_hourly_dust_analytics(spark, raw, st, f"{db}.hourly_analytics")
+    assert _rows(grades) == _rows(registry.dust_current_grades(spark, SF))
