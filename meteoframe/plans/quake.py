@@ -25,8 +25,8 @@ def foreign(raw: DataFrame) -> DataFrame:
 
 
 def with_region(df: DataFrame) -> DataFrame:
-    """region_by = first two space-separated tokens of the place."""
-    return df.withColumn("region_by", first_tokens(F.col("eqPt"), 2))
+    """place_region = first two space-separated tokens of the place."""
+    return df.withColumn("place_region", first_tokens(F.col("eqPt"), 2))
 
 
 def region_latest(dom: DataFrame) -> DataFrame:
@@ -39,12 +39,12 @@ def region_latest(dom: DataFrame) -> DataFrame:
     warehouse sorts them), then eqlt, eqln descending as tie-break.  A null
     region never joins its counts, so it is dropped.
     """
-    r = with_region(dom).filter(F.col("region_by").isNotNull())
+    r = with_region(dom).filter(F.col("place_region").isNotNull())
     latest = F.max(F.struct(F.col("eqDate").isNull().cast("int").alias("n"),
                             F.col("eqDate").alias("d"), F.col("eqLt").alias("lt"),
                             F.col("eqLn").alias("ln")))
-    g = r.groupBy("region_by").agg(F.count(F.lit(1)).alias("eq_count"), latest.alias("w"))
-    return (g.select(F.col("region_by").alias("region"), "eq_count",
+    g = r.groupBy("place_region").agg(F.count(F.lit(1)).alias("eq_count"), latest.alias("w"))
+    return (g.select(F.col("place_region").alias("region"), "eq_count",
                      F.col("w.lt").alias("eqlt"), F.col("w.ln").alias("eqln"))
             .orderBy(F.col("eq_count").desc(), "region"))
 
@@ -52,8 +52,8 @@ def region_latest(dom: DataFrame) -> DataFrame:
 def region_max(fgn: DataFrame) -> DataFrame:
     """Per region: number of reports and the largest magnitude (as a number,
     not text order).  One aggregate instead of two joined ones."""
-    r = with_region(fgn).filter(F.col("region_by").isNotNull())
-    return r.groupBy(F.col("region_by").alias("region")).agg(
+    r = with_region(fgn).filter(F.col("place_region").isNotNull())
+    return r.groupBy(F.col("place_region").alias("region")).agg(
         F.count(F.lit(1)).alias("eq_count"),
         F.max(safe_double("magMl")).alias("max_magml"))
 

@@ -270,8 +270,8 @@ def null_union_filter(spark, d):
 
 def shape_columns(spark, d):
     dom = quake.domestic(S.raw_eq_world(spark, d))
-    r = dom.select("*", F.array_join(F.slice(F.split("eqPt", " "), 1, 2), " ").alias("region_by"))
-    sel = r.select(F.col("region_by").alias("region"), F.col("eqDate").alias("eq_date"),
+    r = dom.select("*", F.array_join(F.slice(F.split("eqPt", " "), 1, 2), " ").alias("place_region"))
+    sel = r.select(F.col("place_region").alias("region"), F.col("eqDate").alias("eq_date"),
                    F.col("magMl").alias("mag_ml"),
                    F.to_timestamp(F.lit(RUN_TS)).cast("timestamp_ntz").alias("loaded_at"))
     return sel.toDF(*[c.upper() for c in sel.columns])
