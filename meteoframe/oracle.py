@@ -260,13 +260,18 @@ FROM ({FILTERED}) f GROUP BY region_code, region_name, region_idx, CAST(date_tru
 WEEKLY_SUMMARY = f"SELECT * EXCLUDE (region_idx) FROM ({SUMMARY}) s"
 
 _DI_AVG = di("avg_temp", "humidity")
-_DELTA = (f"(CASE WHEN {_DI_AVG} >= 80 THEN -40 WHEN {_DI_AVG} >= 75 THEN -20 WHEN {_DI_AVG} <= 60 THEN 10 ELSE 0 END"
-          " + CASE WHEN precipitation > 10 THEN -40 WHEN precipitation > 0 THEN -20 ELSE 0 END"
-          " + CASE WHEN wind_speed > 10 THEN -30 WHEN wind_speed > 5 THEN -15 ELSE 0 END"
-          " + CASE WHEN ground_temp IS NOT NULL AND (ground_temp > 35 OR ground_temp < 5) THEN -20 ELSE 0 END)")
+
+
+def _points(value: str, rules) -> str:
+    return "(CASE " + " ".join(f"WHEN {value} {op} {t} THEN {p}" for op, t, p in rules) + " ELSE 0 END)"
+
+
+_DELTA = (f"({_points(_DI_AVG, K.SCORE_DISCOMFORT)} + {_points('precipitation', K.SCORE_RAIN)}"
+          f" + {_points('wind_speed', K.SCORE_WIND)} + {_points('ground_temp', K.SCORE_GROUND)})")
 SCORED = f"""
 SELECT *, CAST(CASE WHEN avg_temp IS NOT NULL AND humidity IS NOT NULL AND precipitation IS NOT NULL
-                     AND wind_speed IS NOT NULL THEN greatest(least(100 + {_DELTA}, 100), 0) END AS INTEGER) AS score,
+                     AND wind_speed IS NOT NULL
+                THEN greatest(least({K.SCORE_START} + {_DELTA}, {K.SCORE_MAX}), {K.SCORE_MIN}) END AS INTEGER) AS score,
        CAST(week_start + INTERVAL 7 DAY AS DATE) AS date
 FROM ({SUMMARY}) s
 """
