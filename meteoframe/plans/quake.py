@@ -58,10 +58,6 @@ def region_max(fgn: DataFrame) -> DataFrame:
         F.max(safe_double("magMl")).alias("max_magml"))
 
 
-def event_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("_eq_ts", D.parse_ts("eqDate", D.STAMP_SECOND))
-
-
 def replace_day(raw: DataFrame, day_rows: DataFrame, day: str) -> DataFrame:
     """Delete the reports of ``day`` (eqDate in [day, day + 1 day - 1 s]) and
     load ``day_rows``; rerunning with the same rows changes nothing."""

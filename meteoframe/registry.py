@@ -17,7 +17,7 @@ from meteoframe.operators import quality as Q
 from meteoframe.operators.batches import drop_bad_batches
 from meteoframe.operators.reshape import duplicate_keys
 from meteoframe.plans import dust, forecast, quake, score, typhoon
-from meteoframe.sources import standins as S
+from meteoframe.sources import feeds, standins as S
 
 # Run parameters (what a scheduled run would pass in).
 FORECAST_BASE_DATE = "20240115"
@@ -260,7 +260,7 @@ def dq_freshness(spark, d):
 # ------------------------------------------------------------- misc shapes
 def null_union(spark, d):
     ids = S.table(spark, d, "region").select(F.col("r_regionkey").cast("int").alias("id"))
-    nulls = spark.createDataFrame([(None,)], "id int")
+    nulls = feeds.inline_rows(spark, [(None,)], "id int")  # select null as id
     return ids.unionByName(nulls)
 
 

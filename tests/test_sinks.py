@@ -83,3 +83,13 @@ def test_stream_load_once_survives_restart(spark, tmp_dir):
     jobs.run_available(jobs.text_lines_stream(spark, landing), sink, ckpt)  # restart from checkpoint
     assert sorted(r.value for r in spark.read.parquet(sink).collect()) == [
         "# c", "20240101 org1 108 12", "20240101 org1 109 13"]
+
+
+def test_namespace_switch(spark, tmp_dir):
+    db = _db(spark, tmp_dir)
+    prev = spark.catalog.currentDatabase()
+    try:
+        sinks.use_namespace(spark, db)
+        assert spark.catalog.currentDatabase() == db
+    finally:
+        sinks.use_namespace(spark, prev)
