@@ -93,7 +93,8 @@ def mean_half_up(sum_cents, n) -> Column:
     a, b = F.abs(s) * 2 + k, k * 2
     # exact integer division: (a - a mod b) is a multiple of b
     mag = F.round((a - F.pmod(a, b)) / b)
-    return F.when(k > 0, F.signum(s) * mag / F.lit(100.0))
+    # a mean that rounds to zero is +0.0 (never -0.0)
+    return F.when(k > 0, F.when(mag == 0, F.lit(0.0)).otherwise(F.signum(s) * mag / F.lit(100.0)))
 
 
 def clamp(c, lo=0, hi=100) -> Column:

@@ -176,3 +176,9 @@ def test_weekday_and_week_window(spark):
 def test_ts_text(spark):
     assert one(spark, D.ts_text(D.parse_ts("v", D.STAMP_MINUTE)), "202401011230") == "2024-01-01 12:30:00"
     assert one(spark, D.ts_text(D.parse_ts("v", D.STAMP_MINUTE)), None) is None
+
+
+def test_mean_half_up_negative_zero(spark):
+    df = spark.createDataFrame([(-0.01,), (0.0,), (0.0,)], "x double")
+    got = df.agg(M.mean_half_up(F.sum(M.to_cents("x")), F.count("x"))).first()[0]
+    assert got == 0.0 and str(got) == "0.0"
