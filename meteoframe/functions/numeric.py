@@ -82,19 +82,24 @@ def to_cents(c) -> Column:
     return F.round(_c(c) * 100).cast("bigint")
 
 
-def mean_half_up(sum_cents, n) -> Column:
-    """Exact mean of hundredths rounded half up to 2 decimals, as double.
+def mean_half_up(sum_cents, n, decimals: int = 2) -> Column:
+    """Exact mean of hundredths, rounded half up to ``decimals`` (>= 2), as double.
 
     ``sum_cents`` and ``n`` are exact integers, so the result does not depend
-    on summation order or on how an engine rounds binary doubles.  n = 0 (all
-    values null) gives null.
+    on summation order or on how an engine rounds binary doubles.  The
+    rounding is an integer division done in decimal arithmetic (no double on
+    the way), so large sums stay exact.  n = 0 (all values null) gives null.
     """
     s, k = _c(sum_cents), _c(n)
-    a, b = F.abs(s) * 2 + k, k * 2
+    shift = 10 ** (decimals - 2)
+    dec = "decimal(38,0)"
+    a = (F.abs(s).cast(dec) * (2 * shift) + k.cast(dec)).cast(dec)
+    b = (k * 2).cast(dec)
     # exact integer division: (a - a mod b) is a multiple of b
-    mag = F.round((a - F.pmod(a, b)) / b)
+    mag = ((a - F.pmod(a, b)) / b).cast("bigint")
+    scale = F.lit(float(10 ** decimals))
     # a mean that rounds to zero is +0.0 (never -0.0)
-    return F.when(k > 0, F.when(mag == 0, F.lit(0.0)).otherwise(F.signum(s) * mag / F.lit(100.0)))
+    return F.when(k > 0, F.when(mag == 0, F.lit(0.0)).otherwise(F.signum(s) * mag / scale))
 
 
 def clamp(c, lo=0, hi=100) -> Column:

@@ -38,11 +38,12 @@ def di(t: str, h: str) -> str:
             f"{K.DI_C0}::DOUBLE) + {K.DI_C1}::DOUBLE)")
 
 
-def mean_half_up(x: str) -> str:
+def mean_half_up(x: str, decimals: int = 2) -> str:
     s = f"sum(CAST(round({x} * 100) AS BIGINT))"
     n = f"count({x})"
-    return (f"(CASE WHEN {n} > 0 THEN sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n}))"
-            f" / 100.0::DOUBLE END)")
+    shift = 2 * 10 ** (decimals - 2)
+    return (f"(CASE WHEN {n} > 0 THEN sign({s}) * (({shift} * abs({s}) + {n}) // (2 * {n}))"
+            f" / {float(10 ** decimals)}::DOUBLE END)")
 
 
 def sentinel_null(c: str) -> str:
@@ -72,7 +73,7 @@ SELECT DATE, ORG, STN, PM10 FROM (
 WHERE rn = 1
 """
 
-MONTHLY = f"""SELECT STN_ID, strftime(kst, '%Y-%m') AS MONTH, round(avg(avg), 6) AS MONTHLY_AVG
+MONTHLY = f"""SELECT STN_ID, strftime(kst, '%Y-%m') AS MONTH, {mean_half_up('avg', 6)} AS MONTHLY_AVG
 FROM ({S['daily_dust_mean']}) d GROUP BY STN_ID, strftime(kst, '%Y-%m')"""
 
 DUST_MONTHLY_DATED = f"""
@@ -181,7 +182,7 @@ FROM ({FORECAST_WIDE}) w WHERE fcstDate >= '{base}'"""
 FORECAST_LABELS = f"""SELECT BASE_DATE, BASE_TIME, FCST_DATE, FCST_TIME, NX, NY, LOCATION, BROAD_LOCATION,
        WSD, SKY, PTY, STRONG_WIND_ALERT FROM ({processed(R.FORECAST_BASE_DATE)}) p"""
 
-FORECAST_DISCOMFORT = f"""SELECT FCST_DATE, FCST_TIME, LOCATION, TMP, REH, round(DI, 6) AS DI, DISCOMFORT_ALERT
+FORECAST_DISCOMFORT = f"""SELECT FCST_DATE, FCST_TIME, LOCATION, TMP, REH, DI, DISCOMFORT_ALERT
 FROM ({processed(R.FORECAST_BASE_DATE)}) p"""
 
 _FC_COLS = ["BASE_DATE", "BASE_TIME", "FCST_DATE", "FCST_TIME", "NX", "NY", "LOCATION", "BROAD_LOCATION",
@@ -209,15 +210,15 @@ _FC_P = processed('20240101')
 _FC_T = f"SELECT * FROM ({_FC_P}) p WHERE FCST_DATE <= '20240120'"
 _FC_S = f"SELECT * REPLACE ('1100' AS BASE_TIME, WSD + 0.5 AS WSD) FROM ({_FC_P}) p WHERE FCST_DATE >= '20240115'"
 _FC_MERGE = merge_sql(_FC_T, _FC_S, _FC_COLS, _FC_KEYS, ["BASE_TIME"])
-FORECAST_UPSERT = f"SELECT * REPLACE (round(DI, 6) AS DI) FROM ({_FC_MERGE}) m"
+FORECAST_UPSERT = _FC_MERGE
 # streaming: the first run merges into an empty table (its own repeats deduped)
 _EMPTY = f"SELECT * FROM ({_FC_T}) e WHERE false"
 _FC_STREAM = merge_sql(merge_sql(_EMPTY, _FC_T, _FC_COLS, _FC_KEYS, ["BASE_TIME"]), _FC_S,
                        _FC_COLS, _FC_KEYS, ["BASE_TIME"])
-STREAM_UPSERT = f"SELECT * REPLACE (round(DI, 6) AS DI) FROM ({_FC_STREAM}) m"
+STREAM_UPSERT = _FC_STREAM
 
 FORECAST_RETENTION = f"""
-SELECT * REPLACE (round(DI, 6) AS DI) FROM ({processed('20240101')}) p
+SELECT * FROM ({processed('20240101')}) p
 WHERE NOT coalesce(FCST_DATE < '{R.FORECAST_BASE_DATE}', false)
 """
 
@@ -381,7 +382,7 @@ FROM events GROUP BY ALL HAVING count(*) > 1
 
 DQ_FRESHNESS = f"""
 SELECT event_type, max(ts) AS newest,
-       round((epoch_us(TIMESTAMP '{R.RUN_TS}') - epoch_us(max(ts))) / 3.6e9, 6) AS age_hours,
+       (epoch_us(TIMESTAMP '{R.RUN_TS}') - epoch_us(max(ts))) / 3.6e9 AS age_hours,
        (epoch_us(TIMESTAMP '{R.RUN_TS}') - epoch_us(max(ts))) / 3.6e9 > 24.0 AS stale
 FROM events GROUP BY event_type
 """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meteoframe.functions import dates as D
-from meteoframe.functions.numeric import safe_number
+from meteoframe.functions.numeric import mean_half_up, safe_number, to_cents
 from meteoframe.functions.weather import dust_grade
 from meteoframe.operators.dedupe import keep_first, pick_one
 from meteoframe.operators.joins import join_dimension
@@ -54,12 +54,13 @@ def keep_first_rows(raw_with_arrival: DataFrame) -> DataFrame:
 
 def monthly_mean(daily: DataFrame) -> DataFrame:
     """MONTHLY_DUST_AVG_BY_STATION: mean of daily means per station and
-    'yyyy-MM' month (null means skipped; rows whose time did not parse have
+    'yyyy-MM' month, exact and rounded half up to 6 decimals (null means skipped; rows whose time did not parse have
     no month and are left out, as a group-by on a missing key leaves them)."""
     return (daily.filter(F.col("kst").isNotNull())
             .withColumn("MONTH", D.month_text("kst"))
             .groupBy("STN_ID", "MONTH")
-            .agg(F.round(F.avg("avg"), 6).alias("MONTHLY_AVG")))
+            .agg(F.sum(to_cents("avg")).alias("_s"), F.count("avg").alias("_n"))
+            .select("STN_ID", "MONTH", mean_half_up("_s", "_n", 6).alias("MONTHLY_AVG")))
 
 
 def monthly_analytics(monthly: DataFrame, stations: DataFrame) -> DataFrame:

@@ -117,7 +117,7 @@ def forecast_labels(spark, d):
 
 def forecast_discomfort(spark, d):
     return _processed(spark, d).select("FCST_DATE", "FCST_TIME", "LOCATION", "TMP", "REH",
-                                       F.round("DI", 6).alias("DI"), "DISCOMFORT_ALERT")
+                                       "DI", "DISCOMFORT_ALERT")
 
 
 def _forecast_target_source(spark, d):
@@ -132,12 +132,12 @@ def _forecast_target_source(spark, d):
 
 def forecast_upsert(spark, d):
     target, source = _forecast_target_source(spark, d)
-    return forecast.upsert(target, source).withColumn("DI", F.round("DI", 6))
+    return forecast.upsert(target, source)
 
 
 def forecast_retention(spark, d):
     p = _processed(spark, d, "20240101")
-    return forecast.retention(p, FORECAST_BASE_DATE).withColumn("DI", F.round("DI", 6))
+    return forecast.retention(p, FORECAST_BASE_DATE)
 
 
 # ------------------------------------------------------------------- score
@@ -253,7 +253,7 @@ def dq_freshness(spark, d):
     newest = ev.groupBy("event_type").agg(F.max("ts").alias("newest"))
     age = (F.unix_micros(F.lit(RUN_TS).cast("timestamp")) -
            F.unix_micros(F.col("newest").cast("timestamp"))) / 3.6e9
-    return newest.select("event_type", "newest", F.round(age, 6).alias("age_hours"),
+    return newest.select("event_type", "newest", age.alias("age_hours"),
                          (age > 24.0).alias("stale"))
 
 

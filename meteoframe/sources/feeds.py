@@ -18,7 +18,7 @@ from meteoframe.operators.quality import require_columns
 # Column widths of the typhoon listing, in TYPHOON_COLUMNS order.  The feed
 # publishes no layout (the edges are inferred from the data), so this is a
 # parameter; these widths hold every value the feed documents.
-TYPHOON_WIDTHS = [3, 5, 4, 4, 4, 13, 13, 7, 7, 5, 4, 6, 4, 6, 6, 5, 5, 5, 12, 5, 6]
+TYPHOON_WIDTHS = [3, 5, 12, 4, 4, 13, 13, 7, 7, 5, 4, 6, 4, 6, 6, 5, 5, 5, 12, 5, 6]
 
 
 def parse_fixed_width(lines: DataFrame, names: Sequence[str], widths: Sequence[int],
@@ -38,9 +38,15 @@ def parse_fixed_width(lines: DataFrame, names: Sequence[str], widths: Sequence[i
 
 
 def render_fixed_width(df: DataFrame, names: Sequence[str], widths: Sequence[int]) -> DataFrame:
-    """Inverse of parse_fixed_width: right-aligned fields, nulls blank."""
-    parts = [F.lpad(F.coalesce(F.col(n).cast("string"), F.lit("")), w, " ")
-             for n, w in zip(names, widths)]
+    """Inverse of parse_fixed_width: right-aligned fields, nulls blank.  A
+    value that does not fit its width (with one leading blank as separator)
+    fails the job instead of being cut."""
+    parts = []
+    for n, w in zip(names, widths):
+        v = F.coalesce(F.col(n).cast("string"), F.lit(""))
+        too_long = F.length(v) >= w
+        msg = F.concat(F.lit(f"value too wide for {n} ({w - 1} chars): "), v)
+        parts.append(F.when(too_long, F.raise_error(msg)).otherwise(F.lpad(v, w, " ")))
     return df.select(F.concat(*parts).alias("value"))
 
 
