@@ -143,5 +143,25 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def inline_rows(spark: SparkSession, rows: list, schema) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def inline_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A small fixed table as a local relation (``VALUES``): it lives in the
+    plan itself, so broadcasting or joining it needs no Python worker and no
+    job.  ``schema`` is DDL ('id int, name string'); values are cast to it."""
+    cols = [c.strip().split()[0] for c in schema.split(",")]
+    types = [" ".join(c.strip().split()[1:]) for c in schema.split(",")]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    body = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    names = ", ".join(f"c{i}" for i in range(len(cols)))
+    sel = ", ".join(f"CAST(c{i} AS {t}) AS `{n}`" for i, (n, t) in enumerate(zip(cols, types)))
+    return spark.sql(f"SELECT {sel} FROM VALUES {body} AS t({names})")

@@ -45,7 +45,7 @@ def write_fixed_width(df: DataFrame, path: str, names=K.TYPHOON_COLUMNS,
                       widths=feeds.TYPHOON_WIDTHS, header: str | None = None) -> str:
     lines = feeds.render_fixed_width(df, names, widths)
     if header is not None:
-        hdr = df.sparkSession.createDataFrame([(header,)], "value string")
+        hdr = feeds.inline_rows(df.sparkSession, [(header,)], "value string")
         lines = hdr.unionByName(lines)
     return write_lines(lines, path)
 

@@ -254,17 +254,15 @@ def observations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regions(spark: SparkSession) -> DataFrame:
     """The 17 score regions with their position (report tie-break order)."""
+    from meteoframe.sources.feeds import inline_rows
     rows = [(i, name, code) for i, (name, code) in enumerate(K.REGION_CODES)]
-    schema = T.StructType([T.StructField("region_idx", T.IntegerType()),
-                           T.StructField("region_name", T.StringType()),
-                           T.StructField("region_code", T.StringType())])
-    return spark.createDataFrame(rows, schema)
+    return inline_rows(spark, rows, "region_idx int, region_name string, region_code string")
 
 
 def holidays(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([T.StructField("holiday", T.DateType())])
-    import datetime as _dt
-    return spark.createDataFrame([(_dt.date.fromisoformat(d),) for d in K.HOLIDAYS], schema)
+    """The holiday calendar (a local relation: no job to broadcast it)."""
+    from meteoframe.sources.feeds import inline_rows
+    return inline_rows(spark, [(d,) for d in K.HOLIDAYS], "holiday date")
 
 
 # ======================================================================

@@ -19,7 +19,7 @@ from meteoframe.functions import dates as D
 from meteoframe.operators.quality import is_empty
 from meteoframe.plans import dust, forecast, quake, score, typhoon
 from meteoframe.session import configure
-from meteoframe.sources import feeds, text
+from meteoframe.sources import feeds, standins as S, text
 
 HOURLY_DUST_DDL = "DATE string, ORG string, STN string, PM10 string"
 MONTHLY_DDL = "STN_ID string, MONTH string, MONTHLY_AVG double"
@@ -152,8 +152,7 @@ def weekly_scores(spark: SparkSession, obs_landing: str, region_of_file, holiday
     configure(spark)
     obs = text.parse_observations(text.read_lines(spark, obs_landing))
     named = obs.withColumn("region_name", region_of_file(F.col("file")))
-    regions = spark.createDataFrame([(i, n, c) for i, (n, c) in enumerate(K.REGION_CODES)],
-                                    "region_idx int, region_name string, region_code string")
+    regions = S.regions(spark)
     coded = score.region_codes(named, regions).join(
         F.broadcast(regions.select("region_name", "region_idx")), "region_name")
     typed = coded.withColumn("ts", D.parse_ts("timestamp", D.STAMP_MINUTE))
