@@ -26,7 +26,9 @@ def _only(s: Column, chars: str) -> Column:
 
 
 def _plain_decimal(s: Column) -> Column:
-    return _only(s, "0123456789+-.eE") & F.substring(s, -1, 1).isin(*"0123456789.")
+    # only digits, sign, point, exponent; try_cast rejects bad arrangements
+    # of them ('1e', '+', '.', '1-2') just as DECIMAL_RE does
+    return _only(s, "0123456789+-.eE")
 
 
 def safe_double(c, stripped: bool = False) -> Column:

@@ -182,3 +182,19 @@ def test_mean_half_up_negative_zero(spark):
     df = spark.createDataFrame([(-0.01,), (0.0,), (0.0,)], "x double")
     got = df.agg(M.mean_half_up(F.sum(M.to_cents("x")), F.count("x"))).first()[0]
     assert got == 0.0 and str(got) == "0.0"
+
+
+@pytest.mark.parametrize("text", ["1e", "+", ".", "1-2", "--1", "e5", "1e+", ".e5", "1.5e", "+-1"])
+def test_safe_double_rejects_malformed(spark, text):
+    import re
+    from meteoframe.functions.numeric import DECIMAL_RE
+    assert re.match(DECIMAL_RE, text) is None
+    assert one(spark, M.safe_double("v"), text) is None
+
+
+@pytest.mark.parametrize("text,want", [("1.", 1.0), ("+.5", 0.5), ("1.e5", 100000.0), ("1E+5", 100000.0)])
+def test_safe_double_accepts_what_the_pattern_accepts(spark, text, want):
+    import re
+    from meteoframe.functions.numeric import DECIMAL_RE
+    assert re.match(DECIMAL_RE, text) is not None
+    assert one(spark, M.safe_double("v"), text) == want
