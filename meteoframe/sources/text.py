@@ -12,7 +12,7 @@ only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,14 @@ from meteoframe.functions.text import (before, is_comment_or_blank, padded_token
 LINE_BREAK = r"\r\n|\r|\n"
 
 
+def _count_rejects(df: DataFrame, valid: Column, observation: Observation | None) -> DataFrame:
+    """Attach 'lines' and 'rejected' counters (no extra pass) when asked."""
+    if observation is None:
+        return df
+    return df.observe(observation, F.count(F.lit(1)).alias("lines"),
+                      F.sum(F.when(valid, 0).otherwise(1)).alias("rejected"))
+
+
 def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """(file, pos, value) for every line of every file under ``path``.
 
@@ -69,9 +77,10 @@ def parse_dust(lines: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------- S2 daily dust mean
-def parse_daily_mean(lines: DataFrame) -> DataFrame:
+def parse_daily_mean(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
     """kst (timestamp), STN_ID, avg: '#'/'-' lines skipped, < 6 tokens dropped,
-    avg = number before '(' ('25(12)' -> 25.0); rows that fail are dropped."""
+    avg = number before '(' ('25(12)' -> 25.0); rows that fail are dropped
+    (counted in ``observation`` when one is given)."""
     body = (lines.filter(~is_comment_or_blank(F.col("value"), ("#", "-")))
             .withColumn("_p", tokens("value"))
             .filter(F.size("_p") >= 6))
@@ -79,6 +88,7 @@ def parse_daily_mean(lines: DataFrame) -> DataFrame:
         token("_p", 0).alias("kst_text"),
         token("_p", 2).alias("STN_ID"),
         safe_double(before(token("_p", 3), "(")).alias("avg"))
+    out = _count_rejects(out, F.col("avg").isNotNull(), observation)
     return (out.filter(F.col("avg").isNotNull())
             .withColumn("kst", D.parse_ts("kst_text", D.STATION_STAMP))
             .drop("kst_text"))
@@ -116,12 +126,14 @@ OBS_SCHEMA = T.StructType([
 ])
 
 
-def parse_observations(lines: DataFrame) -> DataFrame:
+def parse_observations(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Hourly observation rows from lines whose first character is a digit.
 
     A row is dropped when any of the seven tokens is missing or not numeric
     (wind_dir must be an integer) or the time does not parse; only then are
-    the -9 codes turned into null (precipitation -9 into 0.0).
+    the -9 codes turned into null (precipitation -9 into 0.0).  With an
+    ``Observation``, the data lines seen and rejected are counted in the same
+    pass (``observation.get`` after the first action).
     """
     keep = [c for c in ("file", "pos") if c in lines.columns]
     t = K.OBS_TOKENS
@@ -138,6 +150,7 @@ def parse_observations(lines: DataFrame) -> DataFrame:
     for c in ("wind_dir", "wind_speed", "temp", "humidity", "precipitation", "ground_temp"):
         valid = valid & F.col(c).isNotNull()
     code = K.OBS_MISSING
+    raw = _count_rejects(raw, valid, observation)
     return raw.filter(valid).select(
         "timestamp",
         D.fmt_ts(ts, D.READABLE).alias("timestamp_readable"),

@@ -107,3 +107,13 @@ def test_station_seed_with_bom(spark, tmp_dir):
               "\n90,2100.12.31.00:00,2006.12.08.12:00,속초,Sokcho,1,128.56,38.25,18.06,105,11D20401\n")
     got = feeds.read_station_seed(spark, p).first()
     assert got.STN_ID == "90" and got.LON == 128.56 and got.STN_KO == "속초"
+
+
+def test_rejected_lines_are_observed(spark, tmp_dir):
+    from pyspark.sql import Observation
+    body = ("2024.06.01.00:00 ORG1 108 25(12) 1 2\n2024.06.02.00:00 ORG1 108 x(1) 1 2\n"
+            "2024.06.03.00:00 ORG1 109 30(3) 1 2\n")
+    p = write(tmp_dir + "/avg2", "f.txt", body)
+    obs = Observation("daily")
+    assert text.parse_daily_mean(text.read_lines(spark, p), obs).count() == 2
+    assert obs.get == {"lines": 3, "rejected": 1}
