@@ -503,3 +503,32 @@ SELECT t.week_start,
 FROM ({_section(SCORE_TOP3)}) t JOIN ({_section(SCORE_BOTTOM3)}) b ON t.week_start = b.week_start
 """
 ORACLE["score_message"] = SCORE_MESSAGE
+
+# ------------------------------------------------------------ time text
+TS_FORMATS = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d%H%M') AS minute_text,
+       strftime(o_orderdate, '%Y.%m.%d.%H:%M') AS station_text,
+       strftime(o_orderdate, '%Y%m%d%H%M%S') AS second_text,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS iso_text,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M') AS readable,
+       strftime(date_trunc('hour', o_orderdate), '%Y%m%d%H') || '00' AS hour_stamp,
+       strftime(o_orderdate, '%Y-%m') AS month_text, strftime(o_orderdate, '%Y%m%d') AS day_text,
+       try_strptime(strftime(o_orderdate, '%Y%m%d%H%M'), '%Y%m%d%H%M') AS from_minute,
+       try_strptime(strftime(o_orderdate, '%Y.%m.%d.%H:%M'), '%Y.%m.%d.%H:%M') AS from_station,
+       try_strptime(strftime(o_orderdate, '%Y%m%d%H%M%S'), '%Y%m%d%H%M%S') AS from_second,
+       try_strptime(strftime(o_orderdate, '%Y%m%d') || '2400', '%Y%m%d%H%M') AS from_hour24
+FROM orders
+"""
+
+WEEK_WINDOW = """
+SELECT run_date,
+       strftime(run_date - INTERVAL 7 DAY, '%Y%m%d') || '0000' AS tm1,
+       strftime(run_date - INTERVAL 1 DAY, '%Y%m%d') || '2300' AS tm2,
+       CAST(date_trunc('month', run_date) - INTERVAL 1 MONTH AS DATE) AS prev_month_first,
+       CAST(date_trunc('month', run_date) - INTERVAL 1 DAY AS DATE) AS prev_month_last,
+       CAST(run_date AS TIMESTAMP) AS day_start,
+       CAST(run_date AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 SECOND AS day_end
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS run_date FROM events) d
+"""
+ORACLE["ts_formats"] = TS_FORMATS
+ORACLE["week_window"] = WEEK_WINDOW

@@ -228,6 +228,38 @@ def month_days(spark, d):
     return o.select("run_month", F.explode(G.month_days("run_month")).alias("day"))
 
 
+# --------------------------------------------------------------- time text
+def ts_formats(spark, d):
+    """Every order time written in each feed layout and parsed back (F22,
+    F23, F24, F31); an unparsable text (hour 24) parses to null."""
+    o = S.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    t = F.col("o_orderdate")
+    minute = D.fmt_ts(t, D.STAMP_MINUTE)
+    station = D.fmt_ts(t, D.STATION_STAMP)
+    second = D.fmt_ts(t, D.STAMP_SECOND)
+    bad = F.concat(F.date_format(t, "yyyyMMdd"), F.lit("2400"))
+    return o.select(
+        "o_orderkey", minute.alias("minute_text"), station.alias("station_text"),
+        second.alias("second_text"), D.ts_text(t).alias("iso_text"),
+        D.fmt_ts(t, D.READABLE).alias("readable"), D.hour_stamp(t).alias("hour_stamp"),
+        D.month_text(t).alias("month_text"), F.date_format(t, "yyyyMMdd").alias("day_text"),
+        D.parse_ts(minute, D.STAMP_MINUTE).alias("from_minute"),
+        D.parse_ts(station, D.STATION_STAMP).alias("from_station"),
+        D.parse_ts(second, D.STAMP_SECOND).alias("from_second"),
+        D.parse_ts(bad, D.STAMP_MINUTE).alias("from_hour24"))
+
+
+def week_window(spark, d):
+    """Per run date (every event day): last week's request window text,
+    the previous month's bounds and the day's [start, end] range (F26, F27)."""
+    days = S.table(spark, d, "events").select(F.to_date("ts").alias("run_date")).distinct()
+    tm1, tm2 = D.last_week_range(F.col("run_date"))
+    first, last = D.previous_month_bounds(F.col("run_date"))
+    start, end = D.day_range_bounds(F.col("run_date"))
+    return days.select("run_date", tm1.alias("tm1"), tm2.alias("tm2"), first.alias("prev_month_first"),
+                       last.alias("prev_month_last"), start.alias("day_start"), end.alias("day_end"))
+
+
 # ------------------------------------------------------------------ quality
 def dq_unique(spark, d):
     return Q.unique_violations(S.hourly_dust(spark, d), ["DATE", "STN"])
@@ -309,6 +341,8 @@ QUERIES = {
     "score_message": score_message,
     "score_upsert": score_upsert,
     "dq_empty": dq_empty,
+    "ts_formats": ts_formats,
+    "week_window": week_window,
     "time_grid_6h": time_grid_6h,
     "time_grid_step": time_grid_step,
     "month_days": month_days,
