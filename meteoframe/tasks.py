@@ -163,3 +163,42 @@ def weekly_scores(spark: SparkSession, obs_landing: str, region_of_file, holiday
     sinks.upsert_table(spark, table, score.score_table(scored), ["region_code", "date"])
     top, bottom = score.ranked(scored)
     return score.weekly_message(top, bottom, score.report(scored))
+
+
+# ---------------------------------------------------------------- streaming
+def stream_hourly_dust(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
+                       encoding: str = "EUC-KR", delay: str = "2 hours") -> None:
+    """Hourly dust files as a stream: each landed file is read once; a
+    (DATE, STN) reading delivered again within ``delay`` of its hour (a
+    re-run fetch) is dropped, so re-runs no longer duplicate rows; new rows
+    are appended to the parquet folder ``table_path``.  Run it on a schedule
+    (it stops when the landed files are drained) or continuously."""
+    configure(spark)
+    from meteoframe.streaming import jobs
+    lines = jobs.text_lines_stream(spark, landing, encoding)
+    rows = text.parse_dust(lines).withColumn("event_time", D.parse_ts("DATE", D.STAMP_MINUTE))
+    rows = rows.filter(F.col("event_time").isNotNull())
+    deduped = jobs.dedupe_within_watermark(rows, ["DATE", "STN"], "event_time", delay)
+    jobs.run_available(deduped.select(*dust.RAW_COLUMNS), table_path, checkpoint)
+
+
+def stream_forecast(spark: SparkSession, json_landing: str, coords_csv: str, table: str,
+                    base_date: str, checkpoint: str) -> None:
+    """Forecast response files as a stream, each micro-batch located,
+    pivoted, labelled and merged into ``table`` (the MERGE is idempotent by
+    key, so a replayed batch changes nothing)."""
+    configure(spark)
+    from meteoframe.streaming import jobs
+    coords = feeds.read_coordinates(spark, coords_csv)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        items = feeds.forecast_items(batch)
+        rows = forecast.process(forecast.wide(forecast.locate(items, coords)), base_date)
+        if not batch.sparkSession.catalog.tableExists(table):
+            sinks.overwrite(rows.limit(0), table)
+        if not is_empty(rows):
+            sinks.upsert_table(batch.sparkSession, table, rows, forecast.KEYS, order=[("BASE_TIME", False)])
+
+    stream = (spark.readStream.schema("value string").option("recursiveFileLookup", True)
+              .text(json_landing))
+    jobs.run_foreach_batch(stream, handle, checkpoint)

@@ -107,3 +107,27 @@ def test_monthly_and_analytics_jobs(spark, tmp_dir):
     S.hourly_dust(spark, SF).write.saveAsTable(raw, path=tmp_dir + "/hourly")
     grades = tasks.build_hourly_dust_analytics(spark, raw, st, f"{db}.hourly_analytics")
     assert _rows(grades) == _rows(registry.dust_current_grades(spark, SF))
+
+
+def test_streaming_jobs(spark, tmp_dir):
+    import os
+    os.makedirs(tmp_dir + "/land")
+    def land(name, body):
+        with open(f"{tmp_dir}/land/{name}", "wb") as f:
+            f.write(body.encode("euc-kr"))
+    land("h01.txt", "# 관측\n202406080100 o 108 35\n202406080100 o 109 40\n")
+    tasks.stream_hourly_dust(spark, tmp_dir + "/land", tmp_dir + "/dust", tmp_dir + "/ck1")
+    land("h01_rerun.txt", "202406080100 o 108 35\n202406080200 o 108 41\n")  # re-run + next hour
+    tasks.stream_hourly_dust(spark, tmp_dir + "/land", tmp_dir + "/dust", tmp_dir + "/ck1")
+    got = sorted((r.DATE, r.STN) for r in spark.read.parquet(tmp_dir + "/dust").collect())
+    assert got == [("202406080100", "108"), ("202406080100", "109"), ("202406080200", "108")]
+
+    db = _db(spark, tmp_dir)
+    items = S.forecast_items(spark, SF)
+    render.write_lines(render.forecast_responses(items), tmp_dir + "/fc/run0")
+    from meteoframe import sinks
+    sinks.write_csv(S.coordinates(spark, SF), tmp_dir + "/coords")
+    tasks.stream_forecast(spark, tmp_dir + "/fc", tmp_dir + "/coords", f"{db}.fc", "20240115", tmp_dir + "/ck2")
+    first = spark.table(f"{db}.fc").count()
+    tasks.stream_forecast(spark, tmp_dir + "/fc", tmp_dir + "/coords", f"{db}.fc", "20240115", tmp_dir + "/ck2")
+    assert spark.table(f"{db}.fc").count() == first > 0
