@@ -310,8 +310,7 @@ def shape_columns(spark, d):
 
 
 def preview(spark, d):
-    return quake.region_latest(quake.domestic(S.raw_eq_world(spark, d))) \
-        .orderBy(F.col("eq_count").desc(), F.col("region")).limit(5)
+    return quake.by_count(quake.region_latest(quake.domestic(S.raw_eq_world(spark, d)))).limit(5)
 
 
 QUERIES = {
