@@ -6,7 +6,10 @@ fields are the order keys.  That is an ordinary aggregate: Spark combines it
 map-side (partial aggregation) before the shuffle, so a key that holds a third
 of all rows is reduced to one row per map task and never lands whole in one
 task.  Struct comparison is field by field, so every later field is the
-tie-break and the pick is deterministic.
+tie-break and the pick is deterministic.  With string fields in the struct
+Spark plans a sort-based aggregate (the buffer is not fixed-width); it still
+runs partially before the exchange, so the hot-key reduction holds, and its
+sorts spill to disk instead of failing on memory.
 """
 
 from __future__ import annotations
