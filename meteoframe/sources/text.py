@@ -43,11 +43,19 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
     0-based position.
     """
     raw = spark.read.format("binaryFile").load(path)
-    text = F.decode(F.col("content"), encoding)
+    # a file is one row: refuse files that cannot be one (use scan_lines)
+    too_big = F.col("length") > F.lit(MAX_WHOLE_FILE_BYTES)
+    content = F.when(too_big, F.raise_error(F.concat(
+        F.lit("landed file too large for a positional read, use scan_lines: "), F.col("path"))))
+    text = F.decode(content.otherwise(F.col("content")), encoding)
     return (raw.select(F.col("path").alias("file"),
                        F.posexplode(F.split(text, LINE_BREAK)).alias("pos", "value")))
 
 
+# largest file read whole by ``read_lines`` (a row holds at most 2 GB)
+MAX_WHOLE_FILE_BYTES = 1 << 30
+
+
 def scan_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """(file, value) for every non-blank line, in any charset, splittable.
 
