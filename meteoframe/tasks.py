@@ -84,24 +84,40 @@ def seed_station_master(spark: SparkSession, station_list: str, table: str,
 
 
 # ------------------------------------------------------------- earthquakes
-def load_earthquakes_day(spark: SparkSession, xml_landing: str, table: str, day: str,
-                         run_ts: str | None = None) -> int:
-    """Replace ``day``'s reports in ``table`` with the landed XML of that day."""
+def load_earthquakes(spark: SparkSession, xml_landing: str, table: str, first_day: str,
+                     last_day: str | None = None, run_ts: str | None = None) -> int:
+    """Replace the reports of ``first_day``..``last_day`` (inclusive; one day
+    by default, a backfill when longer) in ``table`` with the landed XML of
+    those days.  Rerunning gives the same table.  Returns the rows now held
+    for the range."""
     configure(spark)
     run_ts = run_ts or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     rows = feeds.read_earthquake_xml(spark, xml_landing, run_ts)
     if not spark.catalog.tableExists(table):
         sinks.overwrite(rows.limit(0), table)
-    start, end = D.day_range_bounds(F.lit(day))
-    in_day = D.parse_ts("eqDate", D.STAMP_SECOND).between(start, end)
-    sinks.replace_rows(spark, table, rows.filter(in_day), in_day)
-    return spark.table(table).filter(in_day).count()
+    start, _ = D.day_range_bounds(F.lit(first_day))
+    _, end = D.day_range_bounds(F.lit(last_day or first_day))
+    in_range = D.parse_ts("eqDate", D.STAMP_SECOND).between(start, end)
+    sinks.replace_rows(spark, table, rows.filter(in_range), in_range)
+    return spark.table(table).filter(in_range).count()
+
+
+def load_earthquakes_day(spark: SparkSession, xml_landing: str, table: str, day: str,
+                         run_ts: str | None = None) -> int:
+    """The daily load: replace one day's reports."""
+    return load_earthquakes(spark, xml_landing, table, day, None, run_ts)
 
 
 def build_eq_region_tables(spark: SparkSession, raw_table: str, domestic_out: str,
-                           foreign_out: str) -> tuple[DataFrame, DataFrame]:
+                           foreign_out: str, views: tuple[str, str] | None = None
+                           ) -> tuple[DataFrame, DataFrame]:
+    """Domestic / foreign source views (stored queries, re-evaluated on
+    read) and the two per-region tables (full rebuilds)."""
     configure(spark)
     raw = spark.table(raw_table)
+    if views:
+        sinks.create_view(quake.domestic(raw), views[0])
+        sinks.create_view(quake.foreign(raw), views[1])
     sinks.overwrite(quake.region_latest(quake.domestic(raw)), domestic_out)
     sinks.overwrite(quake.region_max(quake.foreign(raw)), foreign_out)
     return spark.table(domestic_out), spark.table(foreign_out)

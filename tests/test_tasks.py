@@ -57,8 +57,19 @@ def test_typhoon_and_earthquake_jobs(spark, tmp_dir):
     n = tasks.load_earthquakes_day(spark, tmp_dir + "/eq", f"{db}.raw_eq_world", day, "2024-02-01 08:00:00")
     want = eq.filter(F.substring("eqDate", 1, 8) == day.replace("-", "")).count()
     assert n == want == spark.table(f"{db}.raw_eq_world").count()
-    dom, fgn = tasks.build_eq_region_tables(spark, f"{db}.raw_eq_world", f"{db}.eq_do", f"{db}.eq_fo")
+    dom, fgn = tasks.build_eq_region_tables(spark, f"{db}.raw_eq_world", f"{db}.eq_do", f"{db}.eq_fo",
+                                            views=("src_eq_do", "src_eq_fo"))
     assert dom.count() >= 0 and fgn.count() >= 0
+    assert spark.table("src_eq_do").count() == spark.table(f"{db}.raw_eq_world").filter(
+        "nkDiv = 'N' AND cntDiv = 'Y' AND msgCode = '지진정보'").count()
+    # a backfill over a range, then the same range again: same table
+    n = tasks.load_earthquakes(spark, tmp_dir + "/eq", f"{db}.raw_eq_world", "1998-08-01", "1998-08-31",
+                               "2024-02-01 08:00:00")
+    want = eq.filter(F.substring("eqDate", 1, 6) == "199808").count()
+    assert n == want
+    assert tasks.load_earthquakes(spark, tmp_dir + "/eq", f"{db}.raw_eq_world", "1998-08-01", "1998-08-31",
+                                  "2024-02-01 08:00:00") == want
+    assert spark.table(f"{db}.raw_eq_world").count() == want
 
 
 def test_forecast_and_score_jobs(spark, tmp_dir):
