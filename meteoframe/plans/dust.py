@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meteoframe.functions import dates as D
@@ -14,30 +14,44 @@ from meteoframe.operators.joins import join_dimension
 RAW_COLUMNS = ["DATE", "ORG", "STN", "PM10"]
 
 
-def latest_snapshot(raw: DataFrame, col: str = "DATE") -> DataFrame:
+def latest_snapshot(raw: DataFrame, col: str = "DATE", newest=None) -> DataFrame:
     """Rows of the newest ``col`` value (``WHERE col = (SELECT MAX(col) ...)``).
 
-    The maximum is computed first (one small job over a single column; on a
-    table partitioned by ``col`` Spark answers it from partition metadata)
-    and then applied as a literal, so the filter reaches the scan and prunes
-    partitions instead of joining the whole table to a subquery.
+    The maximum is computed first (one small job over a single column, or
+    given as ``newest`` - see ``newest_partition``) and then applied as a
+    literal, so the filter reaches the scan and prunes partitions instead of
+    joining the whole table to a subquery.
     """
-    newest = raw.agg(F.max(col).alias("m")).first()["m"]
+    if newest is None:
+        newest = raw.agg(F.max(col).alias("m")).first()["m"]
     if newest is None:
         return raw.limit(0)
     return raw.filter(F.col(col) == F.lit(newest))
 
 
+def newest_partition(spark: SparkSession, table: str, col: str):
+    """Largest value of partition column ``col`` of a catalog table, read
+    from the partition list (metadata only, no data file opened); None when
+    ``col`` is not a partition column or the table has no partitions."""
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if col not in parts:
+        return None
+    listing = spark.sql(f"SHOW PARTITIONS {table}")
+    value = F.regexp_extract(F.col("partition"), rf"(?:^|/){col}=([^/]*)", 1)
+    row = listing.agg(F.max(value).alias("m")).first()
+    return row["m"] if row and row["m"] not in (None, "") else None
+
+
 def dedupe_snapshot(raw: DataFrame) -> DataFrame:
     """One row per (DATE, STN).  The feed's order key is itself a partition
     key, so any row may win; ORG then PM10 (greatest) make the pick fixed."""
     return pick_one(raw.select(*RAW_COLUMNS), ["DATE", "STN"], [], take="max")
 
 
-def current_grades(raw: DataFrame, stations: DataFrame) -> DataFrame:
+def current_grades(raw: DataFrame, stations: DataFrame, newest=None) -> DataFrame:
     """HOURLY_DUST_ANALYTICS: newest snapshot, deduped, joined to the station
     master (unknown stations drop), PM10 as NUMBER and its grade."""
-    snap = dedupe_snapshot(latest_snapshot(raw))
+    snap = dedupe_snapshot(latest_snapshot(raw, newest=newest))
     st = stations.select(F.col("STN_ID").cast("string").alias("STN"), "STN_ID", "STN_KO", "LON", "LAT")
     j = join_dimension(snap, st, "STN")
     return j.select("DATE", "STN_ID", "STN_KO", "LON", "LAT",

@@ -43,9 +43,12 @@ def load_hourly_dust(spark: SparkSession, landing: str, table: str, encoding: st
 
 def build_hourly_dust_analytics(spark: SparkSession, raw_table: str, station_table: str,
                                 out_table: str) -> DataFrame:
-    """CREATE OR REPLACE the current-grades table from the raw table."""
+    """CREATE OR REPLACE the current-grades table from the raw table (the
+    newest snapshot comes from partition metadata when the raw table is
+    partitioned by DATE)."""
     configure(spark)
-    out = dust.current_grades(spark.table(raw_table), spark.table(station_table))
+    newest = dust.newest_partition(spark, raw_table, "DATE")
+    out = dust.current_grades(spark.table(raw_table), spark.table(station_table), newest)
     sinks.overwrite(out, out_table)
     return spark.table(out_table)
 

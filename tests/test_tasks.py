@@ -142,3 +142,17 @@ def test_streaming_jobs(spark, tmp_dir):
     first = spark.table(f"{db}.fc").count()
     tasks.stream_forecast(spark, tmp_dir + "/fc", tmp_dir + "/coords", f"{db}.fc", "20240115", tmp_dir + "/ck2")
     assert spark.table(f"{db}.fc").count() == first > 0
+
+
+def test_newest_snapshot_from_partition_metadata(spark, tmp_dir):
+    from meteoframe.plans import dust
+    db = _db(spark, tmp_dir)
+    raw = f"{db}.hourly_p"
+    S.hourly_dust(spark, SF).write.partitionBy("DATE").saveAsTable(raw, path=tmp_dir + "/hp")
+    newest = dust.newest_partition(spark, raw, "DATE")
+    assert newest == S.hourly_dust(spark, SF).agg({"DATE": "max"}).first()[0]
+    assert dust.newest_partition(spark, raw, "STN") is None
+    st = f"{db}.st"
+    S.station_master(spark, SF).write.saveAsTable(st, path=tmp_dir + "/st")
+    out = tasks.build_hourly_dust_analytics(spark, raw, st, f"{db}.grades")
+    assert _rows(out) == _rows(registry.dust_current_grades(spark, SF))
