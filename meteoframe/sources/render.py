@@ -50,11 +50,16 @@ def write_fixed_width(df: DataFrame, path: str, names=K.TYPHOON_COLUMNS,
     return write_lines(lines, path)
 
 
-def write_eq_xml(df: DataFrame, path: str) -> str:
-    """<earthqueakNoti><info>...</info></earthqueakNoti>; null tags omitted."""
+def write_eq_xml(df: DataFrame, path: str, compression: str | None = None) -> str:
+    """<earthqueakNoti><info>...</info></earthqueakNoti>; null tags omitted.
+    ``compression`` (e.g. 'gzip') compresses each file; the reader decodes
+    it from the file suffix."""
     out = df.select(*[F.col("reFer" if t == "ReFer" else t).alias(t) for t in K.EQ_TAGS])
-    (out.write.mode("overwrite").format("xml").option("rowTag", "info")
-     .option("rootTag", "earthqueakNoti").save(path))
+    w = (out.write.mode("overwrite").format("xml").option("rowTag", "info")
+         .option("rootTag", "earthqueakNoti"))
+    if compression:
+        w = w.option("compression", compression)
+    w.save(path)
     return path
 
 
