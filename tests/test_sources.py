@@ -120,11 +120,12 @@ def test_rejected_lines_are_observed(spark, tmp_dir):
 
 
 def test_compressed_xml_landing(spark, tmp_dir):
+    from pyspark.sql import functions as F
     from meteoframe.sources import render
     df = spark.createDataFrame([("지진정보", "a b c", "x\ny")], "msgCode string, eqPt string, reFer string")
     for t in K.EQ_TAGS:
         if t not in ("msgCode", "eqPt", "ReFer"):
-            df = df.withColumn(t, __import__("pyspark.sql.functions", fromlist=["lit"]).lit(None).cast("string"))
+            df = df.withColumn(t, F.lit(None).cast("string"))
     render.write_eq_xml(df, tmp_dir + "/xmlgz", compression="gzip")
     got = feeds.read_earthquake_xml(spark, tmp_dir + "/xmlgz", "2024-01-01 00:00:00").first()
     assert got.msgCode == "지진정보" and got.reFer == "x y"
