@@ -356,7 +356,7 @@ QUERIES = {
 }
 
 
-def _all_queries():
+def all_queries():
     from meteoframe.landing import ROUNDTRIP_QUERIES
     from meteoframe.streaming.queries import STREAM_QUERIES
     out = dict(QUERIES)
