@@ -177,9 +177,12 @@ def weekly_scores(spark: SparkSession, obs_landing: str, region_of_file, holiday
     typed = coded.withColumn("ts", D.parse_ts("timestamp", D.STAMP_MINUTE))
     filtered = score.weekend_or_holiday(typed, holidays)
     scored = score.scores(score.weekly_summary(filtered, with_days=True)).checkpoint()
-    if not spark.catalog.tableExists(table):
-        sinks.overwrite(score.score_table(scored).limit(0), table)
-    sinks.upsert_table(spark, table, score.score_table(scored), ["region_code", "date"])
+    rows = score.score_table(scored)
+    # partitioned by run date (part of the merge key): a weekly MERGE reads
+    # and rewrites only the run dates it touches
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    sinks.create_if_absent(spark, table, ddl, partitioned_by=["date"])
+    sinks.upsert_table(spark, table, rows, ["region_code", "date"], partition_col="date")
     top, bottom = score.ranked(scored)
     return score.weekly_message(top, bottom, score.report(scored))
 

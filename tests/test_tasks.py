@@ -95,7 +95,8 @@ def test_forecast_and_score_jobs(spark, tmp_dir):
     region_of = lambda f: F.regexp_extract(F.url_decode(f), "region_name=([^/]+)/", 1)
     msgs = tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), f"{db}.weather_score")
     assert msgs.count() == registry.score_message(spark, SF).count()
-    assert _rows(spark.table(f"{db}.weather_score")) == _rows(
+    cols = registry.score.SCORE_COLUMNS
+    assert _rows(spark.table(f"{db}.weather_score").select(*cols)) == _rows(
         registry.score.score_table(registry._scored(spark, SF)))
 
 
@@ -156,3 +157,23 @@ def test_newest_snapshot_from_partition_metadata(spark, tmp_dir):
     S.station_master(spark, SF).write.saveAsTable(st, path=tmp_dir + "/st")
     out = tasks.build_hourly_dust_analytics(spark, raw, st, f"{db}.grades")
     assert _rows(out) == _rows(registry.dust_current_grades(spark, SF))
+
+
+def test_score_table_partitioned_merge(spark, tmp_dir):
+    db = _db(spark, tmp_dir)
+    obs = S.observations_raw(spark, SF).join(S.regions(spark), "region_idx")
+    toks = ([F.col("timestamp"), F.col("region_code"), F.col("wind_dir").cast("string"),
+             F.col("wind_speed").cast("string")] + [F.lit("0")] * 7 +
+            [F.col("temp").cast("string"), F.lit("0"), F.col("humidity").cast("string"), F.lit("0"),
+             F.col("precipitation").cast("string")] + [F.lit("0")] * 21 + [F.col("ground_temp").cast("string")])
+    render.write_lines(obs.select(F.concat_ws(" ", *toks).alias("value"), "region_name"),
+                       tmp_dir + "/obs", by="region_name", partitions=4)
+    region_of = lambda f: F.regexp_extract(F.url_decode(f), "region_name=([^/]+)/", 1)
+    t = f"{db}.weather_score"
+    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t)
+    cols = registry.score.SCORE_COLUMNS
+    once = _rows(spark.table(t).select(*cols))
+    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t)  # rerun: same table
+    assert _rows(spark.table(t).select(*cols)) == once
+    parts = [r.partition for r in spark.sql(f"SHOW PARTITIONS {t}").collect()]
+    assert len(parts) == len({r[2] for r in once}) and all(p.startswith("date=") for p in parts)
