@@ -110,9 +110,27 @@ def replace_partition(spark: SparkSession, table: str, new_rows: DataFrame,
         spark.catalog.dropTempView(view)
 
 
-def retain_rows(spark: SparkSession, table: str, keep: Column) -> None:
-    """DELETE WHERE NOT keep (rows whose predicate is null are kept)."""
-    _rewrite(spark, table, retain(spark.table(table), keep), dynamic=False)
+def retain_rows(spark: SparkSession, table: str, keep: Column, partition_col: str | None = None,
+                in_partitions: Column | None = None) -> None:
+    """DELETE WHERE NOT keep (rows whose predicate is null are kept).
+
+    For a table partitioned by ``partition_col``, ``in_partitions`` (a
+    predicate on that column) names the only partitions that can hold rows
+    to delete: just those are read and rewritten (dynamic overwrite), and
+    any that end up empty are cleared by a static partition overwrite.
+    """
+    if partition_col is None or in_partitions is None:
+        _rewrite(spark, table, retain(spark.table(table), keep), dynamic=False)
+        return
+    affected = spark.table(table).filter(in_partitions)
+    kept = retain(affected, keep).checkpoint(eager=True)
+    emptied = (affected.select(partition_col).distinct()
+               .join(kept.select(partition_col).distinct(), partition_col, "left_anti"))
+    # one value per partition: a metadata-sized list
+    for row in emptied.collect():
+        replace_partition(spark, table, kept.limit(0), partition_col, row[0])
+    if not kept.isEmpty():
+        _rewrite(spark, table, kept, dynamic=True)
 
 
 # -------------------------------------------------------------- exports

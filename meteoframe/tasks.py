@@ -145,15 +145,23 @@ def load_forecast(spark: SparkSession, json_landing: str, coords_csv: str, table
                   base_date: str, export_base: str | None = None) -> DataFrame:
     """Forecast responses -> located, pivoted, labelled rows -> retention
     (FCST_DATE < base_date deleted) -> MERGE; optional CSV export to a dated
-    folder and a 'latest' copy."""
+    folder and a 'latest' copy.
+
+    The table is partitioned by BASE_DATE (part of the merge key): the MERGE
+    rewrites only the run's base dates, and retention reads only partitions
+    with BASE_DATE < base_date - a forecast date is never before its base
+    date, so no other partition can hold an expired row.
+    """
     configure(spark)
     items = feeds.read_forecast_json(spark, json_landing)
     coords = feeds.read_coordinates(spark, coords_csv)
     rows = forecast.process(forecast.wide(forecast.locate(items, coords)), base_date).checkpoint()
-    if not spark.catalog.tableExists(table):
-        sinks.overwrite(rows.limit(0), table)
-    sinks.retain_rows(spark, table, ~(F.col("FCST_DATE") < F.lit(base_date)))
-    sinks.upsert_table(spark, table, rows, forecast.KEYS, order=[("BASE_TIME", False)])
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    sinks.create_if_absent(spark, table, ddl, partitioned_by=["BASE_DATE"])
+    sinks.retain_rows(spark, table, ~(F.col("FCST_DATE") < F.lit(base_date)), "BASE_DATE",
+                      F.col("BASE_DATE") < F.lit(base_date))
+    sinks.upsert_table(spark, table, rows, forecast.KEYS, order=[("BASE_TIME", False)],
+                       partition_col="BASE_DATE")
     if export_base:
         sinks.write_dated_and_latest(rows, export_base, base_date)
     return rows

@@ -93,3 +93,19 @@ def test_namespace_switch(spark, tmp_dir):
         assert spark.catalog.currentDatabase() == db
     finally:
         sinks.use_namespace(spark, prev)
+
+
+def test_partition_limited_retention(spark, tmp_dir):
+    db = _db(spark, tmp_dir)
+    t = f"{db}.fc"
+    sinks.create_if_absent(spark, t, "FCST_DATE string, v int, BASE_DATE string", partitioned_by=["BASE_DATE"])
+    sinks.append(spark.createDataFrame(
+        [("20240101", 1, "20240101"), ("20240102", 2, "20240101"),     # whole partition expires
+         ("20240108", 3, "20240108"), ("20240120", 4, "20240108"),     # half of it expires
+         ("20240120", 5, "20240115")],                                 # untouched partition
+        "FCST_DATE string, v int, BASE_DATE string"), t)
+    sinks.retain_rows(spark, t, ~(F.col("FCST_DATE") < "20240110"), "BASE_DATE", F.col("BASE_DATE") < "20240110")
+    assert sorted(r.v for r in spark.table(t).collect()) == [4, 5]
+    assert sorted(r.partition for r in spark.sql(f"SHOW PARTITIONS {t}").collect() if
+                  spark.table(t).filter(F.col("BASE_DATE") == r.partition.split("=")[1]).count()) == [
+        "BASE_DATE=20240108", "BASE_DATE=20240115"]

@@ -84,6 +84,11 @@ def test_forecast_and_score_jobs(spark, tmp_dir):
     assert rows.count() == registry.forecast_labels(spark, SF).count()
     # MERGE keeps one row per key (two locations can share a name)
     assert table.count() == rows.select(*tasks.forecast.KEYS).distinct().count()
+    # a later run: expired forecasts leave, only old base-date partitions are touched
+    tasks.load_forecast(spark, tmp_dir + "/fc", tmp_dir + "/coords", f"{db}.forecast", "20240122")
+    later = spark.table(f"{db}.forecast")
+    assert later.filter("FCST_DATE < '20240122'").count() == 0
+    assert later.count() == rows.filter("FCST_DATE >= '20240122'").select(*tasks.forecast.KEYS).distinct().count()
     # observation files, one folder per region
     obs = S.observations_raw(spark, SF).join(S.regions(spark), "region_idx")
     toks = ([F.col("timestamp"), F.col("region_code"), F.col("wind_dir").cast("string"),
