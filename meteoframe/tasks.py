@@ -224,10 +224,11 @@ def stream_forecast(spark: SparkSession, json_landing: str, coords_csv: str, tab
     def handle(batch: DataFrame, batch_id: int) -> None:
         items = feeds.forecast_items(batch)
         rows = forecast.process(forecast.wide(forecast.locate(items, coords)), base_date)
-        if not batch.sparkSession.catalog.tableExists(table):
-            sinks.overwrite(rows.limit(0), table)
+        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+        sinks.create_if_absent(batch.sparkSession, table, ddl, partitioned_by=["BASE_DATE"])
         if not is_empty(rows):
-            sinks.upsert_table(batch.sparkSession, table, rows, forecast.KEYS, order=[("BASE_TIME", False)])
+            sinks.upsert_table(batch.sparkSession, table, rows, forecast.KEYS,
+                               order=[("BASE_TIME", False)], partition_col="BASE_DATE")
 
     stream = (spark.readStream.schema("value string").option("recursiveFileLookup", True)
               .text(json_landing))
