@@ -189,3 +189,16 @@ def test_union_all_missing_columns_and_empty(spark):
     e = spark.createDataFrame([], "id int, s string")
     got = rows(O.union_all([a, e, b]))
     assert got == [(1, "x"), (2, None)]
+
+
+def test_weekend_and_holiday_tags(spark):
+    from meteoframe.sources import standins as S
+    days = [("2024-02-09 10:00", "공휴일", True), ("2024-02-10 10:00", "공휴일", True),
+            ("2024-01-08 10:00", "평일", False), ("2024-02-11 10:00", "공휴일", True),
+            ("2024-01-13 10:00", "주말", True)]
+    df = spark.createDataFrame([(d,) for d, _, _ in days], "t string").selectExpr(
+        "CAST(to_timestamp(t) AS timestamp_ntz) AS ts")
+    flags = score.day_flags(df, S.holidays(spark)).orderBy("ts").collect()
+    assert [r.day_tag for r in flags] == [t for _, t, _ in sorted(days)]
+    kept = score.weekend_or_holiday(df, S.holidays(spark)).count()
+    assert kept == sum(1 for _, _, k in days if k)

@@ -129,3 +129,14 @@ def test_compressed_xml_landing(spark, tmp_dir):
     render.write_eq_xml(df, tmp_dir + "/xmlgz", compression="gzip")
     got = feeds.read_earthquake_xml(spark, tmp_dir + "/xmlgz", "2024-01-01 00:00:00").first()
     assert got.msgCode == "지진정보" and got.reFer == "x y"
+
+
+def test_fixed_width_field_filling_its_width(spark):
+    lines = spark.createDataFrame([("12320245   x",), ("# c",)], "value string")
+    got = feeds.parse_fixed_width(lines, ["FT", "YY", "R"], [3, 5, 4]).collect()
+    assert [tuple(r) for r in got] == [("123", "20245", "x")]
+
+
+def test_xml_feed_without_info(spark, tmp_dir):
+    write(tmp_dir + "/xml0", "a.xml", "<root><earthqueakNoti></earthqueakNoti></root>")
+    assert feeds.read_earthquake_xml(spark, tmp_dir + "/xml0", "2024-01-01 00:00:00").count() == 0

@@ -182,3 +182,17 @@ def test_score_table_partitioned_merge(spark, tmp_dir):
     assert _rows(spark.table(t).select(*cols)) == once
     parts = [r.partition for r in spark.sql(f"SHOW PARTITIONS {t}").collect()]
     assert len(parts) == len({r[2] for r in once}) and all(p.startswith("date=") for p in parts)
+
+
+def test_stream_dust_drops_late_rows(spark, tmp_dir):
+    import os
+    os.makedirs(tmp_dir + "/late")
+    with open(tmp_dir + "/late/a.txt", "wb") as f:
+        f.write("202406081000 o 108 35\n".encode("euc-kr"))
+    tasks.stream_hourly_dust(spark, tmp_dir + "/late", tmp_dir + "/out", tmp_dir + "/ck")
+    with open(tmp_dir + "/late/b.txt", "wb") as f:   # 05:00 is behind the 08:00 watermark
+        f.write("202406080500 o 109 20\n202406081100 o 109 22\n".encode("euc-kr"))
+    tasks.stream_hourly_dust(spark, tmp_dir + "/late", tmp_dir + "/out", tmp_dir + "/ck")
+    got = sorted((r.DATE, r.STN) for r in spark.read.parquet(tmp_dir + "/out").collect())
+    assert ("202406081000", "108") in got and ("202406081100", "109") in got
+    assert ("202406080500", "109") not in got
