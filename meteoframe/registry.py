@@ -291,7 +291,7 @@ def dq_freshness(spark, d):
 
 # ------------------------------------------------------------- misc shapes
 def null_union(spark, d):
-    ids = S.table(spark, d, "region").select(F.col("r_regionkey").cast("int").alias("id"))
+    ids = S.table(spark, d, "customer").select(F.col("c_custkey").cast("int").alias("id"))
     nulls = feeds.inline_rows(spark, [(None,)], "id int")  # select null as id
     return ids.unionByName(nulls)
 
