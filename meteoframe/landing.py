@@ -151,8 +151,16 @@ def station_keep(spark, d):
 
 # ----------------------------------------------------------- S8 coordinates
 def coords_csv(spark, d):
+    """A location list (one row per customer: segment / name, with an empty
+    second level for every seventh) written as CSV with a header and read
+    back with the required-column check; '' comes back as ''."""
+    c = S.table(spark, d, "customer")
+    locs = c.select(F.col("c_mktsegment").alias("level1"),
+                    F.when(F.col("c_custkey") % 7 == 0, F.lit("")).otherwise(F.col("c_name")).alias("level2"),
+                    F.col("c_nationkey").cast("int").alias("nx"),
+                    (F.col("c_custkey") % 100).cast("int").alias("ny"))
     path = scratch_path(spark, "coords")
-    sinks.write_csv(S.coordinates(spark, d), path)
+    sinks.write_csv(locs, path)
     return feeds.read_coordinates(spark, path)
 
 
