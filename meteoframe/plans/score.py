@@ -72,7 +72,8 @@ def weekend_or_holiday(obs: DataFrame, holidays: DataFrame) -> DataFrame:
 def weekly_summary(filtered: DataFrame, with_days: bool = False) -> DataFrame:
     """Per region and week (Monday start): six null-skipping means rounded
     half up to 2 decimals (exact, from hundredths), newest reading time and
-    the row count.  One hash aggregate with map-side combine.
+    the row count.  One hash aggregate with map-side combine (the newest
+    time is kept as a timestamp and formatted afterwards).
 
     ``with_days`` also gathers the week's distinct analysed days with their
     tags in the same aggregate (``_days``: at most 7 entries, deduplicated
@@ -86,11 +87,12 @@ def weekly_summary(filtered: DataFrame, with_days: bool = False) -> DataFrame:
         aggs.append(F.collect_set(F.struct("day", "day_tag")).alias("_days"))
     g = (filtered.withColumn("week_start", D.week_start("ts"))
          .groupBy("region_code", "region_name", "region_idx", "week_start")
-         .agg(*aggs, F.max("timestamp_readable").alias("last_updated"),
+         .agg(*aggs, F.max("ts").alias("_last_ts"),  # fixed-width: keeps the aggregate hash-based
               F.count(F.lit(1)).alias("n_records")))
     return g.select("region_code", "region_name", "region_idx", "week_start",
                     *[mean_half_up(f"_s_{o}", f"_n_{o}").alias(o) for _, o in MEASURES],
-                    "last_updated", "n_records", *(["_days"] if with_days else []))
+                    D.fmt_ts("_last_ts", D.READABLE).alias("last_updated"), "n_records",
+                    *(["_days"] if with_days else []))
 
 
 def scores(summary: DataFrame) -> DataFrame:
