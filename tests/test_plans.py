@@ -48,3 +48,16 @@ def test_domestic_filters_pushed_and_columns_pruned(spark, tmp_dir):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
     assert "partial_count" in plan
     _clean(plan)
+
+
+def test_no_registered_query_has_a_red_flag(spark):
+    """Scale rules as a check: no cartesian product, nested-loop join,
+    Python evaluation or unpartitioned window in any registered query."""
+    import __spark_entry__ as E
+    from tools.plan_audit import summarize
+    flagged = {}
+    for name, fn in E.queries().items():
+        flags = summarize(_plan(fn(spark, SF))).get("flags", [])
+        if flags:
+            flagged[name] = flags
+    assert flagged == {}
