@@ -127,17 +127,20 @@ def build_eq_region_tables(spark: SparkSession, raw_table: str, domestic_out: st
 
 
 # ------------------------------------------------------------------ typhoon
-def load_typhoon(spark: SparkSession, landing: str, table: str) -> None:
+def load_typhoon(spark: SparkSession, landing: str, table: str,
+                 partition_col: str | None = None) -> None:
     """Fixed-width listings (one file per fetch stamp) -> cleaned rows ->
     MERGE into ``table`` on (TYP_TM, TYP).  A fetch whose stamp does not
-    parse is dropped whole."""
+    parse is dropped whole.  For a table partitioned by a key column, pass
+    it as ``partition_col``: only the partitions in the fetch are rewritten."""
     configure(spark)
     lines = text.read_lines(spark, landing)
     raw = feeds.parse_fixed_width(lines, K.TYPHOON_COLUMNS, feeds.TYPHOON_WIDTHS)
     rows = typhoon.clean(raw.withColumnRenamed("file", "batch"))
     if not spark.catalog.tableExists(table):
         sinks.overwrite(rows.limit(0), table)
-    sinks.upsert_table(spark, table, rows, typhoon.KEYS, order=[("FT", False), ("SEQ", False)])
+    sinks.upsert_table(spark, table, rows, typhoon.KEYS, order=[("FT", False), ("SEQ", False)],
+                       partition_col=partition_col)
 
 
 # ----------------------------------------------------------------- forecast
