@@ -7,8 +7,20 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from meteoframe.llm import bpe, packing
+from meteoframe.llm import bpe, linededup, outliers, packing, warc
 from meteoframe.llm.common import stored, table
+from meteoframe.session import scratch_path
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived, indexed, and read back through the index."""
+    root = scratch_path(spark, "op1-warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), f"{root}/archives")
+    records = stored(warc.read_archives(spark, f"{root}/archives").drop("payload"), "op1-records")
+    warc.write_index(records, f"{root}/index")
+    captures = warc.read_captures(spark, f"{root}/index").select("key", "file", "offset", "length")
+    return (records.join(captures, ["file", "offset", "length"])
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "key"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +30,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign(stored(pieces, "op2-pieces"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat across their source."""
+    return linededup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -26,5 +43,26 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op7_bpe": op7_bpe}
-ORACLE: dict[str, str] = {}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' base counts and verdicts."""
+    return outliers.judge_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).drop("lang", "source")
+
+
+QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op3_line_dedup": op3_line_dedup,
+           "op7_bpe": op7_bpe, "op9_quality": op9_quality}
+
+ORACLE = {
+    "op3_line_dedup": r"""
+WITH page AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+line AS (SELECT rid, source, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM page),
+keyed AS (SELECT rid, source, pos, line, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM line),
+total AS (SELECT source, count(*) AS t FROM page GROUP BY source),
+freq AS (SELECT source, k, count(DISTINCT rid) AS n FROM keyed WHERE k <> '' GROUP BY source, k),
+boiler AS (SELECT f.source, k FROM freq f JOIN total USING (source) WHERE n >= 5 AND n > 0.1 * t),
+flagged AS (SELECT keyed.*, boiler.k IS NOT NULL AS gone FROM keyed LEFT JOIN boiler ON keyed.source = boiler.source AND keyed.k = boiler.k),
+doc AS (SELECT rid, count(*) FILTER (WHERE k <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_gone,
+        string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone) AS rest FROM flagged GROUP BY rid)
+SELECT doc_id, source, CASE WHEN n_gone > 0 AND n_gone < n_lines THEN rest ELSE text END AS text,
+       coalesce(n_lines, 0) AS n_lines, CASE WHEN n_gone < n_lines THEN n_gone ELSE 0 END AS n_dropped
+FROM page LEFT JOIN doc USING (rid)""",
+}
