@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from meteoframe.llm import bpe, linededup, outliers, packing, warc
-from meteoframe.llm.common import stored, table
+from meteoframe.llm import bpe, linededup, outliers, packing, toxicity, warc
+from meteoframe.llm.common import remainder, stored, table
 from meteoframe.session import scratch_path
 
 
@@ -35,6 +35,14 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of the labelled rows outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -49,7 +57,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op3_line_dedup": op3_line_dedup,
-           "op7_bpe": op7_bpe, "op9_quality": op9_quality}
+           "op4_toxicity": op4_toxicity, "op7_bpe": op7_bpe, "op9_quality": op9_quality}
 
 ORACLE = {
     "op3_line_dedup": r"""
