@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,3 +64,28 @@ def words_of(text: str) -> list[str]:
 def remainder(doc_id: Column, modulus: int = 5) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def word_runs(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words of many texts at once: the distinct ones, the index of each word in
+    text order, and where each text's words start (one more at the end)."""
+    texts = pc.fill_null(texts, "")
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    raw = memoryview(data)[ends[0]:ends[-1]] if data is not None else b""
+    b, ends = np.frombuffer(raw, np.uint8), ends - ends[0]
+    blank = np.append((b == 0x20) | ((b >= 0x09) & (b <= 0x0D)), True)
+    start = np.zeros(len(b) + 1, bool)
+    start[ends] = True
+    start[1:] |= blank[:-1]
+    start &= ~blank                                   # a word's first byte
+    first = np.flatnonzero(start)
+    places = np.searchsorted(first, ends)
+    if not len(first):
+        return [], np.zeros(0, np.int64), places
+    at = np.append(first, len(b)).astype(np.int32)    # each run: a word and the blanks behind it
+    runs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at), pa.py_buffer(raw)]).dictionary_encode()
+    plain = [x.strip(GAP_CHARS.encode()) for x in runs.dictionary.to_pylist()]
+    index: dict[bytes, int] = {}
+    own = np.array([index.setdefault(w, len(index)) for w in plain], np.int64)
+    return list(index), own[runs.indices.to_numpy()], places

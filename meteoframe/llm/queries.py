@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from meteoframe.llm import bpe, linededup, outliers, packing, toxicity, warc
+from meteoframe.llm import bpe, htmlcut, linededup, ngramjoin, outliers, packing, toxicity, warc
 from meteoframe.llm.common import remainder, stored, table
 from meteoframe.session import scratch_path
 
@@ -43,6 +43,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their near-duplicate class and number of links."""
+    return ngramjoin.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,8 +61,14 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).drop("lang", "source")
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmlcut.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op3_line_dedup": op3_line_dedup,
-           "op4_toxicity": op4_toxicity, "op7_bpe": op7_bpe, "op9_quality": op9_quality}
+           "op4_toxicity": op4_toxicity, "op5_ngram_join": op5_ngram_join, "op7_bpe": op7_bpe, "op9_quality": op9_quality, "op10_html": op10_html}
 
 ORACLE = {
     "op3_line_dedup": r"""
