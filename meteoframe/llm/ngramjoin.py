@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meteoframe.llm import tiles as tiles_
 from meteoframe.llm.common import slices, stored, word_runs
 from meteoframe.llm.components import connected
 
@@ -156,58 +157,6 @@ def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thresho
     return np.nonzero(common.astype(np.float64) >= threshold * union)
 
 
-def compare_tiles(rows: DataFrame, threshold: float) -> DataFrame:
-    """``component, i, j, block, node, weight, grams`` sorted by tile to ``a, b,
-    links``: a row with b null adds links to a; a row with b is an edge of the
-    tile's spanning forest."""
-    def tile(key, held: list) -> pa.RecordBatch:
-        held.sort(key=lambda r: r[1])                      # by node
-        sets = [np.frombuffer(r[3], U) for r in held]
-        block = np.array([r[0] for r in held])
-        left, right = np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2])
-        x, y = similar(sets, left, right, threshold)
-        x, y = left[x], right[y]
-        if key[1] == key[2]:
-            x, y = x[x < y], y[x < y]
-        weight = np.array([r[2] for r in held], float)
-        links = np.bincount(x, weight[y], len(held)) + np.bincount(y, weight[x], len(held))
-        node = np.array([r[1] for r in held])
-        root = list(range(len(held)))
-
-        def find(k: int) -> int:
-            while root[k] != k:
-                root[k] = root[root[k]]
-                k = root[k]
-            return k
-
-        forest = []
-        for p, q in zip(x.tolist(), y.tolist()):
-            a, b = find(p), find(q)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                forest.append((p, q))
-        some = np.flatnonzero(links)
-        a = [*node[some].tolist(), *(int(node[p]) for p, _ in forest)]
-        b = [*[None] * len(some), *(int(node[q]) for _, q in forest)]
-        n = [*links[some].astype(int).tolist(), *[0] * len(forest)]
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "links"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-        for b in slices(batches, "grams"):
-            cols = [b.column(c).to_pylist() for c in ("component", "i", "j", "block", "node", "weight", "grams")]
-            for c, i, j, *row in zip(*cols):
-                if (c, i, j) != at:
-                    if len(held) > 1:
-                        yield tile(at, held)
-                    at, held = (c, i, j), []
-                held.append(row)
-        if len(held) > 1:
-            yield tile(at, held)
-
-    return rows.mapInArrow(run, "a long, b long, links long")
-
-
 def jaccard_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8,
                  recall: float = 0.9999, tile_rows: int = TILE_ROWS) -> DataFrame:
     """One row per row of ``df``: ``doc_id``; ``copy_id``, the smallest id of the
@@ -250,10 +199,9 @@ def jaccard_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: i
     spans = member.join(placed.select("node", "component", "block"), "node").select("low", "component", "block").distinct()
     tiles = (spans.select("low", "component", F.col("block").alias("i")).join(spans.select("low", F.col("block").alias("j")), "low")
              .where("i <= j").select("component", "i", "j").distinct())
-    wanted = (tiles.select("component", "i", "j", F.col("i").alias("block"))
-              .unionByName(tiles.where("i < j").select("component", "i", "j", F.col("j").alias("block"))))
-    held = placed.join(wanted, ["component", "block"]).join(sets.select("node", "grams"), "node")
-    found = stored(compare_tiles(held.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j"), threshold), "join-links")
+    payloads = sets.select("node", F.col("grams").alias("payload"))
+    found = stored(tiles_.compare(placed, tiles, payloads, lambda own, left, right: similar(
+        [np.frombuffer(x, U) for x in own], left, right, threshold)), "join-links")
 
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("others"))
     roots = connected(found.where("b IS NOT NULL").select("a", "b"))

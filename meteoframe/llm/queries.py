@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from meteoframe.llm import bpe, htmlcut, linededup, ngramjoin, outliers, packing, toxicity, warc
+from meteoframe.llm import bpe, htmlcut, katz, linededup, ngramjoin, nndescent, outliers, packing, toxicity, warc
 from meteoframe.llm.common import remainder, stored, table
 from meteoframe.session import scratch_path
 
@@ -48,6 +48,12 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.score_corpus(docs, remainder(F.col("doc_id")) != 1).rows
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,6 +62,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors with their links of cosine 0.9 or more."""
+    return nndescent.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).rows
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' base counts and verdicts."""
     return outliers.judge_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).drop("lang", "source")
@@ -68,7 +79,8 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op3_line_dedup": op3_line_dedup,
-           "op4_toxicity": op4_toxicity, "op5_ngram_join": op5_ngram_join, "op7_bpe": op7_bpe, "op9_quality": op9_quality, "op10_html": op10_html}
+           "op4_toxicity": op4_toxicity, "op5_ngram_join": op5_ngram_join, "op6_katz": op6_katz, "op7_bpe": op7_bpe, "op8_embedding_dedup": op8_embedding_dedup,
+           "op9_quality": op9_quality, "op10_html": op10_html}
 
 ORACLE = {
     "op3_line_dedup": r"""
