@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import public_tokenizers
 
 from meteoframe.llm import bpe, htmlcut, katz, linededup, ngramjoin, nndescent, outliers, packing, toxicity, warc
@@ -80,7 +81,8 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op3_line_dedup": op3_line_dedup,
            "op4_toxicity": op4_toxicity, "op5_ngram_join": op5_ngram_join, "op6_katz": op6_katz, "op7_bpe": op7_bpe, "op8_embedding_dedup": op8_embedding_dedup,
-           "op9_quality": op9_quality, "op10_html": op10_html}
+           "op9_quality": op9_quality, "op10_html": op10_html,
+           "pipeline": corpus_pipeline.run}
 
 ORACLE = {
     "op3_line_dedup": r"""
@@ -97,3 +99,5 @@ SELECT doc_id, source, CASE WHEN n_gone > 0 AND n_gone < n_lines THEN rest ELSE
        coalesce(n_lines, 0) AS n_lines, CASE WHEN n_gone < n_lines THEN n_gone ELSE 0 END AS n_dropped
 FROM page LEFT JOIN doc USING (rid)""",
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -280,13 +280,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     return model
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, plus ``score`` (0 to 1).
+def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` plus ``score`` (0 to 1), without ``text`` unless ``keep_text``.
 
     One row out per row in; null texts count as empty and get the score of a
     text without words; columns named ``score`` are replaced.
     """
-    keep = [c for c in docs.columns if c not in (text, "score")]
+    keep = [c for c in docs.columns if c != "score" and (keep_text or c != text)]
     source = docs.select(F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias(f"keep{i}") for i, c in enumerate(keep)])
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[1:]), "score double"])
 
