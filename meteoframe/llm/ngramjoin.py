@@ -154,7 +154,8 @@ def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thresho
         y[at_right[o[in_right]], g[in_right]] = 1
         common += x @ y.T                                  # whole numbers below 2**24: exact
     union = sizes[left][:, None] + sizes[right][None, :] - common
-    return np.nonzero(common.astype(np.float64) >= threshold * union)
+    x, y = np.nonzero(common.astype(np.float64) >= threshold * union)
+    return left[x], right[y]
 
 
 def jaccard_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8,
