@@ -191,11 +191,14 @@ def jaccard_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: i
 
     # near classes share their lowest bucket partner, and so come to lie in one block
     first = member.groupBy("node").agg(F.min("low").alias("first"))
-    line = Window.partitionBy("component").orderBy("first", "node")
     placed = sets.select("node", "size").join(pool.select("node", "component", "weight"), "node").join(first, "node")
-    placed = stored(placed.withColumn("block", F.greatest(
-        F.floor((F.row_number().over(line) - 1) / tile_rows),
-        F.floor(F.coalesce(F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) / TILE_GRAMS)).cast("int")), "join-blocks")
+    # neighbours by their first partner lie side by side; a partner's own crowd is dealt out by hash
+    crowd = placed.groupBy("component", "first").agg(F.greatest(F.count(F.lit(1)) / tile_rows, F.sum("size") / TILE_GRAMS).alias("blocks"))
+    before = Window.partitionBy("component").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    crowd = crowd.withColumn("before", F.coalesce(F.sum("blocks").over(before), F.lit(0.0)))
+    dealt = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / (1 << 20)
+    placed = stored(placed.join(crowd, ["component", "first"]).withColumn(
+        "block", F.floor(F.col("before") + F.col("blocks") * dealt).cast("int")), "join-blocks")
     # only blocks that a bucket has in common can hold a link
     spans = member.join(placed.select("node", "component", "block"), "node").select("low", "component", "block").distinct()
     tiles = (spans.select("low", "component", F.col("block").alias("i")).join(spans.select("low", F.col("block").alias("j")), "low")
