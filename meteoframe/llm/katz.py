@@ -34,8 +34,8 @@ from meteoframe.llm.ngramjoin import mixed
 
 U = np.uint64
 WORDS, PAIRS = 0, 1
-SLICE = 12 << 20                 # bytes of text asked for at once
-PART_BYTES = 12 << 20            # bytes of text per table part
+SLICE = 8 << 20                  # bytes of text asked for at once
+PART_BYTES = 8 << 20             # bytes of text per table part
 TOP = 5                          # counts up to this are Good-Turing discounted
 #: Words hold no blanks, so these collide with none.
 END, START = U(xxhash.xxh3_64_intdigest(b"\n")), U(xxhash.xxh3_64_intdigest(b"\t"))
@@ -324,8 +324,9 @@ def full_batch(b: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def contexts(judged: DataFrame) -> DataFrame:
-    """The context table (``what = 'table'``: keys, alpha) and per document the
-    logarithms of alpha for its unseen pairs, added up (``what = 'sum'``)."""
+    """The context table (``what = 'table'``: keys, alpha) and, per slice, the
+    logarithms of alpha that its documents' unseen pairs need, added up by
+    document (``what = 'sum'``: rows, sums)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (part,), rows in by_part(batches, ["part"], ["what", "slice", "keys", "one", "two", "three"]):
             reports = [r for r in rows if r[0] == "report"]
@@ -337,24 +338,34 @@ def contexts(judged: DataFrame) -> DataFrame:
                 count[which] = np.concatenate([spread(r[5], np.int64) for r in reports])
             alpha = (1 - add(3) / np.maximum(count, 1)) / (1 - add(4))
             log = np.log10(np.maximum(alpha, 1e-300))
-            out = [("table", part, None, None, None, deltas(distinct), squeeze(alpha))]
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(CONTEXT.values())], names=list(CONTEXT))
+            out = [("table", part, None, deltas(distinct), squeeze(alpha))]
             for _, number, key, n, row, times in (r for r in rows if r[0] == "unseen"):
                 at = np.searchsorted(distinct, from_deltas(key))
                 value = np.repeat(log[at], spread(n, np.uint32)) * spread(times, np.uint32)
-                row = spread(row, np.uint32)
-                total = np.bincount(row, value)
-                has = np.unique(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(["sum"] * len(has)), pa.array([part] * len(has), pa.int32()), pa.array([number] * len(has), pa.int64()),
-                     pa.array(has.astype(np.int32)), pa.array(total[has]), pa.nulls(len(has), pa.binary()), pa.nulls(len(has), pa.binary())], names=list(CONTEXT))
+                row, which = np.unique(spread(row, np.uint32), return_inverse=True)
+                out.append(("sum", part, number, squeeze(row), squeeze(np.bincount(which, value, len(row)))))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(CONTEXT.values())], names=list(CONTEXT))
 
     rows = judged.select("part", "what", "slice", "keys", "one", "two", "three")
     return rows.repartition("part").sortWithinPartitions("part", "what", "slice").mapInArrow(
-        run, "what string, part int, slice long, row int, value double, keys binary, alpha binary")
+        run, "what string, part int, slice long, keys binary, value binary")
+
+
+def backoff_sums(context: DataFrame) -> DataFrame:
+    """``slice, row, value``: what the context parts found for each document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (number,), rows in by_part(batches, ["slice"], ["keys", "value"]):
+            row = np.concatenate([spread(r[0], np.uint32) for r in rows])
+            total = np.bincount(row, np.concatenate([spread(r[1], np.float64) for r in rows]))
+            row = np.unique(row)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), number), pa.int64()), pa.array(row.astype(np.int32)), pa.array(total[row])],
+                                             names=["slice", "row", "value"])
+
+    own = context.where("what = 'sum'").select("slice", "part", "keys", "value")
+    return own.repartition("slice").sortWithinPartitions("slice", "part").mapInArrow(run, "slice long, row int, value double")
 
 
-CONTEXT = {"what": pa.string(), "part": pa.int32(), "slice": pa.int64(), "row": pa.int32(), "value": pa.float64(), "keys": pa.binary(), "alpha": pa.binary()}
+CONTEXT = {"what": pa.string(), "part": pa.int32(), "slice": pa.int64(), "keys": pa.binary(), "value": pa.binary()}
 
 
 @dataclass
@@ -387,7 +398,7 @@ def score_corpus(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: s
     t = totals(table)
     judged = stored(judge(source, told.where("what = 'answer'"), t, parts), "katz-judged")
     context = stored(contexts(judged.where("what <> 'doc'")), "katz-contexts")
-    sums = context.where("what = 'sum'").groupBy("slice", "row").agg(F.sum("value").alias("value"))
+    sums = backoff_sums(context)
     rows = (judged.where("what = 'doc'").select("slice", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
             .join(sums, ["slice", "row"], "left")
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(t.tokens).cast("long").alias("train_tokens"), "base_score",
