@@ -20,7 +20,8 @@ GAP_CHARS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 #: Bytes of text that a Python worker handles at once; a longer single text
 #: is still handled whole, alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 5 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +38,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches in this session bounded by bytes, not by rows
+    alone: two tasks' buffers of long texts must fit beside a small heap."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(conf.get(key)).rstrip("b")) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int | str = 0,
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds at most ``limit`` bytes in

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meteoframe.llm.common import slices
+from meteoframe.llm.common import lean, slices
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -313,5 +313,5 @@ def extract(df: DataFrame, html: str = "html") -> DataFrame:
                 [*b.columns[1:], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64()),
                  pa.array([f[2] for f in found], pa.int64())], names=[*b.schema.names[1:], "text", "n_blocks", "n_kept"])
 
-    out = source.mapInArrow(run, schema)
+    out = lean(source).mapInArrow(run, schema)
     return out.select(*[F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)], "text", "n_blocks", "n_kept")

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteoframe.llm.common import slices, stored, word_runs
+from meteoframe.llm.common import lean, slices, stored, word_runs
 from meteoframe.llm.ngramjoin import mixed
 
 U = np.uint64
@@ -120,10 +120,22 @@ def pc_ascii_lower(texts: pa.Array) -> pa.Array:
 def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Slices with numbers that depend on the scan's partition alone."""
     part = TaskContext.get().partitionId()
-    for k, b in enumerate(slices(batches, "text", SLICE)):
+    for k, b in enumerate(slices(merged(batches), "text", SLICE + SLICE // 4)):
         yield part << 24 | k, b
 
 
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches together, up to a slice's bytes."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if held and sum(x.nbytes for x in held) + b.nbytes > 1.1 * SLICE:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+        held.append(b)
+    if held and sum(x.num_rows for x in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 ASK = "kind int, part int, slice long, keys binary, counts binary"
 ANSWER = "what string, kind int, part int, slice long, keys binary, counts binary, stats array<long>"
 
@@ -389,7 +401,7 @@ def score_corpus(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: s
     probability).  One row per row; null ids pass through; without training
     rows every token is the one unknown word, of probability 1.
     """
-    source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
+    source = lean(docs).select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
                          F.coalesce(train, F.lit(False)).alias("train"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(min(max(8, size // PART_BYTES), 50_000))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meteoframe.llm import tiles as tiles_
-from meteoframe.llm.common import slices, stored, word_runs
+from meteoframe.llm.common import lean, slices, stored, word_runs
 from meteoframe.llm.components import connected
 
 TILE_ROWS = 512                  # classes in a block of a pool; two blocks meet in a tile
@@ -172,7 +172,7 @@ def jaccard_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: i
     An empty table gives an empty table.
     """
     bands, rows = choose_bands(threshold, recall)
-    rows_of = stored(signatures(df, doc_id, text, n, bands, rows), "join-signatures")
+    rows_of = stored(signatures(lean(df), doc_id, text, n, bands, rows), "join-signatures")
     named = rows_of.where("seq IS NOT NULL AND doc_id IS NOT NULL")
     classes = stored(named.groupBy("seq").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight")), "join-classes")
     # one number per class: distinct sequences may share a repeated id

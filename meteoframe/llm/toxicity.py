@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meteoframe.llm.common import remainder, slices
+from meteoframe.llm.common import lean, remainder, slices
 
 #: General insults and abuse, by kind.
 LEXICONS = {
@@ -102,9 +102,9 @@ class Model:
     accuracy: dict[str, float] = field(default_factory=dict)
     correlated: list[list[str]] = field(default_factory=list)
 
-    def votes(self, t: Texts, cache: dict | None = None) -> np.ndarray:
+    def votes(self, t: Texts) -> np.ndarray:
         """Texts x voters: 1 toxic, -1 not toxic, 0 no opinion."""
-        masks = np.array([self._mask(w) for w in t.words], np.int64)
+        masks = np.array([self.of(w)[0] for w in t.words], np.int64)
         hit = masks[t.word] if len(t.words) else np.zeros(0, np.int64)
         some = np.flatnonzero(hit)
         own = np.zeros(t.n, np.int64)
@@ -119,14 +119,30 @@ class Model:
         v[:, lexicons + 3] = -(~v.any(1)).astype(np.int8)
         return v
 
-    def _mask(self, word: str) -> int:
+    def __post_init__(self):
+        self._known: dict[str, tuple[int, float]] = {}
+
+    def __getstate__(self):
+        return {**self.__dict__, "_known": {}}
+
+    def of(self, word: str) -> tuple[int, float]:
+        """Lexicons and weight of a word, from a bounded table of words met."""
+        found = self._known.get(word)
+        if found is None:
+            if len(self._known) > 200_000:
+                self._known.clear()
+            own = features_of(word)
+            found = self._known[word] = self._mask(own), sum(self.weights.get(f, 0.0) for f in own)
+        return found
+
+    def _mask(self, own: list[str]) -> int:
         m = 0
-        for f in features_of(word):
+        for f in own:
             m |= self.masks.get(f, 0)
         return m
 
     def score(self, t: Texts) -> np.ndarray:
-        value = np.array([sum(self.weights.get(f, 0.0) for f in features_of(w)) for w in t.words] or [0.0])
+        value = np.array([self.of(w)[1] for w in t.words] or [0.0])
         total = self.bias + self.votes(t) @ self.vote_weights
         if len(t.words):
             total = total + np.bincount(t.doc, value[t.word], t.n)
@@ -207,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     key, y = F.col(f"`{doc_id}`"), F.col(f"`{label}`")
     chosen = (labels.where(key.isNotNull() & y.isNotNull() & (remainder(key) != 0)).groupBy(key.alias("id")).agg(F.max(y.cast("int")).alias("y"))
               .sort(F.xxhash64("id"), "id").limit(sample_rows))
-    sample = docs.select(key.alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(chosen), "id").select("text", "y")  # at most sample_rows ids
+    sample = lean(docs).select(key.alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(chosen), "id").select("text", "y")  # at most sample_rows ids
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -295,5 +311,5 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = F
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(model.score(Texts(b.column(0))), pa.float64())],
                                              names=[*b.schema.names[1:], "score"])
 
-    out = source.mapInArrow(run, schema)
+    out = lean(source).mapInArrow(run, schema)
     return out.select(*[F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)], "score")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meteoframe.llm.common import slices
+from meteoframe.llm.common import lean, slices
 
 #: An empty gzip member with a comment, written between two members.  Its
 #: second byte cannot follow its first in UTF-8, so no stored payload holds it.
@@ -107,7 +107,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     responses.  A row without id revisits a row with one; among rows without
     ids all are responses.  An empty table writes no record.
     """
-    own = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"),
+    own = lean(pages).select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"),
                        F.encode(F.coalesce(F.col(f"`{html}`"), F.lit("")), "UTF-8").alias("payload"))
     own = own.withColumn("digest", F.unhex(F.sha1("payload")))
     leaders = (own.where(F.octet_length("payload") >= least_bytes).groupBy("digest")
