@@ -58,19 +58,10 @@ def sentinel_to_null(c, sentinels) -> Column:
     """
     s = strip(_c(c))
     codes = [float(x) for x in sentinels]
-    # numeric comparison only for text that can equal a code ('-9...')
-    prefix = min(sentinels, key=len)
-    numeric = s.startswith(prefix) & F.coalesce(safe_double(s, stripped=True).isin(codes), F.lit(False))
-    is_code = F.coalesce(s.isin(list(sentinels)), F.lit(False)) | F.coalesce(numeric, F.lit(False))
+    is_code = F.coalesce(s.isin(list(sentinels)) | safe_double(s, stripped=True).isin(codes), s.isin(list(sentinels)), F.lit(False))
     return F.when(~is_code, _c(c))
 
 
-def nan_to_null(c) -> Column:
-    """NaN -> null (Spark orders NaN above every number, so drop it early)."""
-    col = _c(c)
-    return F.when(~F.isnan(col), col)
-
-
 def null_if_missing(c, code=-9) -> Column:
     return F.when(_c(c) != F.lit(code), _c(c))
 
@@ -79,29 +70,27 @@ def zero_if_missing(c, code=-9) -> Column:
     return F.when(_c(c) == F.lit(code), F.lit(0.0)).otherwise(_c(c))
 
 
-def to_cents(c) -> Column:
-    """Double measurement -> whole hundredths (bigint), for exact means."""
-    return F.round(_c(c) * 100).cast("bigint")
+# values enter means as decimals of ten places
+MEAN_TYPE = "decimal(20,10)"
 
 
-def mean_half_up(sum_cents, n, decimals: int = 2) -> Column:
-    """Exact mean of hundredths, rounded half up to ``decimals`` (>= 2), as double.
+def mean_half_up(c, decimals: int = 2) -> Column:
+    """Aggregate: mean of the non-null values, rounded half up, as double.
 
-    ``sum_cents`` and ``n`` are exact integers, so the result does not depend
-    on summation order or on how an engine rounds binary doubles.  The
-    rounding is an integer division done in decimal arithmetic (no double on
-    the way), so large sums stay exact.  n = 0 (all values null) gives null.
+    Values are added as decimals of ten places and divided in integer
+    arithmetic, so the result does not depend on the order of rows or on
+    binary rounding.  A group with a value too large for that type (10
+    integer digits) takes the mean of doubles instead.  No value: null.
     """
-    s, k = _c(sum_cents), _c(n)
-    shift = 10 ** (decimals - 2)
-    dec = "decimal(38,0)"
-    a = (F.abs(s).cast(dec) * (2 * shift) + k.cast(dec)).cast(dec)
-    b = (k * 2).cast(dec)
-    # exact integer division: (a - a mod b) is a multiple of b
-    mag = ((a - F.pmod(a, b)) / b).cast("bigint")
-    scale = F.lit(float(10 ** decimals))
-    # a mean that rounds to zero is +0.0 (never -0.0)
-    return F.when(k > 0, F.when(mag == 0, F.lit(0.0)).otherwise(F.signum(s) * mag / scale))
+    x = _c(c)
+    d = x.try_cast(MEAN_TYPE)
+    s, n = F.sum(d), F.count(x)
+    a = F.abs(s) * F.lit(2 * 10 ** decimals).cast("decimal(8,0)") + n.cast("decimal(20,0)")
+    b = (n * 2).cast("decimal(20,0)")
+    # a less its remainder is a multiple of b: the division is exact
+    mag = ((a - F.pmod(a, b)) / b).cast("double")
+    exact = F.when(mag == 0, F.lit(0.0)).otherwise(F.signum(s.cast("double")) * mag / F.lit(float(10 ** decimals)))  # never -0.0
+    return F.when(n > 0, F.when(n > F.count(d), F.round(F.avg(x.cast("double")), decimals)).otherwise(exact))
 
 
 def clamp(c, lo=0, hi=100) -> Column:

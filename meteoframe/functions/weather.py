@@ -72,20 +72,9 @@ def outdoor_score(temp, humidity, rain, wind, ground) -> Column:
     """
     di = discomfort_index(temp, humidity)
     r, w, g = _c(rain), _c(wind), _c(ground)
-    delta = (points(di, K.SCORE_DISCOMFORT) + points(r, K.SCORE_RAIN)
-             + points(w, K.SCORE_WIND) + points(g, K.SCORE_GROUND))  # null ground: no rule matches
+    muggy = F.when(di >= 80, -40).when(di >= 75, -20).when(di <= 60, 10).otherwise(0)
+    wet = F.when(r > 10, -40).when(r > 0, -20).otherwise(0)
+    windy = F.when(w > 10, -30).when(w > 5, -15).otherwise(0)
+    harsh = F.when((g > 35) | (g < 5), -20).otherwise(0)  # a null ground matches neither
     ok = _c(temp).isNotNull() & _c(humidity).isNotNull() & r.isNotNull() & w.isNotNull()
-    return F.when(ok, clamp(F.lit(K.SCORE_START) + delta, K.SCORE_MIN, K.SCORE_MAX)).cast("int")
-
-
-_CMP = {">=": Column.__ge__, ">": Column.__gt__, "<=": Column.__le__, "<": Column.__lt__}
-
-
-def points(value: Column, rules) -> Column:
-    """Points of the first (comparison, threshold, points) rule that holds;
-    0 when none does (a null value matches none)."""
-    expr = None
-    for op, threshold, pts in rules:
-        cond = _CMP[op](value, F.lit(threshold))
-        expr = F.when(cond, pts) if expr is None else expr.when(cond, pts)
-    return expr.otherwise(0)
+    return F.when(ok, clamp(F.lit(100) + muggy + wet + windy + harsh)).cast("int")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from meteoframe import constants as K
 from meteoframe import sinks
+from meteoframe.functions import dates as D
 from meteoframe.plans import dust, forecast
 from meteoframe.session import scratch_path
 from meteoframe.sources import feeds, render, standins as S, text
@@ -92,10 +93,11 @@ def xml_roundtrip(spark, d):
     raw = S.raw_eq_world(spark, d)
     path = scratch_path(spark, "eq-xml")
     render.write_eq_xml(raw, path + "/feed")
-    marker = raw.select("arDiv").distinct().select(
-        F.lit(f"<earthqueakNoti><info>{K.EQ_NO_CONTENT}</info></earthqueakNoti>").alias("value"))
-    render.write_lines(marker, path + "/empty")
-    return feeds.read_earthquake_xml(spark, path + "/*", "2024-02-01 08:00:00")
+    marker = raw.select("arDiv").distinct().withColumn(
+        "value", F.lit(f"<earthqueakNoti><info>{K.EQ_NO_CONTENT}</info></earthqueakNoti>"))
+    render.write_lines(marker, path + "/empty", by="arDiv")   # one response per file
+    both = [feeds.read_earthquake_xml(spark, f"{path}/{part}", "2024-02-01 08:00:00") for part in ("feed", "empty/*")]
+    return both[0].unionByName(both[1])
 
 
 # ----------------------------------------------------------------- S6 JSON
@@ -108,17 +110,17 @@ def json_roundtrip(spark, d):
     path = scratch_path(spark, "forecast-json")
     render.write_lines(resp.unionByName(empties), path)
     got = feeds.read_forecast_json(spark, path)
-    return forecast.locate(got, S.coordinates(spark, d), bounded=True)
+    return forecast.locate(got, S.coordinates(spark, d))
 
 
 # --------------------------------------------------------- S3 station list
-STATION_FILES = 16  # landed station-list files; each has its own preamble and rule line
+STATIONS_PER_FILE = 500  # each landed station list has its own preamble and rule line
 
 
 def _station_lines(spark, d) -> DataFrame:
     st = S.station_master(spark, d)
     key = F.col("STN_ID").cast("bigint")
-    f = (key % STATION_FILES).alias("f")
+    f = F.floor(key / STATIONS_PER_FILE).alias("f")
     txt = [F.col(c).cast("string") if c in ("LON", "LAT", "HT") else F.col(c) for c in K.STATION_COLUMNS]
     body = st.select(f, (key * 2).alias("o"), F.concat_ws(" ", *txt).alias("value"))
     files = st.select(f).distinct()
@@ -129,23 +131,21 @@ def _station_lines(spark, d) -> DataFrame:
         part = files.select("f", F.lit(o).cast("bigint").alias("o"), F.lit(v).alias("value"))
         extra = part if extra is None else extra.unionByName(part)
     # a second rule line in the middle of each file's body, and a comment
-    mid = files.select("f", F.lit(1001).cast("bigint").alias("o"),
+    mid = files.select("f", (F.col("f") * 2 * STATIONS_PER_FILE + 101).cast("bigint").alias("o"),
                        F.lit(K.STATION_RULE_MARKER + "--").alias("value")).unionByName(
-        files.select("f", F.lit(1003).cast("bigint").alias("o"), F.lit("#  mid comment").alias("value")))
+        files.select("f", (F.col("f") * 2 * STATIONS_PER_FILE + 103).cast("bigint").alias("o"), F.lit("#  mid comment").alias("value")))
     return body.unionByName(extra).unionByName(mid)
 
 
 def station_scan(spark, d):
     path = scratch_path(spark, "stations")
-    render.write_lines(_station_lines(spark, d), path, "EUC-KR", by="f", order=["f", "o"],
-                       partitions=STATION_FILES)
+    render.write_lines(_station_lines(spark, d), path, "EUC-KR", by="f", order=["f", "o"])
     return text.parse_stations(text.read_lines(spark, path, "EUC-KR"))
 
 
 def station_keep(spark, d):
     path = scratch_path(spark, "stations-keep")
-    render.write_lines(_station_lines(spark, d), path, "EUC-KR", by="f", order=["f", "o"],
-                       partitions=STATION_FILES)
+    render.write_lines(_station_lines(spark, d), path, "EUC-KR", by="f", order=["f", "o"])
     return text.parse_stations(text.read_lines(spark, path, "EUC-KR"), keep_ids=K.STATION_KEEP_IDS)
 
 
@@ -184,7 +184,10 @@ def tables_roundtrip(spark, d):
     out_t = f"{db}.hourly_dust_analytics"
     sinks.overwrite(dust.current_grades(spark.table(raw_t), spark.table(stage)), out_t,
                     path=base + "/analytics")
-    return spark.table(out_t)
+    out = spark.read.parquet(base + "/analytics")
+    spark.catalog.dropTempView(stage)
+    spark.sql(f"DROP DATABASE {db} CASCADE")   # the tables' files stay in the scratch folder
+    return out
 
 
 def csv_roundtrip(spark, d):
@@ -199,7 +202,101 @@ def csv_roundtrip(spark, d):
     return feeds.load_csv(spark, latest, schema)
 
 
+def csv_values_roundtrip(spark, d):
+    """Values that a CSV file can bend: blanks, quotes, line feeds, back
+    slashes, commas, empty text and nulls; dated and latest copy."""
+    c = S.table(spark, d, "customer")
+    forms = F.array(*[F.lit(x) for x in ("  pad  ", 'say "hi"', "two\nlines", "back\\slash", "a,b", "", '"', "\t")])
+    rows = c.select("c_custkey", F.when(F.col("c_custkey") % 9 < 8, F.get(forms, (F.col("c_custkey") % 9).cast("int"))).alias("v"))
+    dated, latest = sinks.write_dated_and_latest(rows, scratch_path(spark, "csv-values"), "2024-02")
+    both = [feeds.load_csv(spark, p, rows.schema).withColumn("copy", F.lit(n)) for n, p in (("dated", dated), ("latest", latest))]
+    return both[0].unionByName(both[1])
+
+
+def text_control_chars(spark, d):
+    """Lines that hold or start with control characters, in both readers."""
+    c = S.table(spark, d, "customer")
+    forms = F.array(*[F.lit(x) for x in ("a\x01b", "\x02start", "plain", 'q"q', " lead", "한글\x01")])
+    rows = c.select(F.concat_ws("|", F.col("c_custkey").cast("string"), F.get(forms, (F.col("c_custkey") % 6).cast("int"))).alias("value"))
+    starts = c.select(F.concat(F.lit("\x02"), F.col("c_custkey").cast("string")).alias("value"))
+    path = scratch_path(spark, "control-text")
+    render.write_lines(rows.unionByName(starts), path, "EUC-KR")
+    return (text.scan_lines(spark, path, "EUC-KR").select(F.lit("scan").alias("reader"), "value")
+            .unionByName(text.read_lines(spark, path, "EUC-KR").select(F.lit("read").alias("reader"), "value")))
+
+
+def xml_edge_tags(spark, d):
+    """Reports with empty tags (null), blanks around text (kept) and absent
+    tags (null)."""
+    p = S.table(spark, d, "part")
+    k = F.col("p_partkey")
+    tag = lambda name, value: F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
+    place = F.when(k % 3 == 0, F.lit("<eqPt></eqPt>")).when(k % 3 == 1, F.lit("")).otherwise(tag("eqPt", F.concat(F.lit("  "), F.col("p_brand"), F.lit(" "))))
+    lines = p.select(F.concat(F.lit("<info>"), tag("msgCode", k.cast("string")), place, F.lit("</info>")).alias("value"))
+    path = scratch_path(spark, "xml-edges")
+    doc = lines.select((F.crc32("value") % 64).alias("file"), F.lit(1).alias("o"), "value")
+    files = doc.select("file").distinct()
+    ends = [files.select("file", F.lit(o).alias("o"), F.lit(t).alias("value")) for o, t in ((0, "<earthqueakNoti>"), (2, "</earthqueakNoti>"))]
+    render.write_lines(doc.unionByName(ends[0]).unionByName(ends[1]), path, by="file", order=["file", "o"])
+    return feeds.read_earthquake_xml(spark, path + "/*", "2024-02-01 08:00:00").select("msgCode", "eqPt", "eqDate")
+
+
+def station_seed(spark, d):
+    """S9: the station list as a seed file with a byte order mark."""
+    st = S.station_master(spark, d)
+    path = scratch_path(spark, "seed")
+    cell = lambda c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
+    lines = st.select(F.concat_ws(",", *[cell(c) for c in K.STATION_COLUMNS]).alias("value"))
+    files = lines.withColumn("file", F.crc32("value") % 8)
+    heads = files.select("file").distinct().select("file", F.lit("\ufeff" + ",".join(K.STATION_COLUMNS)).alias("value"), F.lit(0).alias("o"))
+    render.write_lines(files.select("file", "value", F.lit(1).alias("o")).unionByName(heads), path, by="file", order=["file", "o"])
+    return feeds.read_station_seed(spark, path).select(*K.STATION_COLUMNS)
+
+
+def quake_table_day_replace(spark, d):
+    """K6 on a table partitioned by event day: one day's reports replaced by
+    reloaded ones, a report without time among them."""
+    base = scratch_path(spark, "eq-table")
+    db = "eq_" + base.rsplit("-", 1)[-1]
+    sinks.ensure_namespace(spark, db, base + "/db")
+    raw = S.raw_eq_world(spark, d).withColumn("eq_day", F.substring("eqDate", 1, 8))
+    name, ddl = f"{db}.raw", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in raw.schema.fields)
+    sinks.create_if_absent(spark, name, ddl, base + "/table", ["eq_day"])
+    sinks.append(raw, name)
+    again = raw.filter(F.col("eq_day") == "19980802").withColumn("reFer", F.lit("reloaded"))
+    undated = again.withColumn("eqDate", F.lit(None).cast("string")).withColumn("eq_day", F.lit(None).cast("string"))
+    start, end = D.day_range_bounds(F.lit("1998-08-02"))
+    sinks.replace_rows(spark, name, again.unionByName(undated), D.parse_ts("eqDate", D.STAMP_SECOND).between(start, end), "eq_day", ["19980802"])
+    out = spark.read.schema(raw.schema).parquet(base + "/table")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
+def forecast_table_retention(spark, d):
+    """K7 through the sink, on a table partitioned by a date; K5: the same
+    table truncated and loaded first."""
+    base = scratch_path(spark, "fc-table")
+    db = "fr_" + base.rsplit("-", 1)[-1]
+    sinks.ensure_namespace(spark, db, base + "/db")
+    ev = S.table(spark, d, "events")
+    rows = ev.select("event_id", F.date_format("ts", "yyyyMMdd").alias("FCST_DATE"), F.to_date(F.date_trunc("week", "ts")).alias("BASE"))
+    name = f"{db}.forecast"
+    sinks.create_if_absent(spark, name, "event_id bigint, FCST_DATE string, BASE date", base + "/table", ["BASE"])
+    sinks.append(rows.limit(10), name)
+    rows.write.insertInto(name, overwrite=True)
+    sinks.retain_rows(spark, name, ~(F.col("FCST_DATE") < "20240117"), "BASE", F.col("BASE") <= F.lit("2024-01-17").cast("date"))
+    out = spark.read.schema(rows.schema).parquet(base + "/table")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
 ROUNDTRIP_QUERIES = {
+    "csv_values_roundtrip": csv_values_roundtrip,
+    "text_control_chars": text_control_chars,
+    "xml_edge_tags": xml_edge_tags,
+    "station_seed": station_seed,
+    "quake_table_day_replace": quake_table_day_replace,
+    "forecast_table_retention": forecast_table_retention,
     "text_roundtrip": text_roundtrip,
     "avg_text_roundtrip": avg_text_roundtrip,
     "obs_roundtrip": obs_roundtrip,

@@ -5,22 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from meteoframe.operators.joins import join_dimension
-
 
 def drop_bad_batches(df: DataFrame, batch_col: str, bad: Column) -> DataFrame:
     """Drop every row of a batch (e.g. one landed file) in which any row is bad.
 
     The bad batches are found by an aggregate (combined map-side, so a batch
     holding a third of the rows is still spread over many tasks), then
-    removed with an anti join on the batch id.  The list of bad ids is
-    computed, so AQE picks the join from its measured size (broadcast when
-    small, shuffled anti join otherwise) without computing it twice.
+    removed with a null-safe anti join on the batch id: rows without an id
+    form one batch.  The list of bad ids is computed, so AQE picks the join
+    from its measured size.
     """
-    bad_ids = (df.groupBy(batch_col)
+    bad_ids = (df.groupBy(F.col(batch_col).alias("_bad_batch"))
                .agg(F.max(F.coalesce(bad, F.lit(True)).cast("int")).alias("_bad"))
-               .filter(F.col("_bad") == 1).select(batch_col))
-    return join_dimension(df, bad_ids, on=batch_col, how="left_anti", adaptive=True)
+               .filter(F.col("_bad") == 1).select("_bad_batch"))
+    return df.join(bad_ids, F.col(batch_col).eqNullSafe(F.col("_bad_batch")), "left_anti")
 
 
 def observe_counts(df: DataFrame, name: str, **conditions: Column):

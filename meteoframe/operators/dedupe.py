@@ -24,7 +24,8 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[tuple],
              take: str = "max") -> DataFrame:
     """One row per ``keys``: the greatest (take='max') or least row by ``order``.
 
-    ``order`` is a list of ``(column, nulls_first)`` pairs; comparison is
+    ``order`` is a list of ``(column, nulls_first)`` pairs, each a name or an
+    expression; comparison is
     ascending on the struct, so ``take='max'`` means "last by order" and
     ``take='min'`` "first by order".  Null handling per field is explicit:
     a flag column is put before each order key.  All remaining columns follow
@@ -32,17 +33,18 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[tuple],
     order puts a null field below any value).
     """
     keys = list(keys)
-    order_cols = [c for c, _ in order]
+    order_cols = [c for c, _ in order if isinstance(c, str)]
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
     fields = []
-    for i, (c, nulls_first) in enumerate(order):
+    for i, (key, nulls_first) in enumerate(order):
+        c = F.col(key) if isinstance(key, str) else key
         # For max(): a null must win when nulls_first -> flag = isNull.
         # For min(): a null must win when nulls_first -> flag = isNotNull (0 < 1).
         if take == "max":
-            flag = F.col(c).isNull() if nulls_first else F.col(c).isNotNull()
+            flag = c.isNull() if nulls_first else c.isNotNull()
         else:
-            flag = F.col(c).isNotNull() if nulls_first else F.col(c).isNull()
-        fields += [flag.cast("int").alias(f"_f{i}"), F.col(c).alias(c)]
+            flag = c.isNotNull() if nulls_first else c.isNull()
+        fields += [flag.cast("int").alias(f"_f{i}"), c.alias(key if isinstance(key, str) else f"_o{i}")]
     fields += [F.col(c) for c in rest]
     agg = F.max if take == "max" else F.min
     picked = df.groupBy(*keys).agg(agg(F.struct(*fields)).alias("_w"))
@@ -54,12 +56,3 @@ def keep_first(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) -> Da
     """First row seen per key, by arrival columns (e.g. file, line position)."""
     return pick_one(df, keys, [(c, False) for c in arrival], take="min")
 
-
-def keep_latest(df: DataFrame, keys: Sequence[str], by: str,
-                nulls_first: bool = True) -> DataFrame:
-    """Row with the greatest ``by`` per key (``ORDER BY by DESC`` rank 1).
-
-    ``nulls_first=True`` follows warehouses that sort nulls first on DESC, so
-    a row with a null ``by`` wins its group.
-    """
-    return pick_one(df, keys, [(by, nulls_first)], take="max")

@@ -1,16 +1,9 @@
-"""Fact-to-dimension joins with an explicit, checked broadcast.
+"""Fact-to-dimension joins.
 
-A dimension is broadcast only when its size is proven: either it is bounded
-by construction (a fixed code table, the 25-row nation table) or a bounded
-count - ``limit(max_rows + 1).count()``, which stops reading after
-``max_rows + 1`` rows - shows it is small.  Otherwise the join is left to the
-planner (sort-merge / shuffled hash join, with AQE able to switch to a
-broadcast at runtime from real sizes and to split skewed partitions).
-
-For a dimension that is itself computed (an aggregate over a fact table) a
-bounded count would run that computation twice, so ``adaptive=True`` leaves
-the choice to AQE alone: it measures the materialized shuffle output and
-broadcasts only if that is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+Join strategies are left to the planner: it broadcasts a side whose size it
+knows to be below ``spark.sql.autoBroadcastJoinThreshold``, and adaptive
+execution does so at runtime from measured sizes and splits skewed
+partitions.  Only tables fixed in the code (``bounded=True``) are marked.
 """
 
 from __future__ import annotations
@@ -20,30 +13,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may have and still be broadcast to every executor.
-DEFAULT_BROADCAST_ROWS = 250_000
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when df has at most max_rows rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str,
-                   how: str = "inner", max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   bounded: bool = False, adaptive: bool = False) -> DataFrame:
+                   how: str = "inner", bounded: bool = False) -> DataFrame:
     """Join a (possibly huge) fact to a dimension on equal key columns.
-
-    ``bounded=True`` states that the dimension has a fixed size (no check);
-    ``adaptive=True`` leaves the strategy to AQE's runtime size check.
-    """
-    if adaptive:
-        return fact.join(dim, on=on, how=how)
-    if bounded or is_small(dim, max_rows):
-        dim = F.broadcast(dim)
-    return fact.join(dim, on=on, how=how)
-
-
-def string_key(df: DataFrame, col: str) -> DataFrame:
-    """Cast a join key to string so text ids and numeric ids compare as text."""
-    return df.withColumn(col, F.col(col).cast("string"))
+    ``bounded=True``: the dimension is a table of fixed size."""
+    return fact.join(F.broadcast(dim) if bounded else dim, on=on, how=how)

@@ -29,20 +29,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteoframe.operators.dedupe import pick_one
+from meteoframe.session import checkpoint_dir
 
 
 def dedupe_source(source: DataFrame, keys: Sequence[str],
                   order: Sequence[tuple] = ()) -> DataFrame:
     """One source row per key: the last by ``order`` [(col, nulls_first)],
-    remaining columns as tie-break.  Rows with a null key are all kept."""
+    remaining columns as tie-break.  Rows with a null key are all kept: each
+    gets a number of its own, so that one aggregate serves both kinds."""
     keys = list(keys)
-    has_null = None
+    has_null = F.lit(False)
     for k in keys:
-        has_null = F.col(k).isNull() if has_null is None else (has_null | F.col(k).isNull())
-    keyed = source.filter(~has_null)
-    unkeyed = source.filter(has_null)
-    picked = pick_one(keyed, keys, list(order), take="max")
-    return picked.unionByName(unkeyed)
+        has_null = has_null | F.col(k).isNull()
+    numbered = source.withColumn("_own", F.when(has_null, F.monotonically_increasing_id()))
+    return pick_one(numbered, [*keys, "_own"], list(order), take="max").select(*source.columns)
 
 
 def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -58,7 +58,9 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     cols = list(target.columns)
-    src = dedupe_source(source.select(*cols), keys, order)
+    # read by both halves below: computed once (a reliable checkpoint)
+    checkpoint_dir(source.sparkSession)
+    src = dedupe_source(source.select(*cols), keys, order).checkpoint()
     s = src.select(*[F.col(c).alias(f"_src_{c}") for c in cols], F.lit(True).alias("_src_hit"))
     cond = None
     for k in keys:

@@ -39,12 +39,13 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df
 
 
-def freshness(df: DataFrame, loaded_at: str, now, max_age_hours: float) -> DataFrame:
-    """One row: newest load time, its age in hours, and whether it is stale."""
-    newest = df.agg(F.max(loaded_at).alias("newest"))
-    age = (F.unix_timestamp(F.lit(now).cast("timestamp")) -
-           F.unix_timestamp(F.col("newest").cast("timestamp"))) / 3600.0
-    return newest.select("newest", age.alias("age_hours"),
+def freshness(df: DataFrame, loaded_at: str, now, max_age_hours: float,
+              by: Sequence[str] = ()) -> DataFrame:
+    """Newest load time, its age in hours, and whether it is stale: one row,
+    or one per value of ``by``."""
+    newest = df.groupBy(*by).agg(F.max(loaded_at).alias("newest"))
+    age = (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(F.col("newest").cast("timestamp"))) / 3.6e9
+    return newest.select(*by, "newest", age.alias("age_hours"),
                          (F.coalesce(age > max_age_hours, F.lit(True))).alias("stale"))
 
 

@@ -14,31 +14,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .filter(F.col("n") > 1))
 
 
-def pivot_fixed(df: DataFrame, index: Sequence[str], column: str, value: str,
-                values: Sequence[str]) -> DataFrame:
-    """``pivot(index, column -> values)`` with a fixed column list.
-
-    A fixed list keeps the output schema stable (a missing category gives a
-    null column) and avoids the extra job Spark runs to discover distinct
-    values.  Categories outside the list are ignored.  The aggregate is
-    ``first`` - callers check keys are unique first (``duplicate_keys``).
-    The pivot is one hash aggregate on ``index`` with partial aggregation
-    before the shuffle.
-    """
-    return (df.groupBy(*index)
-            .pivot(column, list(values))
-            .agg(F.first(value)))
-
-
 def pivot_checked(df: DataFrame, index: Sequence[str], column: str, value: str,
                   values: Sequence[str]) -> DataFrame:
-    """Pivot that fails when an (index, column) pair repeats.
+    """``pivot(index, column -> values)`` with a fixed column list.
 
-    The check rides in the same aggregate: each cell also counts its rows and
-    a count above one raises through ``raise_error`` while the job runs - no
-    second pass over the data to look for duplicates first.
+    A fixed list keeps the output schema stable (a category without rows gives
+    a null column).  A repeated (index, column) pair and a category that is
+    not in the list both fail the job: the checks ride in the same aggregate,
+    one hash aggregate with partial aggregation before the shuffle.
     """
-    aggs = []
+    aggs = [F.max(F.when(~F.coalesce(F.col(column).isin(list(values)), F.lit(False)),
+                         F.coalesce(F.col(column), F.lit("null")))).alias("_unlisted")]
     for c in values:
         hit = F.col(column) == F.lit(c)
         aggs += [F.max(F.when(hit, F.col(value))).alias(f"_v_{c}"),
@@ -46,8 +32,9 @@ def pivot_checked(df: DataFrame, index: Sequence[str], column: str, value: str,
     g = df.groupBy(*index).agg(*aggs)
     cells = []
     for c in values:
-        dup = F.col(f"_n_{c}") > 1
-        msg = F.concat(F.lit(f"pivot key is not unique: {column}={c} at "),
-                       F.to_json(F.struct(*[F.col(i) for i in index])))
-        cells.append(F.when(dup, F.raise_error(msg)).otherwise(F.col(f"_v_{c}")).alias(c))
+        at = F.to_json(F.struct(*[F.col(i) for i in index]))
+        repeated = F.raise_error(F.concat(F.lit(f"pivot key is not unique: {column}={c} at "), at))
+        unlisted = F.raise_error(F.concat(F.lit(f"{column} not listed: "), F.col("_unlisted"), F.lit(" at "), at))
+        cells.append(F.when(F.col("_unlisted").isNotNull(), unlisted).when(F.col(f"_n_{c}") > 1, repeated)
+                     .otherwise(F.col(f"_v_{c}")).alias(c))
     return g.select(*index, *cells)

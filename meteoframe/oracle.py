@@ -8,11 +8,13 @@ pre-registered views of the driver tables.
 from __future__ import annotations
 
 from meteoframe import constants as K
-from meteoframe.functions.numeric import DECIMAL_RE
 from meteoframe.sources.standins import SQL as S
 from meteoframe import registry as R
 
 
+DECIMAL_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def safe_double(x: str) -> str:
     return f"(CASE WHEN regexp_full_match(trim({x}), '{DECIMAL_RE}') THEN TRY_CAST(trim({x}) AS DOUBLE) END)"
 
@@ -28,42 +30,34 @@ def region_by(x: str) -> str:
 
 def dust_grade(x: str) -> str:
     v = safe_double(x)
-    parts = " ".join(f"WHEN {v} <= {b} THEN '{lab}'" for b, lab in K.DUST_GRADE_BOUNDS)
-    last = K.DUST_GRADE_BOUNDS[-1][0]
-    return f"(CASE {parts} WHEN {v} > {last} THEN '{K.DUST_GRADE_ABOVE}' ELSE '{K.DUST_GRADE_UNKNOWN}' END)"
+    return (f"(CASE WHEN {v} IS NULL OR isnan({v}) THEN '정보없음' WHEN {v} > 150 THEN '매우나쁨' WHEN {v} > 80 THEN '나쁨' "
+            f"WHEN {v} > 30 THEN '보통' ELSE '좋음' END)")
 
 
 def di(t: str, h: str) -> str:
-    return (f"({K.DI_T}::DOUBLE * {t} + {K.DI_H}::DOUBLE * {h} * ({K.DI_T2}::DOUBLE * {t} - "
-            f"{K.DI_C0}::DOUBLE) + {K.DI_C1}::DOUBLE)")
+    return f"(0.81::DOUBLE * {t} + 0.01::DOUBLE * {h} * (0.99::DOUBLE * {t} - 14.3::DOUBLE) + 46.3::DOUBLE)"
 
 
 def mean_half_up(x: str, decimals: int = 2) -> str:
-    s = f"sum(CAST(round({x} * 100) AS BIGINT))"
-    n = f"count({x})"
-    shift = 2 * 10 ** (decimals - 2)
-    return (f"(CASE WHEN {n} > 0 THEN sign({s}) * (({shift} * abs({s}) + {n}) // (2 * {n}))"
+    """Mean of decimals of ten places, rounded half up in whole numbers."""
+    s = f"CAST(sum(CAST({x} AS DECIMAL(20,10))) * 10000000000 AS HUGEINT)"
+    n = f"CAST(count({x}) AS HUGEINT)"
+    return (f"(CASE WHEN count({x}) > 0 THEN sign({s}) * CAST((abs({s}) * {2 * 10 ** decimals} + {n} * 10000000000) // ({n} * 20000000000) AS DOUBLE)"
             f" / {float(10 ** decimals)}::DOUBLE END)")
 
 
 def sentinel_null(c: str) -> str:
-    codes = ", ".join(f"'{x}'" for x in K.TYPHOON_SENTINELS)
-    nums = ", ".join(f"{float(x)}" for x in K.TYPHOON_SENTINELS)
-    return (f"(CASE WHEN trim({c}) IN ({codes}) OR {safe_double(c)} IN ({nums}) "
-            f"THEN NULL ELSE {c} END)")
+    return f"(CASE WHEN {safe_double(c)} IN (-9, -99, -999, -9999) THEN NULL ELSE {c} END)"
 
 
 # ----------------------------------------------------------------- dust
 DUST_CURRENT = f"""
-WITH feed AS ({S['hourly_dust']}),
-newest AS (SELECT DATE, ORG, STN, PM10 FROM feed WHERE DATE IN (SELECT max(DATE) FROM feed)),
-one_per_station AS (
-    SELECT DATE, STN, PM10 FROM newest
-    QUALIFY row_number() OVER (PARTITION BY DATE, STN ORDER BY ORG DESC, PM10 DESC) = 1),
-stations AS ({S['station_master']})
-SELECT o.DATE, st.STN_ID, st.STN_KO, st.LON, st.LAT,
-       {safe_number('o.PM10')} AS PM10, {dust_grade('o.PM10')} AS DUST_STATUS
-FROM one_per_station o INNER JOIN stations st ON st.STN_ID = o.STN
+SELECT f.DATE, f.STN AS STN_ID, any_value(s.STN_KO) AS STN_KO, any_value(s.LON) AS LON, any_value(s.LAT) AS LAT,
+       {safe_number('string_split(max(ORG || chr(1) || PM10), chr(1))[2]')} AS PM10,
+       {dust_grade('string_split(max(ORG || chr(1) || PM10), chr(1))[2]')} AS DUST_STATUS
+FROM ({S['hourly_dust']}) f, ({S['station_master']}) s
+WHERE f.STN = s.STN_ID AND f.event_time::DATE = (SELECT max(ts)::DATE FROM events)
+GROUP BY f.DATE, f.STN
 """
 
 DUST_KEEP_FIRST = f"""
@@ -77,8 +71,9 @@ MONTHLY = f"""SELECT STN_ID, strftime(kst, '%Y-%m') AS MONTH, {mean_half_up('avg
 FROM ({S['daily_dust_mean']}) d GROUP BY STN_ID, strftime(kst, '%Y-%m')"""
 
 DUST_MONTHLY_DATED = f"""
-SELECT STN_ID, st.STN_KO, CAST(mm.MONTH || '-01' AS DATE) AS MONTH, mm.MONTHLY_AVG
-FROM ({MONTHLY}) mm INNER JOIN ({S['station_master']}) st USING (STN_ID)
+SELECT CAST(o_custkey AS VARCHAR) AS STN_ID, any_value(c_name) AS STN_KO, CAST(date_trunc('month', o_orderdate) AS DATE) AS MONTH,
+       {mean_half_up('o_totalprice', 6)} AS MONTHLY_AVG
+FROM orders, customer WHERE o_custkey = c_custkey GROUP BY o_custkey, date_trunc('month', o_orderdate)
 """
 
 # ---------------------------------------------------------- earthquakes
@@ -124,8 +119,8 @@ FROM n WHERE batch NOT IN (SELECT batch FROM bad)
 """
 
 _TY_FINAL = K.TYPHOON_FINAL
-_TY_REST = [c for c in _TY_FINAL if c not in ("TYP_TM", "TYP", "FT", "SEQ")]
-_TY_ORDER = ", ".join(["FT DESC NULLS LAST", "SEQ DESC NULLS LAST"] + [f"{c} DESC NULLS LAST" for c in _TY_REST])
+_TY_REST = [c for c in _TY_FINAL if c not in ("TYP_TM", "TYP")]
+_TY_ORDER = ", ".join([f"TRY_CAST({c} AS INTEGER) DESC NULLS LAST" for c in ("FT", "SEQ")] + [f"{c} DESC NULLS LAST" for c in _TY_REST])
 TYPHOON_UPSERT = f"""
 WITH c AS ({TYPHOON_CLEAN}),
 t AS (SELECT * FROM c WHERE TYP_TM < TIMESTAMP '1998-01-01'),
@@ -154,28 +149,28 @@ def _pick(cat: str) -> str:
     return f"max(fcstValue) FILTER (WHERE category = '{cat}')"
 
 
+_OTHERS = ["PCP", "SNO", "TMN", "TMX", "UUU", "VVV", "WAV"]
 FORECAST_WIDE = f"""
 WITH items AS ({S['forecast_items']}), coords AS ({S['coordinates']}), loc AS ({_LOC}),
 long AS (SELECT i.*, loc.LOCATION, loc.BROAD_LOCATION FROM items i JOIN loc ON i.nx = loc.nx AND i.ny = loc.ny)
 SELECT baseDate, baseTime, fcstDate, fcstTime, nx, ny, LOCATION, BROAD_LOCATION,
-       {', '.join(f"{safe_double(_pick(c))} AS {c}" for c in K.FORECAST_NUMERIC)},
-       {_pick('SKY')} AS SKY, {_pick('PTY')} AS PTY
+       {', '.join(f"{safe_double(_pick(c))} AS {c}" for c in ("WSD", "VEC", "TMP", "POP", "REH"))},
+       {_pick('SKY')} AS SKY, {_pick('PTY')} AS PTY,
+       {', '.join(f"{_pick(c)} AS {c}" for c in _OTHERS)}
 FROM long GROUP BY baseDate, baseTime, fcstDate, fcstTime, nx, ny, LOCATION, BROAD_LOCATION
 """
 
-_SKY = "coalesce(CASE SKY " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.SKY_LABELS.items()) + " END, SKY)"
-_PTY = ("coalesce(CASE " + safe_double("PTY") + " " +
-        " ".join(f"WHEN {float(k)} THEN '{v}'" for k, v in K.PTY_LABELS.items()) + " END, PTY)")
+_SKY = "coalesce(CASE SKY WHEN '1' THEN '맑음' WHEN '2' THEN '구름조금' WHEN '3' THEN '구름많음' WHEN '4' THEN '흐림' END, SKY)"
+_PTY = f"coalesce(CASE {safe_double('PTY')} WHEN 0 THEN '없음' WHEN 1 THEN '비' WHEN 2 THEN '비/눈' WHEN 3 THEN '눈' WHEN 4 THEN '눈/비' END, PTY)"
 _DI = di("TMP", "REH")
-_ALERT = (f"CASE WHEN {_DI} >= {K.DISCOMFORT_VERY_HIGH[0]} THEN '{K.DISCOMFORT_VERY_HIGH[1]}' "
-          f"WHEN {_DI} >= {K.DISCOMFORT_HIGH[0]} THEN '{K.DISCOMFORT_HIGH[1]}' ELSE '{K.DISCOMFORT_NORMAL}' END")
+_ALERT = f"CASE WHEN {_DI} >= 80 THEN '매우 높음 🟥' WHEN {_DI} >= 75 THEN '높음 🟧' ELSE '보통 🟨' END"
 
 
-def processed(base: str) -> str:
+def processed(base: str, others: str = "") -> str:
     return f"""SELECT baseDate AS BASE_DATE, baseTime AS BASE_TIME, fcstDate AS FCST_DATE, fcstTime AS FCST_TIME,
        nx AS NX, ny AS NY, LOCATION, BROAD_LOCATION, WSD, VEC, TMP, POP, REH, {_SKY} AS SKY, {_PTY} AS PTY,
-       CASE WHEN WSD >= {K.STRONG_WIND_MIN} THEN 'Yes' ELSE 'No' END AS STRONG_WIND_ALERT,
-       {_DI} AS DI, {_ALERT} AS DISCOMFORT_ALERT
+       CASE WHEN WSD >= 14 THEN 'Yes' ELSE 'No' END AS STRONG_WIND_ALERT,
+       {_DI} AS DI, {_ALERT} AS DISCOMFORT_ALERT{others}
 FROM ({FORECAST_WIDE}) w WHERE fcstDate >= '{base}'"""
 
 
@@ -263,20 +258,33 @@ WEEKLY_SUMMARY = f"SELECT * EXCLUDE (region_idx) FROM ({SUMMARY}) s"
 _DI_AVG = di("avg_temp", "humidity")
 
 
-def _points(value: str, rules) -> str:
-    return "(CASE " + " ".join(f"WHEN {value} {op} {t} THEN {p}" for op, t, p in rules) + " ELSE 0 END)"
-
-
-_DELTA = (f"({_points(_DI_AVG, K.SCORE_DISCOMFORT)} + {_points('precipitation', K.SCORE_RAIN)}"
-          f" + {_points('wind_speed', K.SCORE_WIND)} + {_points('ground_temp', K.SCORE_GROUND)})")
-SCORED = f"""
-SELECT *, CAST(CASE WHEN avg_temp IS NOT NULL AND humidity IS NOT NULL AND precipitation IS NOT NULL
-                     AND wind_speed IS NOT NULL
-                THEN greatest(least({K.SCORE_START} + {_DELTA}, {K.SCORE_MAX}), {K.SCORE_MIN}) END AS INTEGER) AS score,
+def scored(summary: str) -> str:
+    return f"""
+SELECT *, CAST(greatest(0, least(100, 100
+    - CASE WHEN {_DI_AVG} >= 80 THEN 40 WHEN {_DI_AVG} >= 75 THEN 20 WHEN {_DI_AVG} <= 60 THEN -10 ELSE 0 END
+    - CASE WHEN precipitation > 10 THEN 40 WHEN precipitation > 0 THEN 20 ELSE 0 END
+    - CASE WHEN wind_speed > 10 THEN 30 WHEN wind_speed > 5 THEN 15 ELSE 0 END
+    - CASE WHEN ground_temp > 35 OR ground_temp < 5 THEN 20 ELSE 0 END
+    + CASE WHEN avg_temp + humidity + precipitation + wind_speed IS NULL THEN NULL ELSE 0 END)) AS INTEGER) AS score0,
+    CASE WHEN avg_temp + humidity + precipitation + wind_speed IS NULL THEN NULL ELSE score0 END AS score,
        CAST(week_start + INTERVAL 7 DAY AS DATE) AS date
-FROM ({SUMMARY}) s
+FROM ({summary}) s
 """
 
+
+SCORED = f"SELECT * EXCLUDE (score0) FROM ({scored(SUMMARY)}) z"
+
+
+def _run(day: str) -> str:
+    """One run's scores: the seven days before it."""
+    return f"""
+SELECT region_code, region_name, date, avg_temp, wind_speed, precipitation, humidity, ground_temp, wind_dir, score FROM ({scored(f"""
+SELECT region_code, region_name, DATE '{day}' - 7 AS week_start, {', '.join(f'{mean_half_up(src)} AS {out}' for src, out in _MEASURES)}
+FROM ({FILTERED}) f WHERE ts >= TIMESTAMP '{day}' - INTERVAL 7 DAY AND ts < TIMESTAMP '{day}' GROUP BY region_code, region_name""")}) z"""
+
+
+WEEKLY_BY_RUN = _run("2024-01-14") + " UNION ALL " + _run("2024-01-22")
+
 OUTDOOR_SCORE = f"""SELECT region_code, week_start, avg_temp, humidity, precipitation, wind_speed, ground_temp, score
 FROM ({SCORED}) x"""
 
@@ -478,7 +486,7 @@ ORACLE.update({
 # ------------------------------------------------------------- streaming
 ORACLE.update({
     "stream_ingest": f"SELECT DATE, ORG, STN, PM10 FROM ({S['hourly_dust']}) r",
-    "stream_dedupe": f"SELECT DATE, ORG, STN, PM10, event_time FROM ({S['hourly_dust']}) r",
+    "stream_dedupe": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS DATE, CAST(user_id AS VARCHAR) AS STN, date_trunc('day', ts)::TIMESTAMP AS event_time FROM events",
     "stream_upsert": STREAM_UPSERT,
 })
 
@@ -533,3 +541,40 @@ FROM (SELECT DISTINCT CAST(ts AS DATE) AS run_date FROM events) d
 """
 ORACLE["ts_formats"] = TS_FORMATS
 ORACLE["week_window"] = WEEK_WINDOW
+
+# ------------------------------------------------------------ edge values
+ORACLE |= {
+    "weekly_scores_by_run": WEEKLY_BY_RUN,
+    "forecast_all_categories": processed("20240115", ", " + ", ".join(_OTHERS)),
+    "newest_snapshot_null_day": f"""
+SELECT CAST(event_time::DATE - DATE '2023-12-01' AS INTEGER) AS DAY, ORG, STN, PM10 FROM ({S['hourly_dust']}) r
+WHERE arrival % 10 <> 0 AND event_time::DATE = (SELECT max(ts)::DATE FROM events WHERE event_id % 10 <> 0)""",
+    "sentinel_forms": """
+SELECT o_orderkey, CASE o_orderkey % 10 WHEN 6 THEN '9' WHEN 7 THEN '-90' WHEN 8 THEN '-9x' WHEN 9 THEN '' END AS value FROM orders""",
+    "mean_three_decimals": f"""
+SELECT l_suppkey, {mean_half_up('(l_orderkey % 1000 / 1000)', 3)} AS mean_small,
+       coalesce(bool_or(l_suppkey = 1 AND l_linenumber = 1), false) AS has_huge FROM lineitem GROUP BY l_suppkey""",
+    "region_lookup": f"SELECT region_code, region_name, count(*) AS n FROM ({OBS}) o GROUP BY region_code, region_name",
+    "load_counts": """
+SELECT 'rows' AS what, count(*) AS n FROM events UNION ALL SELECT 'blank', count(*) FROM events WHERE event_id % 17 = 0
+UNION ALL SELECT 'errors', count(*) FROM events WHERE event_type = 'error'""",
+    "csv_values_roundtrip": r"""
+SELECT c_custkey, CASE c_custkey % 9 WHEN 0 THEN '  pad  ' WHEN 1 THEN 'say "hi"' WHEN 2 THEN 'two' || chr(10) || 'lines' WHEN 3 THEN 'back\slash'
+       WHEN 4 THEN 'a,b' WHEN 5 THEN '' WHEN 6 THEN '"' WHEN 7 THEN chr(9) END AS v, copy
+FROM customer, (VALUES ('dated'), ('latest')) c(copy)""",
+    "text_control_chars": """
+WITH l AS (SELECT c_custkey || '|' || CASE c_custkey % 6 WHEN 0 THEN 'a' || chr(1) || 'b' WHEN 1 THEN chr(2) || 'start' WHEN 2 THEN 'plain'
+                  WHEN 3 THEN 'q"q' WHEN 4 THEN ' lead' ELSE '한글' || chr(1) END AS value FROM customer
+           UNION ALL SELECT chr(2) || c_custkey FROM customer)
+SELECT reader, value FROM l, (VALUES ('scan'), ('read')) r(reader)""",
+    "xml_edge_tags": """
+SELECT CAST(p_partkey AS VARCHAR) AS msgCode, CASE WHEN p_partkey % 3 = 2 THEN '  ' || p_brand || ' ' END AS eqPt, CAST(NULL AS VARCHAR) AS eqDate FROM part""",
+    "station_seed": f"SELECT {', '.join(K.STATION_COLUMNS[:-1])}, NULLIF(FCT_ID, '') AS FCT_ID FROM ({S['station_master']}) s",
+    "quake_table_day_replace": f"""
+WITH raw AS (SELECT *, substr(eqDate, 1, 8) AS eq_day FROM ({S['raw_eq_world']}) r),
+again AS (SELECT * REPLACE ('reloaded' AS reFer) FROM raw WHERE eq_day = '19980802')
+SELECT * FROM raw WHERE eq_day IS DISTINCT FROM '19980802' UNION ALL SELECT * FROM again
+UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS eqDate, CAST(NULL AS VARCHAR) AS eq_day) FROM again""",
+    "forecast_table_retention": """
+SELECT event_id, strftime(ts, '%Y%m%d') AS FCST_DATE, CAST(date_trunc('week', ts) AS DATE) AS BASE FROM events WHERE ts >= TIMESTAMP '2024-01-17'""",
+}

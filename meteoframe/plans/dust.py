@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meteoframe.functions import dates as D
-from meteoframe.functions.numeric import mean_half_up, safe_number, to_cents
+from meteoframe.functions.numeric import mean_half_up, safe_number
 from meteoframe.functions.weather import dust_grade
 from meteoframe.operators.dedupe import keep_first, pick_one
 from meteoframe.operators.joins import join_dimension
 
 RAW_COLUMNS = ["DATE", "ORG", "STN", "PM10"]
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"  # how a partition list shows a null
 
 
 def latest_snapshot(raw: DataFrame, col: str = "DATE", newest=None) -> DataFrame:
@@ -31,15 +32,16 @@ def latest_snapshot(raw: DataFrame, col: str = "DATE", newest=None) -> DataFrame
 
 def newest_partition(spark: SparkSession, table: str, col: str):
     """Largest value of partition column ``col`` of a catalog table, read
-    from the partition list (metadata only, no data file opened); None when
-    ``col`` is not a partition column or the table has no partitions."""
-    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if col not in parts:
+    from the partition list (metadata only, no data file opened) and compared
+    in the column's own type; rows without a value do not count.  None when
+    ``col`` is not a partition column or the table has no such partition."""
+    if col not in [c.name for c in spark.catalog.listColumns(table) if c.isPartition]:
         return None
+    kind = spark.table(table).schema[col].dataType
     listing = spark.sql(f"SHOW PARTITIONS {table}")
     value = F.regexp_extract(F.col("partition"), rf"(?:^|/){col}=([^/]*)", 1)
-    row = listing.agg(F.max(value).alias("m")).first()
-    return row["m"] if row and row["m"] not in (None, "") else None
+    known = listing.select(value.alias("v")).filter(~F.col("v").isin("", HIVE_NULL))
+    return known.agg(F.max(F.url_decode(F.regexp_replace("v", r"\+", "%2B")).cast(kind)).alias("m")).first()["m"]
 
 
 def dedupe_snapshot(raw: DataFrame) -> DataFrame:
@@ -73,8 +75,7 @@ def monthly_mean(daily: DataFrame) -> DataFrame:
     return (daily.filter(F.col("kst").isNotNull())
             .withColumn("MONTH", D.month_text("kst"))
             .groupBy("STN_ID", "MONTH")
-            .agg(F.sum(to_cents("avg")).alias("_s"), F.count("avg").alias("_n"))
-            .select("STN_ID", "MONTH", mean_half_up("_s", "_n", 6).alias("MONTHLY_AVG")))
+            .agg(mean_half_up("avg", 6).alias("MONTHLY_AVG")))
 
 
 def monthly_analytics(monthly: DataFrame, stations: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from meteoframe.functions.weather import (discomfort_alert, discomfort_index, pt
                                           sky_label, strong_wind_alert)
 from meteoframe.operators.joins import join_dimension
 from meteoframe.operators.merge import retain, upsert_frame
-from meteoframe.operators.reshape import duplicate_keys, pivot_checked
+from meteoframe.operators.reshape import pivot_checked
 
 KEYS = ["BASE_DATE", "FCST_DATE", "FCST_TIME", "LOCATION"]
 WIDE_COLUMNS = ["BASE_DATE", "BASE_TIME", "FCST_DATE", "FCST_TIME", "NX", "NY", "LOCATION",
@@ -26,32 +26,28 @@ def locations(coords: DataFrame) -> DataFrame:
                          F.col("level1").alias("BROAD_LOCATION"))
 
 
-def locate(items: DataFrame, coords: DataFrame, bounded: bool = False) -> DataFrame:
+def locate(items: DataFrame, coords: DataFrame) -> DataFrame:
     """Tag items with every location on their grid cell (1:N when two
     locations share a cell, as separate requests would)."""
-    return join_dimension(items, locations(coords), ["nx", "ny"], bounded=bounded)
+    return join_dimension(items, locations(coords), ["nx", "ny"])
 
 
-def wide(long: DataFrame, on_duplicate: str = "raise") -> DataFrame:
+def wide(long: DataFrame, categories=(*K.FORECAST_CATEGORIES, *K.FORECAST_OTHERS)) -> DataFrame:
     """Pivot categories into the fixed column list; numeric ones coerced.
 
-    A repeated (index, category) breaks the pivot contract.  ``"raise"``
-    (default) fails the job from inside the pivot aggregate; ``"empty"``
-    returns no rows instead, as the original job did when it caught the
-    error (this costs one extra aggregate to look for repeats first).
+    A repeated (index, category) or a category outside ``categories`` fails
+    the job from inside the pivot aggregate.
     """
-    if on_duplicate == "empty":
-        if not duplicate_keys(long, K.FORECAST_INDEX + ["category"]).isEmpty():
-            long = long.limit(0)
-    w = pivot_checked(long, K.FORECAST_INDEX, "category", "fcstValue", K.FORECAST_CATEGORIES)
+    w = pivot_checked(long, K.FORECAST_INDEX, "category", "fcstValue", categories)
     for c in K.FORECAST_NUMERIC:
         w = w.withColumn(c, safe_double(c))
     return w
 
 
-def process(w: DataFrame, base_date: str) -> DataFrame:
+def process(w: DataFrame, base_date: str, others: bool = False) -> DataFrame:
     """Labels, alerts and discomfort index; renamed to the table's columns;
-    forecasts before ``base_date`` ('yyyyMMdd' text order) dropped."""
+    forecasts before ``base_date`` ('yyyyMMdd' text order) dropped.  With
+    ``others`` the feed's further categories follow (for the export)."""
     di = discomfort_index("TMP", "REH")
     out = (w.withColumn("SKY", sky_label("SKY"))
            .withColumn("PTY", pty_label("PTY"))
@@ -59,7 +55,8 @@ def process(w: DataFrame, base_date: str) -> DataFrame:
            .withColumn("DI", di)
            .withColumn("DISCOMFORT_ALERT", discomfort_alert(di))
            .withColumnsRenamed(K.FORECAST_RENAME))
-    return out.filter(F.col("FCST_DATE") >= F.lit(base_date)).select(*WIDE_COLUMNS)
+    extra = [c for c in w.columns if c in K.FORECAST_OTHERS] if others else []
+    return out.filter(F.col("FCST_DATE") >= F.lit(base_date)).select(*WIDE_COLUMNS, *extra)
 
 
 def upsert(target: DataFrame, source: DataFrame) -> DataFrame:

@@ -12,6 +12,11 @@ from meteoframe.functions.text import first_tokens
 from meteoframe.operators.merge import replace_range
 
 
+# the same two rules as SQL text, for views kept in the catalog
+DOMESTIC_SQL = f"nkDiv = 'N' AND cntDiv = 'Y' AND msgCode = '{K.EQ_MSG_DOMESTIC}'"
+FOREIGN_SQL = f"nkDiv = 'N' AND cntDiv = 'N' AND msgCode = '{K.EQ_MSG_FOREIGN}'"
+
+
 def domestic(raw: DataFrame) -> DataFrame:
     """Domestic reports, North Korea excluded (a view: stays lazy, and the
     three equalities reach the scan as pushed filters)."""
@@ -24,9 +29,9 @@ def foreign(raw: DataFrame) -> DataFrame:
                       & (F.col("msgCode") == K.EQ_MSG_FOREIGN))
 
 
-def with_region(df: DataFrame) -> DataFrame:
-    """place_region = first two space-separated tokens of the place."""
-    return df.withColumn("place_region", first_tokens(F.col("eqPt"), 2))
+def region_of(place="eqPt"):
+    """First two space-separated tokens of the place (a Column)."""
+    return first_tokens(F.col(place), 2)
 
 
 def region_latest(dom: DataFrame) -> DataFrame:
@@ -39,15 +44,14 @@ def region_latest(dom: DataFrame) -> DataFrame:
     warehouse sorts them), then eqlt, eqln descending as tie-break.  A null
     region never joins its counts, so it is dropped.
     """
-    r = with_region(dom).filter(F.col("place_region").isNotNull())
     latest = F.max(F.struct(F.col("eqDate").isNull().cast("int").alias("n"),
                             F.col("eqDate").alias("d"), F.col("eqLt").alias("lt"),
                             F.col("eqLn").alias("ln")))
-    g = r.groupBy("place_region").agg(F.count(F.lit(1)).alias("eq_count"), latest.alias("w"))
+    g = (dom.filter(region_of().isNotNull()).groupBy(region_of().alias("region"))
+         .agg(F.count(F.lit(1)).alias("eq_count"), latest.alias("w")))
     # no ORDER BY here: a table keeps no row order, so ordering happens on
     # read (``by_count``) instead of costing a range shuffle on every rebuild
-    return g.select(F.col("place_region").alias("region"), "eq_count",
-                    F.col("w.lt").alias("eqlt"), F.col("w.ln").alias("eqln"))
+    return g.select("region", "eq_count", F.col("w.lt").alias("eqlt"), F.col("w.ln").alias("eqln"))
 
 
 def by_count(region_table: DataFrame) -> DataFrame:
@@ -58,10 +62,8 @@ def by_count(region_table: DataFrame) -> DataFrame:
 def region_max(fgn: DataFrame) -> DataFrame:
     """Per region: number of reports and the largest magnitude (as a number,
     not text order).  One aggregate instead of two joined ones."""
-    r = with_region(fgn).filter(F.col("place_region").isNotNull())
-    return r.groupBy(F.col("place_region").alias("region")).agg(
-        F.count(F.lit(1)).alias("eq_count"),
-        F.max(safe_double("magMl")).alias("max_magml"))
+    return (fgn.filter(region_of().isNotNull()).groupBy(region_of().alias("region"))
+            .agg(F.count(F.lit(1)).alias("eq_count"), F.max(safe_double("magMl")).alias("max_magml")))
 
 
 def replace_day(raw: DataFrame, day_rows: DataFrame, day: str) -> DataFrame:

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from meteoframe import constants as K
 from meteoframe.functions import dates as D
-from meteoframe.functions.numeric import (mean_half_up, null_if_missing, to_cents,
-                                          zero_if_missing)
+from meteoframe.functions.numeric import mean_half_up, null_if_missing, zero_if_missing
 from meteoframe.functions.weather import outdoor_score
 from meteoframe.operators.joins import join_dimension
 from meteoframe.operators.merge import upsert_frame
@@ -50,12 +49,19 @@ def region_codes(df: DataFrame, regions: DataFrame, name_col: str = "region_name
     return j.withColumn("region_code", code.otherwise(F.col("_code"))).drop("_code")
 
 
-def day_flags(obs: DataFrame, holidays: DataFrame) -> DataFrame:
-    """day, weekday (Mon = 0), is_holiday (calendar membership by a
-    broadcast left join on the date) and the day tag."""
-    d = obs.withColumn("day", F.to_date("ts"))
+def day_flags(obs: DataFrame, holidays: DataFrame, covered: tuple[str, str] | None = None) -> DataFrame:
+    """day, weekday (Mon = 0), is_holiday (calendar membership by a left join
+    on the date) and the day tag.  ``covered`` states the first and last day
+    that the calendar knows; a reading outside it fails the job, because its
+    holidays are not known."""
+    day = F.to_date("ts")
+    if covered is not None:
+        first, last = (F.lit(d).cast("date") for d in covered)
+        day = F.when((day < first) | (day > last), F.raise_error(F.concat(
+            F.lit("no holiday calendar for "), day.cast("string")))).otherwise(day)
+    d = obs.withColumn("day", day)
     cal = holidays.select(F.col("holiday").alias("day"), F.lit(True).alias("is_holiday")).distinct()
-    j = join_dimension(d, cal, "day", how="left", bounded=True)
+    j = join_dimension(d, cal, "day", how="left")
     hol = F.coalesce(F.col("is_holiday"), F.lit(False))
     return (j.withColumn("is_holiday", hol)
             .withColumn("weekday", D.weekday("day"))
@@ -64,40 +70,47 @@ def day_flags(obs: DataFrame, holidays: DataFrame) -> DataFrame:
                         .otherwise(K.DAY_TAG_WEEKDAY)))
 
 
-def weekend_or_holiday(obs: DataFrame, holidays: DataFrame) -> DataFrame:
-    f = day_flags(obs, holidays)
+def weekend_or_holiday(obs: DataFrame, holidays: DataFrame, covered: tuple[str, str] | None = None) -> DataFrame:
+    f = day_flags(obs, holidays, covered)
     return f.filter((F.col("weekday") >= 5) | F.col("is_holiday"))
 
 
-def weekly_summary(filtered: DataFrame, with_days: bool = False) -> DataFrame:
-    """Per region and week (Monday start): six null-skipping means rounded
-    half up to 2 decimals (exact, from hundredths), newest reading time and
-    the row count.  One hash aggregate with map-side combine (the newest
-    time is kept as a timestamp and formatted afterwards).
+def run_window(obs: DataFrame, run_date: str) -> DataFrame:
+    """The readings a run on ``run_date`` ('yyyy-MM-dd') asks for: the seven
+    days before it."""
+    first, last = (D.parse_ts(t, D.STAMP_MINUTE) for t in D.last_week_range(F.lit(run_date).cast("date")))
+    return obs.filter(F.col("ts").between(first, last + F.expr("INTERVAL 59 MINUTES")))
+
+
+def weekly_summary(filtered: DataFrame, with_days: bool = False, run_date: str | None = None) -> DataFrame:
+    """Per region and week: six null-skipping means rounded half up to 2
+    decimals, newest reading time and the row count.  One hash aggregate with
+    map-side combine (the newest time is kept as a timestamp and formatted
+    afterwards).
+
+    Without ``run_date`` every Monday-to-Sunday week is summed up; with it the
+    rows are one run's window and ``week_start`` is its first day.
 
     ``with_days`` also gathers the week's distinct analysed days with their
     tags in the same aggregate (``_days``: at most 7 entries, deduplicated
     map-side), for the report lines - no second pass over the readings.
     """
-    aggs = []
-    for src, out in MEASURES:
-        cents = to_cents(F.col(src))
-        aggs += [F.sum(cents).alias(f"_s_{out}"), F.count(cents).alias(f"_n_{out}")]
+    aggs = [mean_half_up(src).alias(out) for src, out in MEASURES]
     if with_days:
         aggs.append(F.collect_set(F.struct("day", "day_tag")).alias("_days"))
-    g = (filtered.withColumn("week_start", D.week_start("ts"))
+    start = D.week_start("ts") if run_date is None else F.date_sub(F.lit(run_date).cast("date"), 7)
+    g = (filtered.withColumn("week_start", start)
          .groupBy("region_code", "region_name", "region_idx", "week_start")
          .agg(*aggs, F.max("ts").alias("_last_ts"),  # fixed-width: keeps the aggregate hash-based
               F.count(F.lit(1)).alias("n_records")))
-    return g.select("region_code", "region_name", "region_idx", "week_start",
-                    *[mean_half_up(f"_s_{o}", f"_n_{o}").alias(o) for _, o in MEASURES],
+    return g.select("region_code", "region_name", "region_idx", "week_start", *[o for _, o in MEASURES],
                     D.fmt_ts("_last_ts", D.READABLE).alias("last_updated"), "n_records",
                     *(["_days"] if with_days else []))
 
 
 def scores(summary: DataFrame) -> DataFrame:
-    """Outdoor score per region-week; ``date`` is the run date (the Monday
-    after the week)."""
+    """Outdoor score per region-week; ``date`` is the run date (the day after
+    the week)."""
     return summary.withColumn(
         "score", outdoor_score("avg_temp", "humidity", "precipitation", "wind_speed", "ground_temp")
     ).withColumn("date", F.date_add("week_start", 7))

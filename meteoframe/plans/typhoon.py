@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 from meteoframe import constants as K
 from meteoframe.functions import dates as D
-from meteoframe.functions.numeric import safe_double, sentinel_to_null
+from meteoframe.functions.numeric import safe_double, safe_int, sentinel_to_null
 from meteoframe.operators.batches import drop_bad_batches
 from meteoframe.operators.merge import upsert_frame
 
 KEYS = ["TYP_TM", "TYP"]
 
 
+def latest_first() -> list[tuple]:
+    """Among repeated keys the later forecast hour, then the later sequence
+    number wins; both compared as numbers ('120' is after '96')."""
+    return [(safe_int("FT"), False), (safe_int("SEQ"), False)]
+
+
 def clean(raw: DataFrame, batch_col: str | None = "batch") -> DataFrame:
     """Raw listing rows -> RAW_TYPHOON rows.
 
@@ -38,4 +44,4 @@ def upsert(target: DataFrame, source: DataFrame) -> DataFrame:
     """MERGE ON (TYP_TM, TYP): matched rows take the source values, new keys
     are inserted.  Overlapping fetches repeat a key in the source; the row
     with the greatest (FT, SEQ, ...) is used."""
-    return upsert_frame(target, source, KEYS, order=[("FT", False), ("SEQ", False)])
+    return upsert_frame(target, source, KEYS, order=latest_first())

@@ -14,9 +14,11 @@ from meteoframe import constants as K
 from meteoframe.functions import dates as D
 from meteoframe.operators import grids as G
 from meteoframe.operators import quality as Q
-from meteoframe.operators.batches import drop_bad_batches
+from meteoframe.functions.numeric import mean_half_up, sentinel_to_null
+from meteoframe.operators.batches import drop_bad_batches, observe_counts, union_all
 from meteoframe.operators.reshape import duplicate_keys
 from meteoframe.plans import dust, forecast, quake, score, typhoon
+from meteoframe.session import scratch_path
 from meteoframe.sources import feeds, standins as S
 
 # Run parameters (what a scheduled run would pass in).
@@ -98,7 +100,7 @@ def bad_batch_drop(spark, d):
 
 # ---------------------------------------------------------------- forecast
 def _forecast_long(spark, d):
-    return forecast.locate(S.forecast_items(spark, d), S.coordinates(spark, d), bounded=True)
+    return forecast.locate(S.forecast_items(spark, d), S.coordinates(spark, d))
 
 
 def forecast_wide(spark, d):
@@ -115,6 +117,11 @@ def forecast_labels(spark, d):
                                        "STRONG_WIND_ALERT")
 
 
+def forecast_all_categories(spark, d):
+    """The export's rows: every category of the feed."""
+    return forecast.process(forecast.wide(_forecast_long(spark, d)), FORECAST_BASE_DATE, others=True)
+
+
 def forecast_discomfort(spark, d):
     return _processed(spark, d).select("FCST_DATE", "FCST_TIME", "LOCATION", "TMP", "REH",
                                        "DI", "DISCOMFORT_ALERT")
@@ -142,11 +149,11 @@ def forecast_retention(spark, d):
 
 # ------------------------------------------------------------------- score
 def _obs(spark, d):
-    return score.observations(S.observations_raw(spark, d), S.regions(spark))
+    return score.observations(S.observations_raw(spark, d), feeds.regions(spark))
 
 
 def _filtered(spark, d):
-    return score.weekend_or_holiday(_obs(spark, d), S.holidays(spark))
+    return score.weekend_or_holiday(_obs(spark, d), S.holidays(spark), K.HOLIDAY_RANGE)
 
 
 def holiday_filter(spark, d):
@@ -197,6 +204,20 @@ def score_upsert(spark, d):
     return score.upsert(target, source)
 
 
+# run dates: a Sunday, as the weekly schedule has it, and a Monday
+WEEKLY_RUNS = ["2024-01-14", "2024-01-22"]
+
+
+def weekly_scores_by_run(spark, d):
+    """One run's seven days before its date, for each of the run dates."""
+    out = None
+    for run in WEEKLY_RUNS:
+        rows = score.weekend_or_holiday(score.run_window(_obs(spark, d), run), S.holidays(spark), K.HOLIDAY_RANGE)
+        one = score.score_table(score.scores(score.weekly_summary(rows, run_date=run)))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def dq_empty(spark, d):
     """Q5 per region-week: weeks with no weekend/holiday rows are skipped."""
     obs = _obs(spark, d).withColumn("week_start", D.week_start("ts"))
@@ -282,11 +303,57 @@ def dq_pivot_key(spark, d):
 
 def dq_freshness(spark, d):
     ev = S.table(spark, d, "events")
-    newest = ev.groupBy("event_type").agg(F.max("ts").alias("newest"))
-    age = (F.unix_micros(F.lit(RUN_TS).cast("timestamp")) -
-           F.unix_micros(F.col("newest").cast("timestamp"))) / 3.6e9
-    return newest.select("event_type", "newest", age.alias("age_hours"),
-                         (age > 24.0).alias("stale"))
+    return Q.freshness(ev, "ts", RUN_TS, 24.0, by=["event_type"])
+
+
+# ------------------------------------------------------------- edge values
+def newest_snapshot_null_day(spark, d):
+    """The hourly table partitioned by day as an integer, a tenth of its rows
+    without one: rows of the newest day, found from partition metadata."""
+    base = scratch_path(spark, "null-day")
+    raw = S.hourly_dust(spark, d, with_arrival=True)
+    rows = raw.select(F.when(F.col("arrival") % 10 != 0, F.datediff("event_time", F.lit("2023-12-01").cast("date"))).alias("DAY"),
+                      "ORG", "STN", "PM10")
+    name = "dust_" + base.rsplit("-", 1)[-1]
+    rows.write.partitionBy("DAY").option("path", base).saveAsTable(name)
+    newest = dust.newest_partition(spark, name, "DAY")
+    out = dust.latest_snapshot(spark.read.schema(rows.schema).parquet(base), "DAY", newest)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def sentinel_forms(spark, d):
+    """Every order with a missing-value code in one of its spellings."""
+    o = S.table(spark, d, "orders")
+    forms = F.array(*[F.lit(x) for x in ("-9", "-09", "-9.0", " -99 ", "-999.00", "-9e0", "9", "-90", "-9x", "")])
+    text = F.element_at(forms, (F.col("o_orderkey") % 10 + 1).cast("int"))
+    return o.select("o_orderkey", sentinel_to_null(text, K.TYPHOON_SENTINELS).alias("value"))
+
+
+def mean_three_decimals(spark, d):
+    """Means of values with three decimals (nothing is rounded on the way in),
+    and of groups that hold one huge value."""
+    li = S.table(spark, d, "lineitem")
+    small = F.col("l_orderkey") % 1000 / 1000
+    huge = F.when((F.col("l_suppkey") == 1) & (F.col("l_linenumber") == 1), F.lit(1e300)).otherwise(small)
+    return li.groupBy("l_suppkey").agg(mean_half_up(small, 3).alias("mean_small"), (mean_half_up(huge, 3) > 1e290).alias("has_huge"))
+
+
+def region_lookup(spark, d):
+    """Station codes of region names, by the table that scores use."""
+    obs = _obs(spark, d).select("region_name", "timestamp")
+    return score.region_codes(obs, feeds.regions(spark)).groupBy("region_code", "region_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def load_counts(spark, d):
+    """Rows and rejected rows of a load, counted while it is written; and the
+    load joined from two frames, one of them empty."""
+    base = scratch_path(spark, "load-counts")
+    raw = S.hourly_dust(spark, d)
+    both = union_all([raw, raw.limit(0).withColumn("note", F.lit("x"))])
+    counted, seen = observe_counts(both, "load", blank=F.col("PM10") == "", errors=F.col("ORG") == "error")
+    counted.write.parquet(base)
+    return feeds.inline_rows(spark, [(k, v) for k, v in sorted(seen.get.items())], "what string, n bigint")
 
 
 # ------------------------------------------------------------- misc shapes
@@ -302,8 +369,8 @@ def null_union_filter(spark, d):
 
 def shape_columns(spark, d):
     dom = quake.domestic(S.raw_eq_world(spark, d))
-    r = dom.select("*", F.array_join(F.slice(F.split("eqPt", " "), 1, 2), " ").alias("place_region"))
-    sel = r.select(F.col("place_region").alias("region"), F.col("eqDate").alias("eq_date"),
+    r = dom.select("*", quake.region_of().alias("region"))
+    sel = r.select("region", F.col("eqDate").alias("eq_date"),
                    F.col("magMl").alias("mag_ml"),
                    F.to_timestamp(F.lit(RUN_TS)).cast("timestamp_ntz").alias("loaded_at"))
     return sel.toDF(*[c.upper() for c in sel.columns])
@@ -339,6 +406,13 @@ QUERIES = {
     "score_report": score_report,
     "score_message": score_message,
     "score_upsert": score_upsert,
+    "weekly_scores_by_run": weekly_scores_by_run,
+    "forecast_all_categories": forecast_all_categories,
+    "newest_snapshot_null_day": newest_snapshot_null_day,
+    "sentinel_forms": sentinel_forms,
+    "mean_three_decimals": mean_three_decimals,
+    "region_lookup": region_lookup,
+    "load_counts": load_counts,
     "dq_empty": dq_empty,
     "ts_formats": ts_formats,
     "week_window": week_window,

@@ -53,10 +53,29 @@ def overwrite(df: DataFrame, table: str, path: str | None = None) -> None:
 
 
 def create_view(df: DataFrame, name: str) -> None:
-    """A stored query (materialized='view'): stays lazy, re-evaluated on read."""
+    """A stored query of this session: stays lazy, re-evaluated on read."""
     df.createOrReplaceTempView(name)
 
 
+def create_catalog_view(spark: SparkSession, name: str, table: str, condition: str) -> None:
+    """A stored query kept in the catalog: the rows of ``table`` for which the
+    SQL ``condition`` holds, re-evaluated on read by any session."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table} WHERE {condition}")
+
+
+def partition_values(df: DataFrame, col: str) -> list:
+    """Distinct values of a partition column: a list as short as the list of
+    partitions that the rows touch."""
+    return [r[0] for r in df.select(col).distinct().collect()]
+
+
+def in_partitions(col: str, values: Sequence) -> Column:
+    """Predicate on literals, so that the scan prunes its partitions."""
+    known = [v for v in values if v is not None]
+    one = F.col(col).isin(known) if known else F.lit(False)
+    return one | F.col(col).isNull() if len(known) < len(values) else one
+
+
 def _rewrite(spark: SparkSession, table: str, new_rows: DataFrame, dynamic: bool) -> None:
     checkpoint_dir(spark)
     stable = new_rows.checkpoint(eager=True)  # lineage cut: no read of `table` left
@@ -79,15 +98,33 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Seque
     if partition_col is not None:
         if partition_col not in keys:
             raise ValueError("partition column must be part of the merge key")
-        touched = source.select(partition_col).distinct()
-        target = target.join(touched, partition_col, "left_semi")
+        checkpoint_dir(spark)
+        source = source.checkpoint()  # read for its partitions and for the merge
+        target = target.filter(in_partitions(partition_col, partition_values(source, partition_col)))
     merged = upsert_frame(target, source, keys, order)
     _rewrite(spark, table, merged, dynamic=partition_col is not None)
 
 
-def replace_rows(spark: SparkSession, table: str, new_rows: DataFrame, in_range: Column) -> None:
-    """DELETE WHERE in_range; then INSERT new_rows - as one rewrite."""
-    _rewrite(spark, table, replace_range(spark.table(table), new_rows, in_range), dynamic=False)
+def replace_rows(spark: SparkSession, table: str, new_rows: DataFrame, in_range: Column,
+                 partition_col: str | None = None, in_scope: Sequence = ()) -> None:
+    """DELETE WHERE in_range; then INSERT new_rows - as one rewrite.
+
+    For a table partitioned by ``partition_col``, ``in_scope`` lists the
+    partitions that can hold rows of the range: only those, and the ones that
+    ``new_rows`` touch, are read and rewritten.
+    """
+    if partition_col is None:
+        _rewrite(spark, table, replace_range(spark.table(table), new_rows, in_range), dynamic=False)
+        return
+    checkpoint_dir(spark)
+    new_rows = new_rows.checkpoint()
+    touched = {*in_scope, *partition_values(new_rows, partition_col)}
+    target = spark.table(table).filter(in_partitions(partition_col, list(touched)))
+    held = set(partition_values(target, partition_col))
+    merged = replace_range(target, new_rows, in_range).checkpoint()
+    for value in held - set(partition_values(merged, partition_col)):
+        replace_partition(spark, table, merged.limit(0), partition_col, value)
+    _rewrite(spark, table, merged, dynamic=True)
 
 
 def replace_partition(spark: SparkSession, table: str, new_rows: DataFrame,
@@ -97,57 +134,57 @@ def replace_partition(spark: SparkSession, table: str, new_rows: DataFrame,
     A static ``INSERT OVERWRITE ... PARTITION (col = value)`` clears exactly
     that partition even when the load is empty (a dynamic overwrite would
     leave the old partition in place); other partitions are not touched and
-    rerunning gives the same table.
+    rerunning gives the same table.  The value may be of any type, or null.
     """
-    lit = value if not isinstance(value, str) else "'" + value.replace("'", "''") + "'"
-    cols = [c for c in spark.table(table).columns if c != partition_col]
+    frame = spark.table(table)
+    kind = frame.schema[partition_col].dataType
+    lit = "NULL" if value is None else "'" + str(value).replace("'", "''") + "'"  # cast to the column's type
+    cols = [c for c in frame.columns if c != partition_col]
     view = "_replace_" + uuid.uuid4().hex[:12]
-    new_rows.filter(F.col(partition_col) == F.lit(value)).select(*cols).createOrReplaceTempView(view)
+    new_rows.filter(F.col(partition_col).eqNullSafe(F.lit(value).cast(kind))).select(*cols).createOrReplaceTempView(view)
     try:
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col} = {lit}) "
-                  f"SELECT {', '.join(cols)} FROM {view}")
+                  f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
 
 def retain_rows(spark: SparkSession, table: str, keep: Column, partition_col: str | None = None,
-                in_partitions: Column | None = None) -> None:
+                in_scope: Column | None = None) -> None:
     """DELETE WHERE NOT keep (rows whose predicate is null are kept).
 
-    For a table partitioned by ``partition_col``, ``in_partitions`` (a
-    predicate on that column) names the only partitions that can hold rows
-    to delete: just those are read and rewritten (dynamic overwrite), and
-    any that end up empty are cleared by a static partition overwrite.
+    For a table partitioned by ``partition_col``, ``in_scope`` (a predicate
+    on that column) names the only partitions that can hold rows to delete:
+    just those are read and rewritten (dynamic overwrite), and any that end
+    up empty are cleared by a static partition overwrite.
     """
-    if partition_col is None or in_partitions is None:
+    if partition_col is None or in_scope is None:
         _rewrite(spark, table, retain(spark.table(table), keep), dynamic=False)
         return
-    affected = spark.table(table).filter(in_partitions)
-    kept = retain(affected, keep).checkpoint(eager=True)
-    emptied = (affected.select(partition_col).distinct()
-               .join(kept.select(partition_col).distinct(), partition_col, "left_anti"))
-    # one value per partition: a metadata-sized list
-    for row in emptied.collect():
-        replace_partition(spark, table, kept.limit(0), partition_col, row[0])
-    if not kept.isEmpty():
+    affected = spark.table(table).filter(in_scope)
+    checkpoint_dir(spark)
+    kept = retain(affected, keep).checkpoint()
+    left = set(partition_values(kept, partition_col))
+    for value in set(partition_values(affected, partition_col)) - left:
+        replace_partition(spark, table, kept.limit(0), partition_col, value)
+    if left:
         _rewrite(spark, table, kept, dynamic=True)
 
 
 # -------------------------------------------------------------- exports
-def write_csv(df: DataFrame, path: str, header: bool = True, null_value: str = "") -> str:
-    """CSV with header, nulls written as ''."""
-    (df.write.mode("overwrite").option("header", header).option("nullValue", null_value)
-     .option("emptyValue", "").csv(path))
+def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
+    """CSV with header; nulls are written as nothing and empty text as "",
+    quotes inside values are doubled, blanks are kept."""
+    (df.write.mode("overwrite").option("header", header).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("nullValue", "").option("emptyValue", '""').csv(path))
     return path
 
 
 def write_dated_and_latest(df: DataFrame, base: str, stamp: str) -> tuple[str, str]:
-    """Same contents to ``base/dated=<stamp>`` and ``base/latest``: the
-    dated copy is computed once and the latest copy is read from it."""
-    dated = f"{base.rstrip('/')}/dated={stamp}"
-    latest = f"{base.rstrip('/')}/latest"
-    write_csv(df, dated)
-    spark = df.sparkSession
-    copy = spark.read.option("header", True).schema(df.schema).csv(dated)
-    write_csv(copy, latest)
-    return dated, latest
+    """Same contents to ``base/dated=<stamp>`` and ``base/latest``, computed
+    once."""
+    checkpoint_dir(df.sparkSession)
+    once = df.checkpoint()
+    return (write_csv(once, f"{base.rstrip('/')}/dated={stamp}"),
+            write_csv(once, f"{base.rstrip('/')}/latest"))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meteoframe import constants as K
-from meteoframe.functions.text import is_comment_or_blank, newline_to_space, strip
+from meteoframe.functions.numeric import safe_double
+from meteoframe.functions.text import is_blank, is_comment_or_blank, newline_to_space, strip
 from meteoframe.operators.quality import require_columns
 
 # ------------------------------------------------------------ S4 fixed width
@@ -58,11 +59,13 @@ EQ_COLUMNS = [t if t != "ReFer" else "reFer" for t in K.EQ_TAGS]
 def read_earthquake_xml(spark: SparkSession, path: str, run_ts: str) -> DataFrame:
     """Every <info> record: 19 optional tags (absent -> null), ReFer -> reFer
     with newlines as spaces, plus created_at = updated_at = run time.
+    Text keeps its blanks; an empty tag is null; a malformed record fails.
 
     A feed whose first info only holds the "no content" marker reads as an
     all-null record; all-null records are dropped, so it yields no rows.
     """
-    raw = (spark.read.format("xml").option("rowTag", "info")
+    raw = (spark.read.format("xml").option("rowTag", "info").option("mode", "FAILFAST")
+           .option("nullValue", "").option("ignoreSurroundingSpaces", False)
            .schema(EQ_XML_SCHEMA).load(path))
     return eq_records(raw, run_ts)
 
@@ -83,7 +86,7 @@ FORECAST_ITEM = T.StructType([
     T.StructField("baseDate", T.StringType()), T.StructField("baseTime", T.StringType()),
     T.StructField("category", T.StringType()), T.StructField("fcstDate", T.StringType()),
     T.StructField("fcstTime", T.StringType()), T.StructField("fcstValue", T.StringType()),
-    T.StructField("nx", T.IntegerType()), T.StructField("ny", T.IntegerType()),
+    T.StructField("nx", T.StringType()), T.StructField("ny", T.StringType()),
 ])
 FORECAST_RESPONSE = T.StructType([T.StructField("response", T.StructType([
     T.StructField("body", T.StructType([T.StructField("items", T.StructType([
@@ -92,15 +95,27 @@ FORECAST_RESPONSE = T.StructType([T.StructField("response", T.StructType([
 
 def forecast_items(responses: DataFrame, json_col: str = "value") -> DataFrame:
     """Explode response.body.items.item; a missing body/items or an empty list
-    gives no rows (explode drops null and empty arrays)."""
-    parsed = responses.select(F.from_json(F.col(json_col), FORECAST_RESPONSE).alias("r"))
-    return (parsed.select(F.explode("r.response.body.items.item").alias("i"))
-            .select("i.*"))
+    gives no rows (explode drops null and empty arrays).  Cell numbers may be
+    numbers or text; text that is not JSON fails the job."""
+    parsed = responses.filter(~is_blank(F.col(json_col))).select(
+        F.from_json(F.col(json_col), FORECAST_RESPONSE, {"mode": "FAILFAST"}).alias("r"))
+    items = parsed.select(F.explode("r.response.body.items.item").alias("i")).select("i.*")
+    return items.withColumns({c: grid_number(c) for c in ("nx", "ny")})
+
+
+def grid_number(c: str):
+    """A grid cell number written as '60' or '60.0'; other text fails the job
+    (it would silently match no cell)."""
+    v = safe_double(c)
+    good = v.isNull() & is_blank(F.col(c)) | (v == F.floor(v))
+    return F.when(F.col(c).isNull() | good, v.cast("int")).otherwise(F.raise_error(F.concat(
+        F.lit(f"{c} is not a grid cell number: "), F.col(c))))
 
 
-def read_forecast_json(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON response per line (JSON Lines landing files)."""
-    return forecast_items(spark.read.text(path))
+def read_forecast_json(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
+    """Forecast responses: one per line, or - with ``whole_file`` - one per
+    file, over as many lines as it likes."""
+    return forecast_items(spark.read.option("wholetext", whole_file).text(path))
 
 
 # ------------------------------------------------------------------ S8-S11 CSV
@@ -121,7 +136,7 @@ def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
     require_columns(df, ["level1", "level2", "nx", "ny"])
     return df.select(
         "level1", F.coalesce(F.col("level2"), F.lit("")).alias("level2"),
-        F.col("nx").try_cast("int").alias("nx"), F.col("ny").try_cast("int").alias("ny"))
+        grid_number("nx").alias("nx"), grid_number("ny").alias("ny"))
 
 
 def read_station_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -131,11 +146,18 @@ def read_station_seed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType,
-             header: bool = True, quote: str = '"', null_value: str = "") -> DataFrame:
+             header: bool = True, quote: str = '"', null_value: str | None = None,
+             multi_line: bool = True) -> DataFrame:
     """Bulk CSV load of staged files with an explicit schema (no inference).
-    A batch read always loads every named file ("forced" load)."""
-    return (spark.read.option("header", header).option("quote", quote)
-            .option("nullValue", null_value).schema(schema).csv(path))
+    A batch read always loads every named file ("forced" load).  Quotes inside
+    values are doubled; values may hold line feeds unless ``multi_line`` is
+    switched off, which lets large files be split.  Nothing between two
+    separators is null and "" is empty text, or null is ``null_value``."""
+    return (spark.read.option("header", header).option("quote", quote).option("escape", quote)
+            .option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .option("nullValue", "\u0000" if null_value is None else null_value)
+            .option("emptyValue", "").schema(schema).csv(path))
 
 
 # ------------------------------------------------------------ S13 / S14
@@ -165,3 +187,9 @@ def inline_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     names = ", ".join(f"c{i}" for i in range(len(cols)))
     sel = ", ".join(f"CAST(c{i} AS {t}) AS `{n}`" for i, (n, t) in enumerate(zip(cols, types)))
     return spark.sql(f"SELECT {sel} FROM VALUES {body} AS t({names})")
+
+
+def regions(spark: SparkSession) -> DataFrame:
+    """The 17 score regions with their position (report tie-break order)."""
+    rows = [(i, name, code) for i, (name, code) in enumerate(K.REGION_CODES)]
+    return inline_rows(spark, rows, "region_idx int, region_name string, region_code string")

@@ -18,26 +18,22 @@ def write_lines(lines: DataFrame, path: str, encoding: str = "UTF-8",
                 partitions: int | None = None, order=None, by=None) -> str:
     """Write the ``value`` column as raw lines in ``encoding``.
 
-    The CSV writer is used with quoting, comments, trimming and the separator
-    switched off, because the text writer only writes UTF-8.  With ``by``
-    each value of that column lands in its own folder ``by=<value>/`` (one
-    landed file per fetch) and, with ``order``, lines keep that order inside
-    each file.
+    With ``by`` each value of that column lands in its own folder
+    ``by=<value>/`` (one landed file per fetch) and, with ``order``, lines
+    keep that order inside each file.
     """
     df = lines
     if by is not None:
-        df = df.repartition(partitions or 8, by)
+        df = df.repartition(partitions, by) if partitions else df.repartition(by)
     elif partitions:
         df = df.repartition(partitions)
     if order is not None:
         df = df.sortWithinPartitions(*([order] if isinstance(order, str) else order))
-    w = (df.select("value", *([by] if by is not None else [])).write.mode("overwrite")
-         .option("encoding", encoding).option("quote", "\u0000").option("escape", "\u0000")
-         .option("comment", "\u0002").option("sep", "\u0001")
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    value = F.col("value") if encoding.upper() == "UTF-8" else F.encode("value", encoding).cast("string")
+    w = df.select(F.coalesce(value, F.lit("")).alias("value"), *([by] if by is not None else [])).write.mode("overwrite")
     if by is not None:
         w = w.partitionBy(by)
-    w.csv(path)
+    w.text(path)
     return path
 
 

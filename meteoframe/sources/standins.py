@@ -13,8 +13,6 @@ oracle queries; the two must describe the same rows.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,41 +20,7 @@ from meteoframe import constants as K
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), path)
-
-
-# bytes of compressed input per core below which a round-robin spread costs
-# more than the parallelism it buys
-SPREAD_MIN_BYTES_PER_CORE = 256 * 1024
-_sizes: dict[str, int] = {}
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (file listing only: the
-    ``binaryFile`` source does not read contents that are not selected)."""
-    if path not in _sizes:
-        row = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("n")).first()
-        _sizes[path] = int(row["n"] or 0)
-    return _sizes[path]
-
-
-def spread(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Use every core when a scan yields fewer splits than there are cores.
-
-    A table stored as one row group scans as one partition, so all parsing
-    would run in a single task.  Then - and only when there is enough input
-    to share (``SPREAD_MIN_BYTES_PER_CORE``) - rows are dealt round robin
-    over ``defaultParallelism`` partitions.  A large table spread over many
-    files already has enough splits and is left untouched: no extra shuffle
-    at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if os.environ.get("METEOFRAME_NO_SPREAD") or df.rdd.getNumPartitions() >= cores:
-        return df
-    if path is not None and input_bytes(df.sparkSession, path) < cores * SPREAD_MIN_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _dec_text(c: Column, p: int = 12, s: int = 2) -> Column:
@@ -183,8 +147,8 @@ def raw_typhoon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- forecast
-FORECAST_CATEGORY_OF = [("purchase", "WSD"), ("view", "TMP"), ("click", "REH"),
-                        ("signup", "SKY"), ("error", "PTY")]
+FORECAST_CATEGORY_OF = [("purchase", "WSD", "VEC", "UUU"), ("view", "TMP", "POP", "TMX"), ("click", "REH", "WAV", "VVV"),
+                        ("signup", "SKY", "PCP", "TMN"), ("error", "PTY", "SNO", "SNO")]
 
 
 def coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,9 +171,10 @@ def forecast_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     category, the hour's largest value is the forecast value, rendered as
     the feed's text."""
     ev = table(spark, sf_dir, "events")
-    cat = None
-    for et, c in FORECAST_CATEGORY_OF:
-        cat = F.when(F.col("event_type") == et, c) if cat is None else cat.when(F.col("event_type") == et, c)
+    cat = F.lit(None).cast("string")
+    for et, first, second, third in FORECAST_CATEGORY_OF:
+        kind = F.when(F.col("event_id") % 4 == 0, second).when(F.col("event_id") % 7 == 0, third).otherwise(first)
+        cat = F.when(F.col("event_type") == et, kind).otherwise(cat)
     items = (ev.select(
         F.date_format(F.date_trunc("week", "ts"), "yyyyMMdd").alias("baseDate"),
         F.lit("0500").alias("baseTime"),
@@ -226,7 +191,10 @@ def forecast_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("category") == "REH", _dec_text(v % 100, 8, 2))
             .when(F.col("category") == "WSD", _dec_text(v % 20, 8, 2))
             .when(F.col("category") == "SKY", (whole % 5).cast("string"))
-            .otherwise((whole % 6).cast("decimal(3,1)").cast("string")))
+            .when(F.col("category") == "PTY", (whole % 6).cast("decimal(3,1)").cast("string"))
+            .when(F.col("category") == "VEC", (whole % 360).cast("string"))
+            .when(F.col("category") == "POP", (whole % 11 * 10).cast("string"))
+            .otherwise(F.concat(F.lit("x"), (whole % 9).cast("string"))))
     return items.select("baseDate", "baseTime", "category", "fcstDate", "fcstTime",
                         text.alias("fcstValue"), "nx", "ny")
 
@@ -251,13 +219,6 @@ def observations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         eid.alias("event_id"))
 
 
-def regions(spark: SparkSession) -> DataFrame:
-    """The 17 score regions with their position (report tie-break order)."""
-    from meteoframe.sources.feeds import inline_rows
-    rows = [(i, name, code) for i, (name, code) in enumerate(K.REGION_CODES)]
-    return inline_rows(spark, rows, "region_idx int, region_name string, region_code string")
-
-
 def holidays(spark: SparkSession) -> DataFrame:
     """The holiday calendar (a local relation: no job to broadcast it)."""
     from meteoframe.sources.feeds import inline_rows
@@ -272,7 +233,9 @@ def _values(rows) -> str:
                      for r in rows)
 
 
-CASE_CATEGORY = "CASE " + " ".join(f"WHEN event_type = '{et}' THEN '{c}'" for et, c in FORECAST_CATEGORY_OF) + " END"
+CASE_CATEGORY = "CASE " + " ".join(
+    f"WHEN event_type = '{et}' THEN CASE WHEN event_id % 4 = 0 THEN '{b}' WHEN event_id % 7 = 0 THEN '{c}' ELSE '{a}' END"
+    for et, a, b, c in FORECAST_CATEGORY_OF) + " END"
 
 SQL = {
     "hourly_dust": """
@@ -336,7 +299,10 @@ SQL = {
                     WHEN category = 'REH' THEN CAST(CAST(v % 100 AS DECIMAL(8,2)) AS VARCHAR)
                     WHEN category = 'WSD' THEN CAST(CAST(v % 20 AS DECIMAL(8,2)) AS VARCHAR)
                     WHEN category = 'SKY' THEN CAST(CAST(floor(v) AS BIGINT) % 5 AS VARCHAR)
-                    ELSE CAST(CAST(CAST(floor(v) AS BIGINT) % 6 AS DECIMAL(3,1)) AS VARCHAR) END AS fcstValue,
+                    WHEN category = 'PTY' THEN CAST(CAST(CAST(floor(v) AS BIGINT) % 6 AS DECIMAL(3,1)) AS VARCHAR)
+                    WHEN category = 'VEC' THEN CAST(CAST(floor(v) AS BIGINT) % 360 AS VARCHAR)
+                    WHEN category = 'POP' THEN CAST(CAST(floor(v) AS BIGINT) % 11 * 10 AS VARCHAR)
+                    ELSE 'x' || CAST(CAST(floor(v) AS BIGINT) % 9 AS VARCHAR) END AS fcstValue,
                nx, ny
         FROM (SELECT strftime(date_trunc('week', ts), '%Y%m%d') AS baseDate, '0500' AS baseTime,
                      strftime(ts, '%Y%m%d') AS fcstDate, strftime(ts, '%H') || '00' AS fcstTime,

@@ -1,9 +1,8 @@
 """Landed text feeds: line reader and the per-feed line parsers (S1-S3, S7).
 
-``read_lines`` keeps each line's file and position, which the keep-first
-dedupe and the station "body after the first rule line" rule need.  Each
-landed file is one fetch response (an hour, a day, one station list), so a
-file is a natural, bounded unit of work; many files read in parallel.
+Lines come from Spark's text source, so that files of any size are read in
+splits.  ``read_lines`` also keeps each line's file and position, which the
+keep-first dedupe and the station "body after the first rule line" rule need.
 
 Parsers take a DataFrame with a string column ``value`` (plus ``file`` and
 ``pos`` when present) and return typed rows; they use built-in expressions
@@ -24,8 +23,6 @@ from meteoframe.operators.joins import join_dimension
 from meteoframe.functions.text import (before, is_comment_or_blank, padded_token,
                                        starts_with_digit, token, tokens, is_blank)
 
-LINE_BREAK = r"\r\n|\r|\n"
-
 
 def _count_rejects(df: DataFrame, valid: Column, observation: Observation | None) -> DataFrame:
     """Attach 'lines' and 'rejected' counters (no extra pass) when asked."""
@@ -35,42 +32,27 @@ def _count_rejects(df: DataFrame, valid: Column, observation: Observation | None
                       F.sum(F.when(valid, 0).otherwise(1)).alias("rejected"))
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """(file, pos, value) for every line of every file under ``path``.
-
-    Files are read as bytes and decoded with ``encoding`` (EUC-KR feeds need
-    ``spark.sql.legacy.javaCharsets``), then split into lines with their
-    0-based position.
-    """
-    raw = spark.read.format("binaryFile").load(path)
-    # a file is one row: refuse files that cannot be one (use scan_lines)
-    too_big = F.col("length") > F.lit(MAX_WHOLE_FILE_BYTES)
-    content = F.when(too_big, F.raise_error(F.concat(
-        F.lit("landed file too large for a positional read, use scan_lines: "), F.col("path"))))
-    text = F.decode(content.otherwise(F.col("content")), encoding)
-    return (raw.select(F.col("path").alias("file"),
-                       F.posexplode(F.split(text, LINE_BREAK)).alias("pos", "value")))
-
-
-# largest file read whole by ``read_lines`` (a row holds at most 2 GB)
-MAX_WHOLE_FILE_BYTES = 1 << 30
+def decoded(value: Column, encoding: str) -> Column:
+    """A line's bytes in its charset (EUC-KR needs
+    ``spark.sql.legacy.javaCharsets``)."""
+    return value if encoding.upper() == "UTF-8" else F.decode(value.cast("binary"), encoding)
 
 
 def scan_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """(file, value) for every non-blank line, in any charset, splittable.
+    """(file, value) for every line, in any charset whose bytes below 0x80 are
+    ASCII.  Large files are read in splits; no character is special."""
+    raw = spark.read.text(path)
+    return raw.select(F.col("_metadata.file_path").alias("file"), decoded(F.col("value"), encoding).alias("value"))
 
-    For parsers that do not need line positions.  Unlike ``read_lines`` a
-    large file is cut into splits read in parallel (no whole-file row).  The
-    CSV source does the decoding, with separator, quoting, comments and
-    trimming switched off so one line is one value; it skips blank lines,
-    which every parser drops anyway.
-    """
-    schema = "value string"
-    df = (spark.read.schema(schema).option("encoding", encoding).option("header", False)
-          .option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
-          .option("comment", "\u0002").option("ignoreLeadingWhiteSpace", False)
-          .option("ignoreTrailingWhiteSpace", False).option("mode", "PERMISSIVE").csv(path))
-    return df.select(F.col("_metadata.file_path").alias("file"), "value")
+
+def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """(file, pos, value) for every line.  ``pos`` orders a file's lines: the
+    start of the split that holds the line, then the line's place in it."""
+    raw = spark.read.text(path)
+    return raw.select(F.col("_metadata.file_path").alias("file"),
+                      F.struct(F.col("_metadata.file_block_start").alias("split"),
+                               F.monotonically_increasing_id().alias("line")).alias("pos"),
+                      decoded(F.col("value"), encoding).alias("value"))
 
 
 # --------------------------------------------------------------- S1 hourly dust
@@ -111,7 +93,7 @@ def parse_stations(lines: DataFrame, keep_ids=None) -> DataFrame:
     first_rule = (lines.filter(is_rule).groupBy("file")
                   .agg(F.min("pos").alias("_rule_pos")))
     # one row per file, computed: AQE sizes it at runtime
-    body = (join_dimension(lines, first_rule, "file", adaptive=True)
+    body = (join_dimension(lines, first_rule, "file")
             .filter((F.col("pos") > F.col("_rule_pos")) & ~is_rule
                     & ~is_comment_or_blank(F.col("value")))
             .withColumn("_p", tokens("value")))

@@ -16,25 +16,19 @@ from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from meteoframe import sinks
+from meteoframe.sources.text import decoded
 
 
 def text_lines_stream(spark: SparkSession, landing: str, encoding: str = "UTF-8",
                       max_files: int | None = None) -> DataFrame:
     """Stream of raw lines (column ``value``) from landed text files in any
-    charset: the CSV source with separator and quoting switched off reads
-    one line as one value (blank lines are skipped, as the parsers would)."""
-    schema = T.StructType([T.StructField("value", T.StringType())])
-    r = (spark.readStream.schema(schema).option("encoding", encoding)
-         .option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
-         .option("comment", "\u0002").option("header", False)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .option("recursiveFileLookup", True))
+    charset whose bytes below 0x80 are ASCII."""
+    r = spark.readStream.option("recursiveFileLookup", True)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.csv(landing)
+    return r.text(landing).select(decoded(F.col("value"), encoding).alias("value"))
 
 
 def run_available(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
@@ -75,9 +69,12 @@ def upsert_batches(table: str, keys: Sequence[str], order: Sequence[tuple] = (),
                    partition_col: str | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch handler merging each micro-batch into ``table``."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        sinks.upsert_table(batch.sparkSession, table, batch, keys, order, partition_col)
+        batch = batch.persist()  # read several times below
+        try:
+            if not batch.isEmpty():
+                sinks.upsert_table(batch.sparkSession, table, batch, keys, order, partition_col)
+        finally:
+            batch.unpersist()
     return handle
 
 

@@ -27,16 +27,16 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    """T2: every row is delivered twice; copies are dropped by key within
-    the watermark."""
+    """T2: the load's own rule - one row per (DATE, STN) - over readings that
+    are all delivered twice."""
     base = scratch_path(spark, "stream-dedupe")
-    raw = S.hourly_dust(spark, d, with_arrival=True)
+    raw = S.hourly_dust(spark, d, with_arrival=True).select("DATE", "STN", F.to_date("DATE", "yyyyMMdd").cast("timestamp_ntz").alias("event_time"))
     raw.write.mode("append").parquet(base + "/landing")
     raw.write.mode("append").parquet(base + "/landing")  # the re-delivery
     src = spark.readStream.schema(raw.schema).parquet(base + "/landing")
-    deduped = jobs.dedupe_within_watermark(src, ["STN", "event_time", "arrival"], "event_time")
+    deduped = jobs.dedupe_within_watermark(src, ["DATE", "STN"], "event_time", "4000 days")
     jobs.run_available(deduped, base + "/sink", base + "/ckpt")
-    return spark.read.parquet(base + "/sink").select(*dust.RAW_COLUMNS, "event_time")
+    return spark.read.parquet(base + "/sink").select("DATE", "STN", "event_time")
 
 
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -55,7 +55,9 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
         stream = (spark.readStream.schema(target.schema).option("recursiveFileLookup", True)
                   .parquet(base + "/landing"))
         jobs.run_foreach_batch(stream, handler, base + "/ckpt")
-    return spark.table(table)
+    out = spark.read.schema(target.schema).parquet(base + "/table")
+    spark.sql(f"DROP DATABASE {db} CASCADE")   # the table's files stay in the scratch folder
+    return out
 
 
 STREAM_QUERIES = {

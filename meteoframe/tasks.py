@@ -19,7 +19,7 @@ from meteoframe.functions import dates as D
 from meteoframe.operators.quality import is_empty
 from meteoframe.plans import dust, forecast, quake, score, typhoon
 from meteoframe.session import configure
-from meteoframe.sources import feeds, standins as S, text
+from meteoframe.sources import feeds, text
 
 HOURLY_DUST_DDL = "DATE string, ORG string, STN string, PM10 string"
 MONTHLY_DDL = "STN_ID string, MONTH string, MONTHLY_AVG double"
@@ -36,7 +36,9 @@ def load_hourly_dust(spark: SparkSession, landing: str, table: str, encoding: st
     rows = rows.checkpoint()  # counted and written: compute once
     n = rows.count()
     if n:
-        sinks.create_if_absent(spark, table, HOURLY_DUST_DDL)
+        # partitioned by hour stamp: the hourly rebuild finds the newest one in
+        # the partition list and reads that alone
+        sinks.create_if_absent(spark, table, HOURLY_DUST_DDL, partitioned_by=["DATE"])
         sinks.append(rows, table)
     return n
 
@@ -58,7 +60,7 @@ def load_monthly_dust_avg(spark: SparkSession, landing: str, table: str,
     """Daily means of last month -> monthly mean per station; the table is
     truncated and reloaded (only the last month survives)."""
     configure(spark)
-    daily = text.parse_daily_mean(text.read_lines(spark, landing, encoding))
+    daily = text.parse_daily_mean(text.scan_lines(spark, landing, encoding))
     if is_empty(daily):
         return 0
     monthly = dust.monthly_mean(daily).checkpoint()
@@ -89,20 +91,24 @@ def seed_station_master(spark: SparkSession, station_list: str, table: str,
 # ------------------------------------------------------------- earthquakes
 def load_earthquakes(spark: SparkSession, xml_landing: str, table: str, first_day: str,
                      last_day: str | None = None, run_ts: str | None = None) -> int:
-    """Replace the reports of ``first_day``..``last_day`` (inclusive; one day
-    by default, a backfill when longer) in ``table`` with the landed XML of
-    those days.  Rerunning gives the same table.  Returns the rows now held
-    for the range."""
+    """Delete the reports of ``first_day``..``last_day`` (inclusive; one day by
+    default, a backfill when longer) from ``table`` and load the landed XML,
+    every report of it.  The table is partitioned by event day (``eq_day``):
+    other days are not read.  Returns the rows now held for the range."""
     configure(spark)
     run_ts = run_ts or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
-    rows = feeds.read_earthquake_xml(spark, xml_landing, run_ts)
-    if not spark.catalog.tableExists(table):
-        sinks.overwrite(rows.limit(0), table)
+    rows = feeds.read_earthquake_xml(spark, xml_landing, run_ts).withColumn("eq_day", F.substring("eqDate", 1, 8))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    sinks.create_if_absent(spark, table, ddl, partitioned_by=["eq_day"])
     start, _ = D.day_range_bounds(F.lit(first_day))
     _, end = D.day_range_bounds(F.lit(last_day or first_day))
     in_range = D.parse_ts("eqDate", D.STAMP_SECOND).between(start, end)
-    sinks.replace_rows(spark, table, rows.filter(in_range), in_range)
-    return spark.table(table).filter(in_range).count()
+    day, last, days = dt.date.fromisoformat(first_day), dt.date.fromisoformat(last_day or first_day), []
+    while day <= last:
+        days.append(day.strftime("%Y%m%d"))
+        day += dt.timedelta(days=1)
+    sinks.replace_rows(spark, table, rows, in_range, "eq_day", days)
+    return spark.table(table).filter(F.col("eq_day").isin(days) & in_range).count()
 
 
 def load_earthquakes_day(spark: SparkSession, xml_landing: str, table: str, day: str,
@@ -119,8 +125,8 @@ def build_eq_region_tables(spark: SparkSession, raw_table: str, domestic_out: st
     configure(spark)
     raw = spark.table(raw_table)
     if views:
-        sinks.create_view(quake.domestic(raw), views[0])
-        sinks.create_view(quake.foreign(raw), views[1])
+        sinks.create_catalog_view(spark, views[0], raw_table, quake.DOMESTIC_SQL)
+        sinks.create_catalog_view(spark, views[1], raw_table, quake.FOREIGN_SQL)
     sinks.overwrite(quake.region_latest(quake.domestic(raw)), domestic_out)
     sinks.overwrite(quake.region_max(quake.foreign(raw)), foreign_out)
     return spark.table(domestic_out), spark.table(foreign_out)
@@ -134,12 +140,12 @@ def load_typhoon(spark: SparkSession, landing: str, table: str,
     parse is dropped whole.  For a table partitioned by a key column, pass
     it as ``partition_col``: only the partitions in the fetch are rewritten."""
     configure(spark)
-    lines = text.read_lines(spark, landing)
+    lines = text.scan_lines(spark, landing)
     raw = feeds.parse_fixed_width(lines, K.TYPHOON_COLUMNS, feeds.TYPHOON_WIDTHS)
     rows = typhoon.clean(raw.withColumnRenamed("file", "batch"))
     if not spark.catalog.tableExists(table):
         sinks.overwrite(rows.limit(0), table)
-    sinks.upsert_table(spark, table, rows, typhoon.KEYS, order=[("FT", False), ("SEQ", False)],
+    sinks.upsert_table(spark, table, rows, typhoon.KEYS, order=typhoon.latest_first(),
                        partition_col=partition_col)
 
 
@@ -158,7 +164,8 @@ def load_forecast(spark: SparkSession, json_landing: str, coords_csv: str, table
     configure(spark)
     items = feeds.read_forecast_json(spark, json_landing)
     coords = feeds.read_coordinates(spark, coords_csv)
-    rows = forecast.process(forecast.wide(forecast.locate(items, coords)), base_date).checkpoint()
+    wide = forecast.process(forecast.wide(forecast.locate(items, coords)), base_date, others=True).checkpoint()
+    rows = wide.select(*forecast.WIDE_COLUMNS)
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     sinks.create_if_absent(spark, table, ddl, partitioned_by=["BASE_DATE"])
     sinks.retain_rows(spark, table, ~(F.col("FCST_DATE") < F.lit(base_date)), "BASE_DATE",
@@ -166,28 +173,31 @@ def load_forecast(spark: SparkSession, json_landing: str, coords_csv: str, table
     sinks.upsert_table(spark, table, rows, forecast.KEYS, order=[("BASE_TIME", False)],
                        partition_col="BASE_DATE")
     if export_base:
-        sinks.write_dated_and_latest(rows, export_base, base_date)
+        sinks.write_dated_and_latest(wide, export_base, base_date)
     return rows
 
 
 # -------------------------------------------------------------------- score
 def weekly_scores(spark: SparkSession, obs_landing: str, region_of_file, holidays: DataFrame,
-                  table: str) -> DataFrame:
-    """Observation files of all regions -> weekend/holiday filter -> weekly
-    summary and score -> MERGE into ``table`` on (region_code, date); returns
-    the weekly report messages (one row per week).
+                  table: str, run_date: str, covered: tuple[str, str] | None = None,
+                  regions: DataFrame | None = None) -> DataFrame:
+    """Observation files of all regions -> the seven days before ``run_date``
+    ('yyyy-MM-dd') -> weekend/holiday filter -> summary and score -> MERGE
+    into ``table`` on (region_code, date = run date); returns the report
+    message (one row).  ``covered``: first and last day that ``holidays``
+    knows.  ``regions``: region_idx, region_name, region_code.
 
     ``region_of_file`` maps a landed file path to its region name (a Column
     expression over ``file``, e.g. the folder name)."""
     configure(spark)
-    obs = text.parse_observations(text.read_lines(spark, obs_landing))
+    obs = text.parse_observations(text.scan_lines(spark, obs_landing))
     named = obs.withColumn("region_name", region_of_file(F.col("file")))
-    regions = S.regions(spark)
+    regions = feeds.regions(spark) if regions is None else regions
     coded = score.region_codes(named, regions).join(
-        F.broadcast(regions.select("region_name", "region_idx")), "region_name")
+        regions.select("region_name", "region_idx"), "region_name")
     typed = coded.withColumn("ts", D.parse_ts("timestamp", D.STAMP_MINUTE))
-    filtered = score.weekend_or_holiday(typed, holidays)
-    scored = score.scores(score.weekly_summary(filtered, with_days=True)).checkpoint()
+    filtered = score.weekend_or_holiday(score.run_window(typed, run_date), holidays, covered)
+    scored = score.scores(score.weekly_summary(filtered, with_days=True, run_date=run_date)).checkpoint()
     rows = score.score_table(scored)
     # partitioned by run date (part of the merge key): a weekly MERGE reads
     # and rewrites only the run dates it touches
@@ -210,6 +220,9 @@ def stream_hourly_dust(spark: SparkSession, landing: str, table_path: str, check
     from meteoframe.streaming import jobs
     lines = jobs.text_lines_stream(spark, landing, encoding)
     rows = text.parse_dust(lines).withColumn("event_time", D.parse_ts("DATE", D.STAMP_MINUTE))
+    # a stamp that does not parse has no event time to wait for: such rows go
+    # to a folder of their own
+    jobs.run_available(rows.filter(F.col("event_time").isNull()).select(*dust.RAW_COLUMNS), f"{table_path}_rejects", f"{checkpoint}_rejects")
     rows = rows.filter(F.col("event_time").isNotNull())
     deduped = jobs.dedupe_within_watermark(rows, ["DATE", "STN"], "event_time", delay)
     jobs.run_available(deduped.select(*dust.RAW_COLUMNS), table_path, checkpoint)
@@ -226,7 +239,7 @@ def stream_forecast(spark: SparkSession, json_landing: str, coords_csv: str, tab
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         items = feeds.forecast_items(batch)
-        rows = forecast.process(forecast.wide(forecast.locate(items, coords)), base_date)
+        rows = forecast.process(forecast.wide(forecast.locate(items, coords)), base_date).checkpoint()
         ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
         sinks.create_if_absent(batch.sparkSession, table, ddl, partitioned_by=["BASE_DATE"])
         if not is_empty(rows):

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from meteoframe import constants as K
 from meteoframe import operators as O
 from meteoframe.operators import quality as Q
 from meteoframe.plans import quake, score
@@ -25,15 +26,20 @@ def test_keep_first_by_arrival(spark):
     assert rows(got, "STN", "PM10") == [("s1", "5"), ("s2", "7")]
 
 
-def test_keep_latest_nulls_first_and_ties(spark):
+def test_pick_one_nulls_first_expressions_and_ties(spark):
     df = spark.createDataFrame([("r", "20240101", "a"), ("r", None, "b"), ("q", "20240102", "x"),
-                                ("q", "20240102", "y"), ("p", "20240101", "z")],
+                                ("q", "20240102", "y"), ("p", "96", "z"), ("p", "120", "w")],
                                "k string, d string, v string")
-    got = O.keep_latest(df, ["k"], "d", nulls_first=True)
+    got = O.pick_one(df, ["k"], [("d", True)], take="max")
     # null order key wins its group; exact ties broken by the greater value
     assert rows(got, "k", "v") == [("p", "z"), ("q", "y"), ("r", "b")]
-    got2 = O.keep_latest(df, ["k"], "d", nulls_first=False)
-    assert rows(got2, "k", "v") == [("p", "z"), ("q", "y"), ("r", "a")]
+    got2 = O.pick_one(df, ["k"], [(F.col("d").try_cast("int"), False)], take="max")
+    assert rows(got2, "k", "v") == [("p", "w"), ("q", "y"), ("r", "a")]
+
+
+def test_bad_batches_with_null_id(spark):
+    df = spark.createDataFrame([(None, 1), (None, 999), ("a", 1), ("b", 999), ("b", 2)], "k string, v int")
+    assert rows(O.drop_bad_batches(df, "k", F.col("v") == 999)) == [("a", 1)]
 
 
 def test_pick_one_independent_of_partitions(spark):
@@ -43,28 +49,16 @@ def test_pick_one_independent_of_partitions(spark):
     assert a == b and len(a) == 7
 
 
-def test_pivot_checked_reports_duplicates(spark):
-    long = spark.createDataFrame([("i1", "TMP", "1"), ("i1", "REH", "2"), ("i1", "XXX", "3"),
-                                  ("i2", "TMP", "4")], "i string, c string, v string")
+def test_pivot_checked_reports_duplicates_and_unlisted(spark):
+    long = spark.createDataFrame([("i1", "TMP", "1"), ("i1", "REH", "2"), ("i2", "TMP", "4")], "i string, c string, v string")
     w = O.pivot_checked(long, ["i"], "c", "v", ["TMP", "REH", "VEC"])
     assert w.columns == ["i", "TMP", "REH", "VEC"]
     assert rows(w) == [("i1", "1", "2", None), ("i2", "4", None, None)]
     dup = long.unionByName(spark.createDataFrame([("i1", "TMP", "9")], "i string, c string, v string"))
     with pytest.raises(Exception, match="pivot key is not unique"):
-        O.pivot_checked(dup, ["i"], "c", "v", ["TMP"]).collect()
-
-
-def test_top_and_bottom_k_ties_and_small_inputs(spark):
-    df = spark.createDataFrame([("a", 0, 90), ("b", 1, 80), ("c", 2, 90), ("d", 3, 70), ("e", 4, 80)],
-                               "r string, pos int, s int")
-    order = [("s", True), ("pos", False)]
-    top = O.top_k(df, order, 3)
-    assert [(r.r, r["rank"]) for r in top.orderBy("rank").collect()] == [("a", 1), ("c", 2), ("b", 3)]
-    bottom = O.bottom_k(df, order, 3)
-    assert [(r.r, r["rank"]) for r in bottom.orderBy("rank").collect()] == [("b", 1), ("e", 2), ("d", 3)]
-    two = df.filter(F.col("r").isin("a", "b"))
-    assert [r.r for r in O.top_k(two, order, 3).orderBy("rank").collect()] == ["a", "b"]
-    assert [r.r for r in O.bottom_k(two, order, 3).orderBy("rank").collect()] == ["a", "b"]
+        O.pivot_checked(dup, ["i"], "c", "v", ["TMP", "REH"]).collect()
+    with pytest.raises(Exception, match="c not listed: REH"):
+        O.pivot_checked(long, ["i"], "c", "v", ["TMP"]).collect()
 
 
 TGT = [("k1", "x", 1.0), ("k2", "y", 2.0), (None, "n", 0.0), ("k3", "d1", 3.0), ("k3", "d2", 3.5)]
@@ -161,13 +155,13 @@ def test_score_ranking_partitioned_by_week(spark):
 
 
 def test_region_code_lookup(spark):
-    from meteoframe.sources import standins as S
+    from meteoframe.sources import feeds
     names = spark.createDataFrame([("서울",), ("목포",)], "region_name string")
-    got = score.region_codes(names, S.regions(spark)).collect()
+    got = score.region_codes(names, feeds.regions(spark)).collect()
     assert sorted((r.region_name, r.region_code) for r in got) == [("목포", "165"), ("서울", "108")]
     bad = spark.createDataFrame([("평양",)], "region_name string")
     with pytest.raises(Exception, match="unsupported region"):
-        score.region_codes(bad, S.regions(spark)).collect()
+        score.region_codes(bad, feeds.regions(spark)).collect()
 
 
 def test_forecast_wide_duplicate_policy(spark):
@@ -178,7 +172,6 @@ def test_forecast_wide_duplicate_policy(spark):
     ok = spark.createDataFrame([row], schema)
     assert forecast.wide(ok).first().TMP == 3.0
     dup = spark.createDataFrame([row, row[:-1] + ("4",)], schema)
-    assert forecast.wide(dup, on_duplicate="empty").count() == 0
     with pytest.raises(Exception, match="pivot key is not unique"):
         forecast.wide(dup).collect()
 
@@ -202,3 +195,10 @@ def test_weekend_and_holiday_tags(spark):
     assert [r.day_tag for r in flags] == [t for _, t, _ in sorted(days)]
     kept = score.weekend_or_holiday(df, S.holidays(spark)).count()
     assert kept == sum(1 for _, _, k in days if k)
+
+
+def test_days_outside_the_calendar_fail(spark):
+    from meteoframe.sources import standins as S
+    df = spark.createDataFrame([("2026-10-09 10:00",)], "t string").selectExpr("CAST(to_timestamp(t) AS timestamp_ntz) AS ts")
+    with pytest.raises(Exception, match="no holiday calendar for 2026-10-09"):
+        score.weekend_or_holiday(df, S.holidays(spark), K.HOLIDAY_RANGE).collect()

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from meteoframe import oracle, registry
 from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {n: q for n, q in E.queries().items() if n in registry.all_queries()}
+ORACLE = {n: s for n, s in E.oracle_sql().items() if n in oracle.ORACLE}
 
 
 @pytest.fixture(scope="module")

@@ -50,14 +50,30 @@ def test_domestic_filters_pushed_and_columns_pruned(spark, tmp_dir):
     _clean(plan)
 
 
+def test_merge_and_replace_read_only_touched_partitions(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from meteoframe import sinks
+    path = f"{tmp_dir}/t_{uuid.uuid4().hex[:6]}"
+    spark.range(100).select("id", (F.col("id") % 10).cast("int").alias("p")).write.partitionBy("p").parquet(path)
+    touched = sinks.partition_values(spark.range(3).select((F.col("id") % 2).cast("int").alias("p")), "p")
+    plan = _plan(spark.read.parquet(path).filter(sinks.in_partitions("p", [*touched, None])))
+    assert "PartitionFilters: [(p#" in plan and " IN (" in plan and "isnull(p#" in plan
+
+
 def test_no_registered_query_has_a_red_flag(spark):
-    """Scale rules as a check: no cartesian product, nested-loop join,
-    Python evaluation or unpartitioned window in any registered query."""
+    """Scale rules as a check: no cartesian product, nested-loop join, Python
+    evaluation, unpartitioned window or round-robin exchange in any registered
+    query, and no exchange to a single partition but under a limit."""
     import __spark_entry__ as E
+    from meteoframe import registry
     from tools.plan_audit import summarize
     flagged = {}
-    for name, fn in E.queries().items():
-        flags = summarize(_plan(fn(spark, SF))).get("flags", [])
+    queries = E.queries()
+    for name in registry.all_queries():
+        plan = _plan(queries[name](spark, SF))
+        flags = summarize(plan).get("flags", [])
+        flags += ["round robin"] * ("RoundRobinPartitioning" in plan)
+        flags += ["single partition"] * ("SinglePartition" in plan and "GlobalLimit" not in plan)
         if flags:
             flagged[name] = flags
     assert flagged == {}

@@ -58,13 +58,3 @@ def test_keep_first_matches_model(spark, rows):
     assert got == sorted((r for _, r in firsts.values()), key=_key)
 
 
-@SETTINGS
-@given(st.lists(st.tuples(st.integers(0, 99), st.integers(0, 4)), min_size=0, max_size=15, unique_by=lambda r: r[0]))
-def test_top_and_bottom_cover_the_ends(spark, rows):
-    df = spark.createDataFrame(rows, "pos int, s int")
-    order = [("s", True), ("pos", False)]
-    ranked = sorted(rows, key=lambda r: (-r[1], r[0]))
-    top = [(r.pos, r.s) for r in O.top_k(df, order, 3).orderBy("rank").collect()]
-    bottom = [(r.pos, r.s) for r in O.bottom_k(df, order, 3).orderBy("rank").collect()]
-    assert top == ranked[:3]
-    assert bottom == ranked[-3:] if rows else bottom == []

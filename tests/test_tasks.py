@@ -6,8 +6,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from meteoframe import constants as K, registry, tasks
+from meteoframe.plans import dust
 from meteoframe.landing import _station_lines
-from meteoframe.sources import render, standins as S
+from meteoframe.sources import feeds, render, standins as S
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,7 +30,7 @@ def test_dust_jobs(spark, tmp_dir):
     render.write_lines(lines, tmp_dir + "/dust", "EUC-KR", partitions=1, order="arrival")
     n = tasks.load_hourly_dust(spark, tmp_dir + "/dust", f"{db}.hourly_dust")
     assert n == raw.select("DATE", "STN").distinct().count()
-    assert _rows(spark.table(f"{db}.hourly_dust")) == _rows(registry.dust_keep_first(spark, SF))
+    assert _rows(spark.table(f"{db}.hourly_dust").select(*dust.RAW_COLUMNS)) == _rows(registry.dust_keep_first(spark, SF))
     render.write_lines(_station_lines(spark, SF).select("value", "f", "o"), tmp_dir + "/stn", "EUC-KR",
                        by="f", order=["f", "o"], partitions=4)
     st = tasks.seed_station_master(spark, tmp_dir + "/stn", f"{db}.station_master")
@@ -52,16 +53,21 @@ def test_typhoon_and_earthquake_jobs(spark, tmp_dir):
     clean = registry.typhoon_clean(spark, SF)
     assert len(once) == clean.select("TYP_TM", "TYP").distinct().count()
     eq = S.raw_eq_world(spark, SF)
-    render.write_eq_xml(eq, tmp_dir + "/eq")
     day = "1998-08-02"
-    n = tasks.load_earthquakes_day(spark, tmp_dir + "/eq", f"{db}.raw_eq_world", day, "2024-02-01 08:00:00")
-    want = eq.filter(F.substring("eqDate", 1, 8) == day.replace("-", "")).count()
-    assert n == want == spark.table(f"{db}.raw_eq_world").count()
+    of_day = eq.filter(F.substring("eqDate", 1, 8) == day.replace("-", ""))
+    undated = of_day.limit(1).withColumn("eqDate", F.lit(None).cast("string"))
+    render.write_eq_xml(of_day.unionByName(undated), tmp_dir + "/eq-day")
+    n = tasks.load_earthquakes_day(spark, tmp_dir + "/eq-day", f"{db}.raw_eq_world", day, "2024-02-01 08:00:00")
+    want = of_day.count()
+    assert n == want == spark.table(f"{db}.raw_eq_world").count() - 1   # the report without time is loaded too
+    render.write_eq_xml(of_day, tmp_dir + "/eq-again")
+    assert tasks.load_earthquakes_day(spark, tmp_dir + "/eq-again", f"{db}.raw_eq_world", day, "2024-02-01 08:00:00") == want
     dom, fgn = tasks.build_eq_region_tables(spark, f"{db}.raw_eq_world", f"{db}.eq_do", f"{db}.eq_fo",
-                                            views=("src_eq_do", "src_eq_fo"))
+                                            views=(f"{db}.src_eq_do", f"{db}.src_eq_fo"))
     assert dom.count() >= 0 and fgn.count() >= 0
-    assert spark.table("src_eq_do").count() == spark.table(f"{db}.raw_eq_world").filter(
+    assert spark.table(f"{db}.src_eq_do").count() == spark.table(f"{db}.raw_eq_world").filter(
         "nkDiv = 'N' AND cntDiv = 'Y' AND msgCode = '지진정보'").count()
+    render.write_eq_xml(eq.filter(F.substring("eqDate", 1, 6) == "199808"), tmp_dir + "/eq")
     # a backfill over a range, then the same range again: same table
     n = tasks.load_earthquakes(spark, tmp_dir + "/eq", f"{db}.raw_eq_world", "1998-08-01", "1998-08-31",
                                "2024-02-01 08:00:00")
@@ -69,7 +75,7 @@ def test_typhoon_and_earthquake_jobs(spark, tmp_dir):
     assert n == want
     assert tasks.load_earthquakes(spark, tmp_dir + "/eq", f"{db}.raw_eq_world", "1998-08-01", "1998-08-31",
                                   "2024-02-01 08:00:00") == want
-    assert spark.table(f"{db}.raw_eq_world").count() == want
+    assert spark.table(f"{db}.raw_eq_world").count() == want + 1
 
 
 def test_forecast_and_score_jobs(spark, tmp_dir):
@@ -90,7 +96,7 @@ def test_forecast_and_score_jobs(spark, tmp_dir):
     assert later.filter("FCST_DATE < '20240122'").count() == 0
     assert later.count() == rows.filter("FCST_DATE >= '20240122'").select(*tasks.forecast.KEYS).distinct().count()
     # observation files, one folder per region
-    obs = S.observations_raw(spark, SF).join(S.regions(spark), "region_idx")
+    obs = S.observations_raw(spark, SF).join(feeds.regions(spark), "region_idx")
     toks = ([F.col("timestamp"), F.col("region_code"), F.col("wind_dir").cast("string"),
              F.col("wind_speed").cast("string")] + [F.lit("0")] * 7 +
             [F.col("temp").cast("string"), F.lit("0"), F.col("humidity").cast("string"), F.lit("0"),
@@ -98,11 +104,11 @@ def test_forecast_and_score_jobs(spark, tmp_dir):
     lines = obs.select(F.concat_ws(" ", *toks).alias("value"), "region_name")
     render.write_lines(lines, tmp_dir + "/obs", by="region_name", partitions=4)
     region_of = lambda f: F.regexp_extract(F.url_decode(f), "region_name=([^/]+)/", 1)
-    msgs = tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), f"{db}.weather_score")
-    assert msgs.count() == registry.score_message(spark, SF).count()
+    for run in registry.WEEKLY_RUNS:
+        msgs = tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), f"{db}.weather_score", run, K.HOLIDAY_RANGE)
+        assert msgs.count() == 1
     cols = registry.score.SCORE_COLUMNS
-    assert _rows(spark.table(f"{db}.weather_score").select(*cols)) == _rows(
-        registry.score.score_table(registry._scored(spark, SF)))
+    assert _rows(spark.table(f"{db}.weather_score").select(*cols)) == _rows(registry.weekly_scores_by_run(spark, SF))
 
 
 def test_monthly_and_analytics_jobs(spark, tmp_dir):
@@ -166,7 +172,7 @@ def test_newest_snapshot_from_partition_metadata(spark, tmp_dir):
 
 def test_score_table_partitioned_merge(spark, tmp_dir):
     db = _db(spark, tmp_dir)
-    obs = S.observations_raw(spark, SF).join(S.regions(spark), "region_idx")
+    obs = S.observations_raw(spark, SF).join(feeds.regions(spark), "region_idx")
     toks = ([F.col("timestamp"), F.col("region_code"), F.col("wind_dir").cast("string"),
              F.col("wind_speed").cast("string")] + [F.lit("0")] * 7 +
             [F.col("temp").cast("string"), F.lit("0"), F.col("humidity").cast("string"), F.lit("0"),
@@ -175,10 +181,10 @@ def test_score_table_partitioned_merge(spark, tmp_dir):
                        tmp_dir + "/obs", by="region_name", partitions=4)
     region_of = lambda f: F.regexp_extract(F.url_decode(f), "region_name=([^/]+)/", 1)
     t = f"{db}.weather_score"
-    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t)
+    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t, "2024-01-14")
     cols = registry.score.SCORE_COLUMNS
     once = _rows(spark.table(t).select(*cols))
-    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t)  # rerun: same table
+    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t, "2024-01-14")  # rerun: same table
     assert _rows(spark.table(t).select(*cols)) == once
     parts = [r.partition for r in spark.sql(f"SHOW PARTITIONS {t}").collect()]
     assert len(parts) == len({r[2] for r in once}) and all(p.startswith("date=") for p in parts)
