@@ -28,6 +28,7 @@ VECTOR = ["x_word", "x_symbol", "x_capital", "x_line"]
 FLOOR = [0.08, 0.3, 0.3, 0.5]
 MEDIAN_CHI2 = 3.3567          # median of the chi-square distribution with 4 degrees
 BIN = 16                      # bins per unit of a statistic, and per unit of log distance
+SALTS = 32                    # shares of a group's rows that meet its parameters separately
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -148,7 +149,7 @@ def fit(df: DataFrame, steps: int = 4, share: float = 0.75) -> DataFrame:
     """MCD parameters per ``_group``: ``PARAMETERS`` and ``scale``, which sets the
     median squared distance of the group to that of a normal distribution.
 
-    ``df`` is a stored table with ``VECTOR`` and ``_group``.  Starts from the
+    ``df`` is a stored table with ``VECTOR``, ``_group`` and ``_salt``.  Starts from the
     medians and quartile ranges.
     """
     bins = df.select("_group", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(F.col(x) * BIN * 4).alias("b")) for i, x in enumerate(VECTOR)])).alias("e"))
@@ -173,8 +174,19 @@ def fit(df: DataFrame, steps: int = 4, share: float = 0.75) -> DataFrame:
     return stored(params.join(scale, "_group"), "mcd-fit")
 
 
+def share() -> Column:
+    return F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+
+
+def in_shares(params: DataFrame) -> DataFrame:
+    """Parameters repeated per share: a group holding a third of all rows joins
+    in many tasks, and is aggregated there before its rows come together."""
+    return params.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def binned(df: DataFrame, params: DataFrame) -> DataFrame:
-    return df.join(params, "_group").withColumn("_bin", F.floor(F.log(own_distance() + 1e-6) * BIN))
+    return (df.join(in_shares(params), ["_group", "_salt"]).drop("_salt")
+            .withColumn("_bin", F.floor(F.log(own_distance() + 1e-6) * BIN)))
 
 
 def nearest(df: DataFrame, params: DataFrame, share: float) -> DataFrame:
@@ -210,7 +222,7 @@ class RobustQuality:
         columns."""
         good = with_vector(rows, self.lang, self.source).where("NOT base_failed")
         self.sizes = stored(group_sizes(good, self.least_rows), "mcd-sizes")
-        good = stored(grouped(good, self.sizes, self.least_rows).select("_group", *VECTOR), "mcd-rows")
+        good = stored(grouped(good, self.sizes, self.least_rows).select("_group", *VECTOR, share().alias("_salt")), "mcd-rows")
         enough = good.groupBy("_group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= self.least_rows).select("_group")
         self.params = fit(good).join(enough, "_group", "left_semi")
         return self
@@ -219,7 +231,7 @@ class RobustQuality:
         """``rows`` plus ``distance`` (null where not judged) and ``kept``."""
         names = [c for c in rows.columns if c not in ("distance", "kept")]
         judged = grouped(with_vector(rows.select(*[F.col(f"`{c}`") for c in names]), self.lang, self.source), self.sizes, self.least_rows)
-        judged = judged.join(self.params, "_group", "left").withColumn("distance", own_distance() / F.col("scale"))
+        judged = judged.withColumn("_salt", share()).join(in_shares(self.params), ["_group", "_salt"], "left").withColumn("distance", own_distance() / F.col("scale"))
         return (judged.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= self.cutoff))
                 .select(*[F.col(f"`{c}`") for c in names], "distance", "kept"))
 
