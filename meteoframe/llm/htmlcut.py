@@ -34,7 +34,7 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Elements by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea xmp iframe noembed noframes".split())
-HIDDEN = set("head template noscript object svg math canvas audio video select datalist".split())
+HIDDEN = set("head noscript template object svg math canvas audio video select datalist".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
              "span strike strong sub sup time tt u var".split())
 FRAME = set("nav footer aside form menu dialog button fieldset".split())
@@ -47,6 +47,7 @@ FRAME_NAMES = set("ad ads adv advert adverts advertisement advertising sponsor s
                   "share sharing social related recommended recommendations widget pagination pager login signup search copyright "
                   "legal disclaimer skip contentinfo complementary outbrain taboola teaser tags".split())
 BODY_NAMES = set("article articlebody story entry post main content body text".split())
+STATES = set("has no with without is not js can".split())
 NAMED = {"class", "id", "role", "itemprop", "aria-label", "data-component"}
 
 
@@ -65,7 +66,10 @@ class Element:
             for name, *values in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), "".join(values)
                 if name in NAMED:
-                    names |= {p.lower() for p in PARTS.findall(value)}
+                    for token in value.split():
+                        words = [p.lower() for p in PARTS.findall(token)]
+                        if words and words[0] not in STATES:       # "has-sidebar" is no sidebar
+                            names.update(words)
                 elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "").lower()):
                     self.hidden = True
         if tag in FRAME or (not self.body and (tag == "header" or "header" in names)) or names & FRAME_NAMES:

@@ -227,6 +227,16 @@ def test_extraction(spark):
     assert htmlcut.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
 
 
+def test_frames_by_name():
+    page = """<body class="single with-ads"><div class="page has-sidebar"><div class="site-header"><p>A site about many things, daily.</p></div>
+<ul class="breadcrumb"><li>Home</li></ul><div class="post-content"><h2>Heading of it</h2><p>The first paragraph of the story is here.</p>
+<figure><figcaption>A caption.</figcaption></figure><blockquote>A quotation in it.</blockquote><div class="shareButtons">Share this</div>
+<p>The last one.</p></div><section class="related posts"><p>Other stories you may want to read today.</p></section>
+<div id="comment-list"><article class="comment"><p>I liked this very much, thank you all.</p></article></div>
+<noscript>Please switch scripts on.</noscript></div><div class="modal"><p>Subscribe to our letter now.</p></div></body>"""
+    assert htmlcut.main_text(page)[0] == ("Heading of it The first paragraph of the story is here. A caption. A quotation in it. The last one.")
+
+
 def test_cut_is_minimal():
     rng = random.Random(3)
     for _ in range(1500):
