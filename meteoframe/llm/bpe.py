@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meteoframe.llm.common import slices
+from meteoframe.llm.common import distinct_runs, lean, slices
 
 SCHEMA = "ids binary, decoded string"
 
@@ -45,11 +46,11 @@ class FragmentEncoder:
     """Ids of many texts at once: their bytes are cut into fragments, every
     distinct fragment is encoded once, and the ids are gathered in text order.
 
-    Subclasses say where to cut.  ``entries`` bounds the table of fragments
-    that a worker keeps; fragments of over ``most_bytes`` are not kept.
+    Subclasses say where to cut.  ``entries`` bounds each of the two tables
+    of fragments that a worker keeps; fragments of over ``most_bytes`` are not kept.
     """
 
-    def __init__(self, path: str, entries: int = 800_000, most_bytes: int = 64):
+    def __init__(self, path: str, entries: int = 250_000, most_bytes: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -60,6 +61,7 @@ class FragmentEncoder:
             self.spec = json.load(f)
         self.added = [t["content"].encode() for t in self.spec["added_tokens"]]
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.entries, self.most_bytes = entries, most_bytes
 
     def cut_flags(self, b: np.ndarray) -> np.ndarray:
@@ -70,6 +72,14 @@ class FragmentEncoder:
         """The bytes with differences undone that the vocabulary ignores."""
         return b
 
+    def kept(self, b: np.ndarray) -> np.ndarray | None:
+        """Flag per byte that matters at all; None: all do."""
+        return None
+
+    def encode_new(self, fragments: list[bytes]) -> list[list[int]]:
+        """Ids of fragments not met before."""
+        return [e.ids for e in self.tokenizer.encode_batch_fast([f.decode() for f in fragments], add_special_tokens=False)]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string array in order, and each text's first id's place
         (one more at the end).  Null texts have no ids."""
@@ -87,19 +97,29 @@ class FragmentEncoder:
                 cut[[m.start(), m.end()]] = True
         cut[ends] = True
         at = np.flatnonzero(cut)
+        keep = self.kept(b)
+        b = self.folded(b)
+        if keep is not None:
+            left = np.concatenate([[0], np.cumsum(keep)])
+            at, ends, b = left[at], left[ends], b[keep]
+            at = at[np.append(True, at[1:] != at[:-1])]
         if len(at) < 2:
             return np.zeros(0, np.uint32), np.zeros(len(ends), np.int64)
-        parts = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(self.folded(b))]).dictionary_encode()
-        distinct = parts.dictionary.to_pylist()
-        if len(self.known) > self.entries:
-            self.known.clear()
+        distinct, which = distinct_runs(b, at[:-1], at[1:])
+        if len(self.known) > self.entries:             # what comes again moves on, the rest is forgotten
+            self.known, self.older = {}, self.known
         ids = list(map(self.known.get, distinct))
-        new = [i for i, x in enumerate(ids) if x is None]
-        for i, e in zip(new, self.tokenizer.encode_batch_fast([distinct[i].decode() for i in new], add_special_tokens=False)):
-            ids[i] = np.asarray(e.ids, "<u4").tobytes()
+        new = []
+        for i in [i for i, x in enumerate(ids) if x is None]:
+            met = self.older.get(distinct[i])
+            if met is None:
+                new.append(i)
+            else:
+                ids[i] = self.known[distinct[i]] = met
+        for i, own in zip(new, self.encode_new([distinct[i] for i in new])):
+            ids[i] = array("I", own).tobytes()
             if len(distinct[i]) <= self.most_bytes:
                 self.known[distinct[i]] = ids[i]
-        which = parts.indices.to_numpy()
         flat, places = gather(np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4, which)
         return flat, places[np.searchsorted(at, ends)]
 
@@ -190,5 +210,5 @@ def encode_decode(df: DataFrame, text: str, path: str) -> DataFrame:
                 [*batch.columns[1:], packed(ids, places), codec.decode(ids, places)],
                 names=[*(f.name for f in fields), "ids", "decoded"])
 
-    out = source.mapInArrow(run, schema)
+    out = lean(source).mapInArrow(run, schema)
     return out.select(*[F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)], "ids", "decoded")

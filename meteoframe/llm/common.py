@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +52,23 @@ def slices(batches: Iterator[pa.RecordBatch], column: int | str = 0,
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds at most ``limit`` bytes in
     each (or one row)."""
+    try:
+        yield from _sliced(batches, column, limit)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Free memory returned to the machine: an idle worker keeps little beside
+    the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):        # another C library
+        pass
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], column: int | str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start, held = 0, 0
@@ -76,6 +94,40 @@ def remainder(doc_id: Column, modulus: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def distinct_runs(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct byte strings among the runs ``b[starts:ends]``, and the index
+    of each run's string.
+
+    Runs of up to 16 bytes are compared as two integers, others as strings.
+    """
+    size = ends - starts
+    padded = np.concatenate([b, np.zeros(16, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(padded, (len(b) + 9, 8), (1, 1))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    one = eight[starts].view("<u8").ravel() & masks[np.minimum(size, 8)]
+    two = eight[np.minimum(starts + 8, len(b) + 8)].view("<u8").ravel() & masks[np.clip(size - 8, 0, 8)]
+    key = (one ^ (one >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + (two ^ (two >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F) + size.astype(np.uint64)
+    key ^= key >> np.uint64(31)
+    long = np.flatnonzero(size > 16)
+    raw = b.tobytes()
+    if len(long):                                        # by their own strings: numbers that no short key takes part in
+        names: dict[bytes, int] = {}
+        own = np.array([names.setdefault(raw[i:j], len(names)) for i, j in zip(starts[long].tolist(), ends[long].tolist())], np.uint64)
+        one[long], two[long], key[long] = own, 0, own * np.uint64(0xD6E8FEB86659FD93) + np.uint64(17)
+        size = np.minimum(size, 17)
+    order = np.argsort(key)
+    ranked = key[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])
+    first = order[new]
+    index = np.empty(len(key), np.int64)
+    index[order] = np.cumsum(new) - 1
+    if not ((one == one[first][index]) & (two == two[first][index]) & (size == size[first][index])).all():   # keys met by chance
+        names = {}
+        index = np.array([names.setdefault(raw[i:j], len(names)) for i, j in zip(starts.tolist(), ends.tolist())], np.int64)
+        return list(names), index
+    return [raw[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())], index
+
+
 def word_runs(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Words of many texts at once: the distinct ones, the index of each word in
     text order, and where each text's words start (one more at the end)."""
@@ -93,9 +145,8 @@ def word_runs(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     places = np.searchsorted(first, ends)
     if not len(first):
         return [], np.zeros(0, np.int64), places
-    at = np.append(first, len(b)).astype(np.int32)    # each run: a word and the blanks behind it
-    runs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at), pa.py_buffer(raw)]).dictionary_encode()
-    plain = [x.strip(GAP_CHARS.encode()) for x in runs.dictionary.to_pylist()]
-    index: dict[bytes, int] = {}
-    own = np.array([index.setdefault(w, len(index)) for w in plain], np.int64)
-    return list(index), own[runs.indices.to_numpy()], places
+    begun = np.append(True, blank[:-1])               # blank, or a text's start, in front
+    begun[ends] = True
+    last = np.flatnonzero(~blank[:-1] & (blank[1:] | begun[1:])) + 1
+    words, index = distinct_runs(b, first, last)
+    return words, index, places

@@ -14,6 +14,7 @@ driver; all are bounded by the number of classes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,25 +22,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meteoframe.llm.bpe import FragmentEncoder, packed
-from meteoframe.llm.common import slices, stored
+from meteoframe.llm.bpe import FragmentEncoder, byte_alphabet, packed
+from meteoframe.llm.common import lean, slices, stored
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
+#: Small letters of ASCII and Latin-1 in UTF-8: letters that neither case nor
+#: composition changes.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+
+
 class WordEncoder(FragmentEncoder):
     """Ids of whole texts under a vocabulary that lowers case and drops white
-    space: cut in front of every word that follows an ASCII blank, and behind
-    every run of ASCII letters that another ASCII character ends."""
+    space: cut where ASCII blanks begin and end, and behind every run of ASCII
+    letters that another ASCII character ends."""
+
+    def __init__(self, path: str, **bounds):
+        super().__init__(path, **bounds)
+        # words of plain small letters need neither normalizer nor splitting:
+        # the merges alone, over the stand-ins of their bytes
+        self.merges = type(self.tokenizer).from_file(path)
+        self.merges.normalizer = self.merges.pre_tokenizer = None
+        self.stand_in = {b: c for c, b in byte_alphabet().items()}
+
+    def encode_new(self, fragments: list[bytes]) -> list[list[int]]:
+        alone = [PLAIN(f) is not None for f in fragments]
+        quick = [f.decode("latin-1").translate(self.stand_in) for f, a in zip(fragments, alone) if a]
+        rest = [f for f, a in zip(fragments, alone) if not a]
+        by_merges = iter(self.merges.encode_batch_fast(quick, add_special_tokens=False))
+        whole = iter(super().encode_new(rest))
+        return [next(by_merges).ids if a else next(whole) for a in alone]
 
     def folded(self, b: np.ndarray) -> np.ndarray:
         # a letter in front of a non-ASCII byte may be composed with it first
         return np.where((b >= 0x41) & (b <= 0x5A) & (np.append(b[1:], 0) < 0x80), b | 0x20, b)
 
+    def kept(self, b: np.ndarray) -> np.ndarray:
+        return (b != 0x20) & (b != 0x0A) & (b != 0x09) & (b != 0x0D)
+
     def cut_flags(self, b: np.ndarray) -> np.ndarray:
-        blank = (b == 0x20) | (b == 0x0A) | (b == 0x09) | (b == 0x0D)
+        blank = ~self.kept(b)
         letter = ((b | 0x20) >= 0x61) & ((b | 0x20) <= 0x7A)
-        return (blank[:-1] & ~blank[1:]) | (letter[:-1] & ~letter[1:] & (b[1:] < 0x80))
+        return (blank[:-1] != blank[1:]) | (letter[:-1] & ~letter[1:] & (b[1:] < 0x80))
 
 
 def token_pieces(df: DataFrame, doc_id: str, text: str, path: str, seq_len: int = 2048, end_id: int = 1) -> DataFrame:
@@ -66,7 +91,7 @@ def token_pieces(df: DataFrame, doc_id: str, text: str, path: str, seq_len: int
                  packed(ids, np.concatenate([[0], np.cumsum(length)]))],
                 names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
-    return df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, PIECES)
+    return lean(df).select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, PIECES)
 
 
 # ---------------------------------------------------------------- the plan
