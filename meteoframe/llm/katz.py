@@ -34,8 +34,8 @@ from meteoframe.llm.ngramjoin import mixed
 
 U = np.uint64
 WORDS, PAIRS = 0, 1
-SLICE = 8 << 20                  # bytes of text asked for at once
-PART_BYTES = 8 << 20             # bytes of text per table part
+SLICE = 6 << 20                  # bytes of text asked for at once
+PART_BYTES = 6 << 20             # bytes of text per table part
 TOP = 5                          # counts up to this are Good-Turing discounted
 #: Words hold no blanks, so these collide with none.
 END, START = U(xxhash.xxh3_64_intdigest(b"\n")), U(xxhash.xxh3_64_intdigest(b"\t"))
