@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meteoframe.llm.common import lean, remainder, slices
+from meteoframe.llm.common import lean, remainder, slices, word_runs
 
 #: General insults and abuse, by kind.
 LEXICONS = {
@@ -57,26 +57,17 @@ class Texts:
     def __init__(self, texts: pa.Array):
         texts = pc.fill_null(texts, "")
         self.n = len(texts)
+        found, index, places = word_runs(texts)
         ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + self.n + 1].astype(np.int64)
         data = texts.buffers()[2]
         self.raw = memoryview(data)[ends[0]:ends[-1]] if data is not None else b""
         b, self.ends = np.frombuffer(self.raw, np.uint8), ends - ends[0]
-        blank = (b == 0x20) | ((b >= 0x09) & (b <= 0x0D))
-        start = np.zeros(len(b) + 1, bool)
-        start[1:-1] = blank[:-1] & ~blank[1:] if len(b) else False
-        start[self.ends] = True
-        at = np.flatnonzero(start)
-        self.words: list[str] = []
-        self.doc = self.word = np.zeros(0, np.int64)
-        if len(at) > 1:
-            runs = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(self.raw)]).dictionary_encode()
-            plain = [x.decode().strip().lower().strip(EDGES) for x in runs.dictionary.to_pylist()]
-            index = {w: i for i, w in enumerate(dict.fromkeys(plain))}
-            self.words = list(index)
-            own = np.array([index[w] for w in plain])[runs.indices.to_numpy()]
-            doc = np.searchsorted(self.ends, at[:-1], "right") - 1
-            pairs = np.unique(doc * len(index) + own)
-            self.doc, self.word = pairs // len(index), pairs % len(index)
+        plain = [x.decode().lower().strip(EDGES) for x in found]
+        names = {w: i for i, w in enumerate(dict.fromkeys(plain))}
+        self.words = list(names)
+        own = np.array([names[w] for w in plain], np.int64)[index] if found else np.zeros(0, np.int64)
+        pairs = np.unique(np.repeat(np.arange(self.n), np.diff(places)) * max(len(names), 1) + own)
+        self.doc, self.word = pairs // max(len(names), 1), pairs % max(len(names), 1)
         upper = (b >= 0x41) & (b <= 0x5A)
         lower = (b >= 0x61) & (b <= 0x7A)
         self.upper, self.lower = self._count(upper), self._count(lower)
@@ -197,15 +188,19 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 40, link: float =
 
 
 def linear_fit(x: np.ndarray, y: np.ndarray, ridge: float = 2.0, rounds: int = 15) -> np.ndarray:
-    """Ridge logistic regression on soft labels by Newton steps; the last
-    coefficient is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    """Ridge logistic regression on soft labels by Newton steps, in blocks of
+    rows; the last column of ``x`` is all ones and its coefficient the bias."""
     w = np.zeros(x.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+        curve, slope = np.diag(penalty), penalty * w
+        for i in range(0, len(x), 2048):
+            b = x[i:i + 2048].astype(float)
+            p = 1 / (1 + np.exp(-np.clip(b @ w, -30, 30)))
+            curve = curve + (b * (p * (1 - p))[:, None]).T @ b
+            slope = slope + b.T @ (p - y[i:i + 2048])
+        step = np.linalg.solve(curve, slope)
         w -= step
         if np.abs(step).max() < 1e-4:
             break
@@ -280,10 +275,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows.sort(key=lambda r: (r.votes, r.at, r.times, r.y))        # the same sums whatever order rows come in
     votes = np.array([r.votes for r in rows], np.int64)
     y = np.array([r.y for r in rows])
-    x = np.zeros((len(rows), len(VOTERS) + len(names)), np.float32)
+    x = np.zeros((len(rows), len(VOTERS) + len(names) + 1), np.float32)
     x[:, :len(VOTERS)] = votes
+    x[:, -1] = 1
     for i, r in enumerate(rows):
         x[i, [len(VOTERS) + j for j in r.at]] = r.times
+    del rows
     # the given labels are one more, very good but not perfect voter
     post, accuracy, groups = label_model(np.hstack([votes, (2 * y - 1)[:, None]]), prior=n1 / (n1 + n0))
     w = linear_fit(x, post)
