@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from meteoframe.llm.common import GAP_CHARS
 
 
+SHARES = 32
+
+
 def line_key(line: Column) -> Column:
     """128-bit digest of a line without blanks around it."""
     return F.unhex(F.md5(F.btrim(line, F.lit(GAP_CHARS)).cast("binary")))
@@ -48,7 +51,9 @@ def drop_boilerplate(df: DataFrame, text: str = "text", host: str = "source",
 
     kept_columns = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
     work = df.select(*[F.col(f"`{c}`") for c in kept_columns]).withColumn("_site", F.struct(host_.alias("h")))
-    work = work.join(drops, "_site", "left")
+    # lists are short and repeated per share, so that a host with a third of all pages meets them in many tasks
+    drops = drops.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    work = work.withColumn("_share", F.pmod(F.monotonically_increasing_id(), F.lit(SHARES)).cast("int")).join(drops, ["_site", "_share"], "left")
 
     def cleaned(lines: Column) -> Column:
         stay = F.when(F.col("_drop").isNull(), lines).otherwise(
