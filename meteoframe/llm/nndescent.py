@@ -4,8 +4,9 @@ Equal vectors form one class.  Neighbour lists start from random-hyperplane
 buckets and are refined by joins through neighbours of neighbours: whoever
 stands in one list, or has it in theirs, is compared with each other.  A list
 that is full of links is saturated: its node's pool (what links connect) then
-takes the list's place and is compared whole, in tiles of bounded blocks.  A
-bounded audit against brute force measures recall; more rounds follow while it
+takes the list's place and is compared whole, in tiles of bounded blocks, and
+with every other vector that its blocks' centres and radii let within reach.
+A bounded audit against brute force measures recall; more rounds follow while it
 is below target.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meteoframe.llm import tiles as tiles_
-from meteoframe.llm.common import stored
+from meteoframe.llm.common import lean, stored
 from meteoframe.llm.components import connected
 
 BLOCK = 64               # rows of a bucket compared with each other
@@ -109,15 +110,101 @@ def top_lists(pairs: DataFrame, size: int) -> DataFrame:
 
 
 def descend(lists: DataFrame, vectors: DataFrame, floor: float, size: int) -> DataFrame:
-    """One round: the members of each node's list, and up to ``size`` nodes whose
-    lists hold it, are compared with each other."""
+    """Pairs of one round: the members of each node's list, and up to ``size``
+    nodes whose lists hold it, are compared with each other."""
     back = lists.select(F.col("b").alias("group"), F.col("a").alias("node"), "sim")
     rank = F.row_number().over(Window.partitionBy("group").orderBy(F.desc("sim"), "node"))
     back = back.withColumn("r", rank).where(F.col("r") <= size).select("group", "node")
     members = lists.select(F.col("a").alias("group"), F.col("b").alias("node")).unionByName(back).distinct()
     rows = members.join(vectors.select("node", "payload"), "node").select("group", "node", "payload")
-    found = within_groups(rows.repartition("group").sortWithinPartitions("group", "node"), floor, size, 4 * size)
-    return top_lists(lists.unionByName(found), size)
+    return within_groups(rows.repartition("group").sortWithinPartitions("group", "node"), floor, size, 4 * size)
+
+
+def in_blocks(vectors: DataFrame, pools: DataFrame, count: int, size: int) -> DataFrame:
+    """All vectors in blocks of about ``TILE_ROWS``, one row each: pools of over
+    ``size`` members in blocks of their own (``full``), the others mixed."""
+    full = pools.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > size)
+    rows = (vectors.select("node", "payload").join(pools.select("node", "component"), "node", "left")
+            .join(full, "component", "left"))
+    share = F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("n", F.lit(count)) / F.lit(TILE_ROWS * 0.9)))
+    name = F.concat_ws(" ", F.octet_length("payload"), F.when(F.col("n").isNotNull(), F.col("component").cast("string")).otherwise("-"), share)
+    rows = rows.select(name.alias("block"), F.col("n").isNotNull().alias("full"), "node",
+                       F.coalesce("component", F.lit(-1)).alias("component"), "payload")
+
+    def pack(block: str, full: bool, held: list) -> pa.RecordBatch:
+        x = unit([r[2] for r in held])
+        centre = x.sum(0)
+        centre = centre / max(np.sqrt(centre @ centre), 1e-300)
+        reach = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block]), pa.array([full]), pa.array([held[0][1]], pa.int64()), pa.array([x.shape[1]], pa.int32()), pa.array([np.array([r[0] for r in held], "<i8").tobytes()]),
+             pa.array([np.array([r[1] for r in held], "<i8").tobytes()]), pa.array([x.tobytes()]), pa.array([centre.tobytes()]), pa.array([reach])],
+            names=["block", "full", "pool", "dim", "nodes", "pools", "x", "centre", "reach"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, last, held = None, (), []
+        for b in batches:
+            for block, full, *row in zip(*(b.column(k).to_pylist() for k in range(5))):
+                if block != at:
+                    if held:
+                        yield pack(*last, held)
+                    at, last, held = block, (block, full), []
+                held.append(row)
+        if held:
+            yield pack(*last, held)
+
+    packed = rows.repartition("block").sortWithinPartitions("block", "node").mapInArrow(
+        run, "block string, full boolean, pool long, dim int, nodes binary, pools binary, x binary, centre binary, reach double")
+    return stored(packed, "descent-packs")
+
+
+def within_reach(blocks: DataFrame, threshold: float) -> DataFrame:
+    """``p, q``: blocks p with a vector that may link with one of the full block q
+    of another pool.  Angles add up at most, so no link is left out."""
+    names = blocks.where("full").select("dim", F.col("block").alias("q"), "pool", "centre", "reach")
+    centres = (names.groupBy("dim", F.pmod(F.xxhash64("q"), F.lit(max(1, names.count() // TILE_ROWS))).alias("part"))
+               .agg(F.collect_list(F.struct("q", "pool", "centre", "reach")).alias("full_ones")))
+    reach = float(np.arccos(threshold)) + 1e-6
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p, full, dim, pools, raw, ones in zip(*(b.column(k).to_pylist() for k in range(6))):
+                x, own = np.frombuffer(raw, "<f8").reshape(-1, dim), np.frombuffer(pools, "<i8")
+                c = np.stack([np.frombuffer(o["centre"], "<f8") for o in ones])
+                angle = np.arccos(np.clip(x @ c.T, -1, 1))
+                near = (angle <= np.array([o["reach"] for o in ones]) + reach) & (own[:, None] != np.array([o["pool"] for o in ones]))
+                q = [ones[k]["q"] for k in np.flatnonzero(near.any(0)) if not full or ones[k]["q"] > p]
+                yield pa.RecordBatch.from_arrays([pa.array([p] * len(q), pa.string()), pa.array(q, pa.string())], names=["p", "q"])
+
+    rows = blocks.select(F.col("block").alias("p"), "full", "dim", "pools", "x").join(centres.select("dim", "full_ones"), "dim").select("p", "full", "dim", "pools", "x", "full_ones")
+    # of two full blocks one side's view suffices
+    return rows.mapInArrow(run, "p string, q string")
+
+
+def links_across(blocks: DataFrame, wanted: DataFrame, threshold: float) -> DataFrame:
+    """For the wanted pairs of blocks, one link of each two pools (or lone nodes)
+    that have any: ``a, b``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for dim, n1, p1, x1, n2, p2, x2 in zip(*(b.column(k).to_pylist() for k in range(7))):
+                (n1, p1), (n2, p2) = ((np.frombuffer(n, "<i8"), np.frombuffer(p, "<i8")) for n, p in ((n1, p1), (n2, p2)))
+                near = np.frombuffer(x1, "<f8").reshape(-1, dim) @ np.frombuffer(x2, "<f8").reshape(-1, dim).T >= threshold
+                near &= ((p1[:, None] != p2) | (p1[:, None] < 0)) & (n1[:, None] != n2)
+                i, j = np.nonzero(near)
+                # a lone node counts as a pool of its own
+                ends = np.stack([np.where(p1[i] < 0, -1 - n1[i], p1[i]), np.where(p2[j] < 0, -1 - n2[j], p2[j])], 1)
+                first = np.unique(ends, axis=0, return_index=True)[1] if len(i) else i
+                yield pa.RecordBatch.from_arrays([pa.array(n1[i[first]]), pa.array(n2[j[first]])], names=["a", "b"])
+
+    left = blocks.select("dim", F.col("block").alias("p"), F.col("nodes").alias("n1"), F.col("pools").alias("p1"), F.col("x").alias("x1"))
+    right = blocks.select(F.col("block").alias("q"), F.col("nodes").alias("n2"), F.col("pools").alias("p2"), F.col("x").alias("x2"))
+    both = wanted.join(left, "p").join(right, "q").select("dim", "n1", "p1", "x1", "n2", "p2", "x2")
+    return both.mapInArrow(run, "a long, b long")
+
+
+def pools_of(links: DataFrame) -> DataFrame:
+    """``node, component`` of all linked nodes."""
+    return stored(connected(links).withColumnRenamed("root", "component"), "descent-pools")
 
 
 def audit(vectors: DataFrame, lists: DataFrame, pools: DataFrame, threshold: float) -> float:
@@ -165,7 +252,7 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     component.  An empty table gives an empty table.
     """
     v, i = F.col(f"`{embedding}`"), F.col(f"`{vec_id}`").cast("long")
-    plain = df.select(i.alias("vec_id"), v.cast("array<double>").alias("v"))
+    plain = lean(df).select(i.alias("vec_id"), v.cast("array<double>").alias("v"))
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)      # null where a component is
     rows = stored(plain.withColumn("norm", norm).withColumn(
         "v", F.when((F.col("norm") > 0) & (F.col("norm") < float("inf")) & F.col("vec_id").isNotNull(), F.col("v"))).drop("norm"), "descent-rows")
@@ -180,17 +267,22 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     vectors = stored(vectors.withColumn("node", F.monotonically_increasing_id()), "descent-vectors")
     count = vectors.count()
 
-    lists = None
+    lists = links = None
     for attempt in range(most_tries):
-        pairs = seed_pairs(vectors, count, tables, 11 + attempt, floor, size)
+        pairs = stored(seed_pairs(vectors, count, tables, 11 + attempt, floor, size), "descent-pairs")
+        new = pairs.where(F.col("sim") >= threshold).select("a", "b")        # every link found, not only those that lists hold
+        links = new if links is None else links.unionByName(new)
         lists = stored(top_lists(pairs if lists is None else lists.unionByName(pairs), size), "descent-lists")
         for _ in range(rounds):
-            was = lists
-            lists = stored(descend(lists, vectors, floor, size), "descent-lists")
+            was, pairs = lists, stored(descend(lists, vectors, floor, size), "descent-pairs")
+            links = links.unionByName(pairs.where(F.col("sim") >= threshold).select("a", "b"))
+            lists = stored(top_lists(lists.unionByName(pairs), size), "descent-lists")
             if not lists.join(was, ["a", "b"], "left_anti").where(F.col("sim") >= threshold - 0.1).head(1):
                 break
-        links = lists.where(F.col("sim") >= threshold)
-        pools = stored(connected(links.select("a", "b")).withColumnRenamed("root", "component"), "descent-pools")
+        pools = pools_of(links)
+        blocks = in_blocks(vectors, pools, count, size)
+        links = links.unionByName(stored(links_across(blocks, within_reach(blocks, threshold), threshold), "descent-across"))
+        pools = pools_of(links)
         recall = audit(vectors, lists, pools, threshold)
         if recall >= target:
             break

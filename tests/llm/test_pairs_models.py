@@ -104,6 +104,23 @@ def test_neighbours_against_brute_force(spark):
     assert max(count.values()) > 40          # fuller than any neighbour list
 
 
+def two_groups(m: int, cosine: float, spread: float) -> np.ndarray:
+    rng = np.random.default_rng(8)
+    a, b = np.linalg.qr(rng.normal(size=(64, 2)))[0].T
+    centres = np.stack([a, cosine * a + math.sqrt(1 - cosine ** 2) * b])
+    return np.repeat(centres, m, 0) + rng.normal(size=(2 * m, 64)) * spread / 8
+
+
+def test_links_between_dense_groups(spark):
+    x = two_groups(300, 0.92, 0.2)
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert near[:300, 300:].any() and near[:300, :300].sum(1).min() > 16      # every list is full of its own group
+    out = nndescent.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).rows.collect()
+    assert {r.vec_id: r.n_links for r in out} == dict(enumerate(near.sum(1).tolist())) and {r.component_id for r in out} == {0}
+
+
 def test_no_vectors(spark):
     assert nndescent.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).rows.count() == 0
 
