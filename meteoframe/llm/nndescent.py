@@ -24,7 +24,8 @@ from meteoframe.llm import tiles as tiles_
 from meteoframe.llm.common import lean, stored
 from meteoframe.llm.components import connected
 
-BLOCK = 64               # rows of a bucket compared with each other
+BLOCK = 512              # rows of a bucket compared with each other
+ALWAYS = 2               # neighbours that a row of a group takes whatever their cosine
 TILE_ROWS = 1024
 AUDIT_ROWS = 256
 PAIR = "a long, b long, sim double"
@@ -44,14 +45,16 @@ def unit(payloads: list[bytes]) -> np.ndarray:
 
 
 def best_pairs(node: np.ndarray, x: np.ndarray, floor: float, size: int) -> pa.RecordBatch:
-    """Each row's best ``size`` others of a group, from ``floor`` on."""
+    """Each row's best ``size`` others of a group from ``floor`` on, and its best
+    ``ALWAYS`` whatever their cosine: lists fill up where all is far."""
     s = x @ x.T
     np.fill_diagonal(s, -2)
     k = min(size, len(node) - 1)
     top = np.argpartition(-s, k - 1, 1)[:, :k]
+    top = np.take_along_axis(top, np.argsort(-np.take_along_axis(s, top, 1), 1), 1)
     a = np.repeat(np.arange(len(node)), k)
     b = top.ravel()
-    good = s[a, b] >= floor
+    good = (s[a, b] >= floor) | (np.tile(np.arange(k), len(node)) < ALWAYS)
     a, b = a[good], b[good]
     return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b]), pa.array(s[a, b])], names=["a", "b", "sim"])
 
@@ -75,10 +78,17 @@ def within_groups(rows: DataFrame, floor: float, size: int, most: int) -> DataFr
     return rows.mapInArrow(run, PAIR)
 
 
-def seed_pairs(vectors: DataFrame, count: int, tables: int, seed: int, floor: float, size: int) -> DataFrame:
-    """Pairs from ``tables`` hyperplane hashings, fine enough for buckets of
-    about half a block."""
+def choose_tables(count: int, threshold: float, recall: float) -> tuple[int, int]:
+    """Bits and number of hash tables: buckets of about half a block, and two
+    vectors at ``threshold`` share one with probability ``recall`` or more."""
     bits = max(1, int(np.ceil(np.log2(max(count, 2) / (BLOCK / 2)))))
+    share = (1 - np.arccos(threshold) / np.pi) ** bits
+    return bits, max(1, int(np.ceil(np.log1p(-recall) / np.log1p(-share))))
+
+
+def seed_pairs(vectors: DataFrame, bits: int, tables: int, seed: int, floor: float, size: int) -> DataFrame:
+    """Pairs from ``tables`` hyperplane hashings of ``bits`` bits, and from one
+    by chance as NN-descent's random neighbours."""
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -91,13 +101,16 @@ def seed_pairs(vectors: DataFrame, count: int, tables: int, seed: int, floor: fl
                     planes[dim] = np.random.default_rng([seed, dim]).normal(size=(dim // 8, tables * bits))
                 signs = (unit([payloads[i] for i in own]) @ planes[dim] > 0).reshape(len(own), tables, bits)
                 code = (signs << np.arange(bits)).sum(2)
-                out += [(f"{dim} {t} {code[k, t]}", nodes[i], payloads[i]) for k, i in enumerate(own) for t in range(tables)]
+                chance = (np.array([nodes[i] for i in own]).astype(np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+                code = np.column_stack([code, (chance >> np.uint64(64 - bits)).astype(np.int64)])
+                out += [(f"{dim} {t} {code[k, t]}", nodes[i], payloads[i]) for k, i in enumerate(own) for t in range(tables + 1)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int64()),
                                               pa.array([r[2] for r in out], pa.binary())], names=["group", "node", "payload"])
 
     rows = vectors.select("node", "payload").mapInArrow(codes, "group string, node long, payload binary")
-    # by range, with the id's hash behind the bucket: a bucket holding a third of all rows spreads over many tasks
-    rows = rows.withColumn("salt", F.xxhash64("node")).repartitionByRange("group", "salt").sortWithinPartitions("group", "salt")
+    # by range, with the id's hash behind the bucket: a bucket holding a third of all rows spreads over many tasks,
+    # and is cut into other runs in each table
+    rows = rows.withColumn("salt", F.xxhash64("node", "group")).repartitionByRange("group", "salt").sortWithinPartitions("group", "salt")
     return within_groups(rows, floor, size, BLOCK)
 
 
@@ -240,13 +253,15 @@ def audit(vectors: DataFrame, lists: DataFrame, pools: DataFrame, threshold: flo
 
 
 def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,
-                    size: int = 16, floor: float = 0.6, tables: int = 8, rounds: int = 3,
-                    target: float = 0.99, most_tries: int = 3) -> NearDuplicates:
+                    size: int = 16, floor: float = 0.6, tables: int | None = None, rounds: int = 3,
+                    target: float = 0.99, most_tries: int = 3, seed_recall: float = 0.999) -> NearDuplicates:
     """Links between vectors of cosine ``threshold`` or more, in double precision.
 
     Vectors that are null, empty, zero, or hold null or non-finite components
-    link with nothing; vectors of different lengths never link.  Lists hold
-    neighbours of cosine ``floor`` or more.  ``n_links`` counts other rows
+    link with nothing; vectors of different lengths never link.  Lists hold the
+    best neighbours met, however far; from ``floor`` on a group gives each row
+    ``size`` of them.  An attempt has as many hash ``tables`` as two vectors at
+    ``threshold`` need to meet with ``seed_recall``.  ``n_links`` counts other rows
     directly linked; ``component_id`` is the smallest id reachable.  Repeated
     rows are rows each; a row without id links with nothing and has a null
     component.  An empty table gives an empty table.
@@ -267,9 +282,10 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     vectors = stored(vectors.withColumn("node", F.monotonically_increasing_id()), "descent-vectors")
     count = vectors.count()
 
+    bits, enough = choose_tables(count, threshold, seed_recall)
     lists = links = None
     for attempt in range(most_tries):
-        pairs = stored(seed_pairs(vectors, count, tables, 11 + attempt, floor, size), "descent-pairs")
+        pairs = stored(seed_pairs(vectors, bits, tables or enough, 11 + attempt, floor, size), "descent-pairs")
         new = pairs.where(F.col("sim") >= threshold).select("a", "b")        # every link found, not only those that lists hold
         links = new if links is None else links.unionByName(new)
         lists = stored(top_lists(pairs if lists is None else lists.unionByName(pairs), size), "descent-lists")

@@ -121,6 +121,20 @@ def test_links_between_dense_groups(spark):
     assert {r.vec_id: r.n_links for r in out} == dict(enumerate(near.sum(1).tolist())) and {r.component_id for r in out} == {0}
 
 
+def test_hash_tables_reach_the_recall():
+    for count in (500, 2000, 36000, 10 ** 5, 10 ** 6, 10 ** 7):
+        bits, tables = nndescent.choose_tables(count, 0.9, 0.999)
+        assert count / 2 ** bits <= nndescent.BLOCK / 2 and 1 - (1 - (1 - math.acos(0.9) / math.pi) ** bits) ** tables >= 0.999
+
+
+def test_far_neighbours_stay_in_the_lists(spark):
+    x = np.random.default_rng(3).normal(size=(400, 64))
+    vectors = spark.createDataFrame([(i, v.astype("<f8").tobytes()) for i, v in enumerate(x)], "node long, payload binary")
+    lists = nndescent.top_lists(nndescent.seed_pairs(vectors, *nndescent.choose_tables(400, 0.9, 0.999), 11, 0.6, 16), 16)
+    sizes = [r["count"] for r in lists.groupBy("a").count().collect()]
+    assert len(sizes) == 400 and min(sizes) >= 2
+
+
 def test_no_vectors(spark):
     assert nndescent.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).rows.count() == 0
 
