@@ -6,8 +6,8 @@ stands in one list, or has it in theirs, is compared with each other.  A list
 that is full of links is saturated: its node's pool (what links connect) then
 takes the list's place and is compared whole, in tiles of bounded blocks, and
 with every other vector that its blocks' centres and radii let within reach.
-A bounded audit against brute force measures recall; more rounds follow while it
-is below target.
+A bounded audit against brute force measures recall; while it is below target
+more attempts follow, and at last all blocks are compared with each other.
 """
 
 from __future__ import annotations
@@ -27,13 +27,14 @@ from meteoframe.llm.components import connected
 BLOCK = 512              # rows of a bucket compared with each other
 ALWAYS = 2               # neighbours that a row of a group takes whatever their cosine
 TILE_ROWS = 1024
-AUDIT_ROWS = 256
+AUDIT_ROWS = 1024
 PAIR = "a long, b long, sim double"
 
 
 @dataclass
 class NearDuplicates:
-    """``rows``: vec_id, n_links, component_id, kept; ``recall``: as audited."""
+    """``rows``: vec_id, n_links, component_id, kept; ``recall``: as audited, or
+    1 where all was compared."""
 
     rows: DataFrame
     recall: float
@@ -220,36 +221,33 @@ def pools_of(links: DataFrame) -> DataFrame:
     return stored(connected(links).withColumnRenamed("root", "component"), "descent-pools")
 
 
-def audit(vectors: DataFrame, lists: DataFrame, pools: DataFrame, threshold: float) -> float:
-    """Share of the true links of a bounded sample of nodes - half with links,
-    half any - whose two ends lie in one pool."""
-    half = AUDIT_ROWS // 2
-    linked = lists.where(F.col("sim") >= threshold).select("a").distinct().sort(F.xxhash64("a")).limit(half).select(F.col("a").alias("node"))
-    any_ = vectors.select("node").sort(F.xxhash64("node", F.lit(1))).limit(half)
-    chosen = vectors.select("node", "payload").join(F.broadcast(linked.unionByName(any_).distinct()), "node").collect()  # at most AUDIT_ROWS
-    if not chosen:
-        return 1.0
-    by_dim: dict[int, tuple[list[int], np.ndarray]] = {}
+def audit(vectors: DataFrame, pools: DataFrame, threshold: float) -> float:
+    """Of a bounded chance sample of nodes, found links or not: among those with
+    a true link, the share whose every true link lies in their own pool."""
+    placed = vectors.select("node", "payload").join(pools.select("node", "component"), "node", "left")
+    chosen = placed.sort(F.xxhash64("node", F.lit(1))).limit(AUDIT_ROWS).collect()
+    by_dim: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     for dim in {len(r.payload) for r in chosen}:
         own = [r for r in chosen if len(r.payload) == dim]
-        by_dim[dim] = [r.node for r in own], unit([r.payload for r in own])
+        by_dim[dim] = (np.array([r.node for r in own]), np.array([-1 if r.component is None else r.component for r in own]),
+                       unit([r.payload for r in own]))
 
     def true_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, payloads = b.column("node").to_pylist(), b.column("payload").to_pylist()
-            out = []
-            for dim, (names, x) in by_dim.items():
+            nodes, payloads, pool = (b.column(k).to_pylist() for k in ("node", "payload", "component"))
+            for dim, (names, theirs, x) in by_dim.items():
                 own = [i for i, p in enumerate(payloads) if len(p) == dim]
                 if own:
-                    p, q = np.nonzero(unit([payloads[i] for i in own]) @ x.T >= threshold)
-                    out += [(nodes[own[i]], names[j]) for i, j in zip(p, q) if nodes[own[i]] != names[j]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                    node = np.array([nodes[i] for i in own])
+                    mine = np.array([-2 if pool[i] is None else pool[i] for i in own])
+                    true = (unit([payloads[i] for i in own]) @ x.T >= threshold) & (node[:, None] != names)
+                    lost = true & (mine[:, None] != theirs)
+                    some = np.flatnonzero(true.any(0))
+                    yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(lost.any(0)[some])], names=["node", "lost"])
 
-    true = vectors.select("node", "payload").mapInArrow(true_links, "a long, b long")
-    ends = (true.join(pools.select(F.col("node").alias("a"), F.col("component").alias("p")), "a", "left")
-            .join(pools.select(F.col("node").alias("b"), F.col("component").alias("q")), "b", "left"))
-    total, met = ends.agg(F.count(F.lit(1)), F.sum(F.coalesce((F.col("p") == F.col("q")).cast("int"), F.lit(0)))).first()
-    return met / total if total else 1.0
+    seen = placed.mapInArrow(true_links, "node long, lost boolean").groupBy("node").agg(F.max("lost").alias("lost"))
+    total, lost = seen.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("lost").cast("int")), F.lit(0))).first()
+    return 1 - lost / total if total else 1.0
 
 
 def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,
@@ -284,6 +282,7 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
 
     bits, enough = choose_tables(count, threshold, seed_recall)
     lists = links = None
+    pools = df.sparkSession.createDataFrame([], "node long, component long")
     for attempt in range(most_tries):
         pairs = stored(seed_pairs(vectors, bits, tables or enough, 11 + attempt, floor, size), "descent-pairs")
         new = pairs.where(F.col("sim") >= threshold).select("a", "b")        # every link found, not only those that lists hold
@@ -299,9 +298,15 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
         blocks = in_blocks(vectors, pools, count, size)
         links = links.unionByName(stored(links_across(blocks, within_reach(blocks, threshold), threshold), "descent-across"))
         pools = pools_of(links)
-        recall = audit(vectors, lists, pools, threshold)
+        recall = audit(vectors, pools, threshold)
         if recall >= target:
             break
+    else:                            # no attempt got there: every block with every other
+        blocks = in_blocks(vectors, pools, count, size)
+        names = blocks.select(F.col("block").alias("p"), "dim")
+        every = names.join(names.withColumnRenamed("p", "q"), "dim").where("p <= q").select("p", "q")
+        rest = stored(links_across(blocks, every, threshold), "descent-rest")
+        pools, recall = pools_of(rest if links is None else links.unionByName(rest)), 1.0
 
     # a list with room holds all of its node's links; a full one gives way to the whole pool
     own = pools.join(vectors.select("node", "weight", "rep"), "node")

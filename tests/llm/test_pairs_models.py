@@ -135,6 +135,25 @@ def test_far_neighbours_stay_in_the_lists(spark):
     assert len(sizes) == 400 and min(sizes) >= 2
 
 
+def test_audit_weighs_nodes_alike(spark):
+    rng = np.random.default_rng(2)
+    lone = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    x = np.concatenate([lone[0] + rng.normal(size=(300, 64)) * 0.01, np.repeat(lone[1:41], 2, 0) + rng.normal(size=(80, 64)) * 0.01])
+    vectors = spark.createDataFrame([(i, v.astype("<f8").tobytes()) for i, v in enumerate(x)], "node long, payload binary")
+    pools = spark.createDataFrame([(i, 0) for i in range(300)], "node long, component long")
+    assert nndescent.audit(vectors, pools, 0.9) == pytest.approx(300 / 380)    # 40 lost pairs beside 44,850 met
+
+
+def test_what_attempts_miss_is_compared(spark):
+    x = two_groups(80, 0.5, 0.3)
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    near = (x @ x.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for tries, target in ((0, 0.99), (1, 1.01)):
+        found = nndescent.near_duplicates(df, tables=1, rounds=0, target=target, most_tries=tries)
+        assert found.recall == 1 and {r.vec_id: r.n_links for r in found.rows.collect()} == dict(enumerate(near.sum(1).tolist()))
+
+
 def test_no_vectors(spark):
     assert nndescent.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).rows.count() == 0
 
