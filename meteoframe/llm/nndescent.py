@@ -28,7 +28,7 @@ BLOCK = 512              # rows of a bucket compared with each other
 ALWAYS = 2               # neighbours that a row of a group takes whatever their cosine
 TILE_ROWS = 1024
 AUDIT_ROWS = 1024
-PAIR = "a long, b long, sim double"
+PAIR = "a long, b long, sim double, link boolean"
 
 
 @dataclass
@@ -45,9 +45,10 @@ def unit(payloads: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def best_pairs(node: np.ndarray, x: np.ndarray, floor: float, size: int) -> pa.RecordBatch:
+def best_pairs(node: np.ndarray, x: np.ndarray, threshold: float, floor: float, size: int) -> pa.RecordBatch:
     """Each row's best ``size`` others of a group from ``floor`` on, and its best
-    ``ALWAYS`` whatever their cosine: lists fill up where all is far."""
+    ``ALWAYS`` whatever their cosine: lists fill up where all is far.  Marked
+    ``link``: a spanning forest of all the group's links, whoever is best."""
     s = x @ x.T
     np.fill_diagonal(s, -2)
     k = min(size, len(node) - 1)
@@ -56,11 +57,22 @@ def best_pairs(node: np.ndarray, x: np.ndarray, floor: float, size: int) -> pa.R
     a = np.repeat(np.arange(len(node)), k)
     b = top.ravel()
     good = (s[a, b] >= floor) | (np.tile(np.arange(k), len(node)) < ALWAYS)
-    a, b = a[good], b[good]
-    return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b]), pa.array(s[a, b])], names=["a", "b", "sim"])
-
-
-def within_groups(rows: DataFrame, floor: float, size: int, most: int) -> DataFrame:
+    near = s >= threshold
+    fresh, forest = near.any(1), []
+    while fresh.any():
+        reached = [int(np.argmax(fresh))]
+        fresh[reached[0]] = False
+        for u in reached:
+            more = np.flatnonzero(near[u] & fresh)
+            fresh[more] = False
+            forest += [(u, int(v)) for v in more]
+            reached += more.tolist()
+    p, q = np.array(forest, np.int64).reshape(-1, 2).T
+    a, b, link = np.concatenate([a[good], p]), np.concatenate([b[good], q]), np.repeat([False, True], [good.sum(), len(p)])
+    return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b]), pa.array(s[a, b]), pa.array(link)], names=["a", "b", "sim", "link"])
+
+
+def within_groups(rows: DataFrame, threshold: float, floor: float, size: int, most: int) -> DataFrame:
     """``group, node, payload`` in order of group: pairs within each group, which
     is compared in runs of at most ``most`` rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,12 +81,12 @@ def within_groups(rows: DataFrame, floor: float, size: int, most: int) -> DataFr
             for g, n, p in zip(*(b.column(c).to_pylist() for c in ("group", "node", "payload"))):
                 if g != at or len(nodes) == most:
                     if len(nodes) > 1:
-                        yield best_pairs(np.array(nodes), unit(payloads), floor, size)
+                        yield best_pairs(np.array(nodes), unit(payloads), threshold, floor, size)
                     at, nodes, payloads = g, [], []
                 nodes.append(n)
                 payloads.append(p)
         if len(nodes) > 1:
-            yield best_pairs(np.array(nodes), unit(payloads), floor, size)
+            yield best_pairs(np.array(nodes), unit(payloads), threshold, floor, size)
 
     return rows.mapInArrow(run, PAIR)
 
@@ -87,7 +99,7 @@ def choose_tables(count: int, threshold: float, recall: float) -> tuple[int, int
     return bits, max(1, int(np.ceil(np.log1p(-recall) / np.log1p(-share))))
 
 
-def seed_pairs(vectors: DataFrame, bits: int, tables: int, seed: int, floor: float, size: int) -> DataFrame:
+def seed_pairs(vectors: DataFrame, bits: int, tables: int, seed: int, threshold: float, floor: float, size: int) -> DataFrame:
     """Pairs from ``tables`` hyperplane hashings of ``bits`` bits, and from one
     by chance as NN-descent's random neighbours."""
 
@@ -112,7 +124,7 @@ def seed_pairs(vectors: DataFrame, bits: int, tables: int, seed: int, floor: flo
     # by range, with the id's hash behind the bucket: a bucket holding a third of all rows spreads over many tasks,
     # and is cut into other runs in each table
     rows = rows.withColumn("salt", F.xxhash64("node", "group")).repartitionByRange("group", "salt").sortWithinPartitions("group", "salt")
-    return within_groups(rows, floor, size, BLOCK)
+    return within_groups(rows, threshold, floor, size, BLOCK)
 
 
 def top_lists(pairs: DataFrame, size: int) -> DataFrame:
@@ -123,7 +135,7 @@ def top_lists(pairs: DataFrame, size: int) -> DataFrame:
     return distinct.withColumn("r", rank).where(F.col("r") <= size).drop("r")
 
 
-def descend(lists: DataFrame, vectors: DataFrame, floor: float, size: int) -> DataFrame:
+def descend(lists: DataFrame, vectors: DataFrame, threshold: float, floor: float, size: int) -> DataFrame:
     """Pairs of one round: the members of each node's list, and up to ``size``
     nodes whose lists hold it, are compared with each other."""
     back = lists.select(F.col("b").alias("group"), F.col("a").alias("node"), "sim")
@@ -131,7 +143,7 @@ def descend(lists: DataFrame, vectors: DataFrame, floor: float, size: int) -> Da
     back = back.withColumn("r", rank).where(F.col("r") <= size).select("group", "node")
     members = lists.select(F.col("a").alias("group"), F.col("b").alias("node")).unionByName(back).distinct()
     rows = members.join(vectors.select("node", "payload"), "node").select("group", "node", "payload")
-    return within_groups(rows.repartition("group").sortWithinPartitions("group", "node"), floor, size, 4 * size)
+    return within_groups(rows.repartition("group").sortWithinPartitions("group", "node"), threshold, floor, size, 4 * size)
 
 
 def in_blocks(vectors: DataFrame, pools: DataFrame, count: int, size: int) -> DataFrame:
@@ -284,20 +296,22 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     lists = links = None
     pools = df.sparkSession.createDataFrame([], "node long, component long")
     for attempt in range(most_tries):
-        pairs = stored(seed_pairs(vectors, bits, tables or enough, 11 + attempt, floor, size), "descent-pairs")
-        new = pairs.where(F.col("sim") >= threshold).select("a", "b")        # every link found, not only those that lists hold
+        pairs = stored(seed_pairs(vectors, bits, tables or enough, 11 + attempt, threshold, floor, size), "descent-pairs")
+        new = pairs.where("link").select("a", "b")        # of every link found, not only those that lists hold
         links = new if links is None else links.unionByName(new)
-        lists = stored(top_lists(pairs if lists is None else lists.unionByName(pairs), size), "descent-lists")
+        lists = stored(top_lists(pairs if lists is None else lists.unionByName(pairs.drop("link")), size), "descent-lists")
         for _ in range(rounds):
-            was, pairs = lists, stored(descend(lists, vectors, floor, size), "descent-pairs")
-            links = links.unionByName(pairs.where(F.col("sim") >= threshold).select("a", "b"))
-            lists = stored(top_lists(lists.unionByName(pairs), size), "descent-lists")
+            was, pairs = lists, stored(descend(lists, vectors, threshold, floor, size), "descent-pairs")
+            links = links.unionByName(pairs.where("link").select("a", "b"))
+            lists = stored(top_lists(lists.unionByName(pairs.drop("link")), size), "descent-lists")
             if not lists.join(was, ["a", "b"], "left_anti").where(F.col("sim") >= threshold - 0.1).head(1):
                 break
         pools = pools_of(links)
         blocks = in_blocks(vectors, pools, count, size)
-        links = links.unionByName(stored(links_across(blocks, within_reach(blocks, threshold), threshold), "descent-across"))
-        pools = pools_of(links)
+        across = stored(links_across(blocks, within_reach(blocks, threshold), threshold), "descent-across")
+        if across.head(1):
+            links = links.unionByName(across)
+            pools = pools_of(links)
         recall = audit(vectors, pools, threshold)
         if recall >= target:
             break

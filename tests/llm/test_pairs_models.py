@@ -130,7 +130,7 @@ def test_hash_tables_reach_the_recall():
 def test_far_neighbours_stay_in_the_lists(spark):
     x = np.random.default_rng(3).normal(size=(400, 64))
     vectors = spark.createDataFrame([(i, v.astype("<f8").tobytes()) for i, v in enumerate(x)], "node long, payload binary")
-    lists = nndescent.top_lists(nndescent.seed_pairs(vectors, *nndescent.choose_tables(400, 0.9, 0.999), 11, 0.6, 16), 16)
+    lists = nndescent.top_lists(nndescent.seed_pairs(vectors, *nndescent.choose_tables(400, 0.9, 0.999), 11, 0.9, 0.6, 16), 16)
     sizes = [r["count"] for r in lists.groupBy("a").count().collect()]
     assert len(sizes) == 400 and min(sizes) >= 2
 
