@@ -212,13 +212,16 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Model from the labelled rows whose id's crc32 is not divisible by 5, of
     which at most ``sample_rows`` are used.
 
-    Ids with several labels count as toxic if one says so; null labels and ids
+    Rows of one id count once, with the text of the smallest hash.  Ids with
+    several labels count as toxic if one says so; null labels and ids
     do not count.  Without any labelled row the model is the plain lexicons.
     """
     key, y = F.col(f"`{doc_id}`"), F.col(f"`{label}`")
     chosen = (labels.where(key.isNotNull() & y.isNotNull() & (remainder(key) != 0)).groupBy(key.alias("id")).agg(F.max(y.cast("int")).alias("y"))
               .sort(F.xxhash64("id"), "id").limit(sample_rows))
-    sample = lean(docs).select(key.alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(chosen), "id").select("text", "y")  # at most sample_rows ids
+    sample = lean(docs).select(key.alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(chosen), "id")
+    # an id's rows are one, by the text's hash, so that at most sample_rows rows are used however often an id repeats
+    sample = sample.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("_own"), F.max("y").alias("y")).select("_own.text", "y")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):

@@ -232,6 +232,15 @@ def test_toxic_documents_are_found_and_others_left(spark):
     assert model.accuracy["wits"] > 0.9
 
 
+def test_a_repeated_id_counts_once(spark):
+    docs, labels = toxic_corpus(200)
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    hot = next(i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 5)
+    again = d.unionByName(d.where(F.col("doc_id") == hot).crossJoin(spark.range(300)).drop("id"))
+    one, other = toxicity.fit(d, lab), toxicity.fit(again, lab)
+    assert np.allclose(one.vote_weights, other.vote_weights) and one.accuracy == other.accuracy and one.bias == pytest.approx(other.bias)
+
+
 def test_held_out_labels_change_nothing(spark):
     docs, labels = toxic_corpus(200)
     d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
