@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
 
-from meteoframe.llm import bpe, htmlcut, katz, linededup, ngramjoin, nndescent, outliers, packing, toxicity, warc
+from meteoframe.llm import bpe, hardneg, htmlcut, katz, linededup, ngramjoin, nndescent, outliers, packing, secrets, toxicity, warc, whitening
 from meteoframe.llm.common import remainder, stored, table
 from meteoframe.session import scratch_path
 
@@ -79,9 +79,35 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmlcut.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' secrets, by the fixed rules and by models of this corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.learn(docs)).drop("text")
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("secrets", lambda s: s["kind"] < secrets.KINDS.index("markov"))
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(secrets.as_text(base).cast("binary"), 256).alias("base_sha256"), secrets.as_text(F.col("secrets")).alias("spans"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on their first four whitened components."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, some labels moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op3_line_dedup": op3_line_dedup,
            "op4_toxicity": op4_toxicity, "op5_ngram_join": op5_ngram_join, "op6_katz": op6_katz, "op7_bpe": op7_bpe, "op8_embedding_dedup": op8_embedding_dedup,
            "op9_quality": op9_quality, "op10_html": op10_html,
+           "op11_secrets": op11_secrets, "op12_whitening": op12_whitening, "op13_hard_negatives": op13_hard_negatives,
            "pipeline": corpus_pipeline.run}
 
 ORACLE = {
@@ -98,6 +124,51 @@ doc AS (SELECT rid, count(*) FILTER (WHERE k <> '') AS n_lines, count(*) FILTER
 SELECT doc_id, source, CASE WHEN n_gone > 0 AND n_gone < n_lines THEN rest ELSE text END AS text,
        coalesce(n_lines, 0) AS n_lines, CASE WHEN n_gone < n_lines THEN n_gone ELSE 0 END AS n_dropped
 FROM page LEFT JOIN doc USING (rid)""",
+    "op11_secrets": r"""
+WITH rule(kind, name, pattern, hint) AS (VALUES
+  (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 12),
+  (1, 'access', 'AKIA[A-Z0-9]+', 18), (2, 'hex', '[0-9a-f]+', 16)),
+page AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (SELECT rid, kind, hint, regexp_extract_all(text, pattern) AS hits, string_split_regex(text, pattern) AS gaps,
+        CASE WHEN kind = 0 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern) END AS parts FROM page, rule),
+hit AS (SELECT rid, kind, hint, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, unnest(parts) AS part, generate_subscripts(hits, 1) AS pos FROM cut WHERE len(hits) > 0),
+base AS (SELECT rid, kind, e - length(hit) AS s, e, part FROM (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY rid, kind ORDER BY pos) AS e FROM hit) WHERE length(part) >= hint),
+word AS (SELECT rid, regexp_extract_all(text, '[A-Za-z0-9+/_=-]{12,}') AS words FROM page),
+sample AS (SELECT DISTINCT part AS token, true AS random FROM base
+  UNION ALL SELECT token, false FROM (SELECT DISTINCT unnest(words) AS token FROM word) w
+  WHERE NOT regexp_matches(token, 'AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}|(?i:(password|passwd|secret|token|api_?key)=*[:=]([A-Za-z0-9+/_.=-]+))') AND token NOT IN (SELECT part FROM base)
+  UNION ALL SELECT unnest([d[:40], p, translate(p, '+/', '-_'), upper(translate(p, '+/', '')), translate(p, '+/', '')]), true
+  FROM (SELECT sha256(i::VARCHAR) AS d, translate(base64(unhex(sha256(i::VARCHAR))), '=', '') AS p FROM range(2000) r(i))),
+pair AS (SELECT random, CASE WHEN i = 1 THEN 0 ELSE ascii(token[i - 1]) END AS a, ascii(token[i]) AS b, count(*) AS n
+  FROM (SELECT random, token, unnest(range(1, length(token) + 1)) AS i FROM sample) GROUP BY ALL),
+total AS (SELECT random, a, sum(n) AS n FROM pair GROUP BY ALL),
+letter AS (SELECT random, b, sum(n) AS n FROM pair GROUP BY ALL),
+whole AS (SELECT coalesce(sum(n) FILTER (random), 0) AS x, coalesce(sum(n) FILTER (NOT random), 0) AS y FROM pair),
+token AS (SELECT rid, hit, s, s + length(hit) AS e FROM (SELECT rid, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY rid ORDER BY pos) - length(hit) AS s
+  FROM (SELECT rid, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, generate_subscripts(hits, 1) AS pos
+    FROM (SELECT rid, regexp_extract_all(text, '[A-Za-z0-9+/_=-]{16,}') AS hits, string_split_regex(text, '[A-Za-z0-9+/_=-]{16,}') AS gaps FROM page) WHERE len(hits) > 0))),
+step AS (SELECT t, CASE WHEN i = 1 THEN 0 ELSE ascii(t[i - 1]) END AS a, ascii(t[i]) AS b FROM (SELECT t, unnest(range(1, length(t) + 1)) AS i FROM (SELECT DISTINCT hit AS t FROM token))),
+score AS (SELECT t, sum(round(1000 * (ln((coalesce(p.n, 0) + 33 * ((coalesce(pl.n, 0) + 0.5::DOUBLE) / (x + 33))) / (coalesce(pt.n, 0) + 33))
+                                    - ln((coalesce(q.n, 0) + 33 * ((coalesce(ql.n, 0) + 0.5::DOUBLE) / (y + 33))) / (coalesce(qt.n, 0) + 33))))) AS llr
+  FROM step CROSS JOIN whole LEFT JOIN pair p ON p.random AND p.a = step.a AND p.b = step.b LEFT JOIN total pt ON pt.random AND pt.a = step.a LEFT JOIN letter pl ON pl.random AND pl.b = step.b
+  LEFT JOIN pair q ON NOT q.random AND q.a = step.a AND q.b = step.b LEFT JOIN total qt ON NOT qt.random AND qt.a = step.a LEFT JOIN letter ql ON NOT ql.random AND ql.b = step.b GROUP BY t),
+added AS (SELECT rid, 3 AS kind, s, e FROM token JOIN score ON hit = t WHERE llr > 6908
+  AND NOT EXISTS (SELECT 1 FROM base WHERE base.rid = token.rid AND base.s < token.e AND base.e > token.s)),
+span AS (SELECT rid, kind, s, ['assign', 'access', 'hex', 'markov'][kind + 1] || ':' || s::BIGINT || ':' || e::BIGINT AS w FROM (SELECT rid, kind, s, e FROM base UNION ALL FROM added)),
+doc AS (SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  string_agg(w, ',' ORDER BY s, kind) FILTER (kind < 3) AS b, string_agg(w, ',' ORDER BY s, kind) AS spans FROM span GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans FROM page LEFT JOIN doc USING (rid)""",
+    "op13_hard_negatives": r"""
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, r.vec_id AS b, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM r a JOIN r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b)::INTEGER AS rank,
+       s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10""",
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

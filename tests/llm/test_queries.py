@@ -26,14 +26,18 @@ COLUMNS = {
     "op8_embedding_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op9_quality": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10_html": ["page_id", "url", "text", "n_chars"],
+    "op11_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op12_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13_hard_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
 }
-TABLE = {"op1_warc": "pages", "op10_html": "pages", "op8_embedding_dedup": "embeddings"}
+TABLE = {"op1_warc": "pages", "op10_html": "pages", "op8_embedding_dedup": "embeddings", "op12_whitening": "embeddings", "op13_hard_negatives": "embeddings"}
+PER_ROW = {"op12_whitening": 4, "op13_hard_negatives": 50 / 100}      # rows out per row in
 
 
 def test_all_are_registered():
     names = [n for n in E.queries() if n.startswith("op") or n == "pipeline"]
     assert sorted(names) == sorted([*COLUMNS, "pipeline"])
-    assert {n for n in E.oracle_sql() if n.startswith("op")} == {"op3_line_dedup"}
+    assert {n for n in E.oracle_sql() if n.startswith("op")} == {"op3_line_dedup", "op11_secrets", "op13_hard_negatives"}
 
 
 @pytest.mark.parametrize("name", list(COLUMNS))
@@ -42,7 +46,7 @@ def test_query_covers_its_whole_table(spark, name):
     assert set(COLUMNS[name]) <= set(out.columns)
     given = spark.read.parquet(f"{SF}/{TABLE.get(name, 'documents')}.parquet").count()
     key = out.columns[0] if name in TABLE else "doc_id"
-    assert (out.select(key).distinct().count() if name == "op2_packing" else out.count()) == given
+    assert (out.select(key).distinct().count() if name == "op2_packing" else out.count()) == given * PER_ROW.get(name, 1)
 
 
 @pytest.mark.parametrize("name", [n for n in E.oracle_sql() if n.startswith("op")])
