@@ -37,9 +37,9 @@ def safe_double(c, stripped: bool = False) -> Column:
     return F.when(_plain_decimal(s), s.try_cast("double"))
 
 
-def safe_int(c) -> Column:
+def safe_int(c, stripped: bool = False) -> Column:
     """Integer text -> int; '3.0', 'x', '' -> null (Python int() rules)."""
-    s = strip(_c(c))
+    s = _c(c) if stripped else strip(_c(c))
     return F.when(_only(s, "0123456789+-"), s.try_cast("int"))
 
 
@@ -54,11 +54,14 @@ def sentinel_to_null(c, sentinels) -> Column:
 
     A value is missing when its text equals a code ('-9', '-99', ...) or when
     it is numeric and equal to one (so '-9.0' is missing too, as a numeric
-    feed column would be).  Other values pass through unchanged.
+    feed column would be).  Other values pass through unchanged.  Text without
+    a sign cannot be one of the (negative) codes and is not looked at closer.
     """
     s = strip(_c(c))
     codes = [float(x) for x in sentinels]
     is_code = F.coalesce(s.isin(list(sentinels)) | safe_double(s, stripped=True).isin(codes), s.isin(list(sentinels)), F.lit(False))
+    if all(x < 0 for x in codes) and all("-" in x for x in sentinels):
+        return F.when(_c(c).contains("-"), F.when(~is_code, _c(c))).otherwise(_c(c))
     return F.when(~is_code, _c(c))
 
 

@@ -6,15 +6,15 @@ codegen; no Python runs per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Whitespace as Python's str.split()/str.strip() see it, derived by rule
 # (every code point below U+3001 that str.isspace() accepts).  Stripping uses
-# trim() with this set and splitting a plain character class: both far
-# cheaper per row than a Unicode-aware regex.
+# trim() with this set.
 WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
-_WS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]+"
+_RARE = WHITESPACE.replace(" ", "")
+_CONTROL = [ch for ch in _RARE if ch < "\x80"]
 
 
 def _c(c) -> Column:
@@ -27,9 +27,23 @@ def strip(c) -> Column:
 
 
 def tokens(c) -> Column:
-    """Whitespace tokenise: runs collapse, ends ignored, blank -> empty array."""
-    s = strip(c)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, _WS))
+    """Whitespace tokenise: runs collapse, ends ignored, blank -> empty array.
+
+    Other blanks become spaces only in lines that hold any; then the split is at
+    single spaces and empty pieces go, so that no pattern runs per line.
+    """
+    v = _c(c)
+    plain = F.octet_length(v) == F.length(v)
+    for ch in _CONTROL:
+        plain = plain & ~v.contains(ch)
+    return F.array_remove(F.split(F.when(plain, v).otherwise(F.translate(v, _RARE, " " * len(_RARE))), " "), "")
+
+
+def bind(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` plus ``value``, computed once per row: later expressions and
+    filters read the result.  (A plain new column is written out again by the
+    optimizer in every place that uses it.)"""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def token(parts, i: int) -> Column:

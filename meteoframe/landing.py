@@ -27,7 +27,7 @@ def _dec(c, p=12, s=2):
 
 # ------------------------------------------------------------ S1 hourly dust
 def text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    raw = S.hourly_dust(spark, d, with_arrival=True)
+    raw = S.hourly_dust(spark, d, with_arrival=True).hint("rebalance")
     sep = F.when(F.col("arrival") % 2 == 0, F.lit("\t")).otherwise(F.lit("  "))
     body = raw.select("DATE", F.col("arrival").alias("o"),
                       F.concat(F.col("DATE"), F.lit(" "), F.col("ORG"), sep, F.col("STN"),
@@ -45,7 +45,7 @@ def text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 # -------------------------------------------------------- S2 daily means text
 def avg_text_roundtrip(spark, d):
-    m = S.daily_dust_mean(spark, d)
+    m = S.daily_dust_mean(spark, d).hint("rebalance")
     avg = F.when(F.col("n") == 1, F.lit("x(1)")).otherwise(
         F.concat(_dec("avg"), F.lit("("), F.col("n").cast("string"), F.lit(")")))
     head = F.concat_ws(" ", F.date_format("kst", "yyyy.MM.dd.HH:mm"), F.lit("ORG1"), F.col("STN_ID"), avg)
@@ -62,7 +62,7 @@ def avg_text_roundtrip(spark, d):
 
 # -------------------------------------------------------- S7 observation text
 def obs_roundtrip(spark, d):
-    raw = S.observations_raw(spark, d)
+    raw = S.observations_raw(spark, d).hint("rebalance")
     eid = F.col("event_id")
     ts = F.when(eid % 59 == 0, F.lit("202401329999")).otherwise(F.col("timestamp"))
     wd = F.when(eid % 53 == 0, F.lit("1.5")).otherwise(F.col("wind_dir").cast("string"))
@@ -152,15 +152,16 @@ def station_keep(spark, d):
 # ----------------------------------------------------------- S8 coordinates
 def coords_csv(spark, d):
     """A location list (one row per customer: segment / name, with an empty
-    second level for every seventh) written as CSV with a header and read
+    second level for every seventh, quotes with commas and line feeds in others) written as CSV with a header and read
     back with the required-column check; '' comes back as ''."""
     c = S.table(spark, d, "customer")
+    name = F.when(F.col("c_custkey") % 7 == 1, F.concat(F.lit('say "hi", '), F.col("c_name"))).when(F.col("c_custkey") % 7 == 2, F.concat(F.col("c_name"), F.lit("\nline"))).otherwise(F.col("c_name"))
     locs = c.select(F.col("c_mktsegment").alias("level1"),
-                    F.when(F.col("c_custkey") % 7 == 0, F.lit("")).otherwise(F.col("c_name")).alias("level2"),
+                    F.when(F.col("c_custkey") % 7 == 0, F.lit("")).otherwise(name).alias("level2"),
                     F.col("c_nationkey").cast("int").alias("nx"),
                     (F.col("c_custkey") % 100).cast("int").alias("ny"))
     path = scratch_path(spark, "coords")
-    sinks.write_csv(locs, path)
+    sinks.write_csv(locs, path, bom=True)
     return feeds.read_coordinates(spark, path)
 
 
@@ -209,7 +210,7 @@ def csv_values_roundtrip(spark, d):
     forms = F.array(*[F.lit(x) for x in ("  pad  ", 'say "hi"', "two\nlines", "back\\slash", "a,b", "", '"', "\t")])
     rows = c.select("c_custkey", F.when(F.col("c_custkey") % 9 < 8, F.get(forms, (F.col("c_custkey") % 9).cast("int"))).alias("v"))
     dated, latest = sinks.write_dated_and_latest(rows, scratch_path(spark, "csv-values"), "2024-02")
-    both = [feeds.load_csv(spark, p, rows.schema).withColumn("copy", F.lit(n)) for n, p in (("dated", dated), ("latest", latest))]
+    both = [feeds.load_csv(spark, p, rows.schema, multi_line=True).withColumn("copy", F.lit(n)) for n, p in (("dated", dated), ("latest", latest))]
     return both[0].unionByName(both[1])
 
 

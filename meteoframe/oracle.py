@@ -477,7 +477,7 @@ ORACLE.update({
                           JOIN loc ON i.nx = loc.nx AND i.ny = loc.ny""",
     "station_scan": _STATION_TEXT,
     "station_keep": f"SELECT * FROM ({_STATION_TEXT}) s WHERE STN_ID IN ({_KEEP})",
-    "coords_csv": """SELECT c_mktsegment AS level1, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_name END AS level2,
+    "coords_csv": """SELECT c_mktsegment AS level1, CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN 'say "hi", ' || c_name WHEN 2 THEN c_name || chr(10) || 'line' ELSE c_name END AS level2,
                             CAST(c_nationkey AS INTEGER) AS nx, CAST(c_custkey % 100 AS INTEGER) AS ny FROM customer""",
     "tables_roundtrip": DUST_CURRENT,
     "csv_roundtrip": MONTHLY,

@@ -172,19 +172,26 @@ def retain_rows(spark: SparkSession, table: str, keep: Column, partition_col: st
 
 
 # -------------------------------------------------------------- exports
-def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
+def write_csv(df: DataFrame, path: str, header: bool = True, bom: bool = False) -> str:
     """CSV with header; nulls are written as nothing and empty text as "",
-    quotes inside values are doubled, blanks are kept."""
+    quotes inside values are doubled, blanks are kept.  ``bom``: each file
+    starts with a byte order mark, as spreadsheets want it; it is part of the
+    header's first name, so a header is needed."""
+    if bom:
+        if not header:
+            raise ValueError("a byte order mark needs a header")
+        first = df.columns[0]
+        df = df.withColumnRenamed(first, "\ufeff" + first)
     (df.write.mode("overwrite").option("header", header).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("nullValue", "").option("emptyValue", '""').csv(path))
     return path
 
 
-def write_dated_and_latest(df: DataFrame, base: str, stamp: str) -> tuple[str, str]:
+def write_dated_and_latest(df: DataFrame, base: str, stamp: str, bom: bool = False) -> tuple[str, str]:
     """Same contents to ``base/dated=<stamp>`` and ``base/latest``, computed
     once."""
     checkpoint_dir(df.sparkSession)
     once = df.checkpoint()
-    return (write_csv(once, f"{base.rstrip('/')}/dated={stamp}"),
-            write_csv(once, f"{base.rstrip('/')}/latest"))
+    return (write_csv(once, f"{base.rstrip('/')}/dated={stamp}", bom=bom),
+            write_csv(once, f"{base.rstrip('/')}/latest", bom=bom))

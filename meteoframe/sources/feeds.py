@@ -131,8 +131,9 @@ STATION_SCHEMA = T.StructType(
 
 def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
     """Coordinates CSV with header; level1, level2, nx, ny required; a null
-    level2 becomes ''."""
-    df = spark.read.option("header", True).csv(path)
+    level2 becomes ''.  Reads what ``sinks.write_csv`` writes: quotes inside
+    values doubled, line feeds inside quotes; a byte order mark is skipped."""
+    df = _small_csv(spark).csv(path)
     require_columns(df, ["level1", "level2", "nx", "ny"])
     return df.select(
         "level1", F.coalesce(F.col("level2"), F.lit("")).alias("level2"),
@@ -140,18 +141,24 @@ def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_station_seed(spark: SparkSession, path: str) -> DataFrame:
-    """Station seed CSV (UTF-8, BOM allowed, header)."""
-    return (spark.read.option("header", True).option("encoding", "UTF-8")
-            .schema(STATION_SCHEMA).csv(path))
+    """Station seed CSV (UTF-8, BOM allowed, header; quotes and line feeds as in
+    ``read_coordinates``)."""
+    return _small_csv(spark).schema(STATION_SCHEMA).csv(path)
+
+
+def _small_csv(spark: SparkSession):
+    """Reader of lists: files small enough to be read by a task each."""
+    return (spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"').option("multiLine", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType,
              header: bool = True, quote: str = '"', null_value: str | None = None,
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool = False) -> DataFrame:
     """Bulk CSV load of staged files with an explicit schema (no inference).
     A batch read always loads every named file ("forced" load).  Quotes inside
-    values are doubled; values may hold line feeds unless ``multi_line`` is
-    switched off, which lets large files be split.  Nothing between two
+    values are doubled.  Large files are split; if values hold line feeds,
+    ``multi_line`` must be on, and each file is read by one task.  Nothing between two
     separators is null and "" is empty text, or null is ``null_value``."""
     return (spark.read.option("header", header).option("quote", quote).option("escape", quote)
             .option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", False)

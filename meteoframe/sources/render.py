@@ -2,7 +2,9 @@
 
 Used to land feed files from tables (exports, fixtures, round-trip checks):
 whitespace text in EUC-KR, fixed-width listings, XML and JSON responses.
-Each writer is a plain distributed write - one file per output partition.
+Each writer is a plain distributed write - one file per output partition; rows
+of one long input task are rebalanced (by adaptive execution) before they are
+rendered.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def write_lines(lines: DataFrame, path: str, encoding: str = "UTF-8",
 
 def write_fixed_width(df: DataFrame, path: str, names=K.TYPHOON_COLUMNS,
                       widths=feeds.TYPHOON_WIDTHS, header: str | None = None) -> str:
-    lines = feeds.render_fixed_width(df, names, widths)
+    lines = feeds.render_fixed_width(df.hint("rebalance"), names, widths)
     if header is not None:
         hdr = feeds.inline_rows(df.sparkSession, [(header,)], "value string")
         lines = hdr.unionByName(lines)
@@ -50,7 +52,7 @@ def write_eq_xml(df: DataFrame, path: str, compression: str | None = None) -> st
     """<earthqueakNoti><info>...</info></earthqueakNoti>; null tags omitted.
     ``compression`` (e.g. 'gzip') compresses each file; the reader decodes
     it from the file suffix."""
-    out = df.select(*[F.col("reFer" if t == "ReFer" else t).alias(t) for t in K.EQ_TAGS])
+    out = df.hint("rebalance").select(*[F.col("reFer" if t == "ReFer" else t).alias(t) for t in K.EQ_TAGS])
     w = (out.write.mode("overwrite").format("xml").option("rowTag", "info")
          .option("rootTag", "earthqueakNoti"))
     if compression:

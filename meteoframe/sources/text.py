@@ -20,7 +20,7 @@ from meteoframe.functions import dates as D
 from meteoframe.functions.numeric import (safe_double, safe_int, null_if_missing,
                                           zero_if_missing)
 from meteoframe.operators.joins import join_dimension
-from meteoframe.functions.text import (before, is_comment_or_blank, padded_token,
+from meteoframe.functions.text import (before, bind, is_comment_or_blank, padded_token,
                                        starts_with_digit, token, tokens, is_blank)
 
 
@@ -60,8 +60,7 @@ def parse_dust(lines: DataFrame) -> DataFrame:
     """DATE, ORG, STN, PM10 (strings): comment/blank lines dropped, short rows
     padded with '', extra tokens cut."""
     keep = [c for c in ("file", "pos") if c in lines.columns]
-    parts = tokens("value")
-    body = lines.filter(~is_comment_or_blank(F.col("value"))).withColumn("_p", parts)
+    body = bind(lines.filter(~is_comment_or_blank(F.col("value"))), "_p", tokens("value"))
     return body.select(*[padded_token("_p", i).alias(n)
                          for i, n in enumerate(["DATE", "ORG", "STN", "PM10"])], *keep)
 
@@ -71,13 +70,12 @@ def parse_daily_mean(lines: DataFrame, observation: Observation | None = None) -
     """kst (timestamp), STN_ID, avg: '#'/'-' lines skipped, < 6 tokens dropped,
     avg = number before '(' ('25(12)' -> 25.0); rows that fail are dropped
     (counted in ``observation`` when one is given)."""
-    body = (lines.filter(~is_comment_or_blank(F.col("value"), ("#", "-")))
-            .withColumn("_p", tokens("value"))
+    body = (bind(lines.filter(~is_comment_or_blank(F.col("value"), ("#", "-"))), "_p", tokens("value"))
             .filter(F.size("_p") >= 6))
-    out = body.select(
+    out = bind(body, "_r", F.struct(
         token("_p", 0).alias("kst_text"),
         token("_p", 2).alias("STN_ID"),
-        safe_double(before(token("_p", 3), "(")).alias("avg"))
+        safe_double(before(token("_p", 3), "("), stripped=True).alias("avg"))).select("_r.*")
     out = _count_rejects(out, F.col("avg").isNotNull(), observation)
     return (out.filter(F.col("avg").isNotNull())
             .withColumn("kst", D.parse_ts("kst_text", D.STATION_STAMP))
@@ -93,10 +91,9 @@ def parse_stations(lines: DataFrame, keep_ids=None) -> DataFrame:
     first_rule = (lines.filter(is_rule).groupBy("file")
                   .agg(F.min("pos").alias("_rule_pos")))
     # one row per file, computed: AQE sizes it at runtime
-    body = (join_dimension(lines, first_rule, "file")
-            .filter((F.col("pos") > F.col("_rule_pos")) & ~is_rule
-                    & ~is_comment_or_blank(F.col("value")))
-            .withColumn("_p", tokens("value")))
+    body = bind(join_dimension(lines, first_rule, "file")
+                .filter((F.col("pos") > F.col("_rule_pos")) & ~is_rule
+                        & ~is_comment_or_blank(F.col("value"))), "_p", tokens("value"))
     out = body.select(*[padded_token("_p", i).alias(c) for i, c in enumerate(K.STATION_COLUMNS)])
     if keep_ids is not None:
         out = out.filter(F.col("STN_ID").isin(list(keep_ids)))
@@ -127,15 +124,14 @@ def parse_observations(lines: DataFrame, observation: Observation | None = None)
     """
     keep = [c for c in ("file", "pos") if c in lines.columns]
     t = K.OBS_TOKENS
-    body = (lines.filter(starts_with_digit("value") & ~is_blank(F.col("value")))
-            .withColumn("_p", tokens("value")))
-    raw = body.select(
+    body = bind(lines.filter(starts_with_digit("value") & ~is_blank(F.col("value"))), "_p", tokens("value"))
+    raw = bind(body, "_r", F.struct(
         token("_p", t["timestamp"]).alias("timestamp"),
-        safe_int(token("_p", t["wind_dir"])).alias("wind_dir"),
-        *[safe_double(token("_p", t[c])).alias(c)
-          for c in ("wind_speed", "temp", "humidity", "precipitation", "ground_temp")],
-        *keep)
-    ts = D.parse_ts("timestamp", D.STAMP_MINUTE)
+        D.parse_ts(token("_p", t["timestamp"]), D.STAMP_MINUTE).alias("ts"),
+        safe_int(token("_p", t["wind_dir"]), stripped=True).alias("wind_dir"),
+        *[safe_double(token("_p", t[c]), stripped=True).alias(c)
+          for c in ("wind_speed", "temp", "humidity", "precipitation", "ground_temp")])).select("_r.*", *keep)
+    ts = F.col("ts")
     valid = ts.isNotNull()
     for c in ("wind_dir", "wind_speed", "temp", "humidity", "precipitation", "ground_temp"):
         valid = valid & F.col(c).isNotNull()

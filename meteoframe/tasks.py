@@ -151,10 +151,10 @@ def load_typhoon(spark: SparkSession, landing: str, table: str,
 
 # ----------------------------------------------------------------- forecast
 def load_forecast(spark: SparkSession, json_landing: str, coords_csv: str, table: str,
-                  base_date: str, export_base: str | None = None) -> DataFrame:
-    """Forecast responses -> located, pivoted, labelled rows -> retention
+                  base_date: str, export_base: str | None = None, whole_file: bool = False) -> DataFrame:
+    """Forecast responses (one per line, or one per file with ``whole_file``) -> located, pivoted, labelled rows -> retention
     (FCST_DATE < base_date deleted) -> MERGE; optional CSV export to a dated
-    folder and a 'latest' copy.
+    folder and a 'latest' copy, with a byte order mark for spreadsheets.
 
     The table is partitioned by BASE_DATE (part of the merge key): the MERGE
     rewrites only the run's base dates, and retention reads only partitions
@@ -162,7 +162,7 @@ def load_forecast(spark: SparkSession, json_landing: str, coords_csv: str, table
     date, so no other partition can hold an expired row.
     """
     configure(spark)
-    items = feeds.read_forecast_json(spark, json_landing)
+    items = feeds.read_forecast_json(spark, json_landing, whole_file)
     coords = feeds.read_coordinates(spark, coords_csv)
     wide = forecast.process(forecast.wide(forecast.locate(items, coords)), base_date, others=True).checkpoint()
     rows = wide.select(*forecast.WIDE_COLUMNS)
@@ -173,13 +173,13 @@ def load_forecast(spark: SparkSession, json_landing: str, coords_csv: str, table
     sinks.upsert_table(spark, table, rows, forecast.KEYS, order=[("BASE_TIME", False)],
                        partition_col="BASE_DATE")
     if export_base:
-        sinks.write_dated_and_latest(wide, export_base, base_date)
+        sinks.write_dated_and_latest(wide, export_base, base_date, bom=True)
     return rows
 
 
 # -------------------------------------------------------------------- score
 def weekly_scores(spark: SparkSession, obs_landing: str, region_of_file, holidays: DataFrame,
-                  table: str, run_date: str, covered: tuple[str, str] | None = None,
+                  table: str, run_date: str, covered: tuple[str, str],
                   regions: DataFrame | None = None) -> DataFrame:
     """Observation files of all regions -> the seven days before ``run_date``
     ('yyyy-MM-dd') -> weekend/holiday filter -> summary and score -> MERGE

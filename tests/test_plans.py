@@ -77,3 +77,22 @@ def test_no_registered_query_has_a_red_flag(spark):
         if flags:
             flagged[name] = flags
     assert flagged == {}
+
+
+def test_each_line_is_split_once(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from meteoframe.sources import text
+    path = f"{tmp_dir}/lines_{uuid.uuid4().hex[:6]}"
+    spark.range(10).select(F.lit("1 2 3 4 5 6").alias("value")).write.text(path)
+    lines = text.read_lines(spark, path)
+    for parser in (text.parse_dust, text.parse_daily_mean, text.parse_observations, text.parse_stations):
+        df = parser(lines)
+        physical = df._jdf.queryExecution().executedPlan().toString()
+        assert physical.count("split(") == 1, parser.__name__
+        _clean(_plan(df))
+
+
+def test_values_without_a_sign_are_not_parsed_for_codes(spark, tmp_dir):
+    from meteoframe.functions.numeric import sentinel_to_null
+    rows = spark.createDataFrame([(v,) for v in (" -9", "-9.0", "-99", "9", "", None, "1-9", "-8", "NE")], "v string")
+    assert [r[0] for r in rows.select(sentinel_to_null("v", ["-9", "-99"])).collect()] == [None, None, None, "9", "", None, "1-9", "-8", "NE"]

@@ -181,10 +181,10 @@ def test_score_table_partitioned_merge(spark, tmp_dir):
                        tmp_dir + "/obs", by="region_name", partitions=4)
     region_of = lambda f: F.regexp_extract(F.url_decode(f), "region_name=([^/]+)/", 1)
     t = f"{db}.weather_score"
-    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t, "2024-01-14")
+    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t, "2024-01-14", K.HOLIDAY_RANGE)
     cols = registry.score.SCORE_COLUMNS
     once = _rows(spark.table(t).select(*cols))
-    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t, "2024-01-14")  # rerun: same table
+    tasks.weekly_scores(spark, tmp_dir + "/obs", region_of, S.holidays(spark), t, "2024-01-14", K.HOLIDAY_RANGE)  # rerun: same table
     assert _rows(spark.table(t).select(*cols)) == once
     parts = [r.partition for r in spark.sql(f"SHOW PARTITIONS {t}").collect()]
     assert len(parts) == len({r[2] for r in once}) and all(p.startswith("date=") for p in parts)
