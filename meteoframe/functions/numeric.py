@@ -33,20 +33,24 @@ def _plain_decimal(s: Column) -> Column:
 
 def safe_double(c, stripped: bool = False) -> Column:
     """Numeric text -> double; anything else (incl. '', null, 'nan') -> null."""
-    s = _c(c) if stripped else strip(_c(c))
-    return F.when(_plain_decimal(s), s.try_cast("double"))
+    return _plain_or_stripped(_c(c), stripped, _plain_decimal, "double")
+
+
+def _plain_or_stripped(v: Column, stripped: bool, plain, kind: str) -> Column:
+    """Cast of plain number text; only other text is stripped and tried again."""
+    direct = F.when(plain(v), v.try_cast(kind))
+    s = strip(v)
+    return direct if stripped else direct.when(plain(s), s.try_cast(kind))
 
 
 def safe_int(c, stripped: bool = False) -> Column:
     """Integer text -> int; '3.0', 'x', '' -> null (Python int() rules)."""
-    s = _c(c) if stripped else strip(_c(c))
-    return F.when(_only(s, "0123456789+-"), s.try_cast("int"))
+    return _plain_or_stripped(_c(c), stripped, lambda s: _only(s, "0123456789+-"), "int")
 
 
 def safe_number(c, precision: int = 38, scale: int = 0) -> Column:
     """TRY_CAST(text AS NUMBER(p,s)): rounds half up, bad text -> null."""
-    s = strip(_c(c))
-    return F.when(_plain_decimal(s), s.try_cast(f"decimal({precision},{scale})"))
+    return _plain_or_stripped(_c(c), False, _plain_decimal, f"decimal({precision},{scale})")
 
 
 def sentinel_to_null(c, sentinels) -> Column:

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from meteoframe import constants as K
 from meteoframe import sinks
 from meteoframe.functions import dates as D
-from meteoframe.plans import dust, forecast
+from meteoframe.plans import dust, forecast, typhoon
+from meteoframe.registry import _typhoon_target_source
 from meteoframe.session import scratch_path
 from meteoframe.sources import feeds, render, standins as S, text
 
@@ -268,7 +269,7 @@ def quake_table_day_replace(spark, d):
     undated = again.withColumn("eqDate", F.lit(None).cast("string")).withColumn("eq_day", F.lit(None).cast("string"))
     start, end = D.day_range_bounds(F.lit("1998-08-02"))
     sinks.replace_rows(spark, name, again.unionByName(undated), D.parse_ts("eqDate", D.STAMP_SECOND).between(start, end), "eq_day", ["19980802"])
-    out = spark.read.schema(raw.schema).parquet(base + "/table")
+    out = spark.table(name).checkpoint()
     spark.sql(f"DROP DATABASE {db} CASCADE")
     return out
 
@@ -286,12 +287,29 @@ def forecast_table_retention(spark, d):
     sinks.append(rows.limit(10), name)
     rows.write.insertInto(name, overwrite=True)
     sinks.retain_rows(spark, name, ~(F.col("FCST_DATE") < "20240117"), "BASE", F.col("BASE") <= F.lit("2024-01-17").cast("date"))
-    out = spark.read.schema(rows.schema).parquet(base + "/table")
+    out = spark.table(name).checkpoint()
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
+def typhoon_table_upsert(spark, d):
+    """K8 on a table partitioned by the month of the merge key's time: the first
+    half of the fetches loaded, the second merged into it."""
+    base = scratch_path(spark, "typhoon-table")
+    db = "ty_" + base.rsplit("-", 1)[-1]
+    sinks.ensure_namespace(spark, db, base + "/db")
+    target, source = (typhoon.with_month(x) for x in _typhoon_target_source(spark, d))
+    name = f"{db}.raw"
+    sinks.create_if_absent(spark, name, typhoon.table_ddl(target), base + "/table", [typhoon.MONTH])
+    sinks.append(target, name)
+    sinks.upsert_table(spark, name, source, typhoon.KEYS, typhoon.latest_first(), typhoon.MONTH, ["TYP_TM"])
+    out = spark.table(name).drop(typhoon.MONTH).checkpoint()
     spark.sql(f"DROP DATABASE {db} CASCADE")
     return out
 
 
 ROUNDTRIP_QUERIES = {
+    "typhoon_table_upsert": typhoon_table_upsert,
     "csv_values_roundtrip": csv_values_roundtrip,
     "text_control_chars": text_control_chars,
     "xml_edge_tags": xml_edge_tags,

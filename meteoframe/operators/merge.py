@@ -23,6 +23,7 @@ one task:
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -61,22 +62,27 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
     # read by both halves below: computed once (a reliable checkpoint)
     checkpoint_dir(source.sparkSession)
     src = dedupe_source(source.select(*cols), keys, order).checkpoint()
+    return update_matched(target, src, keys).unionByName(insert_unmatched(target, src, keys))
+
+
+def update_matched(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows, with the source's values where their key is in it.  ``src``
+    has one row per key."""
+    cols = list(target.columns)
     s = src.select(*[F.col(c).alias(f"_src_{c}") for c in cols], F.lit(True).alias("_src_hit"))
-    cond = None
-    for k in keys:
-        c = F.col(k) == F.col(f"_src_{k}")
-        cond = c if cond is None else cond & c
     hit = F.col("_src_hit").isNotNull()
-    updated = (target.join(s, on=cond, how="left_outer")
-               .select(*[F.when(hit, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c) for c in cols]))
-    target_keys = target.select(*keys).filter(_all_not_null(keys)).distinct()
-    tk = target_keys.select(*[F.col(k).alias(f"_tgt_{k}") for k in keys])
-    cond2 = None
-    for k in keys:
-        c = F.col(k) == F.col(f"_tgt_{k}")
-        cond2 = c if cond2 is None else cond2 & c
-    inserted = src.join(tk, on=cond2, how="left_anti")
-    return updated.unionByName(inserted)
+    return (target.join(s, on=_equal(keys, "_src_"), how="left_outer")
+            .select(*[F.when(hit, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c) for c in cols]))
+
+
+def insert_unmatched(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows whose key is not in the target."""
+    held = target.select(*keys).filter(_all_not_null(keys)).distinct()
+    return src.join(held.select(*[F.col(k).alias(f"_tgt_{k}") for k in keys]), on=_equal(keys, "_tgt_"), how="left_anti")
+
+
+def _equal(keys: Sequence[str], prefix: str) -> Column:
+    return reduce(Column.__and__, [F.col(k) == F.col(f"{prefix}{k}") for k in keys])
 
 
 def _all_not_null(keys: Sequence[str]) -> Column:

@@ -419,6 +419,7 @@ ORACLE = {
     "quake_day_replace": QUAKE_DAY_REPLACE,
     "typhoon_clean": TYPHOON_CLEAN,
     "typhoon_upsert": TYPHOON_UPSERT,
+    "typhoon_table_upsert": TYPHOON_UPSERT,
     "bad_batch_drop": BAD_BATCH_DROP,
     "forecast_wide": FORECAST_WIDE,
     "forecast_labels": FORECAST_LABELS,

@@ -12,7 +12,7 @@ from meteoframe.functions.weather import (discomfort_alert, discomfort_index, pt
                                           sky_label, strong_wind_alert)
 from meteoframe.operators.joins import join_dimension
 from meteoframe.operators.merge import retain, upsert_frame
-from meteoframe.operators.reshape import pivot_checked
+from meteoframe.operators.reshape import pivot_checked, pivot_open
 
 KEYS = ["BASE_DATE", "FCST_DATE", "FCST_TIME", "LOCATION"]
 WIDE_COLUMNS = ["BASE_DATE", "BASE_TIME", "FCST_DATE", "FCST_TIME", "NX", "NY", "LOCATION",
@@ -36,7 +36,7 @@ def wide(long: DataFrame, categories=(*K.FORECAST_CATEGORIES, *K.FORECAST_OTHERS
     """Pivot categories into the fixed column list; numeric ones coerced.
 
     A repeated (index, category) or a category outside ``categories`` fails
-    the job from inside the pivot aggregate.
+    the job from inside the pivot.
     """
     w = pivot_checked(long, K.FORECAST_INDEX, "category", "fcstValue", categories)
     for c in K.FORECAST_NUMERIC:
@@ -44,6 +44,13 @@ def wide(long: DataFrame, categories=(*K.FORECAST_CATEGORIES, *K.FORECAST_OTHERS
     return w
 
 
+def wide_open(long: DataFrame) -> DataFrame:
+    """As ``wide`` with every category that occurs as a column (in name order),
+    known or not; known numeric ones are numbers."""
+    w = pivot_open(long, K.FORECAST_INDEX, "category", "fcstValue")
+    return w.withColumns({c: safe_double(c) for c in K.FORECAST_NUMERIC if c in w.columns})
+
+
 def process(w: DataFrame, base_date: str, others: bool = False) -> DataFrame:
     """Labels, alerts and discomfort index; renamed to the table's columns;
     forecasts before ``base_date`` ('yyyyMMdd' text order) dropped.  With

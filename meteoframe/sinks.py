@@ -1,23 +1,29 @@
 """Table writes: create-if-absent, append, overwrite, keyed upsert, day
 replacement, retention, CSV exports, dated + latest copies, namespaces.
 
-Spark cannot overwrite a table while reading it in the same job, so every
-read-modify-write first cuts the lineage with ``DataFrame.checkpoint()``
-(reliable: files in the shared ``spark.checkpoint.dir``, which survive a lost
-executor) and then overwrites.  Partitioned tables are rewritten only for the
-partitions a change touches (dynamic partition overwrite).
+A change is written to a new *version folder* under the table's home and then
+published by pointing the table, or each changed partition, at it (``ALTER
+TABLE ... SET LOCATION``).  Until then readers see the old rows, a job that
+dies leaves them as they were, and no second copy of the rows is needed to cut
+the plan off from the files it replaces.  Publication is atomic per partition,
+or for the whole table where it has none.  ``remove_old_versions`` deletes what
+is no longer, or was never, published.
+
+Every write to a partitioned table is rebalanced by the partition column, so a
+partition gets few files and a hot one is split over tasks.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteoframe.operators.merge import replace_range, retain, upsert_frame
-from meteoframe.session import checkpoint_dir
+from meteoframe.operators.merge import dedupe_source, insert_unmatched, retain, update_matched
+from meteoframe.session import checkpoint_dir, scratch_path
 
 
 # ------------------------------------------------------------ namespaces
@@ -39,13 +45,32 @@ def create_if_absent(spark: SparkSession, table: str, ddl: str, location: str |
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet{part}{loc}")
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def clustered(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Rows dealt by partition column; adaptive execution joins small shares and
+    splits large ones."""
+    return df.hint("rebalance", *partition_cols) if partition_cols else df
+
+
 def append(df: DataFrame, table: str) -> None:
     """INSERT rows (by name).  Re-running appends again: use upsert for idempotence."""
-    df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+    spark = df.sparkSession
+    clustered(df.select(*spark.table(table).columns), partition_columns(spark, table)).write.insertInto(table)
 
 
 def overwrite(df: DataFrame, table: str, path: str | None = None) -> None:
-    """CREATE OR REPLACE TABLE ... AS: full rebuild."""
+    """CREATE OR REPLACE TABLE ... AS: full rebuild.  A table of the same columns
+    is rebuilt in a new version and published at once; another is replaced."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table) and not partition_columns(spark, table) and \
+            [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in df.schema]:
+        version = new_version(spark, table)
+        write_version(df, table, version)
+        publish(spark, table, version)
+        return
     w = df.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
@@ -76,77 +101,135 @@ def in_partitions(col: str, values: Sequence) -> Column:
     return one | F.col(col).isNull() if len(known) < len(values) else one
 
 
-def _rewrite(spark: SparkSession, table: str, new_rows: DataFrame, dynamic: bool) -> None:
-    checkpoint_dir(spark)
-    stable = new_rows.checkpoint(eager=True)  # lineage cut: no read of `table` left
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    try:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-        stable.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+# -------------------------------------------------------------- versions
+VERSIONS = "_versions"
+
+
+def location(spark: SparkSession, table: str) -> str:
+    """The folder the table points at now."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[-1].data_type.rstrip("/")
+
+
+def home(spark: SparkSession, table: str) -> str:
+    """The folder that holds all versions of the table."""
+    return location(spark, table).split(f"/{VERSIONS}/")[0]
+
+
+def new_version(spark: SparkSession, table: str) -> str:
+    return f"{home(spark, table)}/{VERSIONS}/{uuid.uuid4().hex}"
+
+
+def write_version(rows: DataFrame, table: str, version: str) -> None:
+    """Add rows, cast to the table's types, to an unpublished version."""
+    spark = rows.sparkSession
+    parts = partition_columns(spark, table)
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spark.table(table).schema.fields])
+    w = clustered(typed, parts).write.mode("append")
+    (w.partitionBy(*parts) if parts else w).parquet(version)
 
 
+def read_version(spark: SparkSession, table: str, version: str) -> DataFrame:
+    return spark.read.schema(spark.table(table).schema).parquet(version)
+
+
+def _sql_value(value) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def publish(spark: SparkSession, table: str, version: str, partition_col: str | None = None, scope: Sequence = ()) -> None:
+    """Point the table at a version; or, with ``partition_col``, each partition
+    that the version holds, while the other partitions of ``scope`` go."""
+    if partition_col is None:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+    else:
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
+        held = read_version(spark, table, version).select(F.col(partition_col).alias("value"), F.url_decode(folder).alias("folder")).distinct().collect()
+        for r in held:
+            spec = f"PARTITION (`{partition_col}` = {_sql_value(r.value)})"
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{r.folder}'")
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{r.folder}'")
+        for value in set(scope) - {r.value for r in held}:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{partition_col}` = {_sql_value(value)})")
+    spark.catalog.refreshTable(table)
+
+
+def remove_old_versions(spark: SparkSession, table: str, keep_hours: float = 24) -> int:
+    """Delete files under the table's home that it does not point at and that are
+    older than ``keep_hours`` (long enough for running readers and unpublished
+    writes).  Returns how many."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(home(spark, table))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    live = {jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toUri().getPath() for f in spark.table(table).inputFiles()}
+    before, gone, found = (time.time() - 3600 * keep_hours) * 1000, 0, files.listFiles(root, True)
+    while found.hasNext():
+        f = found.next()
+        if f.getPath().toUri().getPath() not in live and f.getModificationTime() <= before:
+            gone += files.delete(f.getPath(), False)
+    return gone
+
+
+# --------------------------------------------------------------- changes
 def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
-                 order: Sequence[tuple] = (), partition_col: str | None = None) -> None:
-    """MERGE source INTO table ON keys (see ``operators.merge.upsert_frame``).
+                 order: Sequence[tuple] = (), partition_col: str | None = None, derived_from: Sequence[str] = ()) -> None:
+    """MERGE source INTO table ON keys (rows as in ``operators.merge.upsert_frame``).
+
+    With ``partition_col`` only the partitions that the source names are read
+    and rewritten.  It must be one of the keys, or a column that follows from
+    keys (``derived_from``, filled in the source by the caller): equal keys
+    then lie in the same partition.
 
-    With ``partition_col`` (which must be one of the keys) only the
-    partitions present in the source are read and rewritten.
+    The source is stored once, the target read once: target rows, changed or
+    not, go to a new version; the source rows whose keys that version does not
+    hold follow; then it is published.
     """
+    if partition_col is not None and partition_col not in keys and not (derived_from and set(derived_from) <= set(keys)):
+        raise ValueError("partition column must be one of the merge keys or follow from them")
     target = spark.table(table)
+    cols = target.columns
+    staged = scratch_path(spark, "merge-source")
+    dedupe_source(source.select(*cols), keys, order).write.parquet(staged)
+    source = spark.read.schema(target.schema).parquet(staged)
+    scope: list = []
     if partition_col is not None:
-        if partition_col not in keys:
-            raise ValueError("partition column must be part of the merge key")
-        checkpoint_dir(spark)
-        source = source.checkpoint()  # read for its partitions and for the merge
-        target = target.filter(in_partitions(partition_col, partition_values(source, partition_col)))
-    merged = upsert_frame(target, source, keys, order)
-    _rewrite(spark, table, merged, dynamic=partition_col is not None)
+        scope = partition_values(source, partition_col)
+        target = target.filter(in_partitions(partition_col, scope))
+    version = new_version(spark, table)
+    write_version(update_matched(target, source, keys), table, version)
+    write_version(insert_unmatched(read_version(spark, table, version), source, keys), table, version)
+    publish(spark, table, version, partition_col, scope)
 
 
 def replace_rows(spark: SparkSession, table: str, new_rows: DataFrame, in_range: Column,
                  partition_col: str | None = None, in_scope: Sequence = ()) -> None:
-    """DELETE WHERE in_range; then INSERT new_rows - as one rewrite.
+    """DELETE WHERE in_range; then INSERT new_rows - as one published version.
 
     For a table partitioned by ``partition_col``, ``in_scope`` lists the
     partitions that can hold rows of the range: only those, and the ones that
-    ``new_rows`` touch, are read and rewritten.
+    ``new_rows`` touch, are read and rewritten.  The new rows are written
+    first, so they are computed once; the kept rows follow them.
     """
-    if partition_col is None:
-        _rewrite(spark, table, replace_range(spark.table(table), new_rows, in_range), dynamic=False)
-        return
-    checkpoint_dir(spark)
-    new_rows = new_rows.checkpoint()
-    touched = {*in_scope, *partition_values(new_rows, partition_col)}
-    target = spark.table(table).filter(in_partitions(partition_col, list(touched)))
-    held = set(partition_values(target, partition_col))
-    merged = replace_range(target, new_rows, in_range).checkpoint()
-    for value in held - set(partition_values(merged, partition_col)):
-        replace_partition(spark, table, merged.limit(0), partition_col, value)
-    _rewrite(spark, table, merged, dynamic=True)
+    version = new_version(spark, table)
+    write_version(new_rows, table, version)
+    target, touched = spark.table(table), list(in_scope)
+    if partition_col is not None:
+        touched = list({*in_scope, *partition_values(read_version(spark, table, version), partition_col)})
+        target = target.filter(in_partitions(partition_col, touched))
+    write_version(target.filter(~F.coalesce(in_range, F.lit(False))), table, version)
+    publish(spark, table, version, partition_col, touched)
 
 
 def replace_partition(spark: SparkSession, table: str, new_rows: DataFrame,
                       partition_col: str, value) -> None:
-    """Replace one partition (e.g. one event day) with ``new_rows``.
-
-    A static ``INSERT OVERWRITE ... PARTITION (col = value)`` clears exactly
-    that partition even when the load is empty (a dynamic overwrite would
-    leave the old partition in place); other partitions are not touched and
-    rerunning gives the same table.  The value may be of any type, or null.
-    """
-    frame = spark.table(table)
-    kind = frame.schema[partition_col].dataType
-    lit = "NULL" if value is None else "'" + str(value).replace("'", "''") + "'"  # cast to the column's type
-    cols = [c for c in frame.columns if c != partition_col]
-    view = "_replace_" + uuid.uuid4().hex[:12]
-    new_rows.filter(F.col(partition_col).eqNullSafe(F.lit(value).cast(kind))).select(*cols).createOrReplaceTempView(view)
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col} = {lit}) "
-                  f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
+    """Replace one partition (e.g. one event day) with the rows of ``new_rows``
+    that belong to it; without any the partition goes.  Other partitions are
+    not touched and rerunning gives the same table.  The value may be of any
+    type, or null."""
+    kind = spark.table(table).schema[partition_col].dataType
+    version = new_version(spark, table)
+    write_version(new_rows.filter(F.col(partition_col).cast(kind).eqNullSafe(F.lit(value).cast(kind))), table, version)
+    publish(spark, table, version, partition_col, [value])
 
 
 def retain_rows(spark: SparkSession, table: str, keep: Column, partition_col: str | None = None,
@@ -155,20 +238,20 @@ def retain_rows(spark: SparkSession, table: str, keep: Column, partition_col: st
 
     For a table partitioned by ``partition_col``, ``in_scope`` (a predicate
     on that column) names the only partitions that can hold rows to delete:
-    just those are read and rewritten (dynamic overwrite), and any that end
-    up empty are cleared by a static partition overwrite.
+    just those are read and rewritten, and any that end up empty go.
     """
+    target, scope = spark.table(table), []
     if partition_col is None or in_scope is None:
-        _rewrite(spark, table, retain(spark.table(table), keep), dynamic=False)
-        return
-    affected = spark.table(table).filter(in_scope)
-    checkpoint_dir(spark)
-    kept = retain(affected, keep).checkpoint()
-    left = set(partition_values(kept, partition_col))
-    for value in set(partition_values(affected, partition_col)) - left:
-        replace_partition(spark, table, kept.limit(0), partition_col, value)
-    if left:
-        _rewrite(spark, table, kept, dynamic=True)
+        partition_col = None if not partition_columns(spark, table) else partition_columns(spark, table)[0]
+    else:
+        target = target.filter(in_scope)
+    if partition_col is not None:
+        scope = partition_values(target, partition_col)
+        if not scope:
+            return
+    version = new_version(spark, table)
+    write_version(retain(target, keep), table, version)
+    publish(spark, table, version, partition_col, scope)
 
 
 # -------------------------------------------------------------- exports

@@ -65,7 +65,7 @@ def load_monthly_dust_avg(spark: SparkSession, landing: str, table: str,
         return 0
     monthly = dust.monthly_mean(daily).checkpoint()
     sinks.create_if_absent(spark, table, MONTHLY_DDL)
-    monthly.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    sinks.replace_rows(spark, table, monthly, F.lit(True))
     return monthly.count()
 
 
@@ -133,20 +133,17 @@ def build_eq_region_tables(spark: SparkSession, raw_table: str, domestic_out: st
 
 
 # ------------------------------------------------------------------ typhoon
-def load_typhoon(spark: SparkSession, landing: str, table: str,
-                 partition_col: str | None = None) -> None:
+def load_typhoon(spark: SparkSession, landing: str, table: str) -> None:
     """Fixed-width listings (one file per fetch stamp) -> cleaned rows ->
     MERGE into ``table`` on (TYP_TM, TYP).  A fetch whose stamp does not
-    parse is dropped whole.  For a table partitioned by a key column, pass
-    it as ``partition_col``: only the partitions in the fetch are rewritten."""
+    parse is dropped whole.  The table is partitioned by the month of TYP_TM:
+    only the months of the fetch are read and rewritten."""
     configure(spark)
     lines = text.scan_lines(spark, landing)
     raw = feeds.parse_fixed_width(lines, K.TYPHOON_COLUMNS, feeds.TYPHOON_WIDTHS)
-    rows = typhoon.clean(raw.withColumnRenamed("file", "batch"))
-    if not spark.catalog.tableExists(table):
-        sinks.overwrite(rows.limit(0), table)
-    sinks.upsert_table(spark, table, rows, typhoon.KEYS, order=typhoon.latest_first(),
-                       partition_col=partition_col)
+    rows = typhoon.with_month(typhoon.clean(raw.withColumnRenamed("file", "batch")))
+    sinks.create_if_absent(spark, table, typhoon.table_ddl(rows), partitioned_by=[typhoon.MONTH])
+    sinks.upsert_table(spark, table, rows, typhoon.KEYS, typhoon.latest_first(), typhoon.MONTH, ["TYP_TM"])
 
 
 # ----------------------------------------------------------------- forecast

@@ -109,3 +109,82 @@ def test_partition_limited_retention(spark, tmp_dir):
     assert sorted(r.partition for r in spark.sql(f"SHOW PARTITIONS {t}").collect() if
                   spark.table(t).filter(F.col("BASE_DATE") == r.partition.split("=")[1]).count()) == [
         "BASE_DATE=20240108", "BASE_DATE=20240115"]
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_a_job_killed_before_publication_leaves_the_old_rows(spark, tmp_dir, monkeypatch):
+    db = _db(spark, tmp_dir)
+    t, u = f"{db}.eq", f"{db}.flat"
+    sinks.create_if_absent(spark, t, "id string, v int, day string", tmp_dir + "/eq", ["day"])
+    sinks.create_if_absent(spark, u, "id string, v int", tmp_dir + "/flat")
+    sinks.append(spark.createDataFrame([("a", 1, "d1"), ("b", 2, "d1"), ("c", 3, "d2"), ("n", 4, None)], "id string, v int, day string"), t)
+    sinks.append(spark.createDataFrame([("a", 1)], "id string, v int"), u)
+    before, flat = _rows(spark.table(t)), _rows(spark.table(u))
+    source = spark.createDataFrame([("a", 10, "d1"), ("z", 9, None), ("q", 7, "d3")], "id string, v int, day string")
+    real = sinks.publish
+
+    def killed(*a, **k):
+        raise RuntimeError("killed")
+    monkeypatch.setattr(sinks, "publish", killed)
+    for job in (lambda: sinks.upsert_table(spark, t, source, ["id", "day"], partition_col="day"),
+                lambda: sinks.replace_rows(spark, t, source, F.col("day") == "d1", "day", ["d1"]),
+                lambda: sinks.retain_rows(spark, t, F.col("v") > 2, "day", F.col("day") < "d2"),
+                lambda: sinks.overwrite(spark.createDataFrame([("x", 5)], "id string, v int"), u)):
+        try:
+            job()
+            raise AssertionError("not killed")
+        except RuntimeError:
+            pass
+        assert _rows(spark.table(t)) == before and _rows(spark.table(u)) == flat
+    monkeypatch.setattr(sinks, "publish", real)
+    sinks.upsert_table(spark, t, source, ["id", "day"], partition_col="day")
+    assert _rows(spark.table(t)) == sorted([("a", 10, "d1"), ("b", 2, "d1"), ("c", 3, "d2"), ("n", 4, None), ("z", 9, None), ("q", 7, "d3")], key=str)
+    sinks.replace_rows(spark, t, source.limit(0), F.col("day") == "d1", "day", ["d1"])
+    sinks.overwrite(spark.createDataFrame([("x", 5)], "id string, v int"), u)
+    after = _rows(spark.table(t))
+    assert after == sorted([("c", 3, "d2"), ("n", 4, None), ("z", 9, None), ("q", 7, "d3")], key=str) and _rows(spark.table(u)) == [("x", 5)]
+    files = lambda: sum(len([n for n in names if n.endswith(".parquet")]) for _, _, names in os.walk(tmp_dir))
+    held = files()
+    assert sinks.remove_old_versions(spark, t) == 0                     # all young
+    assert sinks.remove_old_versions(spark, t, 0) + sinks.remove_old_versions(spark, u, 0) > 0 and files() < held
+    assert _rows(spark.table(t)) == after and _rows(spark.table(u)) == [("x", 5)]
+
+
+def test_partitions_get_few_files_and_hot_ones_are_split(spark, tmp_dir):
+    db = _db(spark, tmp_dir)
+    t = f"{db}.days"
+    sinks.create_if_absent(spark, t, "id bigint, day string", tmp_dir + "/days", ["day"])
+    rows = spark.range(0, 20000, 1, 16).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("day"))
+    sinks.append(rows, t)
+    per = {}
+    for f in spark.table(t).inputFiles():
+        per[f.split("/")[-2]] = per.get(f.split("/")[-2], 0) + 1
+    assert len(per) == 51 and max(per.values()) == 1 and spark.table(t).count() == 20000
+    plan = sinks.clustered(rows, ["day"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions [day" in plan
+
+
+def test_merge_by_a_derived_partition_reads_the_target_once(spark, tmp_dir):
+    import pytest
+    db = _db(spark, tmp_dir)
+    t = f"{db}.ty"
+    sinks.create_if_absent(spark, t, "ts string, v int, month string", tmp_dir + "/ty", ["month"])
+    sinks.append(spark.createDataFrame([("20240101", 1, "202401"), ("20240201", 2, "202402"), (None, 3, None)], "ts string, v int, month string"), t)
+    source = spark.createDataFrame([("20240101", 10, "202401"), ("20240105", 11, "202401"), (None, 12, None)], "ts string, v int, month string")
+    with pytest.raises(ValueError):
+        sinks.upsert_table(spark, t, source, ["ts"], partition_col="month")
+    with pytest.raises(ValueError):
+        sinks.upsert_table(spark, t, source, ["ts"], partition_col="month", derived_from=["v"])
+    from meteoframe.operators.merge import update_matched
+    target = spark.table(t).filter(sinks.in_partitions("month", sinks.partition_values(source, "month")))
+    from tests.test_plans import _plan
+    plan = _plan(update_matched(target, source, ["ts"]))
+    assert plan.count(") Scan parquet") == 1
+    assert "month" in next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    sinks.upsert_table(spark, t, source, ["ts"], partition_col="month", derived_from=["ts"])
+    assert sorted(r.v for r in spark.table(t).collect()) == [2, 3, 10, 11, 12]
+    untouched = [f for f in spark.table(t).inputFiles() if "month=202402" in f]
+    assert untouched and all(sinks.VERSIONS not in f for f in untouched)
