@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meteoframe import constants as K
-from meteoframe import sinks
+from meteoframe import sinks, tasks
 from meteoframe.functions import dates as D
-from meteoframe.plans import dust, forecast, typhoon
+from meteoframe.plans import dust, forecast, quake, typhoon
 from meteoframe.registry import _typhoon_target_source
 from meteoframe.session import scratch_path
 from meteoframe.sources import feeds, render, standins as S, text
@@ -256,20 +256,20 @@ def station_seed(spark, d):
 
 
 def quake_table_day_replace(spark, d):
-    """K6 on a table partitioned by event day: one day's reports replaced by
-    reloaded ones, a report without time among them."""
+    """K6 on a table partitioned by event month (a day has few reports): one
+    day's reports replaced by reloaded ones, a report without time among them."""
     base = scratch_path(spark, "eq-table")
     db = "eq_" + base.rsplit("-", 1)[-1]
     sinks.ensure_namespace(spark, db, base + "/db")
-    raw = S.raw_eq_world(spark, d).withColumn("eq_day", F.substring("eqDate", 1, 8))
-    name, ddl = f"{db}.raw", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in raw.schema.fields)
-    sinks.create_if_absent(spark, name, ddl, base + "/table", ["eq_day"])
+    raw = quake.with_month(S.raw_eq_world(spark, d))
+    name = f"{db}.raw"
+    sinks.create_if_absent(spark, name, sinks.ddl(raw), base + "/table", [quake.MONTH])
     sinks.append(raw, name)
-    again = raw.filter(F.col("eq_day") == "19980802").withColumn("reFer", F.lit("reloaded"))
-    undated = again.withColumn("eqDate", F.lit(None).cast("string")).withColumn("eq_day", F.lit(None).cast("string"))
+    again = spark.table(name).filter((F.col(quake.MONTH) == "199808") & F.col("eqDate").startswith("19980802")).withColumn("reFer", F.lit("reloaded"))
+    undated = again.withColumn("eqDate", F.lit(None).cast("string")).withColumn(quake.MONTH, F.lit(None).cast("string"))
     start, end = D.day_range_bounds(F.lit("1998-08-02"))
-    sinks.replace_rows(spark, name, again.unionByName(undated), D.parse_ts("eqDate", D.STAMP_SECOND).between(start, end), "eq_day", ["19980802"])
-    out = spark.table(name).checkpoint()
+    sinks.replace_rows(spark, name, again.unionByName(undated), D.parse_ts("eqDate", D.STAMP_SECOND).between(start, end), quake.MONTH, ["199808"])
+    out = spark.table(name).drop(quake.MONTH).withColumn("eq_day", F.substring("eqDate", 1, 8)).checkpoint()
     spark.sql(f"DROP DATABASE {db} CASCADE")
     return out
 
@@ -300,7 +300,7 @@ def typhoon_table_upsert(spark, d):
     sinks.ensure_namespace(spark, db, base + "/db")
     target, source = (typhoon.with_month(x) for x in _typhoon_target_source(spark, d))
     name = f"{db}.raw"
-    sinks.create_if_absent(spark, name, typhoon.table_ddl(target), base + "/table", [typhoon.MONTH])
+    sinks.create_if_absent(spark, name, sinks.ddl(target), base + "/table", [typhoon.MONTH])
     sinks.append(target, name)
     sinks.upsert_table(spark, name, source, typhoon.KEYS, typhoon.latest_first(), typhoon.MONTH, ["TYP_TM"])
     out = spark.table(name).drop(typhoon.MONTH).checkpoint()
@@ -308,7 +308,73 @@ def typhoon_table_upsert(spark, d):
     return out
 
 
+def fixed_width_inferred(spark, d):
+    """The typhoon listing read back without its layout: every column holds
+    values somewhere, the edges are those that all lines share."""
+    raw = S.raw_typhoon(spark, d)
+    fill = [c for c in K.TYPHOON_COLUMNS if c in ("RAD", "ED15", "ER15", "LOC", "ED25", "ER25R")]
+    raw = raw.withColumns({c: F.when(F.col("SEQ").cast("int") % (k + 2) == 0, F.col("SEQ")) for k, c in enumerate(fill)})
+    path = scratch_path(spark, "typhoon-inferred")
+    render.write_fixed_width(raw, path, header="# FT YY TYP SEQ TMD TYP_TM FT_TM LAT LON ...")
+    return feeds.parse_inferred_width(text.scan_lines(spark, path), K.TYPHOON_COLUMNS).drop("file")
+
+
+def load_once_table(spark, d):
+    """S12 into a table: readings landed in two deliveries; a run after each and
+    one more load every file once."""
+    base = scratch_path(spark, "load-once")
+    db = "lo_" + base.rsplit("-", 1)[-1]
+    sinks.ensure_namespace(spark, db, base + "/db")
+    raw = S.hourly_dust(spark, d, with_arrival=True)
+    line = F.concat_ws(" ", "DATE", "ORG", "STN", "PM10")
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    loads = []
+    for k in (0, 1, None):
+        if k is not None:
+            render.write_lines(raw.filter(F.col("arrival") % 2 == k).hint("rebalance").select(line.alias("value")), f"{base}/landing/run={k}", "EUC-KR")
+        loads.append(sinks.load_once(spark, base + "/landing", f"{db}.dust", f"{db}.ledger", lambda paths: text.parse_dust(
+            spark.read.schema(schema).text(paths)), base + "/table"))
+    if loads[2] or not loads[0] or not loads[1]:
+        raise RuntimeError(f"files loaded by run: {loads}")
+    out = spark.table(f"{db}.dust").select(*dust.RAW_COLUMNS).checkpoint()
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
+def quake_region_incremental(spark, d):
+    """Region tables kept from per-month states: all months once, then a day is
+    replaced and its month alone is counted again."""
+    base = scratch_path(spark, "eq-states")
+    db = "es_" + base.rsplit("-", 1)[-1]
+    sinks.ensure_namespace(spark, db, base + "/db")
+    raw = quake.with_month(S.raw_eq_world(spark, d))
+    names = [f"{db}.{n}" for n in ("raw", "states", "domestic", "foreign")]
+    sinks.create_if_absent(spark, names[0], sinks.ddl(raw), base + "/table", [quake.MONTH])
+    sinks.append(raw, names[0])
+    tasks.refresh_eq_regions(spark, *names)
+    day = spark.table(names[0]).filter((F.col(quake.MONTH) == "199808") & F.col("eqDate").startswith("19980802") & (F.col("eqLn") == "1"))
+    start, end = D.day_range_bounds(F.lit("1998-08-02"))
+    sinks.replace_rows(spark, names[0], day.withColumn("eqPt", F.concat(F.lit("Moved "), F.col("eqPt"))),
+                       D.parse_ts("eqDate", D.STAMP_SECOND).between(start, end), quake.MONTH, ["199808"])
+    tasks.refresh_eq_regions(spark, *names, months=["199808"])
+    out = (spark.table(names[2]).withColumns({"kind": F.lit("domestic"), "max_magml": F.lit(None).cast("double")})
+           .unionByName(spark.table(names[3]).withColumns({"kind": F.lit("foreign"), "eqlt": F.lit(None).cast("string"), "eqln": F.lit(None).cast("string")}))).checkpoint()
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
+def forecast_open_pivot(spark, d):
+    """Every category becomes a column, those unknown to the code too."""
+    long = forecast.locate(S.forecast_items(spark, d), S.coordinates(spark, d))
+    renamed = F.when(F.col("category") == "SNO", F.concat(F.lit("NEW"), (F.col("nx") % 3).cast("string"))).otherwise(F.col("category"))
+    return forecast.wide_open(long.withColumn("category", renamed))
+
+
 ROUNDTRIP_QUERIES = {
+    "fixed_width_inferred": fixed_width_inferred,
+    "load_once_table": load_once_table,
+    "quake_region_incremental": quake_region_incremental,
+    "forecast_open_pivot": forecast_open_pivot,
     "typhoon_table_upsert": typhoon_table_upsert,
     "csv_values_roundtrip": csv_values_roundtrip,
     "text_control_chars": text_control_chars,

@@ -94,6 +94,41 @@ FROM ({FGN}) f WHERE {region_by('eqPt')} IS NOT NULL
 GROUP BY {region_by('eqPt')}
 """
 
+# by walking day after day: what each day is called, and whether a day owes a
+# substitute that no free weekday since has paid
+HOLIDAY_CALENDAR = f"""
+WITH RECURSIVE moon(n, b, a) AS (VALUES {', '.join(f"(DATE '{x}', DATE '{y}', DATE '{z}')" for x, y, z in K.HOLIDAY_LUNAR)}),
+day AS (SELECT CAST(d AS DATE) AS d, year(d) AS y, strftime(d, '%m-%d') AS md, isodow(d) AS w FROM range(DATE '2000-01-01', DATE '2031-01-01', INTERVAL 1 DAY) r(d)),
+named AS (SELECT d, w, y,
+  [x FOR x IN [CASE WHEN md IN ('01-01', '03-01', '05-05', '06-06', '08-15', '10-03', '12-25') OR (md = '04-05' AND y <= 2005) OR (md = '07-17' AND y <= 2007) OR (md = '10-09' AND y >= 2013) THEN md END,
+    CASE WHEN d IN (SELECT b FROM moon) THEN 'buddha' END,
+    CASE WHEN d IN (SELECT unnest([n - 1, n, n + 1]) FROM moon) THEN 'seollal' END,
+    CASE WHEN d IN (SELECT unnest([a - 1, a, a + 1]) FROM moon) THEN 'chuseok' END] IF x IS NOT NULL] AS names FROM day),
+owing AS (SELECT d, w, len(names) > 0 OR d IN ({', '.join(f"DATE '{x}'" for x in K.HOLIDAY_EXTRA)}) AS off,
+  len(list_filter(names, lambda x: CASE WHEN x IN ('seollal', 'chuseok') THEN y >= 2014 AND (w = 7 OR len(names) > 1)
+    WHEN x = '05-05' THEN y >= 2014 AND (w >= 6 OR len(names) > 1) WHEN x = '03-01' THEN y >= 2022 AND (w >= 6 OR len(names) > 1)
+    WHEN x IN ('08-15', '10-03', '10-09') THEN y >= 2021 AND (w >= 6 OR len(names) > 1)
+    WHEN x IN ('buddha', '12-25') THEN y >= 2023 AND (w >= 6 OR len(names) > 1) ELSE false END)) > 0 AS owes FROM named),
+walk AS (SELECT d, off, owes AS due, false AS pays FROM owing WHERE d = DATE '2000-01-01'
+  UNION ALL SELECT o.d, o.off, o.owes OR (walk.due AND NOT (NOT o.off AND o.w < 6)), walk.due AND NOT o.off AND o.w < 6 FROM walk JOIN owing o ON o.d = walk.d + 1),
+orders_on AS (SELECT DATE '2000-01-01' + CAST(o_orderkey * 31 % 11323 AS INTEGER) AS d, count(*) AS n FROM orders GROUP BY 1)
+SELECT walk.d AS holiday, coalesce(n, 0) AS n FROM walk LEFT JOIN orders_on USING (d) WHERE off OR pays
+"""
+
+_FILLED = ["RAD", "ED15", "ER15", "LOC", "ED25", "ER25R"]
+_FILLED = [c for c in K.TYPHOON_COLUMNS if c in _FILLED]
+_MOVED = f"""SELECT * REPLACE (CASE WHEN eqDate LIKE '19980802%' THEN 'Moved ' || eqPt ELSE eqPt END AS eqPt)
+FROM ({S['raw_eq_world']}) r WHERE eqDate IS NULL OR eqDate NOT LIKE '19980802%' OR eqLn = '1'"""
+QUAKE_REGION_INCREMENTAL = f"""
+WITH raw AS ({_MOVED}), place AS (SELECT *, {region_by('eqPt')} AS region FROM raw)
+SELECT region, count(*) AS eq_count, arg_max(eqLt, (eqDate IS NULL, eqDate, eqLt, eqLn)) AS eqlt, arg_max(eqLn, (eqDate IS NULL, eqDate, eqLt, eqLn)) AS eqln,
+       'domestic' AS kind, CAST(NULL AS DOUBLE) AS max_magml
+FROM place WHERE region IS NOT NULL AND nkDiv = 'N' AND cntDiv = 'Y' AND msgCode = '{K.EQ_MSG_DOMESTIC}' GROUP BY region
+UNION ALL
+SELECT region, count(*), NULL, NULL, 'foreign', max({safe_double('magMl')})
+FROM place WHERE region IS NOT NULL AND nkDiv = 'N' AND cntDiv = 'N' AND msgCode = '{K.EQ_MSG_FOREIGN}' GROUP BY region
+"""
+
 _DAY = R.QUAKE_REPLACE_DAY
 _IN_DAY = (f"try_strptime(eqDate, '%Y%m%d%H%M%S') BETWEEN TIMESTAMP '{_DAY} 00:00:00' "
            f"AND TIMESTAMP '{_DAY} 00:00:00' + INTERVAL 1 DAY - INTERVAL 1 SECOND")
@@ -150,6 +185,16 @@ def _pick(cat: str) -> str:
 
 
 _OTHERS = ["PCP", "SNO", "TMN", "TMX", "UUU", "VVV", "WAV"]
+FORECAST_OPEN_PIVOT = f"""
+WITH items AS (SELECT * REPLACE (CASE WHEN category = 'SNO' THEN 'NEW' || (nx % 3) ELSE category END AS category) FROM ({S['forecast_items']}) i),
+coords AS ({S['coordinates']}), loc AS ({_LOC}),
+long AS (SELECT i.*, loc.LOCATION, loc.BROAD_LOCATION FROM items i JOIN loc ON i.nx = loc.nx AND i.ny = loc.ny)
+SELECT baseDate, baseTime, fcstDate, fcstTime, nx, ny, LOCATION, BROAD_LOCATION,
+       {', '.join(f"{safe_double(_pick(c))} AS {c}" for c in ("WSD", "VEC", "TMP", "POP", "REH"))},
+       {', '.join(f"{_pick(c)} AS {c}" for c in ("SKY", "PTY", "PCP", "TMN", "TMX", "UUU", "VVV", "WAV", "NEW0", "NEW1", "NEW2"))}
+FROM long GROUP BY ALL
+"""
+
 FORECAST_WIDE = f"""
 WITH items AS ({S['forecast_items']}), coords AS ({S['coordinates']}), loc AS ({_LOC}),
 long AS (SELECT i.*, loc.LOCATION, loc.BROAD_LOCATION FROM items i JOIN loc ON i.nx = loc.nx AND i.ny = loc.ny)
@@ -420,6 +465,21 @@ ORACLE = {
     "typhoon_clean": TYPHOON_CLEAN,
     "typhoon_upsert": TYPHOON_UPSERT,
     "typhoon_table_upsert": TYPHOON_UPSERT,
+    "holiday_calendar": HOLIDAY_CALENDAR,
+    "dq_suite": """
+WITH l AS (SELECT *, CASE WHEN l_linenumber % 3 > 0 THEN l_returnflag END AS l_note FROM lineitem),
+k AS (SELECT count(*) AS n FROM l WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber)
+SELECT 'rows' AS "check", CAST(count(*) = 0 AS BIGINT) AS failing, CAST(count(*) AS VARCHAR) AS value FROM l
+UNION ALL SELECT 'unique l_orderkey, l_linenumber', count(*), NULL FROM k WHERE n > 1
+UNION ALL SELECT 'newest l_shipdate', CAST(max(l_shipdate) IS NULL AS BIGINT), CAST(max(l_shipdate) AS VARCHAR) FROM l
+UNION ALL SELECT 'not null l_note', count(*) FILTER (l_note IS NULL), NULL FROM l
+UNION ALL SELECT 'not null l_shipdate', count(*) FILTER (l_shipdate IS NULL), NULL FROM l
+UNION ALL SELECT 'not null l_orderkey', count(*) FILTER (l_orderkey IS NULL), NULL FROM l""",
+    "fixed_width_inferred": f"""SELECT {', '.join(c if c not in _FILLED else f"CASE WHEN CAST(SEQ AS INTEGER) % {_FILLED.index(c) + 2} = 0 THEN SEQ END AS {c}" for c in K.TYPHOON_COLUMNS)}
+                                FROM ({S['raw_typhoon']}) r""",
+    "load_once_table": f"SELECT DATE, ORG, STN, PM10 FROM ({S['hourly_dust']}) r",
+    "quake_region_incremental": QUAKE_REGION_INCREMENTAL,
+    "forecast_open_pivot": FORECAST_OPEN_PIVOT,
     "bad_batch_drop": BAD_BATCH_DROP,
     "forecast_wide": FORECAST_WIDE,
     "forecast_labels": FORECAST_LABELS,

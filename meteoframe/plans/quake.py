@@ -12,6 +12,15 @@ from meteoframe.functions.text import first_tokens
 from meteoframe.operators.merge import replace_range
 
 
+MONTH = "eq_month"
+
+
+def with_month(raw: DataFrame) -> DataFrame:
+    """Rows with the table's partition column: the month of the report's time
+    (a day has too few reports for a partition of its own)."""
+    return raw.withColumn(MONTH, F.substring("eqDate", 1, 6))
+
+
 # the same two rules as SQL text, for views kept in the catalog
 DOMESTIC_SQL = f"nkDiv = 'N' AND cntDiv = 'Y' AND msgCode = '{K.EQ_MSG_DOMESTIC}'"
 FOREIGN_SQL = f"nkDiv = 'N' AND cntDiv = 'N' AND msgCode = '{K.EQ_MSG_FOREIGN}'"
@@ -66,6 +75,28 @@ def region_max(fgn: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("eq_count"), F.max(safe_double("magMl")).alias("max_magml")))
 
 
+def region_states(raw: DataFrame) -> DataFrame:
+    """Per event month, view and region what the region tables need of those
+    reports, in a form that merges: counts add up, the rest is a maximum."""
+    both = (domestic(raw).withColumn("kind", F.lit("domestic"))
+            .unionByName(foreign(raw).withColumn("kind", F.lit("foreign"))))
+    newest = F.max(F.struct(F.col("eqDate").isNull().cast("int").alias("undated"), F.col("eqDate").alias("at"),
+                            F.col("eqLt").alias("lt"), F.col("eqLn").alias("ln")))
+    return (both.filter(region_of().isNotNull()).groupBy("kind", region_of().alias("region"), MONTH)
+            .agg(F.count(F.lit(1)).alias("n"), newest.alias("newest"), F.max(safe_double("magMl")).alias("largest"))
+            .select("kind", "region", "n", "newest", "largest", MONTH))
+
+
+def regions_from_states(states: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two region tables (as ``region_latest`` and ``region_max`` make them)
+    from stored states."""
+    def merged(kind: str) -> DataFrame:
+        return (states.filter(F.col("kind") == kind).groupBy("region")
+                .agg(F.sum("n").alias("eq_count"), F.max("newest").alias("newest"), F.max("largest").alias("max_magml")))
+    return (merged("domestic").select("region", "eq_count", F.col("newest.lt").alias("eqlt"), F.col("newest.ln").alias("eqln")),
+            merged("foreign").select("region", "eq_count", "max_magml"))
+
+
 def replace_day(raw: DataFrame, day_rows: DataFrame, day: str) -> DataFrame:
     """Delete the reports of ``day`` (eqDate in [day, day + 1 day - 1 s]) and
     load ``day_rows``; rerunning with the same rows changes nothing."""

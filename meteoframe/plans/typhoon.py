@@ -50,10 +50,6 @@ def with_month(rows: DataFrame) -> DataFrame:
     return rows.withColumn(MONTH, F.date_format("TYP_TM", "yyyyMM"))
 
 
-def table_ddl(rows: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-
-
 def upsert(target: DataFrame, source: DataFrame) -> DataFrame:
     """MERGE ON (TYP_TM, TYP): matched rows take the source values, new keys
     are inserted.  Overlapping fetches repeat a key in the source; the row

@@ -17,7 +17,7 @@ from meteoframe.operators import quality as Q
 from meteoframe.functions.numeric import mean_half_up, sentinel_to_null
 from meteoframe.operators.batches import drop_bad_batches, observe_counts, union_all
 from meteoframe.operators.reshape import duplicate_keys
-from meteoframe.plans import dust, forecast, quake, score, typhoon
+from meteoframe.plans import dust, forecast, holidays, quake, score, typhoon
 from meteoframe.session import scratch_path
 from meteoframe.sources import feeds, standins as S
 
@@ -380,6 +380,22 @@ def preview(spark, d):
     return quake.by_count(quake.region_latest(quake.domestic(S.raw_eq_world(spark, d)))).limit(5)
 
 
+def holiday_calendar(spark, d):
+    """Every order given a day of the calendar's years; how many fall on each
+    holiday."""
+    first, last = holidays.covered()
+    days = F.date_diff(F.lit(last).cast("date"), F.lit(first).cast("date")) + 1
+    placed = S.table(spark, d, "orders").select(F.date_add(F.lit(first).cast("date"), (F.col("o_orderkey") * 31 % days).cast("int")).alias("holiday"))
+    return holidays.calendar(spark).join(placed.groupBy("holiday").agg(F.count(F.lit(1)).alias("n")), "holiday", "left").select(
+        "holiday", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
+def dq_suite(spark, d):
+    """A table's whole suite in one scan: unique keys, nulls, newest day."""
+    li = S.table(spark, d, "lineitem").withColumn("l_note", F.when(F.col("l_linenumber") % 3 > 0, F.col("l_returnflag")))
+    return Q.suite(li, unique=["l_orderkey", "l_linenumber"], not_null=["l_note", "l_shipdate", "l_orderkey"], newest="l_shipdate")
+
+
 QUERIES = {
     "dust_current_grades": dust_current_grades,
     "dust_keep_first": dust_keep_first,
@@ -427,6 +443,8 @@ QUERIES = {
     "null_union_filter": null_union_filter,
     "shape_columns": shape_columns,
     "preview": preview,
+    "holiday_calendar": holiday_calendar,
+    "dq_suite": dq_suite,
 }
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,11 @@ def use_namespace(spark: SparkSession, name: str) -> None:
 
 
 # ------------------------------------------------------------ DDL / loads
+def ddl(df: DataFrame) -> str:
+    """Columns of a table that holds these rows."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def create_if_absent(spark: SparkSession, table: str, ddl: str, location: str | None = None,
                      partitioned_by: Sequence[str] = ()) -> None:
     """CREATE TABLE IF NOT EXISTS ... USING parquet."""
@@ -145,10 +150,14 @@ def publish(spark: SparkSession, table: str, version: str, partition_col: str |
     else:
         folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
         held = read_version(spark, table, version).select(F.col(partition_col).alias("value"), F.url_decode(folder).alias("folder")).distinct().collect()
-        for r in held:
-            spec = f"PARTITION (`{partition_col}` = {_sql_value(r.value)})"
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{r.folder}'")
-            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{r.folder}'")
+        known = {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        specs = [(r, f"PARTITION (`{partition_col}` = {_sql_value(r.value)})", r.folder.rsplit("/", 1)[-1] in known) for r in held]
+        new = [f"{spec} LOCATION '{r.folder}'" for r, spec, old in specs if not old]
+        if new:
+            spark.sql(f"ALTER TABLE {table} ADD {' '.join(new)}")
+        for r, spec, old in specs:
+            if old:
+                spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{r.folder}'")
         for value in set(scope) - {r.value for r in held}:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{partition_col}` = {_sql_value(value)})")
     spark.catalog.refreshTable(table)
@@ -254,6 +263,50 @@ def retain_rows(spark: SparkSession, table: str, keep: Column, partition_col: st
     publish(spark, table, version, partition_col, scope)
 
 
+# ----------------------------------------------------------- load ledger
+LOAD = "load_id"
+LEDGER_DDL = "path string, length bigint, modificationTime timestamp, load_id string"
+
+
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """path, length, modificationTime of every landed file; contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
+            .select("path", "length", "modificationTime"))
+
+
+def load_once(spark: SparkSession, landing: str, table: str, ledger: str,
+              read: Callable[[list[str]], DataFrame], location: str | None = None) -> int:
+    """Append the files of ``landing`` that ``ledger`` does not name to ``table``;
+    returns how many.  A file counts as loaded by path, length and modification
+    time, so a changed file loads again and a second run loads nothing.
+
+    ``read`` makes rows of a list of paths.  The table is partitioned by load:
+    rows are written first and the ledger's entries last, in one write; a load
+    that died in between has no entry, and its partition goes at the next run,
+    so no row is lost or held twice.  Runs of one ledger must not overlap.
+    """
+    if spark.catalog.tableExists(table):
+        known = {r[0] for r in spark.table(ledger).select(LOAD).distinct().collect()}
+        for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            load = r.partition.split("=", 1)[1]
+            if load not in known:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({LOAD} = {_sql_value(load)})")
+    create_if_absent(spark, ledger, LEDGER_DDL, f"{location}_ledger" if location else None)
+    fresh = landed_files(spark, landing).join(spark.table(ledger).select("path", "length", "modificationTime"), ["path", "length", "modificationTime"], "left_anti")
+    entries = fresh.collect()                              # names of the files of one load
+    if not entries:
+        return 0
+    load = uuid.uuid4().hex
+    rows = read([r.path for r in entries]).withColumn(LOAD, F.lit(load))
+    create_if_absent(spark, table, ddl(rows), location, [LOAD])
+    version = new_version(spark, table)
+    write_version(rows, table, version)
+    publish(spark, table, version, LOAD, [load])
+    append(spark.createDataFrame([(*r, load) for r in entries], LEDGER_DDL).coalesce(1), ledger)
+    spark.catalog.refreshTable(ledger)
+    return len(entries)
+
+
 # -------------------------------------------------------------- exports
 def write_csv(df: DataFrame, path: str, header: bool = True, bom: bool = False) -> str:
     """CSV with header; nulls are written as nothing and empty text as "",

@@ -38,6 +38,43 @@ def parse_fixed_width(lines: DataFrame, names: Sequence[str], widths: Sequence[i
     return body.select(*cols, *keep)
 
 
+PIECE = 60          # places of a line that one whole number stands for
+
+
+def infer_edges(lines: DataFrame, comment_prefixes=("#",)) -> list[tuple[int, int]]:
+    """Column edges of a listing without a layout: (start, width), from 1.
+
+    A place is part of a column if any line holds something other than a blank
+    there; columns are the runs of such places.  Each line is a bitmap, 60
+    places to a number; the numbers are combined by OR in one aggregate over
+    all lines, before and after the shuffle, and the driver gets one number
+    per 60 places.  Comment and blank lines are left out.
+    """
+    body = lines.filter(~is_comment_or_blank(F.col("value"), comment_prefixes))
+    line = F.regexp_replace(F.regexp_replace(F.rtrim(F.col("value")), r"[^ \t]", "1"), r"[ \t]", "0")
+    numbers = F.sequence(F.lit(0), F.floor((F.length("marks") - 1) / PIECE).cast("int"))
+    pieces = F.transform(numbers, lambda k: F.conv(F.rpad(F.substr(F.col("marks"), k * PIECE + 1, F.lit(PIECE)), PIECE, "0"), 2, 10).cast("long"))
+    found = (body.select(line.alias("marks")).select(F.posexplode(pieces).alias("piece", "bits"))
+             .groupBy("piece").agg(F.bit_or("bits").alias("bits")).collect())
+    used = sorted(r.piece * PIECE + i for r in found for i in range(PIECE) if r.bits >> (PIECE - 1 - i) & 1)
+    starts = [p for k, p in enumerate(used) if k == 0 or used[k - 1] != p - 1]
+    ends = [p for k, p in enumerate(used) if k == len(used) - 1 or used[k + 1] != p + 1]
+    return [(s + 1, e - s + 1) for s, e in zip(starts, ends)]
+
+
+def parse_inferred_width(lines: DataFrame, names: Sequence[str], comment_prefixes=("#",)) -> DataFrame:
+    """As ``parse_fixed_width``, with the edges inferred from all data lines.  A
+    listing with another number of columns than ``names`` is refused: which
+    column is missing cannot be told.  No data lines give no rows."""
+    edges = infer_edges(lines, comment_prefixes)
+    if edges and len(edges) != len(names):
+        raise ValueError(f"{len(edges)} columns found, {len(names)} named: {edges}")
+    keep = [c for c in ("file", "pos") if c in lines.columns]
+    body = lines.filter(~is_comment_or_blank(F.col("value"), comment_prefixes))
+    fields = [strip(F.substring("value", s, w)) for s, w in edges or [(1, 0)] * len(names)]
+    return body.select(*[F.when(f != "", f).alias(n) for n, f in zip(names, fields)], *keep)
+
+
 def render_fixed_width(df: DataFrame, names: Sequence[str], widths: Sequence[int]) -> DataFrame:
     """Inverse of parse_fixed_width: right-aligned fields, nulls blank.  A
     value that does not fit its width (with one leading blank as separator)

@@ -55,8 +55,8 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
         stream = (spark.readStream.schema(target.schema).option("recursiveFileLookup", True)
                   .parquet(base + "/landing"))
         jobs.run_foreach_batch(stream, handler, base + "/ckpt")
-    out = spark.read.schema(target.schema).parquet(base + "/table")
-    spark.sql(f"DROP DATABASE {db} CASCADE")   # the table's files stay in the scratch folder
+    out = spark.table(table).checkpoint()
+    spark.sql(f"DROP DATABASE {db} CASCADE")
     return out
 
 

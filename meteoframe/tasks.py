@@ -93,22 +93,21 @@ def load_earthquakes(spark: SparkSession, xml_landing: str, table: str, first_da
                      last_day: str | None = None, run_ts: str | None = None) -> int:
     """Delete the reports of ``first_day``..``last_day`` (inclusive; one day by
     default, a backfill when longer) from ``table`` and load the landed XML,
-    every report of it.  The table is partitioned by event day (``eq_day``):
-    other days are not read.  Returns the rows now held for the range."""
+    every report of it.  The table is partitioned by event month: other months
+    are not read.  Returns the rows now held for the range."""
     configure(spark)
     run_ts = run_ts or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
-    rows = feeds.read_earthquake_xml(spark, xml_landing, run_ts).withColumn("eq_day", F.substring("eqDate", 1, 8))
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    sinks.create_if_absent(spark, table, ddl, partitioned_by=["eq_day"])
+    rows = quake.with_month(feeds.read_earthquake_xml(spark, xml_landing, run_ts))
+    sinks.create_if_absent(spark, table, sinks.ddl(rows), partitioned_by=[quake.MONTH])
     start, _ = D.day_range_bounds(F.lit(first_day))
     _, end = D.day_range_bounds(F.lit(last_day or first_day))
     in_range = D.parse_ts("eqDate", D.STAMP_SECOND).between(start, end)
-    day, last, days = dt.date.fromisoformat(first_day), dt.date.fromisoformat(last_day or first_day), []
+    day, last, months = dt.date.fromisoformat(first_day), dt.date.fromisoformat(last_day or first_day), set()
     while day <= last:
-        days.append(day.strftime("%Y%m%d"))
+        months.add(day.strftime("%Y%m"))
         day += dt.timedelta(days=1)
-    sinks.replace_rows(spark, table, rows, in_range, "eq_day", days)
-    return spark.table(table).filter(F.col("eq_day").isin(days) & in_range).count()
+    sinks.replace_rows(spark, table, rows, in_range, quake.MONTH, sorted(months))
+    return spark.table(table).filter(F.col(quake.MONTH).isin(sorted(months)) & in_range).count()
 
 
 def load_earthquakes_day(spark: SparkSession, xml_landing: str, table: str, day: str,
@@ -132,6 +131,30 @@ def build_eq_region_tables(spark: SparkSession, raw_table: str, domestic_out: st
     return spark.table(domestic_out), spark.table(foreign_out)
 
 
+def refresh_eq_regions(spark: SparkSession, raw_table: str, state_table: str, domestic_out: str, foreign_out: str,
+                       months: list[str | None] | None = None) -> None:
+    """The region tables after a change to ``months`` ('yyyyMM' of the event; None
+    for reports without a time): only those months of ``raw_table`` are read and
+    only their states rewritten; the tables follow from the states of all months.
+    Without ``months``, or without a state table, every month is counted."""
+    configure(spark)
+    raw = spark.table(raw_table)
+    states = quake.region_states(raw)
+    fresh = not spark.catalog.tableExists(state_table)
+    sinks.create_if_absent(spark, state_table, sinks.ddl(states), partitioned_by=[quake.MONTH])
+    if fresh or months is None:
+        months = sinks.partition_values(raw, quake.MONTH)
+        held = sinks.partition_values(spark.table(state_table), quake.MONTH)
+    else:
+        states = quake.region_states(raw.filter(sinks.in_partitions(quake.MONTH, months)))
+        held = months
+    version = sinks.new_version(spark, state_table)
+    sinks.write_version(states, state_table, version)
+    sinks.publish(spark, state_table, version, quake.MONTH, [*months, *held])
+    for out, name in zip(quake.regions_from_states(spark.table(state_table)), (domestic_out, foreign_out)):
+        sinks.overwrite(out, name)
+
+
 # ------------------------------------------------------------------ typhoon
 def load_typhoon(spark: SparkSession, landing: str, table: str) -> None:
     """Fixed-width listings (one file per fetch stamp) -> cleaned rows ->
@@ -142,7 +165,7 @@ def load_typhoon(spark: SparkSession, landing: str, table: str) -> None:
     lines = text.scan_lines(spark, landing)
     raw = feeds.parse_fixed_width(lines, K.TYPHOON_COLUMNS, feeds.TYPHOON_WIDTHS)
     rows = typhoon.with_month(typhoon.clean(raw.withColumnRenamed("file", "batch")))
-    sinks.create_if_absent(spark, table, typhoon.table_ddl(rows), partitioned_by=[typhoon.MONTH])
+    sinks.create_if_absent(spark, table, sinks.ddl(rows), partitioned_by=[typhoon.MONTH])
     sinks.upsert_table(spark, table, rows, typhoon.KEYS, typhoon.latest_first(), typhoon.MONTH, ["TYP_TM"])
 
 
@@ -163,8 +186,7 @@ def load_forecast(spark: SparkSession, json_landing: str, coords_csv: str, table
     coords = feeds.read_coordinates(spark, coords_csv)
     wide = forecast.process(forecast.wide(forecast.locate(items, coords)), base_date, others=True).checkpoint()
     rows = wide.select(*forecast.WIDE_COLUMNS)
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    sinks.create_if_absent(spark, table, ddl, partitioned_by=["BASE_DATE"])
+    sinks.create_if_absent(spark, table, sinks.ddl(rows), partitioned_by=["BASE_DATE"])
     sinks.retain_rows(spark, table, ~(F.col("FCST_DATE") < F.lit(base_date)), "BASE_DATE",
                       F.col("BASE_DATE") < F.lit(base_date))
     sinks.upsert_table(spark, table, rows, forecast.KEYS, order=[("BASE_TIME", False)],
@@ -198,8 +220,7 @@ def weekly_scores(spark: SparkSession, obs_landing: str, region_of_file, holiday
     rows = score.score_table(scored)
     # partitioned by run date (part of the merge key): a weekly MERGE reads
     # and rewrites only the run dates it touches
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    sinks.create_if_absent(spark, table, ddl, partitioned_by=["date"])
+    sinks.create_if_absent(spark, table, sinks.ddl(rows), partitioned_by=["date"])
     sinks.upsert_table(spark, table, rows, ["region_code", "date"], partition_col="date")
     top, bottom = score.ranked(scored)
     return score.weekly_message(top, bottom, score.report(scored))
