@@ -31,25 +31,46 @@ def text_lines_stream(spark: SparkSession, landing: str, encoding: str = "UTF-8"
     return r.text(landing).select(decoded(F.col("value"), encoding).alias("value"))
 
 
-def run_available(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
-                  state_partitions: int | None = None) -> None:
-    """Append the stream's new rows to ``sink_path`` and stop when drained.
+#: Keeps state on the executors' disks instead of in their heaps.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
-    A stateful stream fixes its number of state partitions at its first
-    start (kept in the checkpoint).  ``state_partitions`` (default: the
-    cluster's cores) is used for that first start only; the session's
-    setting is restored afterwards.
+def run_available(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
+                  state_partitions: int | None = None) -> dict:
+    """Append the stream's new rows to ``sink_path`` and stop when drained;
+    returns ``progress_counts`` of the run.
+
+    A stateful stream fixes its number of state partitions and its kind of state
+    store at its first start (kept in the checkpoint).  ``state_partitions``
+    (default: the cluster's cores) and RocksDB, whose state may outgrow memory,
+    are used for that first start only; the session's settings are restored
+    afterwards.
     """
     spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    prev = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    wanted = {"spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
+              "spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         q = (df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start(sink_path))
     finally:
-        spark.conf.set(key, prev)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     q.awaitTermination()
+    return progress_counts(q)
+
+
+def progress_counts(query) -> dict:
+    """``rows`` read, ``late`` rows that the watermark dropped and keys left in the
+    ``state``, over the run's reported batches (``spark.sql.streaming.
+    numRecentProgressUpdates`` of them)."""
+    batches = query.recentProgress
+    operators = [op for b in batches for op in b["stateOperators"]]
+    return {"rows": sum(b["numInputRows"] for b in batches),
+            "late": sum(op["numRowsDroppedByWatermark"] for op in operators),
+            "state": sum(op["numRowsTotal"] for op in (batches[-1]["stateOperators"] if batches else []))}
 
 
 def dedupe_within_watermark(df: DataFrame, keys: Sequence[str], event_time: str,

@@ -228,12 +228,14 @@ def weekly_scores(spark: SparkSession, obs_landing: str, region_of_file, holiday
 
 # ---------------------------------------------------------------- streaming
 def stream_hourly_dust(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                       encoding: str = "EUC-KR", delay: str = "2 hours") -> None:
+                       encoding: str = "EUC-KR", delay: str = "2 hours") -> dict:
     """Hourly dust files as a stream: each landed file is read once; a
     (DATE, STN) reading delivered again within ``delay`` of its hour (a
     re-run fetch) is dropped, so re-runs no longer duplicate rows; new rows
-    are appended to the parquet folder ``table_path``.  Run it on a schedule
-    (it stops when the landed files are drained) or continuously."""
+    are appended to the parquet folder ``table_path``.  Run it on a schedule;
+    it stops when the landed files are drained and returns how many rows it
+    read, how many came after the watermark and were dropped (``late``), and
+    how many keys its state holds."""
     configure(spark)
     from meteoframe.streaming import jobs
     lines = jobs.text_lines_stream(spark, landing, encoding)
@@ -243,7 +245,7 @@ def stream_hourly_dust(spark: SparkSession, landing: str, table_path: str, check
     jobs.run_available(rows.filter(F.col("event_time").isNull()).select(*dust.RAW_COLUMNS), f"{table_path}_rejects", f"{checkpoint}_rejects")
     rows = rows.filter(F.col("event_time").isNotNull())
     deduped = jobs.dedupe_within_watermark(rows, ["DATE", "STN"], "event_time", delay)
-    jobs.run_available(deduped.select(*dust.RAW_COLUMNS), table_path, checkpoint)
+    return jobs.run_available(deduped.select(*dust.RAW_COLUMNS), table_path, checkpoint)
 
 
 def stream_forecast(spark: SparkSession, json_landing: str, coords_csv: str, table: str,

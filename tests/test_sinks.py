@@ -188,3 +188,23 @@ def test_merge_by_a_derived_partition_reads_the_target_once(spark, tmp_dir):
     assert sorted(r.v for r in spark.table(t).collect()) == [2, 3, 10, 11, 12]
     untouched = [f for f in spark.table(t).inputFiles() if "month=202402" in f]
     assert untouched and all(sinks.VERSIONS not in f for f in untouched)
+
+
+def test_late_rows_are_counted_and_state_shrinks(spark, tmp_dir):
+    from meteoframe import tasks
+    landing, out, ckpt = (f"{tmp_dir}/{n}" for n in ("land", "out", "ckpt"))
+    os.makedirs(landing)
+    counts = []
+    for n, lines in enumerate((["202401010100 O %d 5" % s for s in range(50)], ["202401010100 O 3 9", "202401020100 O 1 7"],
+                               ["202401030100 O 1 8"], ["202401010100 O 77 1", "202401030100 O 1 8", "202401030200 O 2 8", "bad O 1 1"])):
+        with open(f"{landing}/h{n}.txt", "w") as f:
+            f.write("\n".join(lines) + "\n")
+        counts.append(tasks.stream_hourly_dust(spark, landing, out, ckpt))
+    assert [c["rows"] for c in counts] == [50, 2, 1, 4]
+    assert [c["late"] for c in counts] == [0, 0, 0, 1]              # station 77, two days after its hour
+    assert counts[0]["state"] == 50 and counts[-1]["state"] <= 3
+    got = sorted((r.DATE, r.STN) for r in spark.read.parquet(out).collect())
+    assert len(got) == 53 and ("202401010100", "77") not in got
+    assert spark.read.parquet(out + "_rejects").count() == 1
+    held = [d for d, _, names in os.walk(ckpt) if any(x.endswith(".zip") or x.endswith(".sst") for x in names)]
+    assert held                                                      # RocksDB's own files
