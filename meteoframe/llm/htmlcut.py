@@ -37,45 +37,62 @@ RAW = set("script style title textarea xmp iframe noembed noframes".split())
 HIDDEN = set("head noscript template object svg math canvas audio video select datalist".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
              "span strike strong sub sup time tt u var".split())
-FRAME = set("nav footer aside form menu dialog button fieldset".split())
+FRAME = set("nav footer aside menu dialog button".split())
+SOFT_FRAME = set("form fieldset".split())
 CLOSES_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main "
                "menu nav ol p pre section table ul".split())
-#: Words in class, id and role that tell boilerplate, and those that tell content.
-FRAME_NAMES = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
-                  "gdpr notice alert popup modal overlay newsletter subscribe subscription paywall sidebar aside menu navbar nav "
-                  "navigation breadcrumb breadcrumbs footer masthead toolbar comment comments commentlist disqus reply replies respond "
+#: Words in class, id and role that tell boilerplate, those that tell it but may
+#: as well name a wrapper of the whole page, and those that tell content.
+FRAME_NAMES = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent "
+                  "gdpr notice alert popup newsletter subscribe aside menu navbar nav "
+                  "navigation breadcrumb breadcrumbs footer toolbar comment comments commentlist disqus reply replies respond "
                   "share sharing social related recommended recommendations widget pagination pager login signup search copyright "
-                  "legal disclaimer skip contentinfo complementary outbrain taboola teaser tags".split())
+                  "skip contentinfo complementary outbrain taboola teaser tags modal".split())
+SOFT_NAMES = set("sidebar legal disclaimer overlay banner masthead paywall subscription header".split())
 BODY_NAMES = set("article articlebody story entry post main content body text".split())
 STATES = set("has no with without is not js can".split())
 NAMED = {"class", "id", "role", "itemprop", "aria-label", "data-component"}
 
 
+HARD, SOFT = 2, 1
+
+
 class Element:
+    """``frame``: how surely the element is boilerplate, its own or inherited.
+    ``body``: 2 inside what is named the article, 1 if that lies in a wrapper
+    with a doubtful name, which it clears."""
+
     __slots__ = ("tag", "parent", "depth", "frame", "body", "hidden", "link")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.frame = parent.frame if parent else False
-        self.body = parent.body if parent else False
+        self.frame = parent.frame if parent else 0
+        self.body = parent.body if parent else 0
         self.hidden = tag in HIDDEN or bool(parent and parent.hidden)
         self.link = tag == "a" or bool(parent and parent.link)
         names: set[str] = set()
+        landmark = tag in ("article", "main")
         if attributes and tag not in ("html", "body"):
             for name, *values in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), "".join(values)
                 if name in NAMED:
                     for token in value.split():
                         words = [p.lower() for p in PARTS.findall(token)]
-                        if words and words[0] not in STATES:       # "has-sidebar" is no sidebar
-                            names.update(words)
+                        words = words[:next((k for k, w in enumerate(words) if w in STATES), None)]   # "page-with-sidebar" is no sidebar
+                        names.update(words)
+                        landmark |= bool(words) and BODY_NAMES.issuperset(words)
                 elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "").lower()):
                     self.hidden = True
-        if tag in FRAME or (not self.body and (tag == "header" or "header" in names)) or names & FRAME_NAMES:
-            self.frame = True
-        elif tag in ("article", "main") or names & BODY_NAMES:
-            self.body = True
+        if tag in FRAME or names & FRAME_NAMES:
+            self.frame = HARD
+        elif tag in SOFT_FRAME or (names & SOFT_NAMES and not names & BODY_NAMES) or (tag == "header" and not self.body):
+            self.frame = max(self.frame, SOFT) if not self.body or "header" not in names else self.frame
+        elif (landmark or names & BODY_NAMES) and self.frame != HARD:
+            if self.frame == SOFT and landmark:
+                self.frame, self.body = 0, 1
+            elif not self.frame and not self.body:
+                self.body = 2
 
 
 class Block:
@@ -168,31 +185,30 @@ def blocks_of(page: str) -> list[Block]:
 
 # --------------------------------------------------------------- the graph
 
-def leaning(block: Block, has_body: bool) -> float:
-    """Log-odds that a block is content: the classifier."""
+def leaning(block: Block, best: int) -> float:
+    """Log-odds that a block is content: the classifier.  ``best``: the surest
+    body on the page.  Every feature is bounded, so none decides alone but the
+    elements and names that say boilerplate outright."""
     e, text = block.element, block.text
-    if e.frame:
-        return -6.0
     words = text.count(" ") + 1
     share = min(block.linked / max(len(text), 1), 1.0)
-    value = 0.4 * min(words, 30) / 10 - 3.0 * share
+    value = 0.4 * min(words, 30) / 10 - 2.5 * share
     if text[-1] in ".!?…:;”\"'»)" or text[-1] in "。！？":
         value += 0.4
     if e.tag in ("p", "blockquote", "pre", "h1", "h2", "h3", "h4"):
         value += 0.6
-    if has_body:
-        value += 2.5 if e.body else -3.0
-    else:
-        value -= 0.2
-    return value
+    if e.frame:
+        return value - (4.5 if e.frame == HARD else 2.5) - (1.0 if best else 0.0)
+    if best:
+        return value + (2.0 if e.body == best else -2.5)
+    return value - 0.2
 
 
 def closeness(a: Element, b: Element, reach: int = 6) -> float:
     """Tie between blocks of two elements: 1 in one element, less with every
-    step between them in the tree, none beyond ``reach`` or between an outer
-    frame and the rest."""
-    if a.frame != b.frame or a.body != b.body:
-        return 0.0
+    step between them in the tree, none beyond ``reach``, and a quarter of it
+    across the border of a frame or of the body."""
+    border = 0.25 if a.frame != b.frame or a.body != b.body else 1.0
     steps = 0
     while a is not b:
         if steps >= reach:
@@ -202,10 +218,10 @@ def closeness(a: Element, b: Element, reach: int = 6) -> float:
         else:
             b = b.parent
         steps += 1
-    return 1.0 / (1 + steps)
+    return border / (1 + steps)
 
 
-def edges_of(blocks: list[Block], adjacent: float = 0.6, near: float = 0.3) -> list[tuple[int, int, float]]:
+def edges_of(blocks: list[Block], adjacent: float = 2.0, near: float = 1.0) -> list[tuple[int, int, float]]:
     """Smoothness edges: each block with the next one, and with the next one
     below the same parent element."""
     out, last = [], {}
@@ -290,32 +306,39 @@ def max_flow_side(nodes: list[int], value: list[float], ties: list[dict[int, flo
                 path.pop()
 
 
-def main_text(page: str) -> tuple[str, int, int]:
-    """A page's main text, its number of blocks and of blocks kept."""
+def labelled(page: str) -> tuple[list[Block], list[float], list[bool]]:
+    """A page's blocks, their own leanings and the cut's labels."""
     blocks = blocks_of(page)
-    has_body = any(b.element.body and not b.element.frame for b in blocks)
-    labels = minimum_cut([leaning(b, has_body) for b in blocks], edges_of(blocks))
+    best = max((b.element.body for b in blocks if not b.element.frame), default=0)
+    values = [leaning(b, best) for b in blocks]
+    return blocks, values, minimum_cut(values, edges_of(blocks))
+
+
+def main_text(page: str) -> tuple[str, int, int, int]:
+    """A page's main text, its number of blocks, of blocks kept, and of blocks
+    whose label the cut turned against their own leaning."""
+    blocks, values, labels = labelled(page)
     kept = [b.text for b, keep in zip(blocks, labels) if keep]
-    return " ".join(kept), len(blocks), len(kept)
+    return " ".join(kept), len(blocks), len(kept), sum((v > 0) != x for v, x in zip(values, labels))
 
 
 def extract(df: DataFrame, html: str = "html") -> DataFrame:
     """``df`` without ``html``, plus ``text`` (empty if there is none),
-    ``n_blocks`` and ``n_kept`` (long).
+    ``n_blocks``, ``n_kept`` and ``n_turned`` (long; see ``main_text``).
 
     One row out per row in; null and empty pages have an empty text; whole
     pages, however long; columns of the result's names are replaced.
     """
-    keep = [c for c in df.columns if c not in (html, "text", "n_blocks", "n_kept")]
+    keep = [c for c in df.columns if c not in (html, "text", "n_blocks", "n_kept", "n_turned")]
     source = df.select(F.col(f"`{html}`").alias("html"), *[F.col(f"`{c}`").alias(f"keep{i}") for i, c in enumerate(keep)])
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[1:]), "text string, n_blocks long, n_kept long"])
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[1:]), "text string, n_blocks long, n_kept long, n_turned long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             found = [main_text(x or "") for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[1:], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64()),
-                 pa.array([f[2] for f in found], pa.int64())], names=[*b.schema.names[1:], "text", "n_blocks", "n_kept"])
+                [*b.columns[1:], pa.array([f[0] for f in found], pa.string()), *[pa.array([f[k] for f in found], pa.int64()) for k in (1, 2, 3)]],
+                names=[*b.schema.names[1:], "text", "n_blocks", "n_kept", "n_turned"])
 
     out = lean(source).mapInArrow(run, schema)
-    return out.select(*[F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)], "text", "n_blocks", "n_kept")
+    return out.select(*[F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)], "text", "n_blocks", "n_kept", "n_turned")

@@ -296,6 +296,37 @@ def test_frames_by_name():
     assert htmlcut.main_text(page)[0] == ("Heading of it The first paragraph of the story is here. A caption. A quotation in it. The last one.")
 
 
+STORY = "<h1>Heading of the story</h1><p>The first paragraph of the story is here, long enough to be one.</p><p>The second one ends it.</p>"
+PLAIN = "Heading of the story The first paragraph of the story is here, long enough to be one. The second one ends it."
+MENU = '<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav><div class="ad">Buy this now.</div>'
+
+
+@pytest.mark.parametrize("wrapper", ['<div class="content-sidebar-wrap"><main>{}</main></div>', '<div class="page-with-sidebar"><article>{}</article></div>',
+                                     '<form id="aspnetForm"><article>{}</article></form>', '<div id="legal"><article>{}</article></div>',
+                                     '<form id="form1"><div id="content">{}</div></form>', '<div class="paywall"><article class="post tags-a">{}</article></div>'.replace("tags-a", "story")])
+def test_a_wrapper_does_not_lose_the_article(wrapper):
+    assert htmlcut.main_text(f"<body>{MENU}{wrapper.format(STORY)}<footer>All rights reserved.</footer></body>")[0] == PLAIN
+
+
+def test_teasers_and_comments_beside_the_article_stay_out():
+    page = (f'<body>{MENU}<main><article>{STORY}</article></main><div class="sidebar"><article><h3>Another story</h3><p>It tells of something else, read it now.</p></article></div>'
+            '<div id="comments"><article class="media"><p>I liked this very much, thank you all.</p></article></div>'
+            '<div class="notice"><p>We use cookies on this page.</p></div></body>')
+    assert htmlcut.main_text(page)[0] == PLAIN
+
+
+def test_the_cut_turns_doubtful_blocks_with_their_neighbours():
+    items = "".join(f"<li><a href='/{k}'>Source number {k} of the story</a></li>" for k in range(3))
+    page = f"<body>{MENU}<article>{STORY}<p>The sources of it are listed below, with links to each of them:</p><ul>{items}</ul><p>These were read in full by the author of this story.</p></article></body>"
+    blocks, values, labels = htmlcut.labelled(page)
+    turned = [b.text for b, v, x in zip(blocks, values, labels) if (v > 0) != x]
+    assert turned == [f"Source number {k} of the story" for k in range(3)] and htmlcut.main_text(page)[3] == 3
+    alone = [x for v, x in zip(values, htmlcut.minimum_cut(values, [])) if (v > 0) != x]
+    assert alone == []
+    lone = f"<body>{MENU}<article>{STORY}</article><p>See</p><ul><li><a href='/x'>Other</a></li><li><a href='/y'>Pages</a></li></ul></body>"
+    assert htmlcut.main_text(lone)[0] == PLAIN
+
+
 def test_cut_is_minimal():
     rng = random.Random(3)
     for _ in range(1500):
