@@ -1,10 +1,11 @@
 """Boilerplate lines by site-relative frequency.
 
 A line that stands on too large a share of its host's pages is dropped from
-them.  DataFrame functions only: lines travel as digests, counted with a
-partial aggregate before the shuffle; the lines to drop are one short list
-per host, joined back to the pages, whose text is never shuffled for it
-unless those lists are large.
+them.  Short lines repeat by chance, so their share must be large; a longer line
+on one page in a hundred is no chance.  DataFrame functions only: lines travel
+as digests, counted with a partial aggregate before the shuffle; the lines to
+drop are one short list per host, joined back to the pages (whose texts are
+shuffled once for it where the lists are too large to broadcast).
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from meteoframe.llm.common import GAP_CHARS
 
 
 SHARES = 32
+LONG = 20                     # characters of a line that hardly repeats by chance
+COPY = 0.75                   # a page that would lose more of its characters is a copy
 
 
 def line_key(line: Column) -> Column:
@@ -27,27 +30,35 @@ def has_word(line: Column) -> Column:
     return F.length(F.btrim(line, F.lit(GAP_CHARS))) > 0
 
 
+def characters(lines: Column) -> Column:
+    return F.aggregate(lines, F.lit(0).cast("long"), lambda n, line: n + F.length(F.btrim(line, F.lit(GAP_CHARS))))
+
+
 def drop_boilerplate(df: DataFrame, text: str = "text", host: str = "source",
-                     ratio: float = 0.1, least_pages: int = 5) -> DataFrame:
+                     ratio: float = 0.1, long_ratio: float = 0.01, least_pages: int = 5) -> DataFrame:
     """``df`` with boilerplate lines taken out of ``text``, plus ``n_lines`` and
     ``n_dropped`` (long; columns of these names are replaced).
 
     A line (split at line feeds; blanks around it ignored; blank lines never
     count) is boilerplate on its host if it stands on at least ``least_pages``
-    of its pages and on more than ``ratio`` of them.  Each row is a page; a
-    line that repeats within a page counts once.  A page of which no line with
-    a word would stay is left as it is: it is a copy of other pages, which
-    near-duplicate removal deals with.  Rows without host form one host of
+    of its pages and on more than ``ratio`` of them, or ``long_ratio`` if it has
+    ``LONG`` characters or more.  Each row is a page; a line that repeats within
+    a page counts once.  A page that would lose more than ``COPY`` of its
+    characters stays as it is: it is a copy of other pages, all of whose lines
+    repeat with it, which near-duplicate removal deals with (so a page of
+    nothing but boilerplate stays too).  Rows without host form one host of
     their own.  Null and empty texts stay as they are, with no lines.  All
     rows stay, repeated rows too; an empty table gives an empty table.
     """
     text_, host_ = F.col(f"`{text}`"), F.col(f"`{host}`")
     pages = df.select(F.struct(host_.alias("h")).alias("_site"), text_.alias("_text"))
-    counted = (pages.select("_site", F.explode(F.array_distinct(F.transform(F.filter(F.split("_text", "\n"), has_word), line_key))).alias("_line"))
+    keyed = F.transform(F.filter(F.split("_text", "\n"), has_word),
+                        lambda line: F.struct(line_key(line).alias("key"), (F.length(F.btrim(line, F.lit(GAP_CHARS))) >= LONG).alias("long")))
+    counted = (pages.select("_site", F.explode(F.array_distinct(keyed)).alias("_line"))
                .groupBy("_site", "_line").agg(F.count(F.lit(1)).alias("_pages")).where(F.col("_pages") >= least_pages))
     totals = pages.groupBy("_site").agg(F.count(F.lit(1)).alias("_total"))
-    drops = (counted.join(totals, "_site").where(F.col("_pages") > F.lit(ratio) * F.col("_total"))
-             .groupBy("_site").agg(F.collect_list("_line").alias("_drop")))       # fewer than lines per page / ratio
+    drops = (counted.join(totals, "_site").where(F.col("_pages") > F.when(F.col("_line.long"), long_ratio).otherwise(ratio) * F.col("_total"))
+             .groupBy("_site").agg(F.collect_list("_line.key").alias("_drop")))   # fewer than lines per page / ratio
 
     kept_columns = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
     work = df.select(*[F.col(f"`{c}`") for c in kept_columns]).withColumn("_site", F.struct(host_.alias("h")))
@@ -59,8 +70,9 @@ def drop_boilerplate(df: DataFrame, text: str = "text", host: str = "source",
         stay = F.when(F.col("_drop").isNull(), lines).otherwise(
             F.filter(lines, lambda line: ~has_word(line) | ~F.array_contains(F.col("_drop"), line_key(line))))
         worded, left = F.size(F.filter(lines, has_word)), F.size(F.filter(stay, has_word))
-        return F.struct(F.when(left > 0, F.array_join(stay, "\n")).alias("text"), worded.cast("long").alias("n"),
-                        F.when(left > 0, worded - left).otherwise(F.lit(0)).cast("long").alias("gone"))
+        kept = F.col("_drop").isNotNull() & (left < worded) & (characters(stay) >= (1 - COPY) * characters(lines))
+        return F.struct(F.when(kept, F.array_join(stay, "\n")).alias("text"), worded.cast("long").alias("n"),
+                        F.when(kept, worded - left).otherwise(F.lit(0)).cast("long").alias("gone"))
 
     # bound once as a lambda's argument, so that the split is not repeated
     work = work.withColumn("_clean", F.transform(F.array(F.split(text_, "\n")), cleaned)[0])

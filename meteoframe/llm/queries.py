@@ -117,12 +117,13 @@ line AS (SELECT rid, source, generate_subscripts(lines, 1) AS pos, unnest(lines)
 keyed AS (SELECT rid, source, pos, line, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM line),
 total AS (SELECT source, count(*) AS t FROM page GROUP BY source),
 freq AS (SELECT source, k, count(DISTINCT rid) AS n FROM keyed WHERE k <> '' GROUP BY source, k),
-boiler AS (SELECT f.source, k FROM freq f JOIN total USING (source) WHERE n >= 5 AND n > 0.1 * t),
+boiler AS (SELECT f.source, k FROM freq f JOIN total USING (source) WHERE n >= 5 AND n > CASE WHEN length(k) >= 20 THEN 0.01 ELSE 0.1 END * t),
 flagged AS (SELECT keyed.*, boiler.k IS NOT NULL AS gone FROM keyed LEFT JOIN boiler ON keyed.source = boiler.source AND keyed.k = boiler.k),
 doc AS (SELECT rid, count(*) FILTER (WHERE k <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_gone,
+        coalesce(sum(length(k)) FILTER (WHERE NOT gone), 0) >= 0.25 * sum(length(k)) AS kept,
         string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone) AS rest FROM flagged GROUP BY rid)
-SELECT doc_id, source, CASE WHEN n_gone > 0 AND n_gone < n_lines THEN rest ELSE text END AS text,
-       coalesce(n_lines, 0) AS n_lines, CASE WHEN n_gone < n_lines THEN n_gone ELSE 0 END AS n_dropped
+SELECT doc_id, source, CASE WHEN n_gone > 0 AND kept THEN rest ELSE text END AS text,
+       coalesce(n_lines, 0) AS n_lines, CASE WHEN kept THEN n_gone ELSE 0 END AS n_dropped
 FROM page LEFT JOIN doc USING (rid)""",
     "op11_secrets": r"""
 WITH rule(kind, name, pattern, hint) AS (VALUES

@@ -33,6 +33,19 @@ def test_boilerplate_against_brute_force(spark):
     assert any(w[4] for w in want) and ("h0", "menu") in bad
 
 
+def test_planted_passages_go_from_a_large_and_a_small_host_and_copies_stay(spark):
+    passage = " ".join(f"word{k}" for k in range(60))                     # over 50 words, on 2 % of each host's pages
+    own = lambda i: "\n".join(f"line {j} of page {i} with words of its own" for j in range(14))
+    rows = [(i, "large" if i < 3000 else "small", own(i) + ("\n" + passage if i % 50 == 0 else "") + ("\nrare line on a few pages" if i in (1, 2, 3, 4, 5) else "")
+             + ("\nyes" if i % 20 == 0 else "")) for i in range(3400)]
+    rows += [(5000 + i, "large", own(-1) + f"\nchanged in copy {i}") for i in range(300)]       # near copies
+    out = {r.doc_id: r for r in linededup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    given = {i: text for i, _, text in rows}
+    caught = [i for i in given if passage in given[i] and passage not in out[i].text]
+    assert len(caught) == 68 and all(out[i].n_dropped == 1 for i in caught)                     # all 60 + 8
+    assert all(out[i].text == given[i] for i in given if i not in caught)                       # rare and short lines, copies
+
+
 def test_lines_empty_table_and_clashing_names(spark):
     df = spark.createDataFrame([], "doc_id long, source string, text string, n_lines string")
     out = linededup.drop_boilerplate(df)
