@@ -1,17 +1,21 @@
-"""Katz backoff language model: Good-Turing discounted bigram and unigram counts
+"""Katz backoff language model of any order: Good-Turing discounted n-gram counts
 with exactly normalised backoff weights.
 
-    p(w | h) = d(c(h w)) c(h w) / c(h)      if the pair was seen,
-             = alpha(h) p(w)                otherwise,
+    p(w | h) = d(c(h w)) c(h w) / c(h)      if h w was seen,
+             = alpha(h) p(w | h')           if only h was seen,
+             = p(w | h')                    otherwise; h' is h without its first token,
     p(w)     = d(c(w)) c(w) / N             if the word was seen,
              = the mass so left             for all unknown words together.
 
+A text is preceded by one start, so its first tokens have shorter histories.
+
 Tokens never travel one by one.  Each slice of documents asks the count
 tables, which are partitioned by key, for the keys it has: sorted 64-bit
 hashes, delta-coded, in one block per table part.  A table part adds the
 slices' training counts up and answers every slice in the order asked.  The
-slice then scores its tokens; what unseen pairs need, alpha of their history,
-is summed where the context table is made.
+slice then scores its tokens from the longest n-gram seen; what the longer ones
+need on the way down, alpha of each history, is summed where that order's
+context table is made.
 
 The model gathers every training n-gram; nothing is pruned.
 """
@@ -33,7 +37,7 @@ from meteoframe.llm.common import lean, slices, stored, word_runs
 from meteoframe.llm.ngramjoin import mixed
 
 U = np.uint64
-WORDS, PAIRS = 0, 1
+WORDS, PAIRS = 0, 1              # kinds of tables: the length of their n-grams less one
 SLICE = 6 << 20                  # bytes of text asked for at once
 PART_BYTES = 6 << 20             # bytes of text per table part
 TOP = 5                          # counts up to this are Good-Turing discounted
@@ -90,10 +94,26 @@ def discounted(c: np.ndarray, factors: np.ndarray, flat: float) -> np.ndarray:
     return np.where(c > TOP, c - flat, factors[np.minimum(c, TOP)] * c)
 
 
+class Grams:
+    """A slice's distinct n-grams of one length: ascending ``keys``, the token that
+    the first occurrence of each ends at, and which one ends at every token (-1:
+    the text has not as many tokens before)."""
+
+    def __init__(self, keys: np.ndarray, held: np.ndarray):
+        self.which = np.full(len(keys), -1)
+        at = np.flatnonzero(held)
+        self.keys, first, self.which[at] = np.unique(keys[at], return_index=True, return_inverse=True)
+        self.first = at[first]
+
+    def each(self, counts: np.ndarray) -> np.ndarray:
+        """The n-gram's count at every token, 0 where there is none."""
+        return np.where(self.which >= 0, np.append(counts, 0)[self.which], 0)
+
+
 class Slice:
     """A slice's tokens under local numbers: its words, then end, then start."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, order: int):
         lower = pc_ascii_lower(texts)
         words, index, places = word_runs(lower)
         self.docs = len(texts)
@@ -102,14 +122,26 @@ class Slice:
         size = np.diff(places)
         self.tokens = np.insert(index, places[1:], end)
         self.doc = np.repeat(np.arange(self.docs), size + 1)
+        begins = np.concatenate([[0], np.cumsum(size + 1)[:-1]]).astype(int)
         self.before = np.empty_like(self.tokens)
         self.before[1:] = self.tokens[:-1]
-        self.before[np.concatenate([[0], np.cumsum(size + 1)[:-1]]).astype(int)] = start
+        self.before[begins] = start
         self.end, self.start, self.hashes = end, start, hashes
         self.size = size + 1
         self.order = np.argsort(hashes[:-1], kind="stable")        # words and end by key
-        self.pair_keys, self.first, self.which = np.unique(
-            mixed(mixed(hashes[self.before]) + hashes[self.tokens]), return_index=True, return_inverse=True)
+        place = np.arange(len(self.tokens)) - begins[self.doc]     # in the text
+        keys, self.grams = mixed(hashes[self.before]), {}
+        for kind in range(PAIRS, order):
+            keys = mixed(keys + hashes[self.tokens])
+            self.grams[kind] = Grams(keys, place >= kind - 1)
+            keys = np.concatenate([keys[:1], keys[:-1]])           # histories of the next length
+
+    def histories(self, kind: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Local numbers of the histories of the n-grams that end at the tokens
+        ``at``, and the keys behind those numbers."""
+        if kind == PAIRS:
+            return self.before[at], self.hashes
+        return self.grams[kind - 1].which[at - 1], self.grams[kind - 1].keys
 
 
 def pc_ascii_lower(texts: pa.Array) -> pa.Array:
@@ -140,17 +172,17 @@ ASK = "kind int, part int, slice long, keys binary, counts binary"
 ANSWER = "what string, kind int, part int, slice long, keys binary, counts binary, stats array<long>"
 
 
-def ask(source: DataFrame, parts: int) -> DataFrame:
-    """Every slice's distinct words and pairs, with their training counts."""
+def ask(source: DataFrame, parts: int, order: int) -> DataFrame:
+    """Every slice's distinct n-grams of each length, with their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, b in numbered(batches):
-            s = Slice(b.column("text"))
+            s = Slice(b.column("text"), order)
             train = b.column("train").to_numpy(zero_copy_only=False)[s.doc]
             out = []
-            words = np.bincount(s.tokens[train], minlength=s.end + 1)[s.order].astype(np.uint32)
-            pairs = np.bincount(s.which[train], minlength=len(s.pair_keys)).astype(np.uint32)
-            for kind, keys, counts in ((WORDS, s.hashes[s.order], words), (PAIRS, s.pair_keys, pairs)):
-                at = cuts(keys, parts)
+            asked = [(WORDS, s.hashes[s.order], np.bincount(s.tokens[train], minlength=s.end + 1)[s.order])]
+            asked += [(kind, g.keys, np.bincount(g.which[train & (g.which >= 0)], minlength=len(g.keys))) for kind, g in s.grams.items()]
+            for kind, keys, counts in asked:
+                at, counts = cuts(keys, parts), counts.astype(np.uint32)
                 out += [(kind, p, number, deltas(keys[i:j]), squeeze(counts[i:j])) for p, (i, j) in enumerate(zip(at, at[1:])) if j > i]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(
                 (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["kind", "part", "slice", "keys", "counts"])
@@ -176,8 +208,9 @@ def answer(asked: DataFrame) -> DataFrame:
     """The count tables (``what = 'table'``), and for every slice and part the
     totals in the order asked (``what = 'answer'``).
 
-    In an answer to pairs, the sign of the count marks, once per pair among all
-    slices, the one that is to report it to its history's context.
+    In an answer to longer n-grams than words, the sign of the count marks, once
+    per n-gram among all slices, the one that is to report it to its history's
+    context.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (kind, part), rows in by_part(batches, ["kind", "part"], ["slice", "keys", "counts"]):
@@ -189,7 +222,7 @@ def answer(asked: DataFrame) -> DataFrame:
             mine = np.zeros(len(which), bool)
             seen = np.flatnonzero(counts)
             mine[seen[np.unique(which[seen], return_index=True)[1]]] = True
-            told = np.where(mine & (kind == PAIRS), -total[which], total[which])
+            told = np.where(mine & (kind >= PAIRS), -total[which], total[which])
             ends = np.cumsum(size)
             some = total > 0
             stats = [int(total.sum()), int(some.sum()), *(int((total == r).sum()) for r in range(1, TOP + 2))]
@@ -210,37 +243,67 @@ class Totals:
 
     tokens: int
     types: int
-    word_factors: tuple[np.ndarray, float]
-    pair_factors: tuple[np.ndarray, float]
+    factors: list[tuple[np.ndarray, float]]      # discounts by kind
     unknown: float               # probability of all unknown words together
 
     def p(self, c: np.ndarray) -> np.ndarray:
-        return np.where(c > 0, discounted(c, *self.word_factors) / max(self.tokens, 1), self.unknown)
+        return np.where(c > 0, discounted(c, *self.factors[WORDS]) / max(self.tokens, 1), self.unknown)
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
 
 
-def totals(table: DataFrame) -> Totals:
+def totals(table: DataFrame, order: int) -> Totals:
     found = {r.kind: r for r in table.groupBy("kind").agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(TOP + 3)]).collect()}
-    stats = {k: np.array([int(found[k][f"s{i}"] or 0) if k in found else 0 for i in range(TOP + 3)]) for k in (WORDS, PAIRS)}
+    stats = [np.array([int(found[k][f"s{i}"] or 0) if k in found else 0 for i in range(TOP + 3)]) for k in range(order)]
     tokens, types = int(stats[WORDS][0]), int(stats[WORDS][1])
-    factors, flat = discounts(stats[WORDS][2:])
+    factors = [discounts(x[2:]) for x in stats]
+    first, flat = factors[WORDS]
     small = np.arange(1, TOP + 1)
     seen = stats[WORDS][2:TOP + 2]
-    left = float(((1 - factors[1:]) * small * seen).sum() + flat * (types - seen.sum()))
-    return Totals(tokens, types, (factors, flat), discounts(stats[PAIRS][2:]), left / tokens if tokens else 1.0)
+    left = float(((1 - first[1:]) * small * seen).sum() + flat * (types - seen.sum()))
+    return Totals(tokens, types, factors, left / tokens if tokens else 1.0)
 
 
 OUT = ("what string, slice long, row int, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-       "part int, keys binary, one binary, two binary, three binary")
-
-
-def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int) -> DataFrame:
-    """Per document all but the backoff weights (``what = 'doc'``); per slice and
-    context part the reports on histories (``'report'``: keys, discounted mass,
-    mass of the seen words, count) and the histories of unseen pairs
-    (``'unseen'``: keys, how many, rows, times)."""
+       "kind int, part int, keys binary, one binary, two binary, three binary, four binary")
+
+
+def reports(number: int, kind: int, parts: int, history: np.ndarray, hashes: np.ndarray, mass: np.ndarray,
+            shorter: np.ndarray, behind: np.ndarray, divisor: np.ndarray) -> list[tuple]:
+    """What one slice reports to the contexts, added up by history."""
+    if not len(history):
+        return []
+    told, first, which = np.unique(history, return_index=True, return_inverse=True)
+    rank = np.argsort(hashes[told], kind="stable")
+    keys, first = hashes[told][rank], first[rank]
+    add = lambda v: np.bincount(which, v)[rank]
+    columns = [add(mass), add(shorter), behind[first], divisor[first]]
+    at = cuts(keys, parts)
+    return [("report", number, kind, part, deltas(keys[i:j]), *(squeeze(v[i:j]) for v in columns))
+            for part, (i, j) in enumerate(zip(at, at[1:])) if j > i]
+
+
+def unseen(number: int, kind: int, parts: int, history: np.ndarray, hashes: np.ndarray, doc: np.ndarray, docs: int) -> list[tuple]:
+    """One slice's histories whose alpha its documents need, and how often."""
+    event, times = np.unique(history * docs + doc, return_counts=True)
+    history, doc = event // docs, event % docs
+    rank = np.argsort(hashes[history], kind="stable")
+    history, doc, times = history[rank], doc[rank], times[rank]
+    keys, first, rows = np.unique(hashes[history], return_index=True, return_counts=True)
+    first = np.append(first, len(history))
+    at = cuts(keys, parts)
+    small = lambda v: squeeze(v.astype(np.uint32))
+    return [("unseen", number, kind, part, deltas(keys[i:j]), small(rows[i:j]), small(doc[first[i]:first[j]]), small(times[first[i]:first[j]]), None)
+            for part, (i, j) in enumerate(zip(at, at[1:])) if j > i]
+
+
+def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int, order: int) -> DataFrame:
+    """Per document all but the backoff weights (``what = 'doc'``); per slice, kind
+    and context part the reports on histories (``'report'``: keys, discounted
+    counts of their n-grams, those without the first token, both histories'
+    counts) and the histories of unseen n-grams (``'unseen'``: keys, how many,
+    rows, times)."""
     def slim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, b in numbered(batches):
             texts = pc_ascii_lower(b.column("text"))
@@ -260,20 +323,28 @@ def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int) -> DataF
             if rows[0][0] != -1:
                 raise ValueError(f"slice {number} changed between two scans")
             b = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rows[0][2])).read_next_batch()
-            s = Slice(b.column("text"))
-            told = {k: [spread_int(r[2]) for r in rows if r[0] == k] for k in (WORDS, PAIRS)}
-            pairs = np.concatenate(told[PAIRS])
+            s = Slice(b.column("text"), order)
+            told = {k: [spread_int(r[2]) for r in rows if r[0] == k] for k in range(order)}
+            told = {k: np.concatenate(v or [np.zeros(0, np.int64)]) for k, v in told.items()}
+            if any(len(told[k]) != len(g.keys) for k, g in s.grams.items()):
+                raise ValueError(f"slice {number} changed between two scans")
             count = np.zeros(s.end + 2, np.int64)
-            count[s.order] = np.concatenate(told[WORDS])
+            count[s.order] = told[WORDS]
             count[s.start] = count[s.end]                           # as many starts as ends
-            if len(pairs) != len(s.pair_keys):
-                raise ValueError(f"slice {number} changed between two scans")
-            mine, pairs = pairs < 0, np.abs(pairs)
             p = t.p(count)
-            c = pairs[s.which]
-            seen = c > 0
             log = np.log10(p)[s.tokens]
-            log[seen] = np.log10(discounted(c[seen], *t.pair_factors) / count[s.before[seen]])
+            behind, shorter, divisor = count[s.before], p[s.tokens], np.ones(len(s.tokens), np.int64)
+            made = []
+            for kind, g in s.grams.items():
+                c = g.each(np.abs(told[kind]))                      # behind: how often the history was seen
+                mass, seen = discounted(c, *t.factors[kind]), c > 0
+                log[seen] = np.log10(mass[seen] / behind[seen])
+                first = g.first[told[kind] < 0]
+                made += reports(number, kind, parts, *s.histories(kind, first), *(v[first] for v in (mass, shorter, behind, divisor)))
+                lost = np.flatnonzero(~seen & (behind > 0) & (g.which >= 0))
+                made += unseen(number, kind, parts, *s.histories(kind, lost), s.doc[lost], s.docs)
+                shorter, divisor = mass, behind
+                behind = np.concatenate([[0], c[:-1]])              # a text's first token has no longer history
             known = count[s.tokens] > 0
             per_doc = lambda v: np.bincount(s.doc, v, s.docs)
             out = pa.RecordBatch.from_pydict({
@@ -282,36 +353,11 @@ def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int) -> DataF
                 "n_tokens": pa.array(s.size, pa.int64()), "n_known": pa.array(per_doc(known).astype(np.int64)),
                 "base_score": per_doc(t.base(count)[s.tokens]), "score": per_doc(log)})
             yield full_batch(out)
-            first = s.first[mine]
-            h, w = s.before[first], s.tokens[first]
-            mass = np.bincount(h, discounted(pairs[mine], *t.pair_factors), s.end + 2)
-            lower = np.bincount(h, p[w], s.end + 2)
-            told_h = np.unique(h)
-            lost = np.flatnonzero(~seen & (count[s.before] > 0))
-            event, times = np.unique(s.before[lost] * s.docs + s.doc[lost], return_counts=True)
-            event_h, event_doc = event // s.docs, event % s.docs
-            rank = np.argsort(s.hashes[event_h], kind="stable")
-            event_h, event_doc, times = event_h[rank], event_doc[rank], times[rank]
-            lost_keys, lost_first, lost_n = np.unique(s.hashes[event_h], return_index=True, return_counts=True)
-            lost_first = np.append(lost_first, len(event_h))
-            told_h = told_h[np.argsort(s.hashes[told_h], kind="stable")]
-            keys = s.hashes[told_h]
-            made = []
-            at = cuts(keys, parts)
-            for part, (i, j) in enumerate(zip(at, at[1:])):
-                if j > i:
-                    made.append(("report", number, part, deltas(keys[i:j]), squeeze(mass[told_h[i:j]]), squeeze(lower[told_h[i:j]]), squeeze(count[told_h[i:j]])))
-            at = cuts(lost_keys, parts)
-            for part, (i, j) in enumerate(zip(at, at[1:])):
-                if j > i:
-                    a, z = lost_first[i], lost_first[j]
-                    made.append(("unseen", number, part, deltas(lost_keys[i:j]), squeeze(lost_n[i:j].astype(np.uint32)),
-                                 squeeze(event_doc[a:z].astype(np.uint32)), squeeze(times[a:z].astype(np.uint32))))
             if made:
                 yield full_batch(pa.RecordBatch.from_pydict({
                     name: pa.array([m[k] for m in made], kind) for k, (name, kind) in enumerate((
-                        ("what", pa.string()), ("slice", pa.int64()), ("part", pa.int32()), ("keys", pa.binary()),
-                        ("one", pa.binary()), ("two", pa.binary()), ("three", pa.binary())))}))
+                        ("what", pa.string()), ("slice", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()),
+                        ("one", pa.binary()), ("two", pa.binary()), ("three", pa.binary()), ("four", pa.binary())))}))
 
     return both.mapInArrow(run, OUT)
 
@@ -327,8 +373,8 @@ def squeeze_int(a: np.ndarray) -> bytes:
 
 
 TYPES = {"what": pa.string(), "slice": pa.int64(), "row": pa.int32(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(),
-         "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64(), "part": pa.int32(), "keys": pa.binary(),
-         "one": pa.binary(), "two": pa.binary(), "three": pa.binary()}
+         "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64(), "kind": pa.int32(), "part": pa.int32(),
+         "keys": pa.binary(), "one": pa.binary(), "two": pa.binary(), "three": pa.binary(), "four": pa.binary()}
 
 
 def full_batch(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -336,31 +382,30 @@ def full_batch(b: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def contexts(judged: DataFrame) -> DataFrame:
-    """The context table (``what = 'table'``: keys, alpha) and, per slice, the
-    logarithms of alpha that its documents' unseen pairs need, added up by
+    """A context table per order (``what = 'table'``: keys, alpha) and, per slice, the
+    logarithms of alpha that its documents' unseen n-grams need, added up by
     document (``what = 'sum'``: rows, sums)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (part,), rows in by_part(batches, ["part"], ["what", "slice", "keys", "one", "two", "three"]):
-            reports = [r for r in rows if r[0] == "report"]
-            keys = [from_deltas(r[2]) for r in reports]
-            distinct, which = np.unique(np.concatenate(keys or [np.zeros(0, U)]), return_inverse=True)
-            add = lambda k: np.bincount(which, np.concatenate([spread(r[k], np.float64) for r in reports] or [np.zeros(0)]), len(distinct))
-            count = np.zeros(len(distinct))
-            if reports:
-                count[which] = np.concatenate([spread(r[5], np.int64) for r in reports])
-            alpha = (1 - add(3) / np.maximum(count, 1)) / (1 - add(4))
+        for (kind, part), rows in by_part(batches, ["kind", "part"], ["what", "slice", "keys", "one", "two", "three", "four"]):
+            told = [r for r in rows if r[0] == "report"]
+            distinct, which = np.unique(np.concatenate([from_deltas(r[2]) for r in told] or [np.zeros(0, U)]), return_inverse=True)
+            column = lambda k, dtype: np.concatenate([spread(r[k], dtype) for r in told] or [np.zeros(0, dtype)])
+            count, divisor = np.ones(len(distinct)), np.ones(len(distinct))
+            count[which], divisor[which] = column(5, np.int64), column(6, np.int64)      # alike in all reports
+            mass, shorter = (np.bincount(which, column(k, np.float64), len(distinct)) for k in (3, 4))
+            alpha = (1 - mass / count) / (1 - shorter / divisor)
             log = np.log10(np.maximum(alpha, 1e-300))
-            out = [("table", part, None, deltas(distinct), squeeze(alpha))]
-            for _, number, key, n, row, times in (r for r in rows if r[0] == "unseen"):
+            out = [("table", kind, part, None, deltas(distinct), squeeze(alpha))]
+            for _, number, key, n, row, times, _ in (r for r in rows if r[0] == "unseen"):
                 at = np.searchsorted(distinct, from_deltas(key))
                 value = np.repeat(log[at], spread(n, np.uint32)) * spread(times, np.uint32)
                 row, which = np.unique(spread(row, np.uint32), return_inverse=True)
-                out.append(("sum", part, number, squeeze(row), squeeze(np.bincount(which, value, len(row)))))
+                out.append(("sum", kind, part, number, squeeze(row), squeeze(np.bincount(which, value, len(row)))))
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(CONTEXT.values())], names=list(CONTEXT))
 
-    rows = judged.select("part", "what", "slice", "keys", "one", "two", "three")
-    return rows.repartition("part").sortWithinPartitions("part", "what", "slice").mapInArrow(
-        run, "what string, part int, slice long, keys binary, value binary")
+    rows = judged.select("kind", "part", "what", "slice", "keys", "one", "two", "three", "four")
+    return rows.repartition("kind", "part").sortWithinPartitions("kind", "part", "what", "slice").mapInArrow(
+        run, "what string, kind int, part int, slice long, keys binary, value binary")
 
 
 def backoff_sums(context: DataFrame) -> DataFrame:
@@ -373,27 +418,32 @@ def backoff_sums(context: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), number), pa.int64()), pa.array(row.astype(np.int32)), pa.array(total[row])],
                                              names=["slice", "row", "value"])
 
-    own = context.where("what = 'sum'").select("slice", "part", "keys", "value")
-    return own.repartition("slice").sortWithinPartitions("slice", "part").mapInArrow(run, "slice long, row int, value double")
+    own = context.where("what = 'sum'").select("slice", "kind", "part", "keys", "value")
+    return own.repartition("slice").sortWithinPartitions("slice", "kind", "part").mapInArrow(run, "slice long, row int, value double")
 
 
-CONTEXT = {"what": pa.string(), "part": pa.int32(), "slice": pa.int64(), "keys": pa.binary(), "value": pa.binary()}
+CONTEXT = {"what": pa.string(), "kind": pa.int32(), "part": pa.int32(), "slice": pa.int64(), "keys": pa.binary(), "value": pa.binary()}
 
 
 @dataclass
 class KatzScores:
-    """``rows``: the scores.  ``words``, ``pairs`` and ``histories``: the model's
-    stored tables, one row of packed keys and values per part."""
+    """``rows``: the scores.  ``counts`` and ``histories``: the model's stored
+    tables, one row of packed keys and values per kind (the n-grams' length less
+    one) and part; a history's kind is that of the n-grams it begins."""
 
     rows: DataFrame
-    words: DataFrame
-    pairs: DataFrame
+    counts: DataFrame
     histories: DataFrame
     totals: Totals
 
+    def of(self, length: int) -> DataFrame:
+        """The count table of n-grams of one length."""
+        return self.counts.where(F.col("kind") == length - 1)
+
 
-def score_corpus(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text") -> KatzScores:
-    """Learns from the rows where ``train`` holds and scores all rows.
+def score_corpus(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", order: int = 2) -> KatzScores:
+    """Learns from the rows where ``train`` holds and scores all rows, with
+    n-grams of up to ``order`` tokens.
 
     A-Z are lower-cased; tokens are the words and one end per text, also for
     null and empty texts.  ``rows``: doc_id, held_out, n_tokens, n_known,
@@ -401,18 +451,20 @@ def score_corpus(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: s
     probability).  One row per row; null ids pass through; without training
     rows every token is the one unknown word, of probability 1.
     """
+    if order < 1:
+        raise ValueError("order must be at least 1")
     source = lean(docs).select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
                          F.coalesce(train, F.lit(False)).alias("train"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(min(max(8, size // PART_BYTES), 50_000))
-    told = stored(answer(ask(source, parts)), "katz-counts")
+    told = stored(answer(ask(source, parts, order)), "katz-counts")
     table = told.where("what = 'table'")
-    t = totals(table)
-    judged = stored(judge(source, told.where("what = 'answer'"), t, parts), "katz-judged")
+    t = totals(table, order)
+    judged = stored(judge(source, told.where("what = 'answer'"), t, parts, order), "katz-judged")
     context = stored(contexts(judged.where("what <> 'doc'")), "katz-contexts")
     sums = backoff_sums(context)
     rows = (judged.where("what = 'doc'").select("slice", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
             .join(sums, ["slice", "row"], "left")
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(t.tokens).cast("long").alias("train_tokens"), "base_score",
                     (F.col("score") + F.coalesce("value", F.lit(0.0))).alias("score")))
-    return KatzScores(rows, table.where(F.col("kind") == WORDS), table.where(F.col("kind") == PAIRS), context.where("what = 'table'"), t)
+    return KatzScores(rows, table, context.where("what = 'table'"), t)

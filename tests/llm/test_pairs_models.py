@@ -1,6 +1,7 @@
 """Joins, neighbours, scores and extraction against brute force."""
 
 import collections
+import functools
 import itertools
 import math
 import random
@@ -160,39 +161,60 @@ def test_no_vectors(spark):
 
 # ------------------------------------------------------------------- Katz
 
-def test_scores_against_brute_force(spark):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_scores_against_brute_force(spark, order):
     rng = random.Random(4)
     vocabulary = [f"w{k}" for k in range(60)]
     rows = [(i, " ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(60)], k=rng.randint(0, 60)))) for i in range(200)]
     rows += [(300, None), (301, ""), (302, "unheard of words W1"), (None, "w1 w2"), (7, rows[7][1])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, score string").repartition(3)
     train = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 5 != 1
-    model = katz.score_corpus(df, remainder(F.col("doc_id")) != 1)
+    model = katz.score_corpus(df, remainder(F.col("doc_id")) != 1, order=order)
     tokens = [(i, [*(t or "").lower().split(), "</s>"]) for i, t in rows]
-    words = collections.Counter(w for i, t in tokens if train(i) for w in t)
-    pairs = collections.Counter(p for i, t in tokens if train(i) for p in zip(["<s>", *t], t))
-    of = lambda c: np.array([sum(v == r for v in c.values()) for r in range(1, katz.TOP + 2)])
-    (f1, d1), (f2, d2) = katz.discounts(of(words)), katz.discounts(of(pairs))
-    cut = lambda c, f, d: c - d if c > katz.TOP else f[c] * c
+
+    def ends(t, n):                          # n-grams by the token they end at; the start stands in front once
+        full = ["<s>", *t]
+        return [tuple(full[j - n + 1:j + 1]) for j in range(1, len(full)) if j - n + 1 >= 0]
+
+    counts = {n: collections.Counter(g for i, t in tokens if train(i) for g in ends(t, n)) for n in range(1, order + 1)}
+    words = {g[0]: c for g, c in counts[1].items()}
+    factors = {n: katz.discounts(np.array([sum(v == r for v in c.values()) for r in range(1, katz.TOP + 2)])) for n, c in counts.items()}
+
+    def cut(n, c):
+        f, flat = factors[n]
+        return c - flat if c > katz.TOP else f[c] * c
+
     total = sum(words.values())
-    unknown = 1 - sum(cut(c, f1, d1) for c in words.values()) / total
-    p = lambda w: cut(words[w], f1, d1) / total if w in words else unknown
-    times = {**words, "<s>": words["</s>"]}
+    unknown = 1 - sum(cut(1, c) for c in words.values()) / total
     after = collections.defaultdict(list)
-    for (h, w), c in pairs.items():
-        after[h].append((w, c))
-    alpha = {h: (1 - sum(cut(c, f2, d2) for _, c in s) / times[h]) / (1 - sum(p(w) for w, _ in s)) for h, s in after.items()}
-    for h, s in after.items():               # every history's probabilities add up to one
-        assert sum(cut(c, f2, d2) / times[h] for _, c in s) + alpha[h] * (1 - sum(p(w) for w, _ in s)) == pytest.approx(1)
+    for n in range(2, order + 1):
+        for g in counts[n]:
+            after[g[:-1]].append(g[-1])
+    times = {h: sum(counts[len(h) + 1][(*h, w)] for w in seen) for h, seen in after.items()}
+
+    @functools.cache
+    def alpha(h):
+        return (1 - sum(cut(len(h) + 1, counts[len(h) + 1][(*h, w)]) for w in after[h]) / times[h]) / (1 - sum(p(w, h[1:]) for w in after[h]))
+
+    @functools.cache
+    def p(w, h):
+        if not h:
+            return cut(1, words[w]) / total if w in words else unknown
+        c = counts[len(h) + 1][(*h, w)]
+        return cut(len(h) + 1, c) / times[h] if c else (alpha(h) if h in times else 1) * p(w, h[1:])
+
+    for h in list(times)[::7]:               # a history's probabilities add up to one
+        assert sum(p(w, h) for w in [*words, "never seen"]) == pytest.approx(1)
     want = []
     for i, t in tokens:
-        value = sum(math.log10(cut(pairs[h, w], f2, d2) / times[h] if pairs[h, w] else alpha.get(h, 1) * p(w)) for h, w in zip(["<s>", *t], t))
-        base = sum(math.log10((words[w] + 0.5) / (total + 0.5 * (len(words) + 1))) for w in t)
+        full = ["<s>", *t]
+        value = sum(math.log10(p(full[j], tuple(full[max(0, j - order + 1):j]))) for j in range(1, len(full)))
+        base = sum(math.log10((words.get(w, 0) + 0.5) / (total + 0.5 * (len(words) + 1))) for w in t)
         want.append((i if i is not None else -1, not train(i), len(t), sum(w in words for w in t), total, round(base, 8), round(value, 8)))
     got = [(r.doc_id if r.doc_id is not None else -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 8), round(r.score, 8)) for r in model.rows.collect()]
     assert sorted(got) == sorted(want)
-    kept = {k: sum(len(katz.spread(r.counts, np.int64)) for r in t.collect()) for k, t in (("words", model.words), ("pairs", model.pairs))}
-    assert kept == {"words": len(words), "pairs": len(pairs)}
+    for n in range(1, order + 1):
+        assert sum(len(katz.spread(r.counts, np.int64)) for r in model.of(n).collect()) == len(counts[n])
 
 
 def test_scores_without_training_or_rows(spark):
