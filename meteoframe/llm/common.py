@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write inside go as soon as it has ended, not when the
+    driver happens to collect garbage: nothing reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+
+
 def lean(df: DataFrame) -> DataFrame:
     """``df``, with Arrow batches in this session bounded by bytes, not by rows
     alone: two tasks' buffers of long texts must fit beside a small heap."""

@@ -22,18 +22,20 @@ The model gathers every training n-gram; nothing is pruned.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteoframe.llm.common import lean, slices, stored, word_runs
+from meteoframe.llm.common import lean, released, slices, stored, word_runs
 from meteoframe.llm.ngramjoin import mixed
 
 U = np.uint64
@@ -55,6 +57,17 @@ def spread(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
+def coded(a: np.ndarray) -> bytes:
+    """Numbers of which many are alike: the distinct ones and their indexes."""
+    values, index = np.unique(a, return_inverse=True)
+    return len(values).to_bytes(4, "little") + values.tobytes() + squeeze(index.astype(np.uint32))
+
+
+def decoded(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    return np.frombuffer(data, np.float64, n, 4)[spread(data[4 + 8 * n:], np.uint32)]
+
+
 def deltas(keys: np.ndarray) -> bytes:
     """Ascending keys."""
     return squeeze(np.diff(keys, prepend=U(0)))
@@ -145,7 +158,6 @@ class Slice:
 
 
 def pc_ascii_lower(texts: pa.Array) -> pa.Array:
-    import pyarrow.compute as pc
     return pc.ascii_lower(pc.fill_null(texts, ""))
 
 
@@ -278,9 +290,9 @@ def reports(number: int, kind: int, parts: int, history: np.ndarray, hashes: np.
     rank = np.argsort(hashes[told], kind="stable")
     keys, first = hashes[told][rank], first[rank]
     add = lambda v: np.bincount(which, v)[rank]
-    columns = [add(mass), add(shorter), behind[first], divisor[first]]
+    mass, shorter, behind, divisor = add(mass), add(shorter), behind[first], divisor[first]
     at = cuts(keys, parts)
-    return [("report", number, kind, part, deltas(keys[i:j]), *(squeeze(v[i:j]) for v in columns))
+    return [("report", number, kind, part, deltas(keys[i:j]), coded(mass[i:j]), coded(shorter[i:j]), squeeze(behind[i:j]), squeeze(divisor[i:j]))
             for part, (i, j) in enumerate(zip(at, at[1:])) if j > i]
 
 
@@ -382,17 +394,26 @@ def full_batch(b: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def contexts(judged: DataFrame) -> DataFrame:
-    """A context table per order (``what = 'table'``: keys, alpha) and, per slice, the
-    logarithms of alpha that its documents' unseen n-grams need, added up by
-    document (``what = 'sum'``: rows, sums)."""
+    """The documents as they are; a context table per order (``what = 'table'``:
+    keys, alpha in ``one``) and, per slice, the logarithms of alpha that its
+    documents' unseen n-grams need, added up by document (``what = 'sum'``: rows
+    in ``keys``, sums in ``one``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (kind, part), rows in by_part(batches, ["kind", "part"], ["what", "slice", "keys", "one", "two", "three", "four"]):
+        rest: list[pa.RecordBatch] = []
+        for b in batches:                    # documents come first: they have no kind
+            is_doc = pc.equal(b.column("what"), "doc")
+            yield b.filter(is_doc)
+            if pc.sum(is_doc).as_py() < b.num_rows:
+                rest.append(b.filter(pc.invert(is_doc)))
+                break
+        for (kind, part), rows in by_part(itertools.chain(rest, batches), ["kind", "part"], ["what", "slice", "keys", "one", "two", "three", "four"]):
             told = [r for r in rows if r[0] == "report"]
             distinct, which = np.unique(np.concatenate([from_deltas(r[2]) for r in told] or [np.zeros(0, U)]), return_inverse=True)
-            column = lambda k, dtype: np.concatenate([spread(r[k], dtype) for r in told] or [np.zeros(0, dtype)])
+            column = lambda k, read: np.concatenate([read(r[k]) for r in told] or [np.zeros(0)])
+            whole = lambda data: spread(data, np.int64)
             count, divisor = np.ones(len(distinct)), np.ones(len(distinct))
-            count[which], divisor[which] = column(5, np.int64), column(6, np.int64)      # alike in all reports
-            mass, shorter = (np.bincount(which, column(k, np.float64), len(distinct)) for k in (3, 4))
+            count[which], divisor[which] = column(5, whole), column(6, whole)      # alike in all reports
+            mass, shorter = (np.bincount(which, column(k, decoded), len(distinct)) for k in (3, 4))
             alpha = (1 - mass / count) / (1 - shorter / divisor)
             log = np.log10(np.maximum(alpha, 1e-300))
             out = [("table", kind, part, None, deltas(distinct), squeeze(alpha))]
@@ -401,30 +422,27 @@ def contexts(judged: DataFrame) -> DataFrame:
                 value = np.repeat(log[at], spread(n, np.uint32)) * spread(times, np.uint32)
                 row, which = np.unique(spread(row, np.uint32), return_inverse=True)
                 out.append(("sum", kind, part, number, squeeze(row), squeeze(np.bincount(which, value, len(row)))))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(CONTEXT.values())], names=list(CONTEXT))
+            yield full_batch(pa.RecordBatch.from_pydict({
+                name: pa.array([o[k] for o in out], TYPES[name]) for k, name in enumerate(("what", "kind", "part", "slice", "keys", "one"))}))
 
-    rows = judged.select("kind", "part", "what", "slice", "keys", "one", "two", "three", "four")
-    return rows.repartition("kind", "part").sortWithinPartitions("kind", "part", "what", "slice").mapInArrow(
-        run, "what string, kind int, part int, slice long, keys binary, value binary")
+    rows = judged.withColumn("spot", F.coalesce("part", F.col("slice") * 1009 + F.col("row"))).repartition("kind", "spot").drop("spot")
+    return rows.sortWithinPartitions("kind", "part", "what", "slice").mapInArrow(run, OUT)
 
 
 def backoff_sums(context: DataFrame) -> DataFrame:
     """``slice, row, value``: what the context parts found for each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (number,), rows in by_part(batches, ["slice"], ["keys", "value"]):
+        for (number,), rows in by_part(batches, ["slice"], ["keys", "one"]):
             row = np.concatenate([spread(r[0], np.uint32) for r in rows])
             total = np.bincount(row, np.concatenate([spread(r[1], np.float64) for r in rows]))
             row = np.unique(row)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), number), pa.int64()), pa.array(row.astype(np.int32)), pa.array(total[row])],
                                              names=["slice", "row", "value"])
 
-    own = context.where("what = 'sum'").select("slice", "kind", "part", "keys", "value")
+    own = context.where("what = 'sum'").select("slice", "kind", "part", "keys", "one")
     return own.repartition("slice").sortWithinPartitions("slice", "kind", "part").mapInArrow(run, "slice long, row int, value double")
 
 
-CONTEXT = {"what": pa.string(), "kind": pa.int32(), "part": pa.int32(), "slice": pa.int64(), "keys": pa.binary(), "value": pa.binary()}
-
-
 @dataclass
 class KatzScores:
     """``rows``: the scores.  ``counts`` and ``histories``: the model's stored
@@ -457,14 +475,15 @@ def score_corpus(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: s
                          F.coalesce(train, F.lit(False)).alias("train"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(min(max(8, size // PART_BYTES), 50_000))
-    told = stored(answer(ask(source, parts, order)), "katz-counts")
+    with released(docs.sparkSession):
+        told = stored(answer(ask(source, parts, order)), "katz-counts")
     table = told.where("what = 'table'")
     t = totals(table, order)
-    judged = stored(judge(source, told.where("what = 'answer'"), t, parts, order), "katz-judged")
-    context = stored(contexts(judged.where("what <> 'doc'")), "katz-contexts")
+    with released(docs.sparkSession):
+        context = stored(contexts(judge(source, told.where("what = 'answer'"), t, parts, order)), "katz-contexts")
     sums = backoff_sums(context)
-    rows = (judged.where("what = 'doc'").select("slice", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
+    rows = (context.where("what = 'doc'").select("slice", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
             .join(sums, ["slice", "row"], "left")
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(t.tokens).cast("long").alias("train_tokens"), "base_score",
                     (F.col("score") + F.coalesce("value", F.lit(0.0))).alias("score")))
-    return KatzScores(rows, table, context.where("what = 'table'"), t)
+    return KatzScores(rows, table, context.where("what = 'table'").select("kind", "part", "keys", "one"), t)
