@@ -25,6 +25,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -77,10 +78,23 @@ def from_deltas(data: bytes) -> np.ndarray:
     return np.cumsum(spread(data, U), dtype=U)
 
 
-def cuts(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where each table part's keys start among ascending keys (one more at the
-    end); parts are equal ranges of the key space."""
-    return np.searchsorted((keys >> U(32)) * U(parts) >> U(32), np.arange(parts + 1))
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The table part of each key: equal ranges of the key space."""
+    return ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)
+
+
+def cuts(part: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part starts among ascending parts (one more at the end)."""
+    return np.searchsorted(part, np.arange(parts + 1))
+
+
+def steps(places: np.ndarray) -> bytes:
+    """Ascending places in a table part."""
+    return squeeze(np.diff(places, prepend=0).astype(np.uint32))
+
+
+def from_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(spread(data, np.uint32), dtype=np.int64)
 
 
 def discounts(counts_of_counts: np.ndarray) -> tuple[np.ndarray, float]:
@@ -126,7 +140,7 @@ class Grams:
 class Slice:
     """A slice's tokens under local numbers: its words, then end, then start."""
 
-    def __init__(self, texts: pa.Array, order: int):
+    def __init__(self, texts: pa.Array, kinds: range):
         lower = pc_ascii_lower(texts)
         words, index, places = word_runs(lower)
         self.docs = len(texts)
@@ -144,17 +158,15 @@ class Slice:
         self.order = np.argsort(hashes[:-1], kind="stable")        # words and end by key
         place = np.arange(len(self.tokens)) - begins[self.doc]     # in the text
         keys, self.grams = mixed(hashes[self.before]), {}
-        for kind in range(PAIRS, order):
+        for kind in range(PAIRS, kinds.stop):
             keys = mixed(keys + hashes[self.tokens])
-            self.grams[kind] = Grams(keys, place >= kind - 1)
+            if kind in kinds:
+                self.grams[kind] = Grams(keys, place >= kind - 1)
             keys = np.concatenate([keys[:1], keys[:-1]])           # histories of the next length
 
-    def histories(self, kind: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Local numbers of the histories of the n-grams that end at the tokens
-        ``at``, and the keys behind those numbers."""
-        if kind == PAIRS:
-            return self.before[at], self.hashes
-        return self.grams[kind - 1].which[at - 1], self.grams[kind - 1].keys
+    def histories(self, kind: int, at: np.ndarray) -> np.ndarray:
+        """Local numbers of the histories of the n-grams that end at tokens ``at``."""
+        return self.before[at] if kind == PAIRS else self.grams[kind - 1].which[at - 1]
 
 
 def pc_ascii_lower(texts: pa.Array) -> pa.Array:
@@ -184,17 +196,17 @@ ASK = "kind int, part int, slice long, keys binary, counts binary"
 ANSWER = "what string, kind int, part int, slice long, keys binary, counts binary, stats array<long>"
 
 
-def ask(source: DataFrame, parts: int, order: int) -> DataFrame:
-    """Every slice's distinct n-grams of each length, with their training counts."""
+def ask(source: DataFrame, parts: int, kinds: range) -> DataFrame:
+    """Every slice's distinct n-grams of these kinds, with their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, b in numbered(batches):
-            s = Slice(b.column("text"), order)
+            s = Slice(b.column("text"), kinds)
             train = b.column("train").to_numpy(zero_copy_only=False)[s.doc]
             out = []
-            asked = [(WORDS, s.hashes[s.order], np.bincount(s.tokens[train], minlength=s.end + 1)[s.order])]
+            asked = [(WORDS, s.hashes[s.order], np.bincount(s.tokens[train], minlength=s.end + 1)[s.order])] if WORDS in kinds else []
             asked += [(kind, g.keys, np.bincount(g.which[train & (g.which >= 0)], minlength=len(g.keys))) for kind, g in s.grams.items()]
             for kind, keys, counts in asked:
-                at, counts = cuts(keys, parts), counts.astype(np.uint32)
+                at, counts = cuts(part_of(keys, parts), parts), counts.astype(np.uint32)
                 out += [(kind, p, number, deltas(keys[i:j]), squeeze(counts[i:j])) for p, (i, j) in enumerate(zip(at, at[1:])) if j > i]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(
                 (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["kind", "part", "slice", "keys", "counts"])
@@ -222,7 +234,8 @@ def answer(asked: DataFrame) -> DataFrame:
 
     In an answer to longer n-grams than words, the sign of the count marks, once
     per n-gram among all slices, the one that is to report it to its history's
-    context.
+    context.  ``keys`` of an answer are the places of the counted n-grams among
+    the part's: contexts are addressed by them, at a fraction of a key's bytes.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (kind, part), rows in by_part(batches, ["kind", "part"], ["slice", "keys", "counts"]):
@@ -237,9 +250,11 @@ def answer(asked: DataFrame) -> DataFrame:
             told = np.where(mine & (kind >= PAIRS), -total[which], total[which])
             ends = np.cumsum(size)
             some = total > 0
+            place = np.cumsum(some) - 1
+            places = [steps(place[w[some[w]]]) for w in np.split(which, ends[:-1])]
             stats = [int(total.sum()), int(some.sum()), *(int((total == r).sum()) for r in range(1, TOP + 2))]
-            out = [("answer", kind, part, r[0], None, squeeze_int(told[e - n:e]), None)
-                   for r, n, e in zip(rows, size, ends)]
+            out = [("answer", kind, part, r[0], at, squeeze_int(told[e - n:e]), None)
+                   for r, n, e, at in zip(rows, size, ends, places)]
             out.append(("table", kind, part, None, deltas(distinct[some]), squeeze(total[some]), stats))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(
                 (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())))],
@@ -281,40 +296,40 @@ OUT = ("what string, slice long, row int, doc_id long, held_out boolean, n_token
        "kind int, part int, keys binary, one binary, two binary, three binary, four binary")
 
 
-def reports(number: int, kind: int, parts: int, history: np.ndarray, hashes: np.ndarray, mass: np.ndarray,
+def reports(number: int, kind: int, parts: int, history: np.ndarray, part: np.ndarray, place: np.ndarray, mass: np.ndarray,
             shorter: np.ndarray, behind: np.ndarray, divisor: np.ndarray) -> list[tuple]:
     """What one slice reports to the contexts, added up by history."""
     if not len(history):
         return []
     told, first, which = np.unique(history, return_index=True, return_inverse=True)
-    rank = np.argsort(hashes[told], kind="stable")
-    keys, first = hashes[told][rank], first[rank]
+    rank = np.lexsort((place[told], part[told]))
+    told, first = told[rank], first[rank]
     add = lambda v: np.bincount(which, v)[rank]
     mass, shorter, behind, divisor = add(mass), add(shorter), behind[first], divisor[first]
-    at = cuts(keys, parts)
-    return [("report", number, kind, part, deltas(keys[i:j]), coded(mass[i:j]), coded(shorter[i:j]), squeeze(behind[i:j]), squeeze(divisor[i:j]))
-            for part, (i, j) in enumerate(zip(at, at[1:])) if j > i]
+    at = cuts(part[told], parts)
+    return [("report", number, kind, p, steps(place[told[i:j]]), coded(mass[i:j]), coded(shorter[i:j]), squeeze(behind[i:j]), squeeze(divisor[i:j]))
+            for p, (i, j) in enumerate(zip(at, at[1:])) if j > i]
 
 
-def unseen(number: int, kind: int, parts: int, history: np.ndarray, hashes: np.ndarray, doc: np.ndarray, docs: int) -> list[tuple]:
+def unseen(number: int, kind: int, parts: int, history: np.ndarray, part: np.ndarray, place: np.ndarray, doc: np.ndarray, docs: int) -> list[tuple]:
     """One slice's histories whose alpha its documents need, and how often."""
     event, times = np.unique(history * docs + doc, return_counts=True)
     history, doc = event // docs, event % docs
-    rank = np.argsort(hashes[history], kind="stable")
+    rank = np.lexsort((place[history], part[history]))
     history, doc, times = history[rank], doc[rank], times[rank]
-    keys, first, rows = np.unique(hashes[history], return_index=True, return_counts=True)
-    first = np.append(first, len(history))
-    at = cuts(keys, parts)
+    first = np.flatnonzero(np.diff(history, prepend=-1))
+    told, first = history[first], np.append(first, len(history))
+    at = cuts(part[told], parts)
     small = lambda v: squeeze(v.astype(np.uint32))
-    return [("unseen", number, kind, part, deltas(keys[i:j]), small(rows[i:j]), small(doc[first[i]:first[j]]), small(times[first[i]:first[j]]), None)
-            for part, (i, j) in enumerate(zip(at, at[1:])) if j > i]
+    return [("unseen", number, kind, p, steps(place[told[i:j]]), small(np.diff(first[i:j + 1])), small(doc[first[i]:first[j]]), small(times[first[i]:first[j]]), None)
+            for p, (i, j) in enumerate(zip(at, at[1:])) if j > i]
 
 
 def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int, order: int) -> DataFrame:
     """Per document all but the backoff weights (``what = 'doc'``); per slice, kind
-    and context part the reports on histories (``'report'``: keys, discounted
+    and context part the reports on histories (``'report'``: places, discounted
     counts of their n-grams, those without the first token, both histories'
-    counts) and the histories of unseen n-grams (``'unseen'``: keys, how many,
+    counts) and the histories of unseen n-grams (``'unseen'``: places, how many,
     rows, times)."""
     def slim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, b in numbered(batches):
@@ -327,22 +342,34 @@ def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int, order: i
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), pa.array([data], pa.binary())],
                                              names=["slice", "kind", "part", "counts"])
 
-    own = source.mapInArrow(slim, "slice long, kind int, part int, counts binary")
-    both = own.unionByName(answers.select("slice", "kind", "part", "counts")).repartition("slice").sortWithinPartitions("slice", "kind", "part")
+    own = source.mapInArrow(slim, "slice long, kind int, part int, counts binary").withColumn("keys", F.lit(None).cast("binary"))
+    both = own.unionByName(answers.select("slice", "kind", "part", "counts", F.when(F.col("kind") < order - 1, F.col("keys")).alias("keys"))).repartition("slice").sortWithinPartitions("slice", "kind", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (number,), rows in by_part(batches, ["slice"], ["kind", "part", "counts"]):
+        for (number,), rows in by_part(batches, ["slice"], ["kind", "part", "counts", "keys"]):
             if rows[0][0] != -1:
                 raise ValueError(f"slice {number} changed between two scans")
             b = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rows[0][2])).read_next_batch()
-            s = Slice(b.column("text"), order)
-            told = {k: [spread_int(r[2]) for r in rows if r[0] == k] for k in range(order)}
-            told = {k: np.concatenate(v or [np.zeros(0, np.int64)]) for k, v in told.items()}
+            s = Slice(b.column("text"), range(order))
+            told, spot = {}, {}
+            for kind in range(order):
+                own = [r for r in rows if r[0] == kind]
+                told[kind] = np.concatenate([spread_int(r[2]) for r in own] or [np.zeros(0, np.int64)])
+                if kind < order - 1:                                # the n-grams' places in their parts
+                    spot[kind] = np.zeros(len(told[kind]), np.int64)
+                    spot[kind][told[kind] != 0] = np.concatenate([from_steps(r[3]) for r in own] or [np.zeros(0, np.int64)])
             if any(len(told[k]) != len(g.keys) for k, g in s.grams.items()):
                 raise ValueError(f"slice {number} changed between two scans")
             count = np.zeros(s.end + 2, np.int64)
             count[s.order] = told[WORDS]
             count[s.start] = count[s.end]                           # as many starts as ends
+            where = {k: (part_of(g.keys, parts), spot.get(k)) for k, g in s.grams.items()}
+            if WORDS in spot:
+                place = np.zeros(s.end + 2, np.int64)
+                place[s.order] = spot[WORDS]
+                where[WORDS] = part_of(s.hashes, parts), place
+                for v in where[WORDS]:
+                    v[s.start] = v[s.end]                           # an end is no history: the start stands there
             p = t.p(count)
             log = np.log10(p)[s.tokens]
             behind, shorter, divisor = count[s.before], p[s.tokens], np.ones(len(s.tokens), np.int64)
@@ -352,9 +379,9 @@ def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int, order: i
                 mass, seen = discounted(c, *t.factors[kind]), c > 0
                 log[seen] = np.log10(mass[seen] / behind[seen])
                 first = g.first[told[kind] < 0]
-                made += reports(number, kind, parts, *s.histories(kind, first), *(v[first] for v in (mass, shorter, behind, divisor)))
+                made += reports(number, kind, parts, s.histories(kind, first), *where[kind - 1], *(v[first] for v in (mass, shorter, behind, divisor)))
                 lost = np.flatnonzero(~seen & (behind > 0) & (g.which >= 0))
-                made += unseen(number, kind, parts, *s.histories(kind, lost), s.doc[lost], s.docs)
+                made += unseen(number, kind, parts, s.histories(kind, lost), *where[kind - 1], s.doc[lost], s.docs)
                 shorter, divisor = mass, behind
                 behind = np.concatenate([[0], c[:-1]])              # a text's first token has no longer history
             known = count[s.tokens] > 0
@@ -395,7 +422,7 @@ def full_batch(b: pa.RecordBatch) -> pa.RecordBatch:
 
 def contexts(judged: DataFrame) -> DataFrame:
     """The documents as they are; a context table per order (``what = 'table'``:
-    keys, alpha in ``one``) and, per slice, the logarithms of alpha that its
+    places, alpha in ``one``) and, per slice, the logarithms of alpha that its
     documents' unseen n-grams need, added up by document (``what = 'sum'``: rows
     in ``keys``, sums in ``one``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,7 +435,7 @@ def contexts(judged: DataFrame) -> DataFrame:
                 break
         for (kind, part), rows in by_part(itertools.chain(rest, batches), ["kind", "part"], ["what", "slice", "keys", "one", "two", "three", "four"]):
             told = [r for r in rows if r[0] == "report"]
-            distinct, which = np.unique(np.concatenate([from_deltas(r[2]) for r in told] or [np.zeros(0, U)]), return_inverse=True)
+            distinct, which = np.unique(np.concatenate([from_steps(r[2]) for r in told] or [np.zeros(0, np.int64)]), return_inverse=True)
             column = lambda k, read: np.concatenate([read(r[k]) for r in told] or [np.zeros(0)])
             whole = lambda data: spread(data, np.int64)
             count, divisor = np.ones(len(distinct)), np.ones(len(distinct))
@@ -416,9 +443,9 @@ def contexts(judged: DataFrame) -> DataFrame:
             mass, shorter = (np.bincount(which, column(k, decoded), len(distinct)) for k in (3, 4))
             alpha = (1 - mass / count) / (1 - shorter / divisor)
             log = np.log10(np.maximum(alpha, 1e-300))
-            out = [("table", kind, part, None, deltas(distinct), squeeze(alpha))]
+            out = [("table", kind, part, None, steps(distinct), squeeze(alpha))]
             for _, number, key, n, row, times, _ in (r for r in rows if r[0] == "unseen"):
-                at = np.searchsorted(distinct, from_deltas(key))
+                at = np.searchsorted(distinct, from_steps(key))
                 value = np.repeat(log[at], spread(n, np.uint32)) * spread(times, np.uint32)
                 row, which = np.unique(spread(row, np.uint32), return_inverse=True)
                 out.append(("sum", kind, part, number, squeeze(row), squeeze(np.bincount(which, value, len(row)))))
@@ -447,7 +474,9 @@ def backoff_sums(context: DataFrame) -> DataFrame:
 class KatzScores:
     """``rows``: the scores.  ``counts`` and ``histories``: the model's stored
     tables, one row of packed keys and values per kind (the n-grams' length less
-    one) and part; a history's kind is that of the n-grams it begins."""
+    one) and part.  A history's kind is that of the n-grams it begins, its key the
+    place among the counted n-grams of its own kind and part (the start's: that
+    of the end, which is no history)."""
 
     rows: DataFrame
     counts: DataFrame
@@ -475,8 +504,9 @@ def score_corpus(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: s
                          F.coalesce(train, F.lit(False)).alias("train"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(min(max(8, size // PART_BYTES), 50_000))
-    with released(docs.sparkSession):
-        told = stored(answer(ask(source, parts, order)), "katz-counts")
+    groups = [range(min(order, PAIRS + 1)), *(range(k, k + 1) for k in range(PAIRS + 1, order))]
+    with released(docs.sparkSession):          # one write after the other: the requests of one are gone before the next
+        told = reduce(DataFrame.unionByName, [stored(answer(ask(source, parts, kinds)), f"katz-counts-{kinds[-1] + 1}") for kinds in groups])
     table = told.where("what = 'table'")
     t = totals(table, order)
     with released(docs.sparkSession):
