@@ -42,7 +42,7 @@ from meteoframe.llm.ngramjoin import mixed
 U = np.uint64
 WORDS, PAIRS = 0, 1              # kinds of tables: the length of their n-grams less one
 SLICE = 6 << 20                  # bytes of text asked for at once
-PART_BYTES = 6 << 20             # bytes of text per table part
+PART_BYTES = 16 << 20            # bytes of text per table part: few parts keep a slice's blocks long
 TOP = 5                          # counts up to this are Good-Turing discounted
 #: Words hold no blanks, so these collide with none.
 END, START = U(xxhash.xxh3_64_intdigest(b"\n")), U(xxhash.xxh3_64_intdigest(b"\t"))
@@ -61,12 +61,13 @@ def spread(data: bytes, dtype) -> np.ndarray:
 def coded(a: np.ndarray) -> bytes:
     """Numbers of which many are alike: the distinct ones and their indexes."""
     values, index = np.unique(a, return_inverse=True)
-    return len(values).to_bytes(4, "little") + values.tobytes() + squeeze(index.astype(np.uint32))
+    packed = squeeze(values)
+    return len(packed).to_bytes(4, "little") + packed + squeeze(index.astype(np.uint32))
 
 
 def decoded(data: bytes) -> np.ndarray:
     n = int.from_bytes(data[:4], "little")
-    return np.frombuffer(data, np.float64, n, 4)[spread(data[4 + 8 * n:], np.uint32)]
+    return spread(data[4:4 + n], np.float64)[spread(data[4 + n:], np.uint32)]
 
 
 def deltas(keys: np.ndarray) -> bytes:
