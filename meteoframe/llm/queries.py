@@ -111,6 +111,17 @@ QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op3_line_dedup": o
            "pipeline": corpus_pipeline.run}
 
 ORACLE = {
+    "op1_warc": r"""
+WITH page AS (SELECT page_id, url, encode(coalesce(html, '')) AS body FROM pages),
+own AS (SELECT page_id, octet_length(body) AS payload_bytes, rpad(sha1(body), 41, '0') AS h, body,
+        regexp_extract(url, '^[a-z]+://([^/?#:]*)[^/?#]*([^?#]*)(\?[^#]*)?', ['host', 'path', 'query']) AS u FROM page),
+first AS (SELECT body, max(page_id) AS leader FROM own GROUP BY body)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + (('0x' || h[1 + (5 * i) // 4:2 + (5 * i) // 4])::INTEGER >> (3 - (5 * i) % 4)) % 32]), '') AS payload_digest,
+       CASE WHEN page_id = leader THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> leader THEN leader END AS refers_to,
+       CASE WHEN coalesce(u.host, '') = '' THEN '-' ELSE array_to_string(list_reverse(string_split(lower(u.host), '.')), ',') || ')' || CASE u.path WHEN '' THEN '/' ELSE u.path END || u.query END AS key
+FROM own JOIN first USING (body)""",
     "op3_line_dedup": r"""
 WITH page AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
 line AS (SELECT rid, source, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM page),
@@ -125,6 +136,27 @@ doc AS (SELECT rid, count(*) FILTER (WHERE k <> '') AS n_lines, count(*) FILTER
 SELECT doc_id, source, CASE WHEN n_gone > 0 AND kept THEN rest ELSE text END AS text,
        coalesce(n_lines, 0) AS n_lines, CASE WHEN kept THEN n_gone ELSE 0 END AS n_dropped
 FROM page LEFT JOIN doc USING (rid)""",
+    "op5_ngram_join": r"""
+WITH RECURSIVE page AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+gram AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 4 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM page),
+size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+meet AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM gram x JOIN gram y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+pair AS (SELECT a, b FROM meet JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 5 * meet.n >= 4 * (p.n + q.n - meet.n)),
+link AS MATERIALIZED (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach AS (SELECT a, a AS root FROM link UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.a WHERE reach.root < link.b),
+top AS (SELECT a AS doc_id, min(root) AS class_id FROM reach GROUP BY a),
+many AS (SELECT a AS doc_id, count(*) AS n FROM link GROUP BY a)
+SELECT doc_id, CASE WHEN len(w) > 0 THEN min(doc_id) OVER (PARTITION BY array_to_string(w, ' ')) ELSE doc_id END AS copy_id,
+       coalesce(n, 0) AS n_links, coalesce(class_id, doc_id) AS class_id FROM page LEFT JOIN top USING (doc_id) LEFT JOIN many USING (doc_id)""",
+    "op8_embedding_dedup": r"""
+WITH RECURSIVE good AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (SELECT a, a AS root FROM link UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.a WHERE reach.root < link.b),
+top AS (SELECT a AS vec_id, min(root) AS component_id FROM reach GROUP BY a),
+many AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN top USING (vec_id) LEFT JOIN many USING (vec_id)""",
     "op11_secrets": r"""
 WITH rule(kind, name, pattern, hint) AS (VALUES
   (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 12),

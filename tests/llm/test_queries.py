@@ -37,7 +37,8 @@ PER_ROW = {"op12_whitening": 4, "op13_hard_negatives": 50 / 100}      # rows out
 def test_all_are_registered():
     names = [n for n in E.queries() if n.startswith("op") or n == "pipeline"]
     assert sorted(names) == sorted([*COLUMNS, "pipeline"])
-    assert {n for n in E.oracle_sql() if n.startswith("op")} == {"op3_line_dedup", "op11_secrets", "op13_hard_negatives"}
+    assert {n for n in E.oracle_sql() if n.startswith("op")} == {
+        "op1_warc", "op3_line_dedup", "op5_ngram_join", "op8_embedding_dedup", "op11_secrets", "op13_hard_negatives"}
 
 
 @pytest.mark.parametrize("name", list(COLUMNS))
