@@ -93,7 +93,8 @@ def fixed_width_roundtrip(spark, d):
 def xml_roundtrip(spark, d):
     raw = S.raw_eq_world(spark, d)
     path = scratch_path(spark, "eq-xml")
-    render.write_eq_xml(raw, path + "/feed")
+    # tags are most of a feed's bytes, and its rows are wider than the lines they come from
+    render.write_eq_xml(S.raw_eq_world(spark, d, rebalance=True), path + "/feed", compression="gzip", rebalance=False)
     marker = raw.select("arDiv").distinct().withColumn(
         "value", F.lit(f"<earthqueakNoti><info>{K.EQ_NO_CONTENT}</info></earthqueakNoti>"))
     render.write_lines(marker, path + "/empty", by="arDiv")   # one response per file

@@ -48,11 +48,11 @@ def write_fixed_width(df: DataFrame, path: str, names=K.TYPHOON_COLUMNS,
     return write_lines(lines, path)
 
 
-def write_eq_xml(df: DataFrame, path: str, compression: str | None = None) -> str:
+def write_eq_xml(df: DataFrame, path: str, compression: str | None = None, rebalance: bool = True) -> str:
     """<earthqueakNoti><info>...</info></earthqueakNoti>; null tags omitted.
     ``compression`` (e.g. 'gzip') compresses each file; the reader decodes
-    it from the file suffix."""
-    out = df.hint("rebalance").select(*[F.col("reFer" if t == "ReFer" else t).alias(t) for t in K.EQ_TAGS])
+    it from the file suffix.  Rows dealt evenly before need no ``rebalance``."""
+    out = (df.hint("rebalance") if rebalance else df).select(*[F.col("reFer" if t == "ReFer" else t).alias(t) for t in K.EQ_TAGS])
     w = (out.write.mode("overwrite").format("xml").option("rowTag", "info")
          .option("rootTag", "earthqueakNoti"))
     if compression:

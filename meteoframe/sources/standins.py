@@ -78,11 +78,17 @@ def daily_dust_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- earthquakes
 def raw_eq_world(spark: SparkSession, sf_dir: str,
-                 run_ts: str = "2024-02-01 08:00:00") -> DataFrame:
+                 run_ts: str = "2024-02-01 08:00:00", rebalance: bool = False) -> DataFrame:
     """Earthquake feed rows (19 text columns + load times) from lineitem and
     part: place = 'p_name p_type p_brand', time = l_shipdate, magnitude =
-    l_quantity / 5, flags from l_returnflag / l_linestatus / l_tax."""
+    l_quantity / 5, flags from l_returnflag / l_linestatus / l_tax.
+
+    ``rebalance`` deals the lines anew before the join, while they are narrow:
+    for callers that render the rows, which are several times as wide."""
     li = table(spark, sf_dir, "lineitem")
+    if rebalance:
+        li = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+                       "l_returnflag", "l_linestatus", "l_shipdate").hint("rebalance")
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     j = li.join(pa, li.l_partkey == pa.p_partkey)
     ts = F.to_timestamp(F.lit(run_ts)).cast("timestamp_ntz")

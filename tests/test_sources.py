@@ -140,3 +140,27 @@ def test_fixed_width_field_filling_its_width(spark):
 def test_xml_feed_without_info(spark, tmp_dir):
     write(tmp_dir + "/xml0", "a.xml", "<root><earthqueakNoti></earthqueakNoti></root>")
     assert feeds.read_earthquake_xml(spark, tmp_dir + "/xml0", "2024-01-01 00:00:00").count() == 0
+
+
+def test_xml_roundtrip_lands_a_compressed_feed(spark, tmp_dir):
+    """Lines are dealt anew before they are joined and widened, and tags cost little."""
+    from pyspark.sql import functions as F
+    from meteoframe import landing
+    from meteoframe.sources import standins as S
+    n = 3000
+    k = F.col("id")
+    (spark.range(n).select(
+        k.alias("l_orderkey"), F.when(k % 10 == 0, None).otherwise(k % 7).alias("l_partkey"), k.alias("l_suppkey"), (k % 3).cast("int").alias("l_linenumber"),
+        (k % 50).cast("double").alias("l_quantity"), F.lit(0.05).alias("l_discount"), F.lit(0.08).alias("l_tax"), F.lit("R").alias("l_returnflag"),
+        F.lit("O").alias("l_linestatus"), F.to_timestamp(F.lit("2024-01-02 03:04:05")).alias("l_shipdate")).write.parquet(tmp_dir + "/lineitem.parquet"))
+    (spark.range(6).select(k.alias("p_partkey"), F.lit("a<b").alias("p_name"), F.lit("&t").alias("p_type"), F.lit("B#1").alias("p_brand"))
+     .write.parquet(tmp_dir + "/part.parquet"))
+    got = landing.xml_roundtrip(spark, tmp_dir)
+    want = S.raw_eq_world(spark, tmp_dir)
+    text_of = lambda df: sorted(map(str, df.select(*[c for c in df.columns if c != "reFer"], F.translate("reFer", "\n", " ").alias("reFer")).collect()))
+    assert text_of(got) == text_of(want.select(*[c for c in got.columns])) and want.count() == sum(i % 10 > 0 and i % 7 < 6 for i in range(n))
+    feed = [f for f in got.inputFiles() if "/feed/" in f]
+    assert feed and all(f.endswith(".gz") for f in feed)
+    assert sum(os.path.getsize(f.removeprefix("file://")) for f in feed) < n * 100      # 400 bytes a report as plain text
+    plan = S.raw_eq_world(spark, tmp_dir, rebalance=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("RebalancePartitions")
