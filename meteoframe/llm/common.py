@@ -53,6 +53,14 @@ def released(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if was is None else spark.conf.set(key, was)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """A scratch folder of the running job goes, on any file system that Spark
+    reaches: nothing reads it again.  None there is no error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def lean(df: DataFrame) -> DataFrame:
     """``df``, with Arrow batches in this session bounded by bytes, not by rows
     alone: two tasks' buffers of long texts must fit beside a small heap."""

@@ -17,15 +17,18 @@ slice then scores its tokens from the longest n-gram seen; what the longer ones
 need on the way down, alpha of each history, is summed where that order's
 context table is made.
 
+What lies on disk at once is kept below four times the input: texts meet the
+answers in rounds, each with a share of the slices; reports meet their contexts
+in rounds, each with a share of the table parts; and what only a later step
+reads is removed after that step.
+
 The model gathers every training n-gram; nothing is pruned.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +39,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteoframe.llm.common import lean, released, slices, stored, word_runs
+from meteoframe.llm.common import lean, released, removed, slices, word_runs
 from meteoframe.llm.ngramjoin import mixed
+from meteoframe.session import scratch_path
 
 U = np.uint64
 WORDS, PAIRS = 0, 1              # kinds of tables: the length of their n-grams less one
 SLICE = 6 << 20                  # bytes of text asked for at once
 PART_BYTES = 16 << 20            # bytes of text per table part: few parts keep a slice's blocks long
+DOCS = -1                        # where judgements on documents are written, beside the shares of the reports
+ROUNDS = 4                       # shares of the slices, and of the table parts, that are shuffled one after the other
 TOP = 5                          # counts up to this are Good-Turing discounted
 #: Words hold no blanks, so these collide with none.
 END, START = U(xxhash.xxh3_64_intdigest(b"\n")), U(xxhash.xxh3_64_intdigest(b"\t"))
@@ -229,7 +235,7 @@ def by_part(batches: Iterator[pa.RecordBatch], keys: list[str], rest: list[str])
         yield at, held
 
 
-def answer(asked: DataFrame) -> DataFrame:
+def answer(asked: DataFrame, order: int) -> DataFrame:
     """The count tables (``what = 'table'``), and for every slice and part the
     totals in the order asked (``what = 'answer'``).
 
@@ -237,6 +243,7 @@ def answer(asked: DataFrame) -> DataFrame:
     per n-gram among all slices, the one that is to report it to its history's
     context.  ``keys`` of an answer are the places of the counted n-grams among
     the part's: contexts are addressed by them, at a fraction of a key's bytes.
+    N-grams of the highest order begin no longer ones and get none.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (kind, part), rows in by_part(batches, ["kind", "part"], ["slice", "keys", "counts"]):
@@ -252,7 +259,7 @@ def answer(asked: DataFrame) -> DataFrame:
             ends = np.cumsum(size)
             some = total > 0
             place = np.cumsum(some) - 1
-            places = [steps(place[w[some[w]]]) for w in np.split(which, ends[:-1])]
+            places = [steps(place[w[some[w]]]) if kind < order - 1 else None for w in np.split(which, ends[:-1])]
             stats = [int(total.sum()), int(some.sum()), *(int((total == r).sum()) for r in range(1, TOP + 2))]
             out = [("answer", kind, part, r[0], at, squeeze_int(told[e - n:e]), None)
                    for r, n, e, at in zip(rows, size, ends, places)]
@@ -261,8 +268,7 @@ def answer(asked: DataFrame) -> DataFrame:
                 (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())))],
                 names=["what", "kind", "part", "slice", "keys", "counts", "stats"])
 
-    order = ["kind", "part"]
-    return asked.repartition(*order).sortWithinPartitions(*order, "slice").mapInArrow(run, ANSWER)
+    return asked.repartition("kind", "part").sortWithinPartitions("kind", "part", "slice").mapInArrow(run, ANSWER)
 
 
 @dataclass
@@ -326,8 +332,8 @@ def unseen(number: int, kind: int, parts: int, history: np.ndarray, part: np.nda
             for p, (i, j) in enumerate(zip(at, at[1:])) if j > i]
 
 
-def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int, order: int) -> DataFrame:
-    """Per document all but the backoff weights (``what = 'doc'``); per slice, kind
+def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int, order: int, share: int) -> DataFrame:
+    """For one share of the slices (those of every ``ROUNDS``-th scan partition): per document all but the backoff weights (``what = 'doc'``); per slice, kind
     and context part the reports on histories (``'report'``: places, discounted
     counts of their n-grams, those without the first token, both histories'
     counts) and the histories of unseen n-grams (``'unseen'``: places, how many,
@@ -343,8 +349,9 @@ def judge(source: DataFrame, answers: DataFrame, t: Totals, parts: int, order: i
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), pa.array([data], pa.binary())],
                                              names=["slice", "kind", "part", "counts"])
 
-    own = source.mapInArrow(slim, "slice long, kind int, part int, counts binary").withColumn("keys", F.lit(None).cast("binary"))
-    both = own.unionByName(answers.select("slice", "kind", "part", "counts", F.when(F.col("kind") < order - 1, F.col("keys")).alias("keys"))).repartition("slice").sortWithinPartitions("slice", "kind", "part")
+    own = source.where(F.spark_partition_id() % ROUNDS == share).mapInArrow(slim, "slice long, kind int, part int, counts binary").withColumn("keys", F.lit(None).cast("binary"))
+    told = answers.where(F.shiftright("slice", 24) % ROUNDS == share).select("slice", "kind", "part", "counts", "keys")
+    both = own.unionByName(told).repartition("slice").sortWithinPartitions("slice", "kind", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (number,), rows in by_part(batches, ["slice"], ["kind", "part", "counts", "keys"]):
@@ -421,20 +428,17 @@ def full_batch(b: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([b.column(n).cast(t) if n in b.schema.names else pa.nulls(b.num_rows, t) for n, t in TYPES.items()], names=list(TYPES))
 
 
+CONTEXT_COLUMNS = ["what", "kind", "part", "slice", "keys", "one"]
+CONTEXT = "what string, kind int, part int, slice long, keys binary, one binary"
+
+
 def contexts(judged: DataFrame) -> DataFrame:
-    """The documents as they are; a context table per order (``what = 'table'``:
+    """Of reports and unseen n-grams: a context table per order (``what = 'table'``:
     places, alpha in ``one``) and, per slice, the logarithms of alpha that its
     documents' unseen n-grams need, added up by document (``what = 'sum'``: rows
     in ``keys``, sums in ``one``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []
-        for b in batches:                    # documents come first: they have no kind
-            is_doc = pc.equal(b.column("what"), "doc")
-            yield b.filter(is_doc)
-            if pc.sum(is_doc).as_py() < b.num_rows:
-                rest.append(b.filter(pc.invert(is_doc)))
-                break
-        for (kind, part), rows in by_part(itertools.chain(rest, batches), ["kind", "part"], ["what", "slice", "keys", "one", "two", "three", "four"]):
+        for (kind, part), rows in by_part(batches, ["kind", "part"], ["what", "slice", "keys", "one", "two", "three", "four"]):
             told = [r for r in rows if r[0] == "report"]
             distinct, which = np.unique(np.concatenate([from_steps(r[2]) for r in told] or [np.zeros(0, np.int64)]), return_inverse=True)
             column = lambda k, read: np.concatenate([read(r[k]) for r in told] or [np.zeros(0)])
@@ -450,11 +454,10 @@ def contexts(judged: DataFrame) -> DataFrame:
                 value = np.repeat(log[at], spread(n, np.uint32)) * spread(times, np.uint32)
                 row, which = np.unique(spread(row, np.uint32), return_inverse=True)
                 out.append(("sum", kind, part, number, squeeze(row), squeeze(np.bincount(which, value, len(row)))))
-            yield full_batch(pa.RecordBatch.from_pydict({
-                name: pa.array([o[k] for o in out], TYPES[name]) for k, name in enumerate(("what", "kind", "part", "slice", "keys", "one"))}))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], TYPES[name]) for k, name in enumerate(CONTEXT_COLUMNS)], names=CONTEXT_COLUMNS)
 
-    rows = judged.withColumn("spot", F.coalesce("part", F.col("slice") * 1009 + F.col("row"))).repartition("kind", "spot").drop("spot")
-    return rows.sortWithinPartitions("kind", "part", "what", "slice").mapInArrow(run, OUT)
+    own = judged.select("kind", "part", "what", "slice", "keys", "one", "two", "three", "four").repartition("kind", "part")
+    return own.sortWithinPartitions("kind", "part", "what", "slice").mapInArrow(run, CONTEXT)
 
 
 def backoff_sums(context: DataFrame) -> DataFrame:
@@ -506,15 +509,33 @@ def score_corpus(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: s
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(min(max(8, size // PART_BYTES), 50_000))
     groups = [range(min(order, PAIRS + 1)), *(range(k, k + 1) for k in range(PAIRS + 1, order))]
-    with released(docs.sparkSession):          # one write after the other: the requests of one are gone before the next
-        told = reduce(DataFrame.unionByName, [stored(answer(ask(source, parts, kinds)), f"katz-counts-{kinds[-1] + 1}") for kinds in groups])
-    table = told.where("what = 'table'")
-    t = totals(table, order)
-    with released(docs.sparkSession):
-        context = stored(contexts(judge(source, told.where("what = 'answer'"), t, parts, order)), "katz-contexts")
-    sums = backoff_sums(context)
-    rows = (context.where("what = 'doc'").select("slice", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
-            .join(sums, ["slice", "row"], "left")
+    spark = docs.sparkSession
+    counts, judgements, histories = (scratch_path(spark, f"katz-{x}") for x in ("counts", "judged", "contexts"))
+
+    def told(what: str) -> DataFrame:
+        return spark.read.schema(ANSWER).parquet(counts).where(F.col("what") == what)
+
+    def judged(bucket: int) -> DataFrame:
+        return spark.read.schema(f"{OUT}, bucket int").parquet(judgements).where(F.col("bucket") == bucket)
+
+    # one write after the other: each one's shuffle files are gone before the next, the answers
+    # before the contexts, the reports on a share of the table parts as soon as their contexts are made
+    for kinds in groups:
+        with released(spark):
+            answer(ask(source, parts, kinds), order).write.mode("append").partitionBy("what").parquet(counts)
+    t = totals(told("table"), order)
+    bucket = F.when(F.col("what") == "doc", DOCS).otherwise(F.col("part") % ROUNDS).alias("bucket")
+    for share in range(ROUNDS):
+        with released(spark):
+            judge(source, told("answer"), t, parts, order, share).select("*", bucket).write.mode("append").partitionBy("bucket").parquet(judgements)
+    removed(spark, f"{counts}/what=answer")
+    for share in range(ROUNDS):
+        with released(spark):
+            contexts(judged(share)).write.mode("append").parquet(histories)
+        removed(spark, f"{judgements}/bucket={share}")
+    context = spark.read.schema(CONTEXT).parquet(histories)
+    rows = (judged(DOCS).select("slice", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
+            .join(backoff_sums(context), ["slice", "row"], "left")
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(t.tokens).cast("long").alias("train_tokens"), "base_score",
                     (F.col("score") + F.coalesce("value", F.lit(0.0))).alias("score")))
-    return KatzScores(rows, table, context.where("what = 'table'").select("kind", "part", "keys", "one"), t)
+    return KatzScores(rows, told("table"), context.where("what = 'table'").select("kind", "part", "keys", "one"), t)

@@ -217,6 +217,25 @@ def test_scores_against_brute_force(spark, order):
         assert sum(len(katz.spread(r.counts, np.int64)) for r in model.of(n).collect()) == len(counts[n])
 
 
+def test_what_only_a_later_step_reads_does_not_stay(spark, monkeypatch, tmp_path):
+    """Answers and reports, most of the bytes, are gone once they have been read; the
+    texts meet the answers in shares; the highest order's n-grams have no places."""
+    monkeypatch.setattr(katz, "scratch_path", lambda _, name: str(tmp_path / name))
+    seen = []
+    removed = katz.removed
+    monkeypatch.setattr(katz, "removed", lambda s, path: (seen.append((path, spark.read.parquet(path).collect())), removed(s, path)))
+    rows = [(i, f"a b{i % 5} c{i % 3} d") for i in range(40)]
+    source = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    model = katz.score_corpus(source, F.col("doc_id") % 5 != 1, order=3)
+    assert model.rows.count() == 40 and [model.of(n).count() > 0 for n in (1, 2, 3)] == [True] * 3
+    left = {str(p.relative_to(tmp_path)) for p in tmp_path.glob("*/*=*")}
+    assert left == {"katz-counts/what=table", f"katz-judged/bucket={katz.DOCS}"}
+    (answers,) = [r for path, r in seen if path.endswith("what=answer")]
+    assert {r.kind for r in answers} == {0, 1, 2} and all((r["keys"] is None) == (r.kind == 2) for r in answers)
+    reports = [r for path, got in seen if "bucket=" in path for r in got]
+    assert {r.what for r in reports} == {"report", "unseen"} and len({r.slice >> 24 for r in answers}) == 6
+
+
 def test_scores_without_training_or_rows(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     r = katz.score_corpus(df, F.lit(False)).rows.first()
