@@ -65,6 +65,9 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
     replaced.  Whole texts, one row out per row in.
     """
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    # characters are counted by what is left of the text: regexp_count keeps a
+    # string of each match until the last is found
+    without = lambda runs: F.length(F.regexp_replace(t, F.lit(runs), F.lit("")))
     trimmed = F.btrim(t, F.lit(GAP_CHARS))
     words = F.when(F.length(trimmed) > 0, F.split(trimmed, GAP)).otherwise(F.array().cast("array<string>"))
     by_word = let(words, lambda w: F.struct(F.size(w).alias("n"), repeat_words(w).alias("again")))
@@ -73,11 +76,11 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
     made = df.drop(*COUNTS, "base_failed").withColumn("_w", by_word).withColumn("_l", by_line)
     return (made.withColumns({
         "n_words": F.col("_w.n").cast("long"),
-        "word_chars": (F.length(t) - F.regexp_count(t, F.lit(r"[\x20\x09-\x0D]"))).cast("long"),
-        "n_symbols": F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long"),
+        "word_chars": without(GAP).cast("long"),
+        "n_symbols": without(r"[^#*$%&|<>]+").cast("long"),
         "n_dup_lines": F.col("_l.again").cast("long"),
         "n_repeat_words": F.col("_w.again").cast("long"),
-        "n_capitals": F.regexp_count(t, F.lit(r"[A-Z]")).cast("long"),
+        "n_capitals": without(r"[^A-Z]+").cast("long"),
         "n_lines": F.col("_l.n").cast("long"),
     }).drop("_w", "_l").withColumn("base_failed", F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words")))
 

@@ -73,6 +73,16 @@ def test_counts_against_brute_force(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == counts(TEXTS[r.doc_id]), TEXTS[r.doc_id]
 
 
+def test_characters_are_counted_without_a_list_of_matches(spark):
+    texts = [None, "", " \t\n\x0b\f\r", "#*$%&|<>", "ABC", "Aé\U0001F600 b|C\u00a0d\n\n$$ Z", "x" * 20000, "A b " * 5000]
+    df = outliers.with_counts(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.doc_id: (r.word_chars, r.n_symbols, r.n_capitals) for r in df.collect()}
+    for i, t in enumerate(texts):
+        t = t or ""
+        assert found[i] == (len(re.sub(r"[\x20\x09-\x0d]", "", t)), sum(c in "#*$%&|<>" for c in t), len(re.findall("[A-Z]", t)))
+
+
 def brute_mcd(x: np.ndarray, steps: int = 4, share: float = 0.75) -> np.ndarray:
     """The estimate, row by row in numpy."""
     floor = np.diag(np.array(outliers.FLOOR) ** 2)
